@@ -66,6 +66,47 @@ def field_is_nonempty_array(v: Column, field: str) -> Column:
     return F.coalesce(F.size(arr) > 0, F.lit(False))
 
 
+def json_keys(raw: Column) -> Column:
+    """Keys of a JSON object text (keys with null values included); NULL when
+    the text is not a single JSON object. Single-quoted keys and trailing text,
+    which Python's json.loads rejects, are rejected too."""
+    shaped = raw.rlike(r'^\s*\{\s*["}]') & F.rtrim(raw).endswith("}")
+    return F.when(shaped, F.json_object_keys(raw))
+
+
+def json_fields(raw: Column, fields: Iterable[str], types: dict[str, str] | None = None) -> Column:
+    """All named fields of a JSON object text in one parse, as text unless a
+    type is given (numbers, booleans and nested values keep their JSON text;
+    absent keys and JSON nulls both come out NULL; duplicate keys: last wins)."""
+    types = types or {}
+    ddl = ", ".join(f"`{f}` {types.get(f, 'string')}" for f in fields)
+    return F.from_json(raw, ddl, {"allowSingleQuotes": "false"})
+
+
+def body_keys(v: Column) -> Column:
+    """Keys of a JSON object body (keys with null values included); NULL when
+    the body is not an object."""
+    return F.map_keys(v.try_cast("map<string,variant>"))
+
+
+def body_struct(v: Column, fields: Iterable[str], types: dict[str, str] | None = None) -> Column:
+    """All named fields of the body in one extraction, as strings unless a
+    type is given (absent keys and JSON nulls both come out NULL)."""
+    types = types or {}
+    ddl = ",".join(f"`{f}`:{types.get(f, 'string')}" for f in fields)
+    return F.try_variant_get(v, "$", f"struct<{ddl}>")
+
+
+def missing_keys(keys: Column, fields: Iterable[str]) -> Column:
+    """Sorted required keys absent from ``keys``."""
+    return F.array_sort(F.array_except(F.array(*[F.lit(f) for f in fields]), F.coalesce(
+        keys, F.array().cast("array<string>"))))
+
+
+def null_or_empty(value: Column) -> Column:
+    return value.isNull() | (value == "")
+
+
 # --- messages -------------------------------------------------------------------
 
 def py_list(arr: Column) -> Column:

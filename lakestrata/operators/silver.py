@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
-from lakestrata.functions.exprs import (computed_once, field_str, field_typed, first_failure,
-                                        first_null_or_empty, is_object, iso_utc, missing_fields, py_list)
-from lakestrata.sources.bronze import object_key, with_body
+from lakestrata.functions.exprs import (computed_once, first_failure, iso_utc, json_fields, json_keys,
+                                        missing_keys, null_or_empty, py_list)
+from lakestrata.sources.bronze import object_key
 
 NOT_OBJECT = "parsed_value must be a JSON object"
 
@@ -33,104 +33,117 @@ def parse_amount(text: Column) -> Column:
     return F.bround(exact, 2).try_cast("decimal(18,2)")
 
 
-def _missing_reason(v: Column, fields: list[str]) -> Column:
-    miss = missing_fields(v, fields)
+CARD_FIELDS = rules.CARD_REQUIRED_FIELDS[:13] + ["merchant_city"] + rules.CARD_REQUIRED_FIELDS[13:]
+LOGIN_FIELDS = ["event_id", "login_event_id", "customer_id", "event_time", "event_type", "login_status",
+                "failure_reason", "device_id", "device_type", "ip_address", "country", "city", "channel",
+                "user_agent", "source_system", "schema_version"]
+
+
+def _lineage() -> list[Column]:
+    return [F.col("kafka_topic").alias("bronze_kafka_topic"),
+            F.col("kafka_partition").alias("bronze_kafka_partition"),
+            F.col("kafka_offset").alias("bronze_kafka_offset"),
+            F.col("bronze_ingest_time")]
+
+
+def parse_events(bronze: DataFrame, fields: list[str], prefix: str) -> DataFrame:
+    """Parse each body once: its key list (``_keys``, NULL when not an object)
+    and all event fields as text (``_f``), next to lineage and raw text.
+
+    Computed behind a Generate so that later filters on the derived reason do
+    not copy the parse into every predicate.
+    """
+    raw = F.col("raw_value")
+    return computed_once(bronze, [
+        json_keys(raw).alias("_keys"),
+        json_fields(raw, fields).alias("_f"),
+        *_lineage(),
+        F.col("ingest_date").alias("process_date"),
+        F.col("raw_value").alias("_raw"),
+        object_key(prefix).alias("_source_object_key"),
+    ])
+
+
+def _f(name: str) -> Column:
+    return F.col("_f." + name)
+
+
+def _missing_reason(fields: list[str]) -> Column:
+    miss = missing_keys(F.col("_keys"), fields)
     return F.when(F.size(miss) > 0, F.concat(F.lit("missing fields: "), py_list(miss)))
 
 
-def card_reason(v: Column) -> Column:
-    currency = field_str(v, "currency")
-    status = field_str(v, "authorization_status")
-    amount_text = field_str(v, "amount")
+def _first_null_or_empty(fields: list[str]) -> Column:
+    return F.coalesce(*[F.when(null_or_empty(_f(f)), F.lit("field is null or empty: " + f)) for f in fields])
+
+
+def card_reason() -> Column:
+    currency, status, amount = _f("currency"), _f("authorization_status"), _f("amount")
     return first_failure(
-        F.when(~is_object(v), F.lit(NOT_OBJECT)),
-        _missing_reason(v, rules.CARD_REQUIRED_FIELDS),
-        first_null_or_empty(v, rules.CARD_REQUIRED_FIELDS),
+        F.when(F.col("_keys").isNull(), F.lit(NOT_OBJECT)),
+        _missing_reason(rules.CARD_REQUIRED_FIELDS),
+        _first_null_or_empty(rules.CARD_REQUIRED_FIELDS),
         F.when(currency != rules.CARD_ALLOWED_CURRENCY, F.concat(F.lit("unsupported currency: "), currency)),
         F.when(~status.isin(*rules.CARD_ALLOWED_STATUSES),
                F.concat(F.lit("unsupported authorization_status: "), status)),
-        F.when(parse_amount(amount_text).isNull(), F.concat(F.lit("invalid amount: "), amount_text)),
+        F.when(parse_amount(amount).isNull(), F.concat(F.lit("invalid amount: "), amount)),
     )
 
 
-def login_reason(v: Column) -> Column:
-    etype = field_str(v, "event_type")
-    status = field_str(v, "login_status")
+def login_reason() -> Column:
+    etype, status = _f("event_type"), _f("login_status")
     return first_failure(
-        F.when(~is_object(v), F.lit(NOT_OBJECT)),
-        _missing_reason(v, rules.LOGIN_REQUIRED_FIELDS),
-        first_null_or_empty(v, rules.LOGIN_REQUIRED_FIELDS),
+        F.when(F.col("_keys").isNull(), F.lit(NOT_OBJECT)),
+        _missing_reason(rules.LOGIN_REQUIRED_FIELDS),
+        _first_null_or_empty(rules.LOGIN_REQUIRED_FIELDS),
         F.when(~etype.isin(*rules.LOGIN_ALLOWED_EVENT_TYPES), F.concat(F.lit("unsupported event_type: "), etype)),
         F.when(~status.isin(*rules.LOGIN_ALLOWED_STATUSES), F.concat(F.lit("unsupported login_status: "), status)),
     )
 
 
-def _lineage() -> list[Column]:
-    return [F.col("kafka_topic").alias("bronze_kafka_topic"),
-            F.col("kafka_partition").alias("bronze_kafka_partition"),
-            F.col("kafka_offset").alias("bronze_kafka_offset"),
-            F.col("bronze_ingest_time")]
+TAIL = ["bronze_kafka_topic", "bronze_kafka_partition", "bronze_kafka_offset", "bronze_ingest_time",
+        "process_date"]
 
 
 def check_cards(bronze: DataFrame) -> DataFrame:
     """Bronze card envelope -> typed candidate rows with ``rejection_reason``."""
-    b = with_body(bronze)
-    v = F.col("parsed_value")
-    s = lambda f: field_str(v, f)
-    return computed_once(b, [
-        s("event_id").alias("event_id"), s("transaction_id").alias("transaction_id"),
-        s("authorization_id").alias("authorization_id"), s("customer_id").alias("customer_id"),
-        s("account_id").alias("account_id"), s("card_id").alias("card_id"),
-        s("event_time").alias("event_time"),
-        parse_amount(s("amount")).alias("amount"),
-        s("currency").alias("currency"), s("merchant_id").alias("merchant_id"),
-        s("merchant_name").alias("merchant_name"),
-        s("merchant_category_code").alias("merchant_category_code"),
-        s("merchant_country").alias("merchant_country"), s("merchant_city").alias("merchant_city"),
-        s("authorization_status").alias("authorization_status"), s("channel").alias("channel"),
-        field_typed(v, "card_present", "boolean").alias("card_present"),
-        s("entry_mode").alias("entry_mode"), s("source_system").alias("source_system"),
-        s("schema_version").alias("schema_version"),
-        *_lineage(),
-        F.col("ingest_date").alias("process_date"),
-        card_reason(v).alias("rejection_reason"),
-        F.col("raw_value").alias("_raw"),
-        object_key(rules.BRONZE_CARD_PREFIX).alias("_source_object_key"),
-    ])
+    p = parse_events(bronze, CARD_FIELDS, rules.BRONZE_CARD_PREFIX)
+    cols = []
+    for f in CARD_FIELDS:
+        if f == "amount":
+            cols.append(parse_amount(_f(f)).alias(f))
+        elif f == "card_present":
+            cols.append(F.when(_f(f) == "true", True).when(_f(f) == "false", False).alias(f))
+        else:
+            cols.append(_f(f).alias(f))
+    return p.select(*cols, *TAIL, card_reason().alias("rejection_reason"), "_raw", "_source_object_key")
 
 
 def check_logins(bronze: DataFrame) -> DataFrame:
     """Bronze login envelope -> typed candidate rows with ``rejection_reason``."""
-    b = with_body(bronze)
-    v = F.col("parsed_value")
-    s = lambda f: field_str(v, f)
-    cols = ["event_id", "login_event_id", "customer_id", "event_time", "event_type", "login_status",
-            "failure_reason", "device_id", "device_type", "ip_address", "country", "city", "channel",
-            "user_agent", "source_system", "schema_version"]
-    return computed_once(b, [
-        *[s(c).alias(c) for c in cols],
-        *_lineage(),
-        F.col("ingest_date").alias("process_date"),
-        login_reason(v).alias("rejection_reason"),
-        F.col("raw_value").alias("_raw"),
-        object_key(rules.BRONZE_LOGIN_PREFIX).alias("_source_object_key"),
-    ])
+    p = parse_events(bronze, LOGIN_FIELDS, rules.BRONZE_LOGIN_PREFIX)
+    return p.select(*[_f(f).alias(f) for f in LOGIN_FIELDS], *TAIL,
+                    login_reason().alias("rejection_reason"), "_raw", "_source_object_key")
 
 
-def deduplicate(valid: DataFrame, key: str = "event_id") -> DataFrame:
-    """Keep the last delivery per (process_date, key).
+def deduplicate(checked: DataFrame, key: str = "event_id") -> DataFrame:
+    """Keep the last valid delivery per (process_date, key).
 
-    ``row_number() = 1`` lets Spark insert a partial WindowGroupLimit before the
-    shuffle, so even a key holding a large share of rows is cut to one row per
-    map task before it moves.
+    Validity leads the window order, so a rejected copy never displaces a
+    valid one, and the validity filter stays above the window (it is not
+    pushed into the derivation of the reason). ``row_number() = 1`` lets Spark
+    insert a partial WindowGroupLimit before the shuffle, so even a key that
+    holds a large share of all rows is cut to one row per map task before it
+    moves.
     """
-    w = Window.partitionBy("process_date", key).orderBy(*last_delivery())
-    return valid.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    valid_first = F.col("rejection_reason").isNull().desc()
+    w = Window.partitionBy("process_date", key).orderBy(valid_first, *last_delivery())
+    ranked = checked.withColumn("_rn", F.row_number().over(w))
+    return ranked.where((F.col("_rn") == 1) & F.col("rejection_reason").isNull()).drop("_rn")
 
 
 def _silver(checked: DataFrame) -> DataFrame:
-    valid = checked.where(F.col("rejection_reason").isNull())
-    out = deduplicate(valid)
+    out = deduplicate(checked)
     return out.drop("rejection_reason", "_raw", "_source_object_key") \
         .withColumn("silver_processed_time", iso_utc(F.current_timestamp()))
 

@@ -11,3 +11,18 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; Catalyst prunes columns and pushes filters into the scan."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-spread a scan over the cluster when it has fewer partitions than
+    there are task slots (a table stored as one file or row group would
+    otherwise be parsed by a single task).
+
+    Only plain scans should be passed: the partition count then comes from the
+    file listing, no job runs. Inputs already split finer than the cluster's
+    parallelism are returned unchanged, so large tables pay no extra shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots, *keys)
