@@ -14,54 +14,82 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
-from lakestrata.operators import gold, health, silver
+from lakestrata.operators import gold, health, marts, monitoring, silver
 from lakestrata.sources import fixtures
 from lakestrata.sources.bronze import envelope
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Intermediate frames are built once per (session, input folder) and shared,
+# so a query that uses, say, the metrics twice has one subtree in its plan and
+# Spark reuses its exchanges instead of recomputing the pipeline.
+_FRAMES: dict = {}
+
+
+def shared(fn):
+    def wrapper(spark, d):
+        key = (fn.__name__, id(spark), d)
+        hit = _FRAMES.get(key)
+        if hit is None or hit[0] is not spark:
+            hit = (spark, fn(spark, d))
+            _FRAMES[key] = hit
+        return hit[1]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
 
 # --- inputs -------------------------------------------------------------------
 
+@shared
 def bronze_cards(spark, d) -> DataFrame:
     m = fixtures.card_messages(spark, d)
     return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
 
 
+@shared
 def bronze_logins(spark, d) -> DataFrame:
     m = fixtures.login_messages(spark, d)
     return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
 
 
+@shared
 def bronze_risks(spark, d) -> DataFrame:
     m = fixtures.risk_messages(spark, d)
     return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
 
 
+@shared
 def silver_card_table(spark, d) -> DataFrame:
     return silver.silver_cards(bronze_cards(spark, d))
 
 
+@shared
 def silver_login_table(spark, d) -> DataFrame:
     return silver.silver_logins(bronze_logins(spark, d))
 
 
+@shared
 def risk_table(spark, d) -> DataFrame:
     return gold.risk_events(bronze_risks(spark, d))
 
 
+@shared
 def fraud_case_table(spark, d) -> DataFrame:
     return gold.fraud_cases(silver_card_table(spark, d), silver_login_table(spark, d), risk_table(spark, d))
 
 
+@shared
 def tx_table(spark, d) -> DataFrame:
     return gold.transaction_monitoring(silver_card_table(spark, d))
 
 
+@shared
 def health_table(spark, d) -> DataFrame:
     return health.pipeline_health(fixtures.audit_runs(spark, d))
 
 
+@shared
 def latest_health_table(spark, d) -> DataFrame:
     return health.latest_per_job(health_table(spark, d))
 
@@ -143,6 +171,88 @@ def q_audit_runs(spark, d):
                     (F.col("status") != "success").alias("is_failure"))
 
 
+# --- monitoring ------------------------------------------------------------------
+
+@shared
+def metrics_table(spark, d) -> DataFrame:
+    return monitoring.metrics(latest_health_table(spark, d), tx_table(spark, d), fraud_case_table(spark, d))
+
+
+@shared
+def findings_table(spark, d) -> DataFrame:
+    return monitoring.findings(metrics_table(spark, d), latest_health_table(spark, d))
+
+
+@shared
+def status_table(spark, d) -> DataFrame:
+    return monitoring.status(metrics_table(spark, d), findings_table(spark, d))
+
+
+@shared
+def alerts_table(spark, d) -> DataFrame:
+    return monitoring.alerts(findings_table(spark, d), status_table(spark, d))
+
+
+@shared
+def summary_table(spark, d) -> DataFrame:
+    return monitoring.alert_summary(alerts_table(spark, d), status_table(spark, d))
+
+
+def q_fraud_cases_dedup(spark, d):
+    return _cases_as_text(_drop_clock(monitoring.dedupe_cases(fraud_case_table(spark, d))))
+
+
+def q_monitoring_metrics(spark, d):
+    return metrics_table(spark, d)
+
+
+def q_monitoring_findings(spark, d):
+    return findings_table(spark, d)
+
+
+def q_monitoring_status(spark, d):
+    return status_table(spark, d)
+
+
+def q_alerts(spark, d):
+    return _drop_clock(alerts_table(spark, d))
+
+
+def q_alert_summary(spark, d):
+    s = _drop_clock(summary_table(spark, d))
+    return s.withColumn("alert_ids", F.array_join(F.transform("alerts", lambda a: a["alert_id"]), ",")).drop("alerts")
+
+
+# --- dashboard marts --------------------------------------------------------------
+
+def q_dash_channel_amount(spark, d):
+    return marts.channel_amount(tx_table(spark, d))
+
+
+def q_dash_risk_levels(spark, d):
+    return marts.risk_levels(fraud_case_table(spark, d))
+
+
+def q_dash_approval_mix(spark, d):
+    return marts.approval_mix(tx_table(spark, d))
+
+
+def q_dash_top_tx(spark, d):
+    return marts.top_transaction_groups(tx_table(spark, d))
+
+
+def q_dash_top_fraud(spark, d):
+    return marts.top_fraud_cases(fraud_case_table(spark, d))
+
+
+def q_dash_kpis(spark, d):
+    return marts.kpis(metrics_table(spark, d), status_table(spark, d), summary_table(spark, d))
+
+
+def q_dash_ops_messages(spark, d):
+    return marts.operations_summary(metrics_table(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_envelope": q_bronze_envelope,
     "silver_card": q_silver_card,
@@ -158,4 +268,17 @@ QUERIES: dict[str, Query] = {
     "pipeline_health": q_pipeline_health,
     "pipeline_health_latest": q_pipeline_health_latest,
     "audit_runs": q_audit_runs,
+    "fraud_cases_dedup": q_fraud_cases_dedup,
+    "monitoring_metrics": q_monitoring_metrics,
+    "monitoring_findings": q_monitoring_findings,
+    "monitoring_status": q_monitoring_status,
+    "alerts": q_alerts,
+    "alert_summary": q_alert_summary,
+    "dash_channel_amount": q_dash_channel_amount,
+    "dash_risk_levels": q_dash_risk_levels,
+    "dash_approval_mix": q_dash_approval_mix,
+    "dash_top_tx": q_dash_top_tx,
+    "dash_top_fraud": q_dash_top_fraud,
+    "dash_kpis": q_dash_kpis,
+    "dash_ops_messages": q_dash_ops_messages,
 }

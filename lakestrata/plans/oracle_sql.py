@@ -333,6 +333,112 @@ cases AS (
   LEFT JOIN login_summary l ON l.customer_id = r.customer_id
 )"""
 
+def dec1(tenths: str) -> str:
+    """Non-negative integer tenths -> DECIMAL(21,1) without float steps."""
+    return f"CAST((({tenths}) // 10) || '.' || (({tenths}) % 10) AS DECIMAL(21,1))"
+
+
+def pct(part: str, whole: str) -> str:
+    return (f"CASE WHEN coalesce({whole}, 0) = 0 THEN CAST(0 AS DECIMAL(21,1)) "
+            f"ELSE {dec1(half_even(f'CAST({part} AS HUGEINT) * 1000', f'CAST({whole} AS HUGEINT)'))} END")
+
+
+MON_CTE = f"""
+cases_u AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY risk_event_id, customer_id, source_transaction_id
+      ORDER BY coalesce(risk_score, 0) DESC) AS rn FROM cases) WHERE rn = 1
+),
+m_h AS (
+  SELECT count(*) AS jobs, count(*) FILTER (WHERE status = 'success') AS success,
+    count(*) FILTER (WHERE coalesce(status, 'unknown') <> 'success') AS failed,
+    CAST(coalesce(sum(records_read), 0) AS BIGINT) AS records_read,
+    CAST(coalesce(sum(records_written), 0) AS BIGINT) AS records_written,
+    CAST(coalesce(sum(records_rejected), 0) AS BIGINT) AS records_rejected
+  FROM latest_health
+),
+m_t AS (
+  SELECT count(*) AS groups, CAST(coalesce(sum(transaction_count), 0) AS BIGINT) AS transactions,
+    CAST(coalesce(sum(approved_count), 0) AS BIGINT) AS approved,
+    CAST(coalesce(sum(declined_count), 0) AS BIGINT) AS declined,
+    CAST(coalesce(sum(total_amount), 0) AS DECIMAL(38,2)) AS amount
+  FROM tx
+),
+m_r AS (SELECT count(*) AS raw_cases FROM cases),
+m_u AS (
+  SELECT count(*) AS cases, CAST(coalesce(max(coalesce(risk_score, 0)), 0) AS BIGINT) AS max_score,
+    count(*) FILTER (WHERE merchant_name IS NULL OR merchant_name = '') AS unmatched_merchants,
+    count(*) FILTER (WHERE risk_level IN ('medium_high', 'high')) AS high_risk,
+    CAST(coalesce(sum(failed_login_count), 0) AS BIGINT) AS failed_logins
+  FROM cases_u
+),
+metrics AS (
+  SELECT '{FIXTURE_DATE}' AS process_date, jobs, success, failed, records_read, records_written, records_rejected,
+    groups, transactions, approved, declined, amount, cases, raw_cases, max_score, unmatched_merchants,
+    high_risk, failed_logins, {pct('declined', 'transactions')} AS decline_rate,
+    greatest(raw_cases - cases, 0) AS duplicates
+  FROM m_h, m_t, m_r, m_u
+),
+findings AS (
+  SELECT process_date, 1 AS finding_order, '' AS job_name, 'critical' AS severity,
+    'missing_pipeline_health' AS rule_id, 'No latest pipeline health records were found.' AS message,
+    CAST(NULL AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS threshold FROM metrics WHERE jobs = 0
+  UNION ALL SELECT process_date, 2, '', 'critical', 'missing_transaction_monitoring',
+    'No Gold transaction monitoring records were found.', NULL, NULL FROM metrics WHERE groups = 0
+  UNION ALL SELECT process_date, 3, '', 'warning', 'missing_fraud_cases',
+    'No Gold fraud case records were found.', NULL, NULL FROM metrics WHERE raw_cases = 0
+  UNION ALL SELECT process_date, 4, coalesce(job_name, ''), 'critical', 'pipeline_job_not_successful',
+    coalesce(job_name, 'unknown job') || ' finished with status ' || coalesce(status, 'unknown') || '.',
+    coalesce(status, 'unknown'), 'success' FROM latest_health WHERE coalesce(status, 'unknown') <> 'success'
+  UNION ALL SELECT process_date, 5, '', 'warning', 'rejected_records_present',
+    format('{{:,}}', records_rejected) || ' records were rejected in latest pipeline health.',
+    CAST(records_rejected AS VARCHAR), '0' FROM metrics WHERE records_rejected > 0
+  UNION ALL SELECT process_date, 6, '', 'warning', 'decline_rate_high',
+    'Decline rate is ' || CAST(decline_rate AS VARCHAR) || '% for this process date.',
+    CAST(decline_rate AS VARCHAR), '20.0' FROM metrics WHERE decline_rate > 20.0
+  UNION ALL SELECT process_date, 7, '', 'warning', 'high_fraud_risk_score',
+    'Maximum fraud risk score is ' || max_score || '.', CAST(max_score AS VARCHAR), '90'
+    FROM metrics WHERE max_score >= 90
+  UNION ALL SELECT process_date, 8, '', 'warning', 'duplicate_fraud_cases',
+    format('{{:,}}', duplicates) || ' duplicate fraud case rows were detected across repeated runs.',
+    CAST(duplicates AS VARCHAR), '0' FROM metrics WHERE duplicates > 0
+  UNION ALL SELECT process_date, 9, '', 'warning', 'unmatched_fraud_merchants',
+    format('{{:,}}', unmatched_merchants) || ' fraud cases have no matched merchant.',
+    CAST(unmatched_merchants AS VARCHAR), '0' FROM metrics WHERE unmatched_merchants > 0
+),
+f_agg AS (
+  SELECT process_date, max(CASE severity WHEN 'critical' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END) AS rk,
+    count(*) AS finding_count, count(*) FILTER (WHERE severity = 'critical') AS critical_count,
+    count(*) FILTER (WHERE severity = 'warning') AS warning_count
+  FROM findings GROUP BY process_date
+),
+status AS (
+  SELECT m.process_date,
+    CASE coalesce(rk, 0) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'healthy' END AS status,
+    CAST(coalesce(finding_count, 0) AS BIGINT) AS finding_count,
+    CAST(coalesce(critical_count, 0) AS BIGINT) AS critical_count,
+    CAST(coalesce(warning_count, 0) AS BIGINT) AS warning_count,
+    coalesce(rk, 0) = 2 AS fail_on_critical
+  FROM metrics m LEFT JOIN f_agg f ON f.process_date = m.process_date
+),
+alerts AS (
+  SELECT substr(sha256(f.process_date || '|' || f.severity || '|' || f.rule_id || '|' || f.message), 1, 16)
+      AS alert_id,
+    f.process_date, 'local_file' AS channel, s.status AS monitoring_status, f.severity, f.rule_id, f.message,
+    f.value, f.threshold, f.finding_order, f.job_name
+  FROM findings f LEFT JOIN status s ON s.process_date = f.process_date
+),
+summary AS (
+  SELECT s.process_date, 'local_file' AS channel, s.status AS monitoring_status,
+    CAST(count(a.alert_id) AS BIGINT) AS alert_count,
+    CAST(count(a.alert_id) FILTER (WHERE a.severity = 'critical') AS BIGINT) AS critical_count,
+    CAST(count(a.alert_id) FILTER (WHERE a.severity = 'warning') AS BIGINT) AS warning_count,
+    coalesce(string_agg(a.alert_id, ',' ORDER BY a.finding_order, a.job_name, a.alert_id), '') AS alert_ids
+  FROM status s LEFT JOIN alerts a ON a.process_date = s.process_date GROUP BY ALL
+)"""
+
+MONEY = "'$' || format('{{:,.2f}}', {x})"
+
 HEALTH_COLS = """run_id, job_name, status, process_date, records_read, records_written, records_rejected,
   started_at, finished_at, duration_seconds, input_prefix, output_prefix, error_message"""
 
@@ -368,6 +474,104 @@ WHERE merchant_name IS NULL OR merchant_name = ''"""),
     "pipeline_health_latest": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, job_name, run_id, status, records_read, records_written, records_rejected,
   duration_seconds, finished_at FROM latest_health"""),
+    "fraud_cases_dedup": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                   MON_CTE, body="SELECT * EXCLUDE (event_time, kafka_offset) FROM cases_u"),
+    "monitoring_metrics": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                    MON_CTE, body="SELECT * FROM metrics"),
+    "monitoring_findings": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                     MON_CTE, body="SELECT * FROM findings"),
+    "monitoring_status": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                   MON_CTE, body="SELECT * FROM status"),
+    "alerts": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                        MON_CTE, body="SELECT * FROM alerts"),
+    "alert_summary": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                               MON_CTE, body="SELECT * FROM summary"),
+    "dash_channel_amount": with_ctes(CARD_CTE, TX_CTE, body=f"""
+SELECT process_date, channel, amount,
+  {pct('floor(amount)', 'floor(sum(amount) OVER ())')} AS share_pct
+FROM (SELECT process_date, coalesce(channel, 'unknown') AS channel,
+        CAST(sum(total_amount) AS DECIMAL(38,2)) AS amount FROM tx GROUP BY ALL)"""),
+    "dash_risk_levels": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                  MON_CTE, body=f"""
+SELECT process_date, risk_level, case_count, {pct('case_count', 'sum(case_count) OVER ()')} AS share_pct
+FROM (SELECT process_date, coalesce(risk_level, 'unknown') AS risk_level, count(*) AS case_count
+      FROM cases_u GROUP BY ALL)"""),
+    "dash_approval_mix": with_ctes(CARD_CTE, TX_CTE, body=f"""
+, g AS (SELECT process_date, CAST(sum(transaction_count) AS BIGINT) AS transactions,
+             CAST(sum(approved_count) AS BIGINT) AS approved, CAST(sum(declined_count) AS BIGINT) AS declined
+           FROM tx GROUP BY ALL)
+SELECT process_date, 'Approved' AS label, approved AS count, {pct('approved', 'transactions')} AS share_pct FROM g
+UNION ALL
+SELECT process_date, 'Declined', declined, {pct('declined', 'transactions')} FROM g"""),
+    "dash_top_tx": with_ctes(CARD_CTE, TX_CTE, body=f"""
+SELECT * FROM (
+  SELECT process_date,
+    CAST(row_number() OVER (ORDER BY transaction_count DESC, authorization_status, channel, merchant_country,
+      merchant_category_code) AS INTEGER) AS rank,
+    authorization_status, channel, merchant_country, merchant_category_code, transaction_count, total_amount,
+    average_amount, format('{{:,}}', transaction_count) AS count_display,
+    {MONEY.format(x='total_amount')} AS total_display, {MONEY.format(x='average_amount')} AS average_display
+  FROM tx) WHERE rank <= 10"""),
+    "dash_top_fraud": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                MON_CTE, body="""
+SELECT * FROM (
+  SELECT process_date,
+    CAST(row_number() OVER (ORDER BY coalesce(risk_score, 0) DESC, risk_event_id, customer_id,
+      source_transaction_id) AS INTEGER) AS rank,
+    risk_event_id, customer_id, risk_score, risk_level, recommended_action, failed_login_count,
+    CASE WHEN merchant_name IS NULL OR merchant_name = '' THEN 'Not matched' ELSE merchant_name END
+      AS merchant_display
+  FROM cases_u) WHERE rank <= 10"""),
+    "dash_kpis": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                           MON_CTE, body=f"""
+, k AS (
+  SELECT m.*, s.status AS ms, s.finding_count AS fc, su.alert_count AS ac, su.monitoring_status AS ast
+  FROM metrics m LEFT JOIN status s ON s.process_date = m.process_date
+  LEFT JOIN summary su ON su.process_date = m.process_date
+)
+SELECT process_date, 1 AS kpi_order, 'Pipeline Jobs' AS label, CAST(jobs AS VARCHAR) AS value,
+  success || ' success / ' || failed || ' failing' AS note,
+  CASE WHEN failed = 0 AND jobs > 0 THEN 'good' ELSE 'warn' END AS tone FROM k
+UNION ALL SELECT process_date, 2, 'Records Moved', format('{{:,}}', records_written),
+  format('{{:,}}', records_read) || ' read', 'good' FROM k
+UNION ALL SELECT process_date, 3, 'Rejected Records', format('{{:,}}', records_rejected), 'latest job health',
+  CASE WHEN records_rejected > 0 THEN 'bad' ELSE 'good' END FROM k
+UNION ALL SELECT process_date, 4, 'Transactions', format('{{:,}}', transactions),
+  {MONEY.format(x='amount')} || ' total amount', 'violet' FROM k
+UNION ALL SELECT process_date, 5, 'Declines', format('{{:,}}', declined), format('{{:,}}', approved) || ' approved',
+  CASE WHEN declined > 0 THEN 'warn' ELSE 'good' END FROM k
+UNION ALL SELECT process_date, 6, 'Fraud Cases', format('{{:,}}', cases),
+  high_risk || ' medium-high/high after dedupe', CASE WHEN high_risk > 0 THEN 'bad' ELSE 'good' END FROM k
+UNION ALL SELECT process_date, 7, 'Max Risk Score', format('{{:,}}', max_score),
+  format('{{:,}}', failed_logins) || ' failed logins', CASE WHEN max_score >= 90 THEN 'bad' ELSE 'warn' END FROM k
+UNION ALL SELECT process_date, 8, 'Duplicate Cases', format('{{:,}}', duplicates),
+  format('{{:,}}', raw_cases) || ' raw case rows', CASE WHEN duplicates > 0 THEN 'warn' ELSE 'good' END FROM k
+UNION ALL SELECT process_date, 9, 'Monitoring Status', coalesce(ms, 'missing'), coalesce(fc, 0) || ' findings',
+  CASE WHEN ms IS NULL THEN 'warn' WHEN ms = 'healthy' THEN 'good' WHEN ms = 'critical' THEN 'bad' ELSE 'warn' END
+  FROM k
+UNION ALL SELECT process_date, 10, 'Alerts Delivered', format('{{:,}}', coalesce(ac, 0)), 'local alert history',
+  CASE WHEN ast IS NULL THEN 'warn' WHEN ast = 'healthy' THEN 'good' WHEN ast = 'critical' THEN 'bad' ELSE 'warn' END
+  FROM k"""),
+    "dash_ops_messages": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE,
+                                   MON_CTE, body=f"""
+, k AS (
+  SELECT *, CASE WHEN failed > 0 OR records_rejected > 0 THEN 'bad'
+    WHEN duplicates > 0 OR unmatched_merchants > 0 THEN 'warn' ELSE 'good' END AS severity FROM metrics
+)
+SELECT process_date, severity, 1 AS message_order,
+  CASE WHEN failed > 0 THEN failed || ' pipeline job is not successful.'
+    ELSE 'All latest pipeline jobs are successful.' END AS message FROM k
+UNION ALL SELECT process_date, severity, 2, CASE WHEN records_rejected > 0
+    THEN format('{{:,}}', records_rejected) || ' records were rejected.'
+    ELSE 'No rejected records in latest job health.' END FROM k
+UNION ALL SELECT process_date, severity, 3,
+  format('{{:,}}', duplicates) || ' duplicate fraud case rows detected across repeated runs.'
+  FROM k WHERE duplicates > 0
+UNION ALL SELECT process_date, severity, 4, format('{{:,}}', unmatched_merchants)
+  || ' fraud cases have no matched merchant.' FROM k WHERE unmatched_merchants > 0
+UNION ALL SELECT process_date, severity, 5,
+  'Decline rate is ' || CAST({pct('declined', 'transactions')} AS VARCHAR) || '% for this partition.'
+  FROM k WHERE declined > 0"""),
     "audit_runs": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
   status <> 'success' AS is_failure FROM audit"""),
