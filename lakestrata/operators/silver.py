@@ -169,6 +169,20 @@ def quarantine(checked: DataFrame, job_name: str, source_bucket: str = rules.BRO
     )
 
 
+def quarantine_listing(quarantine_rows: DataFrame, prefix: str | None = None,
+                       process_date: str | None = None) -> DataFrame:
+    """Quarantine records of a job prefix and date: job, date, reason and the
+    full source path (F9)."""
+    q = quarantine_rows
+    if process_date is not None:
+        q = q.where(F.col("process_date") == process_date)
+    if prefix is not None:
+        q = q.where(F.col("source_object_key").startswith(prefix))
+    return q.select("job_name", "process_date", "rejection_reason",
+                    F.concat(F.lit("s3://"), F.col("source_bucket"), F.lit("/"),
+                             F.col("source_object_key")).alias("source_path"))
+
+
 def run_counts(checked: DataFrame) -> DataFrame:
     """Per process date: read, valid, rejected, de-duplicated and duplicate
     counts, in one aggregation over the checked rows."""

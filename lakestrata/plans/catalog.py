@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
-from lakestrata.operators import gold, health, marts, monitoring, silver
+from lakestrata.operators import core, gold, health, marts, monitoring, signals, silver, validation
 from lakestrata.sources import fixtures
-from lakestrata.sources.bronze import envelope
+from lakestrata.sources.bronze import envelope, flatten_cards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -253,6 +253,108 @@ def q_dash_ops_messages(spark, d):
     return marts.operations_summary(metrics_table(spark, d))
 
 
+# --- validation -------------------------------------------------------------------
+
+def q_validate_bronze_failures(spark, d):
+    parts = [validation.failures(validation.check_bronze(b, prefix), ["source_object_key"])
+             for b, prefix in ((bronze_cards(spark, d), rules.BRONZE_CARD_PREFIX),
+                               (bronze_logins(spark, d), rules.BRONZE_LOGIN_PREFIX),
+                               (bronze_risks(spark, d), rules.BRONZE_RISK_PREFIX))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def q_validate_bronze(spark, d):
+    parts = [validation.summary(validation.check_bronze(b, prefix), dataset=topic)
+             for b, prefix, topic in ((bronze_cards(spark, d), rules.BRONZE_CARD_PREFIX, rules.CARD_TOPIC),
+                                      (bronze_logins(spark, d), rules.BRONZE_LOGIN_PREFIX, rules.LOGIN_TOPIC),
+                                      (bronze_risks(spark, d), rules.BRONZE_RISK_PREFIX, rules.RISK_TOPIC))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@shared
+def checked_silver_cards(spark, d):
+    return validation.check_silver_cards(silver_card_table(spark, d))
+
+
+def q_validate_silver_card(spark, d):
+    return validation.silver_summary(checked_silver_cards(spark, d))
+
+
+def q_validate_silver_card_failures(spark, d):
+    return validation.silver_failures(checked_silver_cards(spark, d))
+
+
+def q_validate_silver_login(spark, d):
+    return validation.silver_summary(validation.check_silver_logins(silver_login_table(spark, d)))
+
+
+TX_KEYS = ["authorization_status", "channel", "merchant_country", "merchant_category_code"]
+
+
+def q_validate_gold_tx(spark, d):
+    return validation.summary(validation.check_gold_tx(tx_table(spark, d)))
+
+
+def q_validate_gold_tx_failures(spark, d):
+    return validation.failures(validation.check_gold_tx(tx_table(spark, d)), TX_KEYS)
+
+
+def q_validate_gold_fraud(spark, d):
+    return validation.summary(validation.check_gold_fraud(fraud_case_table(spark, d)))
+
+
+def q_validate_gold_fraud_failures(spark, d):
+    return validation.failures(validation.check_gold_fraud(fraud_case_table(spark, d)), monitoring.CASE_KEY)
+
+
+def q_validate_gold_health(spark, d):
+    hist = validation.summary(validation.check_gold_health(health_table(spark, d)), dataset="pipeline_health")
+    latest = validation.summary(validation.check_gold_health(latest_health_table(spark, d)),
+                                dataset="pipeline_health_latest")
+    return hist.unionByName(latest)
+
+
+def q_quarantine_listing(spark, d):
+    parts = []
+    for bronze, check, job in ((bronze_cards, silver.check_cards, rules.JOB_SILVER_CARD),
+                               (bronze_logins, silver.check_logins, rules.JOB_SILVER_LOGIN)):
+        parts.append(_drop_clock(silver.quarantine(check(bronze(spark, d)), job)))
+    q = parts[0].unionByName(parts[1])
+    return silver.quarantine_listing(q)
+
+
+def q_bronze_flatten(spark, d):
+    return flatten_cards(bronze_cards(spark, d))
+
+
+# --- core banking -----------------------------------------------------------------
+
+@shared
+def core_tables(spark, d):
+    return {"customers": fixtures.core_customers(spark, d), "accounts": fixtures.core_accounts(spark, d),
+            "account_balances": fixtures.core_balances(spark, d),
+            "customer_risk_profiles": fixtures.core_risk_profiles(spark, d)}
+
+
+def q_core_table_counts(spark, d):
+    return core.table_counts(core_tables(spark, d))
+
+
+def q_core_constraint_violations(spark, d):
+    t = core_tables(spark, d)
+    return core.constraint_report(t["customers"], t["accounts"], t["account_balances"], t["customer_risk_profiles"])
+
+
+def q_cdc_current_state(spark, d):
+    return core.fold_changes(fixtures.order_changes(spark, d), "order_id")
+
+
+def q_fraud_signals(spark, d):
+    s = signals.fraud_signals(silver_card_table(spark, d), silver_login_table(spark, d),
+                              core_tables(spark, d)["customers"])
+    return s.withColumn("rule_flags", F.array_join("rule_flags", ","))
+
+
 QUERIES: dict[str, Query] = {
     "bronze_envelope": q_bronze_envelope,
     "silver_card": q_silver_card,
@@ -281,4 +383,20 @@ QUERIES: dict[str, Query] = {
     "dash_top_fraud": q_dash_top_fraud,
     "dash_kpis": q_dash_kpis,
     "dash_ops_messages": q_dash_ops_messages,
+    "validate_bronze": q_validate_bronze,
+    "validate_bronze_failures": q_validate_bronze_failures,
+    "validate_silver_card": q_validate_silver_card,
+    "validate_silver_card_failures": q_validate_silver_card_failures,
+    "validate_silver_login": q_validate_silver_login,
+    "validate_gold_tx": q_validate_gold_tx,
+    "validate_gold_tx_failures": q_validate_gold_tx_failures,
+    "validate_gold_fraud": q_validate_gold_fraud,
+    "validate_gold_fraud_failures": q_validate_gold_fraud_failures,
+    "validate_gold_health": q_validate_gold_health,
+    "quarantine_listing": q_quarantine_listing,
+    "bronze_flatten": q_bronze_flatten,
+    "core_table_counts": q_core_table_counts,
+    "core_constraint_violations": q_core_constraint_violations,
+    "cdc_current_state": q_cdc_current_state,
+    "fraud_signals": q_fraud_signals,
 }

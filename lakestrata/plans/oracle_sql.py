@@ -33,8 +33,11 @@ card_f AS (
     'acct_' || ck AS account_id,
     CASE WHEN pk % 227 = 0 THEN NULL ELSE 'card_' || ck END AS card_id,
     strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ok * 7919 + ln * 104729) % 2592000), {ISO}) AS event_time,
+    TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ok * 7919 + ln * 104729) % 2592000) AS event_ts,
     (cents // 100) || '.' || lpad(CAST(cents % 100 AS VARCHAR), 2, '0') AS amount_2dp,
-    CASE WHEN pk % 233 = 0 THEN NULL WHEN pk % 7 = 0 THEN cents + cents % 2 ELSE cents END AS amount_cents,
+    (CASE WHEN pk % 241 = 0 THEN -1 ELSE 1 END)
+      * CASE WHEN pk % 233 = 0 THEN NULL WHEN pk % 7 = 0 THEN cents + cents % 2 ELSE cents END AS amount_cents,
+    CASE WHEN pk % 241 = 0 THEN '-' ELSE '' END AS sign_text,
     CASE WHEN sk % 20 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
     CASE WHEN pk % 223 = 0 OR pk % 227 = 0 THEN NULL ELSE 'mrc_' || sk END AS merchant_id,
     CASE WHEN pk % 229 = 0 THEN '' ELSE p_name END AS merchant_name,
@@ -52,7 +55,8 @@ card_f AS (
 ),
 card_b AS (
   SELECT *,
-    CASE WHEN pk % 233 = 0 THEN 'abc' WHEN pk % 7 = 0 THEN amount_2dp || '5' ELSE amount_2dp END AS amount_text,
+    CASE WHEN pk % 233 = 0 THEN 'abc' WHEN pk % 7 = 0 THEN sign_text || amount_2dp || '5'
+      ELSE sign_text || amount_2dp END AS amount_text,
     CAST(ok % 6 AS INTEGER) AS kafka_partition,
     CAST((ok * 8 + ln) * 1024 + pk % 1024 AS BIGINT) AS kafka_offset,
     card_id AS kafka_key,
@@ -83,7 +87,8 @@ card_m AS (
         THEN 'unsupported authorization_status: ' || authorization_status
       WHEN amount_cents IS NULL THEN 'invalid amount: ' || amount_text
     END AS rejection_reason,
-    CAST((amount_cents // 100) || '.' || lpad(CAST(amount_cents % 100 AS VARCHAR), 2, '0') AS DECIMAL(18,2)) AS amount
+    CAST(CASE WHEN amount_cents < 0 THEN '-' ELSE '' END || (abs(amount_cents) // 100) || '.'
+      || lpad(CAST(abs(amount_cents) % 100 AS VARCHAR), 2, '0') AS DECIMAL(18,2)) AS amount
   FROM card_b
 ),
 card_silver AS (
@@ -295,8 +300,8 @@ tx_g AS (
 tx AS (
   SELECT authorization_status, channel, merchant_country, merchant_category_code, transaction_count,
     total_amount,
-    CAST(CAST({half_even('total_cents', 'transaction_count')} AS DECIMAL(38,0)) / 100 AS DECIMAL(18,2))
-      AS average_amount,
+    CAST(CAST(sign(total_cents) * {half_even('abs(total_cents)', 'transaction_count')} AS DECIMAL(38,0)) / 100
+      AS DECIMAL(18,2)) AS average_amount,
     approved_count, declined_count, '{FIXTURE_DATE}' AS process_date
   FROM tx_g
 )"""
@@ -439,6 +444,178 @@ summary AS (
 
 MONEY = "'$' || format('{{:,.2f}}', {x})"
 
+CARD_KEY = _object_key("transaction/card-authorizations", "banking.transaction.card-authorizations.v1")
+LOGIN_KEY = _object_key("digital-activity/login-events", "banking.digital-activity.login-events.v1")
+RISK_KEY = _object_key("fraud-risk/risk-events", "banking.fraud-risk.risk-events.v1")
+
+VB_CTE = f"""
+vb AS (
+  SELECT 'banking.transaction.card-authorizations.v1' AS dataset, {CARD_KEY} AS source_object_key,
+    CASE WHEN not_object THEN 1 ELSE 0 END AS error_count,
+    CASE WHEN not_object THEN 'parsed_value must be a JSON object' END AS errors
+  FROM card_m
+  UNION ALL
+  SELECT 'banking.digital-activity.login-events.v1', {LOGIN_KEY},
+    CASE WHEN not_object THEN 1 WHEN customer_id IS NULL THEN 2 ELSE 0 END,
+    CASE WHEN not_object THEN 'parsed_value must be a JSON object'
+      WHEN customer_id IS NULL
+      THEN 'missing event fields: [''customer_id'']; event field is null or empty: customer_id' END
+  FROM login_m
+  UNION ALL
+  SELECT 'banking.fraud-risk.risk-events.v1', {RISK_KEY},
+    CASE WHEN not_object THEN 1 ELSE 0 END,
+    CASE WHEN not_object THEN 'parsed_value must be a JSON object' END
+  FROM risk_b
+)"""
+
+
+def _summary(src: str, failed: str, dataset: str | None = None) -> str:
+    ds = f", '{dataset}' AS dataset" if dataset else ""
+    return (f"SELECT '{FIXTURE_DATE}' AS process_date, count(*) AS records_checked, "
+            f"count(*) FILTER (WHERE {failed}) AS records_failed, CAST(0 AS BIGINT) AS duplicate_keys, "
+            f"CASE WHEN count(*) FILTER (WHERE {failed}) = 0 AND count(*) > 0 THEN 'passed' ELSE 'failed' END "
+            f"AS status{ds} FROM {src}")
+
+
+CORE_CTE = """
+customers AS (
+  SELECT 'cust_' || c_custkey AS customer_id, split_part(c_name, '#', 1) AS first_name,
+    split_part(c_name, '#', 2) AS last_name,
+    CASE WHEN c_custkey % 250 = 0 THEN 'shared@example.com'
+      ELSE lower(replace(c_name, '#', '.')) || '@example.com' END AS email,
+    DATE '1960-01-01' + CAST(c_custkey % 15000 AS INTEGER) AS date_of_birth,
+    'US' AS country_code,
+    CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'active' WHEN c_mktsegment = 'FURNITURE' THEN 'inactive'
+      WHEN c_mktsegment = 'MACHINERY' THEN 'restricted' WHEN c_custkey % 97 = 0 THEN 'suspended'
+      ELSE 'closed' END AS customer_status
+  FROM customer
+),
+accounts AS (
+  SELECT 'acct_' || o_orderkey AS account_id,
+    CASE WHEN o_orderkey % 997 = 0 THEN 'cust_missing_' || o_custkey ELSE 'cust_' || o_custkey END AS customer_id,
+    lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS account_number, '021000021' AS routing_number,
+    CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') THEN 'checking' WHEN o_orderpriority = '2-HIGH'
+      THEN 'savings' WHEN o_orderpriority = '3-MEDIUM' THEN 'money_market' ELSE 'brokerage' END AS account_type,
+    CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed' ELSE 'frozen' END AS account_status
+  FROM orders
+),
+account_balances AS (
+  SELECT 'bal_' || o_orderkey AS balance_id, 'acct_' || o_orderkey AS account_id,
+    CAST(CAST(round(o_totalprice * 100) AS BIGINT) // 100 || '.'
+      || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS DECIMAL(18,2))
+      AS available_balance,
+    CAST(CAST(round(o_totalprice * 100) AS BIGINT) // 100 || '.'
+      || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS DECIMAL(18,2))
+      AS current_balance,
+    CASE WHEN o_orderkey % 499 = 0 THEN 'EUR' ELSE 'USD' END AS currency
+  FROM orders
+),
+customer_risk_profiles AS (
+  SELECT 'rp_' || c_custkey AS risk_profile_id, 'cust_' || c_custkey AS customer_id,
+    ['pending', 'verified', 'failed', 'expired'][c_nationkey % 4 + 1] AS kyc_status,
+    CASE WHEN c_acctbal < 0 THEN 'high' WHEN c_acctbal < 5000 THEN 'medium' ELSE 'low' END AS kyc_risk_rating,
+    'clear' AS sanctions_screening_status, false AS pep_flag, c_custkey % 50 = 0 AS fraud_watchlist_flag,
+    CAST(((CAST(round(c_acctbal * 100) AS BIGINT) + 100000) // 90) // 100 || '.'
+      || lpad(CAST(((CAST(round(c_acctbal * 100) AS BIGINT) + 100000) // 90) % 100 AS VARCHAR), 2, '0')
+      AS DECIMAL(5,2)) AS risk_score
+  FROM customer
+)"""
+
+
+def _rule(table: str, name: str, kind: str, cond: str) -> str:
+    return (f"SELECT '{table}' AS table_name, '{name}' AS constraint_name, '{kind}' AS constraint_type, "
+            f"CAST(count(*) FILTER (WHERE {cond}) AS BIGINT) AS violation_count FROM {table}")
+
+
+def _not_null(table: str, *cols: str) -> list[str]:
+    return [_rule(table, f"{c}_not_null", "NOT NULL", f"{c} IS NULL") for c in cols]
+
+
+def _chk(table: str, name: str, cond: str) -> str:
+    return _rule(table, name, "CHECK", f"NOT coalesce({cond}, true)")
+
+
+def _key(table: str, name: str, kind: str, key: str) -> str:
+    return (f"SELECT '{table}', '{name}', '{kind}', CAST(coalesce(sum(n), 0) AS BIGINT) FROM "
+            f"(SELECT count(*) AS n FROM {table} WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)")
+
+
+def _fk(table: str, name: str, fk: str, parent: str, pk: str) -> str:
+    return (f"SELECT '{table}', '{name}', 'FOREIGN KEY', CAST(count(*) AS BIGINT) FROM {table} c "
+            f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = c.{fk})")
+
+
+CONSTRAINT_SQL = "\nUNION ALL ".join([
+    *_not_null("customers", "customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code",
+               "customer_status"),
+    _chk("customers", "customers_status_chk", "customer_status IN ('active', 'inactive', 'closed', 'restricted')"),
+    _key("customers", "customers_pkey", "PRIMARY KEY", "customer_id"),
+    _key("customers", "customers_email_key", "UNIQUE", "email"),
+    *_not_null("accounts", "account_id", "customer_id", "account_number", "routing_number", "account_type",
+               "account_status"),
+    _chk("accounts", "accounts_type_chk", "account_type IN ('checking', 'savings', 'money_market')"),
+    _chk("accounts", "accounts_status_chk", "account_status IN ('open', 'closed', 'frozen', 'restricted')"),
+    _key("accounts", "accounts_pkey", "PRIMARY KEY", "account_id"),
+    _key("accounts", "accounts_account_number_key", "UNIQUE", "account_number"),
+    _fk("accounts", "accounts_customer_id_fkey", "customer_id", "customers", "customer_id"),
+    *_not_null("account_balances", "balance_id", "account_id", "available_balance", "current_balance",
+               "currency"),
+    _chk("account_balances", "account_balances_currency_chk", "currency = 'USD'"),
+    _key("account_balances", "account_balances_pkey", "PRIMARY KEY", "balance_id"),
+    _fk("account_balances", "account_balances_account_id_fkey", "account_id", "accounts", "account_id"),
+    *_not_null("customer_risk_profiles", "risk_profile_id", "customer_id", "kyc_status", "kyc_risk_rating",
+               "sanctions_screening_status", "pep_flag", "fraud_watchlist_flag", "risk_score"),
+    _chk("customer_risk_profiles", "risk_profiles_kyc_status_chk",
+         "kyc_status IN ('pending', 'verified', 'failed', 'expired')"),
+    _chk("customer_risk_profiles", "risk_profiles_rating_chk", "kyc_risk_rating IN ('low', 'medium', 'high')"),
+    _chk("customer_risk_profiles", "risk_profiles_sanctions_chk",
+         "sanctions_screening_status IN ('clear', 'potential_match', 'confirmed_match')"),
+    _chk("customer_risk_profiles", "risk_profiles_score_chk", "risk_score >= 0 AND risk_score <= 100"),
+    _key("customer_risk_profiles", "customer_risk_profiles_pkey", "PRIMARY KEY", "risk_profile_id"),
+    _key("customer_risk_profiles", "customer_risk_profiles_customer_id_key", "UNIQUE", "customer_id"),
+    _fk("customer_risk_profiles", "customer_risk_profiles_customer_id_fkey", "customer_id", "customers",
+        "customer_id"),
+])
+
+SIGNAL_SQL = """
+, sig_counts AS (
+  SELECT c.event_id,
+    count(*) FILTER (WHERE l.event_type = 'login_failed') AS failed_logins,
+    count(*) FILTER (WHERE l.event_type = 'password_reset') AS password_resets,
+    count(*) FILTER (WHERE l.event_type = 'new_device_registered') AS new_devices
+  FROM card_silver c JOIN login_silver l ON l.customer_id = c.customer_id
+    AND l.ts BETWEEN c.event_ts - INTERVAL 86400 SECOND AND c.event_ts
+  GROUP BY c.event_id
+),
+sig AS (
+  SELECT c.event_id, c.transaction_id, c.customer_id,
+    CAST(coalesce(s.failed_logins, 0) AS BIGINT) AS failed_logins,
+    CAST(coalesce(s.password_resets, 0) AS BIGINT) AS password_resets,
+    CAST(coalesce(s.new_devices, 0) AS BIGINT) AS new_devices,
+    c.amount >= 50000.00 AS f1, NOT c.card_present AS f2, c.entry_mode = 'manual_keyed' AS f3,
+    coalesce(s.failed_logins, 0) >= 2 AS f4, coalesce(s.password_resets, 0) >= 1 AS f5,
+    coalesce(s.new_devices, 0) >= 1 AS f6, coalesce(cu.customer_status = 'restricted', false) AS f7
+  FROM card_silver c LEFT JOIN sig_counts s ON s.event_id = c.event_id
+  LEFT JOIN customers cu ON cu.customer_id = c.customer_id
+),
+scored AS (
+  SELECT *, CAST(least(CASE WHEN f1 THEN 20 ELSE 0 END + CASE WHEN f2 THEN 10 ELSE 0 END
+      + CASE WHEN f3 THEN 15 ELSE 0 END + CASE WHEN f4 THEN 25 ELSE 0 END + CASE WHEN f5 THEN 15 ELSE 0 END
+      + CASE WHEN f6 THEN 15 ELSE 0 END + CASE WHEN f7 THEN 20 ELSE 0 END, 100) AS INTEGER) AS signal_score,
+    concat_ws(',', CASE WHEN f1 THEN 'high_value_transaction' END, CASE WHEN f2 THEN 'card_not_present' END,
+      CASE WHEN f3 THEN 'manual_keyed' END, CASE WHEN f4 THEN 'multiple_failed_logins' END,
+      CASE WHEN f5 THEN 'password_reset' END, CASE WHEN f6 THEN 'new_device_registered' END,
+      CASE WHEN f7 THEN 'restricted_customer' END) AS rule_flags
+  FROM sig
+)
+SELECT '""" + FIXTURE_DATE + """' AS process_date, event_id, transaction_id, customer_id, failed_logins,
+  password_resets, new_devices, rule_flags, signal_score,
+  CASE WHEN signal_score >= 70 THEN 'high' WHEN signal_score >= 50 THEN 'medium_high'
+    WHEN signal_score >= 30 THEN 'medium' ELSE 'low' END AS risk_level
+FROM scored WHERE signal_score >= 30"""
+
+HEALTH_BAD = "records_read < 0 OR records_written < 0 OR records_rejected < 0 OR duration_seconds < 0"
+
 HEALTH_COLS = """run_id, job_name, status, process_date, records_read, records_written, records_rejected,
   started_at, finished_at, duration_seconds, input_prefix, output_prefix, error_message"""
 
@@ -572,6 +749,80 @@ UNION ALL SELECT process_date, severity, 4, format('{{:,}}', unmatched_merchants
 UNION ALL SELECT process_date, severity, 5,
   'Decline rate is ' || CAST({pct('declined', 'transactions')} AS VARCHAR) || '% for this partition.'
   FROM k WHERE declined > 0"""),
+    "validate_bronze": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, VB_CTE, body=f"""
+SELECT '{FIXTURE_DATE}' AS process_date, count(*) AS records_checked,
+  count(*) FILTER (WHERE error_count > 0) AS records_failed, CAST(0 AS BIGINT) AS duplicate_keys,
+  CASE WHEN count(*) FILTER (WHERE error_count > 0) = 0 THEN 'passed' ELSE 'failed' END AS status, dataset
+FROM vb GROUP BY dataset"""),
+    "validate_bronze_failures": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, VB_CTE, body=f"""
+SELECT '{FIXTURE_DATE}' AS process_date, source_object_key, error_count, errors FROM vb WHERE error_count > 0"""),
+    "validate_silver_card": with_ctes(CARD_CTE, body=_summary("card_silver", "amount < 0")),
+    "validate_silver_card_failures": with_ctes(CARD_CTE, body=f"""
+SELECT '{FIXTURE_DATE}' AS process_date, event_id, 1 AS error_count,
+  'invalid amount: ' || CAST(amount AS VARCHAR) AS errors FROM card_silver WHERE amount < 0"""),
+    "validate_silver_login": with_ctes(LOGIN_CTE, body=_summary("login_silver", "false")),
+    "validate_gold_tx": with_ctes(CARD_CTE, TX_CTE, body=_summary("tx", "total_amount < 0 OR average_amount < 0")),
+    "validate_gold_tx_failures": with_ctes(CARD_CTE, TX_CTE, body="""
+SELECT process_date, authorization_status, channel, merchant_country, merchant_category_code,
+  CAST(total_amount < 0 AS INTEGER) + CAST(average_amount < 0 AS INTEGER) AS error_count,
+  concat_ws('; ', CASE WHEN total_amount < 0 THEN 'invalid total_amount: ' || CAST(total_amount AS VARCHAR) END,
+    CASE WHEN average_amount < 0 THEN 'invalid average_amount: ' || CAST(average_amount AS VARCHAR) END) AS errors
+FROM tx WHERE total_amount < 0 OR average_amount < 0"""),
+    "validate_gold_fraud": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE,
+                                     body=_summary("cases", "rule_flags = ''")),
+    "validate_gold_fraud_failures": with_ctes(CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, body="""
+SELECT process_date, risk_event_id, customer_id, source_transaction_id, 1 AS error_count,
+  'rule_flags must be a non-empty list' AS errors FROM cases WHERE rule_flags = ''"""),
+    "validate_gold_health": with_ctes(AUDIT_CTE, body=_summary("audit", HEALTH_BAD, "pipeline_health")
+                                      + "\nUNION ALL\n" + _summary("latest_health", HEALTH_BAD,
+                                                                    "pipeline_health_latest")),
+    "quarantine_listing": with_ctes(CARD_CTE, LOGIN_CTE, body=f"""
+SELECT 'silver_card_authorizations' AS job_name, '{FIXTURE_DATE}' AS process_date, rejection_reason,
+  's3://banking-bronze/' || {CARD_KEY} AS source_path FROM card_m WHERE rejection_reason IS NOT NULL
+UNION ALL
+SELECT 'silver_login_events', '{FIXTURE_DATE}', rejection_reason, 's3://banking-bronze/' || {LOGIN_KEY}
+FROM login_m WHERE rejection_reason IS NOT NULL"""),
+    "bronze_flatten": with_ctes(CARD_CTE, body="""
+SELECT 'banking.transaction.card-authorizations.v1' AS kafka_topic, kafka_partition, kafka_offset,
+  bronze_ingest_time,
+  CASE WHEN NOT not_object THEN event_id END AS event_id,
+  CASE WHEN NOT not_object THEN transaction_id END AS transaction_id,
+  CASE WHEN NOT not_object THEN customer_id END AS customer_id,
+  CASE WHEN NOT not_object THEN account_id END AS account_id,
+  CASE WHEN NOT not_object THEN card_id END AS card_id,
+  CASE WHEN NOT not_object THEN event_time END AS event_time,
+  CASE WHEN NOT not_object THEN amount_text END AS amount,
+  CASE WHEN NOT not_object THEN currency END AS currency,
+  CASE WHEN NOT not_object THEN merchant_name END AS merchant_name,
+  CASE WHEN NOT not_object THEN merchant_country END AS merchant_country,
+  CASE WHEN NOT not_object THEN authorization_status END AS authorization_status,
+  CASE WHEN NOT not_object THEN channel END AS channel
+FROM card_m"""),
+    "core_table_counts": """
+SELECT 'customers' AS table_name, count(*) AS row_count FROM customer
+UNION ALL SELECT 'accounts', count(*) FROM orders
+UNION ALL SELECT 'account_balances', count(*) FROM orders
+UNION ALL SELECT 'customer_risk_profiles', count(*) FROM customer""",
+    "core_constraint_violations": with_ctes(CORE_CTE, body=CONSTRAINT_SQL),
+    "cdc_current_state": """
+WITH chg AS (
+  SELECT 'r' AS op, o_orderkey * 10 AS lsn, o_orderkey AS ok, o_custkey AS ck, o_orderstatus AS status,
+    o_totalprice AS tp FROM orders
+  UNION ALL SELECT 'u', o_orderkey * 10 + 1, o_orderkey, o_custkey, 'U', o_totalprice FROM orders
+    WHERE o_orderkey % 3 = 0
+  UNION ALL SELECT 'd', o_orderkey * 10 + 2, o_orderkey, o_custkey, NULL, o_totalprice FROM orders
+    WHERE o_orderkey % 7 = 0
+),
+last AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY ok ORDER BY lsn DESC) AS rn FROM chg) WHERE rn = 1
+)
+SELECT 'ord_' || ok AS order_id, 'cust_' || ck AS customer_id, status,
+  CAST(round(tp * 100) AS BIGINT) // 100 || '.' || lpad(CAST(CAST(round(tp * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0')
+    AS total,
+  lsn AS source_lsn, op AS last_op
+FROM last WHERE op <> 'd'""",
+    "fraud_signals": with_ctes(CARD_CTE, LOGIN_CTE, CORE_CTE, body=SIGNAL_SQL),
     "audit_runs": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
   status <> 'success' AS is_failure FROM audit"""),

@@ -110,3 +110,18 @@ def read_bronze_documents(spark: SparkSession, path: str, ingest_date: str | Non
 def write_bronze(bronze: DataFrame, path: str) -> None:
     """Append-only Bronze sink partitioned by ``ingest_date``."""
     bronze.write.mode("append").partitionBy("ingest_date").parquet(path)
+
+
+CARD_FLAT_FIELDS = ["event_id", "transaction_id", "customer_id", "account_id", "card_id", "event_time", "amount",
+                    "currency", "merchant_name", "merchant_country", "authorization_status", "channel"]
+
+
+def flatten_cards(bronze: DataFrame) -> DataFrame:
+    """Envelope columns plus the card event fields as text (A5/B1); a body
+    that is not an object gives NULL fields."""
+    from lakestrata.functions.exprs import json_fields
+    f = json_fields(F.col("raw_value"), CARD_FLAT_FIELDS)
+    return bronze.select("kafka_topic", "kafka_partition", "kafka_offset", "bronze_ingest_time",
+                         f.alias("_f")).select("kafka_topic", "kafka_partition", "kafka_offset",
+                                               "bronze_ingest_time", *[F.col("_f." + c).alias(c)
+                                                                       for c in CARD_FLAT_FIELDS])

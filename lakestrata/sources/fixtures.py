@@ -81,9 +81,10 @@ def card_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_id = _s("evt_card_auth_", ok, "_", ln)
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
     amount_2dp = _s(F.floor(cents / 100).cast("bigint"), ".", F.lpad((cents % 100).cast("string"), 2, "0"))
+    signed = F.when(pk % 241 == 0, _s("-", amount_2dp)).otherwise(amount_2dp)
     amount = (F.when(pk % 233 == 0, F.lit("abc"))
-              .when(pk % 7 == 0, _s(amount_2dp, "5"))
-              .otherwise(amount_2dp))
+              .when(pk % 7 == 0, _s(signed, "5"))
+              .otherwise(signed))
     status = (F.when(F.col("l_returnflag") == "R", "declined")
               .when((F.col("l_returnflag") == "N") & (sk % 20 == 1), "pending")
               .otherwise("approved"))
@@ -238,3 +239,111 @@ def audit_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_utc(finished).alias("finished_at"),
         F.when(failed, F.lit("No valid records produced.")).alias("error_message"),
     )
+
+
+# --- core banking reference tables and their change feed ------------------------
+
+def _money_text(cents: Column) -> Column:
+    """Non-negative integer cents -> 'D.CC' text (exact, no float steps)."""
+    return _s(F.floor(cents / 100).cast("bigint"), ".", F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
+def core_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customers: one per ``customer`` row. Every 250th shares an e-mail and
+    every 97th household has an unknown status, so UNIQUE and CHECK rules
+    have something to find."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    ck = F.col("c_custkey")
+    seg = F.col("c_mktsegment")
+    status = (F.when(seg.isin("AUTOMOBILE", "BUILDING"), "active").when(seg == "FURNITURE", "inactive")
+              .when(seg == "MACHINERY", "restricted")
+              .when(ck % 97 == 0, "suspended").otherwise("closed"))
+    return c.select(
+        _s("cust_", ck).alias("customer_id"),
+        F.split(F.col("c_name"), "#").getItem(0).alias("first_name"),
+        F.split(F.col("c_name"), "#").getItem(1).alias("last_name"),
+        F.when(ck % 250 == 0, F.lit("shared@example.com"))
+         .otherwise(_s(F.lower(F.regexp_replace(F.col("c_name"), "#", ".")), "@example.com")).alias("email"),
+        F.date_add(F.lit("1960-01-01").cast("date"), (ck % 15000).cast("int")).alias("date_of_birth"),
+        F.lit("US").alias("country_code"),
+        status.alias("customer_status"),
+    )
+
+
+def core_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """accounts: one per order; every 997th points at an unknown customer."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    ok, ck = F.col("o_orderkey"), F.col("o_custkey")
+    prio = F.col("o_orderpriority")
+    atype = (F.when(prio.isin("1-URGENT", "4-NOT SPECIFIED"), "checking").when(prio == "2-HIGH", "savings")
+             .when(prio == "3-MEDIUM", "money_market").otherwise("brokerage"))
+    st = F.col("o_orderstatus")
+    astatus = F.when(st == "O", "open").when(st == "F", "closed").otherwise("frozen")
+    return o.select(
+        _s("acct_", ok).alias("account_id"),
+        F.when(ok % 997 == 0, _s("cust_missing_", ck)).otherwise(_s("cust_", ck)).alias("customer_id"),
+        F.lpad(ok.cast("string"), 12, "0").alias("account_number"),
+        F.lit("021000021").alias("routing_number"),
+        atype.alias("account_type"),
+        astatus.alias("account_status"),
+    )
+
+
+def core_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """account_balances: one per order; every 499th is not in USD."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    ok = F.col("o_orderkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    return o.select(
+        _s("bal_", ok).alias("balance_id"),
+        _s("acct_", ok).alias("account_id"),
+        _money_text(cents).cast("decimal(18,2)").alias("available_balance"),
+        _money_text(cents).cast("decimal(18,2)").alias("current_balance"),
+        F.when(ok % 499 == 0, "EUR").otherwise("USD").alias("currency"),
+    )
+
+
+def core_risk_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer_risk_profiles: one per customer; scores above 100 occur."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    ck = F.col("c_custkey")
+    bal = F.col("c_acctbal")
+    score_cents = F.floor((F.round(bal * 100).cast("bigint") + 100000) / 90).cast("bigint")
+    kyc = F.element_at(F.array(*[F.lit(x) for x in rules.KYC_STATUSES]), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    return c.select(
+        _s("rp_", ck).alias("risk_profile_id"),
+        _s("cust_", ck).alias("customer_id"),
+        kyc.alias("kyc_status"),
+        F.when(bal < 0, "high").when(bal < 5000, "medium").otherwise("low").alias("kyc_risk_rating"),
+        F.lit("clear").alias("sanctions_screening_status"),
+        F.lit(False).alias("pep_flag"),
+        (ck % 50 == 0).alias("fraud_watchlist_flag"),
+        _money_text(score_cents).cast("decimal(5,2)").alias("risk_score"),
+    )
+
+
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CDC feed of the orders table: a snapshot read ('r') of every order,
+    an update ('u') of every third and a delete ('d') of every seventh, with
+    increasing log sequence numbers. One scan; each order expands to its
+    changes."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    ok = F.col("o_orderkey")
+    row = F.struct(_s("ord_", ok).alias("order_id"), _s("cust_", F.col("o_custkey")).alias("customer_id"),
+                   F.col("o_orderstatus").alias("status"),
+                   _money_text(F.round(F.col("o_totalprice") * 100).cast("bigint")).alias("total"))
+    updated = row.withField("status", F.lit("U"))
+    changes = F.array_compact(F.array(
+        F.struct(F.lit("r").alias("op"), F.lit(None).cast(row_type()).alias("before"), row.alias("after"),
+                 (ok * 10).alias("lsn"), F.lit("true").alias("snapshot")),
+        F.when(ok % 3 == 0, F.struct(F.lit("u").alias("op"), row.alias("before"), updated.alias("after"),
+                                     (ok * 10 + 1).alias("lsn"), F.lit("false").alias("snapshot"))),
+        F.when(ok % 7 == 0, F.struct(F.lit("d").alias("op"),
+                                     F.when(ok % 3 == 0, updated).otherwise(row).alias("before"),
+                                     F.lit(None).cast(row_type()).alias("after"),
+                                     (ok * 10 + 2).alias("lsn"), F.lit("false").alias("snapshot")))))
+    return o.select(F.explode(changes).alias("c")).select("c.*")
+
+
+def row_type() -> str:
+    return "struct<order_id:string,customer_id:string,status:string,total:string>"
