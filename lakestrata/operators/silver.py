@@ -142,18 +142,18 @@ def deduplicate(checked: DataFrame, key: str = "event_id") -> DataFrame:
     return ranked.where((F.col("_rn") == 1) & F.col("rejection_reason").isNull()).drop("_rn")
 
 
-def _silver(checked: DataFrame) -> DataFrame:
+def silver_from_checked(checked: DataFrame) -> DataFrame:
     out = deduplicate(checked)
     return out.drop("rejection_reason", "_raw", "_source_object_key") \
         .withColumn("silver_processed_time", iso_utc(F.current_timestamp()))
 
 
 def silver_cards(bronze: DataFrame) -> DataFrame:
-    return _silver(check_cards(bronze))
+    return silver_from_checked(check_cards(bronze))
 
 
 def silver_logins(bronze: DataFrame) -> DataFrame:
-    return _silver(check_logins(bronze))
+    return silver_from_checked(check_logins(bronze))
 
 
 def quarantine(checked: DataFrame, job_name: str, source_bucket: str = rules.BRONZE_BUCKET) -> DataFrame:

@@ -16,13 +16,17 @@ from pyspark.sql import functions as F
 from lakestrata.functions import rules
 from lakestrata.operators import core, gold, health, marts, monitoring, signals, silver, validation
 from lakestrata.sources import fixtures
+from lakestrata.session import materialize
 from lakestrata.sources.bronze import envelope, flatten_cards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Intermediate frames are built once per (session, input folder) and shared,
 # so a query that uses, say, the metrics twice has one subtree in its plan and
-# Spark reuses its exchanges instead of recomputing the pipeline.
+# Spark reuses its exchanges instead of recomputing the pipeline. The layers
+# every later job reads (Silver cards and logins, Gold transactions and fraud
+# cases) are materialized once with a reliable checkpoint, as the pipeline
+# writes them once and reads them back.
 _FRAMES: dict = {}
 
 
@@ -61,12 +65,12 @@ def bronze_risks(spark, d) -> DataFrame:
 
 @shared
 def silver_card_table(spark, d) -> DataFrame:
-    return silver.silver_cards(bronze_cards(spark, d))
+    return materialize(silver.silver_cards(bronze_cards(spark, d)))
 
 
 @shared
 def silver_login_table(spark, d) -> DataFrame:
-    return silver.silver_logins(bronze_logins(spark, d))
+    return materialize(silver.silver_logins(bronze_logins(spark, d)))
 
 
 @shared
@@ -76,12 +80,13 @@ def risk_table(spark, d) -> DataFrame:
 
 @shared
 def fraud_case_table(spark, d) -> DataFrame:
-    return gold.fraud_cases(silver_card_table(spark, d), silver_login_table(spark, d), risk_table(spark, d))
+    return materialize(gold.fraud_cases(silver_card_table(spark, d), silver_login_table(spark, d),
+                                        risk_table(spark, d)))
 
 
 @shared
 def tx_table(spark, d) -> DataFrame:
-    return gold.transaction_monitoring(silver_card_table(spark, d))
+    return materialize(gold.transaction_monitoring(silver_card_table(spark, d)))
 
 
 @shared

@@ -63,3 +63,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder, so later jobs that reuse it (and task
+    retries after an executor loss) read the stored rows instead of
+    recomputing the whole upstream plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

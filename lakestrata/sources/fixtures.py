@@ -25,19 +25,14 @@ FIXTURE_DATE = "2024-01-31"
 KAFKA_PARTITIONS = 6
 
 
-def json_object(*fields: tuple[str, Column, str]) -> Column:
-    """Compact JSON object text from (key, value, kind) triples.
+def json_object(*fields: tuple[str, Column]) -> Column:
+    """Compact JSON object text from (key, value) pairs, in order.
 
-    kind 'str' quotes the value, 'raw' writes it verbatim (numbers, booleans,
-    pre-built arrays). A NULL value leaves the key out entirely, which is how
-    fixtures model a missing field. Values are generated identifiers without
-    quotes or backslashes, so no escaping is needed.
+    Strings are quoted, booleans, numbers and arrays written as JSON values.
+    A NULL value leaves the key out entirely, which is how fixtures model a
+    missing field.
     """
-    parts = []
-    for key, value, kind in fields:
-        text = F.concat(F.lit('"'), value, F.lit('"')) if kind == "str" else value.cast("string")
-        parts.append(F.when(value.isNotNull(), F.concat(F.lit(f'"{key}":'), text)))
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    return F.to_json(F.struct(*[value.alias(key) for key, value in fields]))
 
 
 def _s(*parts) -> Column:
@@ -96,26 +91,26 @@ def card_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     drop_two = pk % 227 == 0
     card_id = F.when(~drop_two, _s("card_", ck))
     body = json_object(
-        ("event_id", event_id, "str"),
-        ("transaction_id", _s("txn_", ok), "str"),
-        ("authorization_id", _s("auth_", ok, "_", ln), "str"),
-        ("customer_id", _s("cust_", ck), "str"),
-        ("account_id", _s("acct_", ck), "str"),
-        ("card_id", card_id, "str"),
-        ("event_time", iso_utc(card_event_ts()), "str"),
-        ("amount", amount, "str"),
-        ("currency", F.when(sk % 20 == 0, "EUR").otherwise("USD"), "str"),
-        ("merchant_id", F.when(~((pk % 223 == 0) | drop_two), _s("mrc_", sk)), "str"),
-        ("merchant_name", F.when(pk % 229 == 0, F.lit("")).otherwise(F.col("p_name")), "str"),
-        ("merchant_category_code", F.col("p_brand"), "str"),
-        ("merchant_country", F.col("n_name"), "str"),
-        ("merchant_city", F.when(ln % 3 != 0, F.col("s_name")), "str"),
-        ("authorization_status", status, "str"),
-        ("channel", F.when(F.col("l_linestatus") == "O", "ecommerce").otherwise("card_present"), "str"),
-        ("card_present", F.col("l_linestatus") == "F", "raw"),
-        ("entry_mode", entry_mode, "str"),
-        ("source_system", F.lit("synthetic-card-processor"), "str"),
-        ("schema_version", F.lit("1.0.0"), "str"),
+        ("event_id", event_id),
+        ("transaction_id", _s("txn_", ok)),
+        ("authorization_id", _s("auth_", ok, "_", ln)),
+        ("customer_id", _s("cust_", ck)),
+        ("account_id", _s("acct_", ck)),
+        ("card_id", card_id),
+        ("event_time", iso_utc(card_event_ts())),
+        ("amount", amount),
+        ("currency", F.when(sk % 20 == 0, "EUR").otherwise("USD")),
+        ("merchant_id", F.when(~((pk % 223 == 0) | drop_two), _s("mrc_", sk))),
+        ("merchant_name", F.when(pk % 229 == 0, F.lit("")).otherwise(F.col("p_name"))),
+        ("merchant_category_code", F.col("p_brand")),
+        ("merchant_country", F.col("n_name")),
+        ("merchant_city", F.when(ln % 3 != 0, F.col("s_name"))),
+        ("authorization_status", status),
+        ("channel", F.when(F.col("l_linestatus") == "O", "ecommerce").otherwise("card_present")),
+        ("card_present", F.col("l_linestatus") == "F"),
+        ("entry_mode", entry_mode),
+        ("source_system", F.lit("synthetic-card-processor")),
+        ("schema_version", F.lit("1.0.0")),
     )
     value = F.when(pk % 211 == 0, _s('["', event_id, '"]')).otherwise(body)
     return j.select(
@@ -144,23 +139,23 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     city = F.when(eid % 223 == 0, "").when(country == "NL", "Amsterdam").otherwise("Chicago")
     customer_id = F.when(eid % 211 != 0, _s("cust_", uid))
     body = json_object(
-        ("event_id", _s("evt_login_", eid), "str"),
-        ("login_event_id", _s("login_", eid), "str"),
-        ("customer_id", customer_id, "str"),
-        ("event_time", iso_utc(F.col("ts")), "str"),
-        ("event_type", etype, "str"),
-        ("login_status", F.when(failed, "failed").otherwise("success"), "str"),
-        ("failure_reason", F.when(failed, "invalid_password"), "str"),
-        ("device_id", _s("dev_", uid, "_", eid % 3), "str"),
-        ("device_type", device_type, "str"),
-        ("ip_address", _s("10.", uid % 256, ".", eid % 256, ".", eid % 7 + 1), "str"),
-        ("country", country, "str"),
-        ("city", city, "str"),
-        ("channel", F.when(device_type == "web", "web").otherwise("mobile"), "str"),
+        ("event_id", _s("evt_login_", eid)),
+        ("login_event_id", _s("login_", eid)),
+        ("customer_id", customer_id),
+        ("event_time", iso_utc(F.col("ts"))),
+        ("event_type", etype),
+        ("login_status", F.when(failed, "failed").otherwise("success")),
+        ("failure_reason", F.when(failed, "invalid_password")),
+        ("device_id", _s("dev_", uid, "_", eid % 3)),
+        ("device_type", device_type),
+        ("ip_address", _s("10.", uid % 256, ".", eid % 256, ".", eid % 7 + 1)),
+        ("country", country),
+        ("city", city),
+        ("channel", F.when(device_type == "web", "web").otherwise("mobile")),
         ("user_agent", F.when(device_type == "web", "Mozilla/5.0")
-         .when(device_type == "ios", "BankingApp/5.2 iOS"), "str"),
-        ("source_system", F.lit("synthetic-digital-banking-platform"), "str"),
-        ("schema_version", F.lit("1.0.0"), "str"),
+         .when(device_type == "ios", "BankingApp/5.2 iOS")),
+        ("source_system", F.lit("synthetic-digital-banking-platform")),
+        ("schema_version", F.lit("1.0.0")),
     )
     value = F.when(eid % 401 == 0, _s("not json {", eid)).otherwise(body)
     return ev.select(
@@ -186,24 +181,24 @@ def risk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(score >= 50, "medium").otherwise("low"))
     action = (F.when(level == "high", "block_and_review").when(level == "medium_high", "step_up_authentication")
               .when(level == "medium", "manual_review").otherwise("monitor"))
-    flags = (F.when(ok % 13 == 0, F.lit("[]"))
-             .when(F.col("o_orderstatus") == "P", F.lit('["high_value_transaction","pending_order"]'))
-             .otherwise(F.lit('["high_value_transaction"]')))
+    flags = (F.when(ok % 13 == 0, F.array().cast("array<string>"))
+             .when(F.col("o_orderstatus") == "P", F.array(F.lit("high_value_transaction"), F.lit("pending_order")))
+             .otherwise(F.array(F.lit("high_value_transaction"))))
     body = json_object(
-        ("risk_event_id", _s("risk_", ok), "str"),
-        ("event_time", iso_utc(F.col("o_orderdate")), "str"),
-        ("source_transaction_id", _s("txn_", ok), "str"),
-        ("customer_id", _s("cust_", ck), "str"),
-        ("account_id", _s("acct_", ck), "str"),
-        ("card_id", _s("card_", ck), "str"),
-        ("risk_score", score, "raw"),
-        ("risk_level", level, "str"),
-        ("recommended_action", action, "str"),
-        ("rule_flags", flags, "raw"),
-        ("explanation", F.lit("Urgent order with a total above 300000."), "str"),
-        ("source_events", _s('["evt_card_auth_', ok, '_1"]'), "raw"),
-        ("source_system", F.lit("synthetic-fraud-risk-engine"), "str"),
-        ("schema_version", F.lit("1.0.0"), "str"),
+        ("risk_event_id", _s("risk_", ok)),
+        ("event_time", iso_utc(F.col("o_orderdate"))),
+        ("source_transaction_id", _s("txn_", ok)),
+        ("customer_id", _s("cust_", ck)),
+        ("account_id", _s("acct_", ck)),
+        ("card_id", _s("card_", ck)),
+        ("risk_score", score.cast("bigint")),
+        ("risk_level", level),
+        ("recommended_action", action),
+        ("rule_flags", flags),
+        ("explanation", F.lit("Urgent order with a total above 300000.")),
+        ("source_events", F.array(_s("evt_card_auth_", ok, "_1"))),
+        ("source_system", F.lit("synthetic-fraud-risk-engine")),
+        ("schema_version", F.lit("1.0.0")),
     )
     value = F.when(ok % 29 == 0, F.lit("null")).otherwise(body)
     return od.select(
