@@ -15,6 +15,8 @@ REQUIRED_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # Re-running one business date replaces only that date's partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Business-date partition values stay strings when read back.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 # Settings that matter for throughput at scale; callers may override.
