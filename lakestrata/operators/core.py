@@ -57,8 +57,7 @@ def _key_rule(df: DataFrame, table: str, name: str, kind: str, key: str) -> Data
 
 def _fk_rule(child: DataFrame, table: str, name: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Rows whose non-null foreign key has no parent row (left-anti join)."""
-    orphans = child.select(fk).where(F.col(fk).isNotNull()).join(
-        parent.select(F.col(pk).alias(fk)).distinct(), fk, "left_anti")
+    orphans = child.select(fk).where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
     return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violation_count")).select(
         F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
         F.lit("FOREIGN KEY").alias("constraint_type"), "violation_count")

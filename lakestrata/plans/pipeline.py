@@ -22,6 +22,7 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -107,7 +108,14 @@ class PartitionRun:
         else:
             job, check, topic_dir = rules.JOB_SILVER_LOGIN, silver.check_logins, "login"
         bronze = self._bronze(topic_dir, self.ingest_date).withColumn("ingest_date", F.lit(self.process_date))
-        checked = check(bronze)
+        # Counters, quarantine and Silver all read the checked rows: parse once.
+        checked = check(bronze).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            return self._silver_outputs(job, kind, topic_dir, checked, started)
+        finally:
+            checked.unpersist()
+
+    def _silver_outputs(self, job: str, kind: str, topic_dir: str, checked: DataFrame, started: datetime) -> dict:
         counts = silver.run_counts(checked).collect()  # one row: the run counters
         read = counts[0]["records_read"] if counts else 0
         rejected = counts[0]["records_rejected"] if counts else 0
