@@ -24,9 +24,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Intermediate frames are built once per (session, input folder) and shared,
 # so a query that uses, say, the metrics twice has one subtree in its plan and
 # Spark reuses its exchanges instead of recomputing the pipeline. The layers
-# every later job reads (Silver cards and logins, Gold transactions and fraud
-# cases) are materialized once with a reliable checkpoint, as the pipeline
-# writes them once and reads them back.
+# every later job reads (the landed Bronze messages, Silver cards and logins,
+# Gold transactions and fraud cases, the per-date monitoring rows) are
+# materialized once with a reliable checkpoint, as the pipeline writes them
+# once and reads them back.
 _FRAMES: dict = {}
 
 
@@ -48,19 +49,19 @@ def shared(fn):
 @shared
 def bronze_cards(spark, d) -> DataFrame:
     m = fixtures.card_messages(spark, d)
-    return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
+    return materialize(envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp")))
 
 
 @shared
 def bronze_logins(spark, d) -> DataFrame:
     m = fixtures.login_messages(spark, d)
-    return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
+    return materialize(envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp")))
 
 
 @shared
 def bronze_risks(spark, d) -> DataFrame:
     m = fixtures.risk_messages(spark, d)
-    return envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp"))
+    return materialize(envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp")))
 
 
 @shared
@@ -180,17 +181,18 @@ def q_audit_runs(spark, d):
 
 @shared
 def metrics_table(spark, d) -> DataFrame:
-    return monitoring.metrics(latest_health_table(spark, d), tx_table(spark, d), fraud_case_table(spark, d))
+    return materialize(monitoring.metrics(latest_health_table(spark, d), tx_table(spark, d),
+                                          fraud_case_table(spark, d)))
 
 
 @shared
 def findings_table(spark, d) -> DataFrame:
-    return monitoring.findings(metrics_table(spark, d), latest_health_table(spark, d))
+    return materialize(monitoring.findings(metrics_table(spark, d), latest_health_table(spark, d)))
 
 
 @shared
 def status_table(spark, d) -> DataFrame:
-    return monitoring.status(metrics_table(spark, d), findings_table(spark, d))
+    return materialize(monitoring.status(metrics_table(spark, d), findings_table(spark, d)))
 
 
 @shared
