@@ -129,22 +129,26 @@ def check_logins(bronze: DataFrame) -> DataFrame:
 def deduplicate(checked: DataFrame, key: str = "event_id") -> DataFrame:
     """Keep the last valid delivery per (process_date, key).
 
-    Validity leads the window order, so a rejected copy never displaces a
-    valid one, and the validity filter stays above the window (it is not
-    pushed into the derivation of the reason). ``row_number() = 1`` lets Spark
-    insert a partial WindowGroupLimit before the shuffle, so even a key that
-    holds a large share of all rows is cut to one row per map task before it
-    moves.
+    Rejected rows are dropped before the window: a rejected copy can never
+    displace a valid one, and a key with no valid copy yields nothing, so the
+    shuffle carries only valid rows and no reason text. The reason is put
+    behind a barrier (``computed_once``) first: a filter on the bare reason
+    expression is rewritten by the optimizer into a predicate that grows with
+    every check (the planner runs out of memory). ``row_number() = 1`` lets Spark insert a partial
+    WindowGroupLimit before the shuffle, so even a key that holds a large
+    share of all rows is cut to one row per map task before it moves.
     """
-    valid_first = F.col("rejection_reason").isNull().desc()
-    w = Window.partitionBy("process_date", key).orderBy(valid_first, *last_delivery())
-    ranked = checked.withColumn("_rn", F.row_number().over(w))
-    return ranked.where((F.col("_rn") == 1) & F.col("rejection_reason").isNull()).drop("_rn")
+    kept = [c for c in checked.columns if c != "_source_object_key"]
+    valid = computed_once(checked, [F.col(c) for c in kept]) \
+        .where(F.col("rejection_reason").isNull()).drop("rejection_reason")
+    w = Window.partitionBy("process_date", key).orderBy(*last_delivery())
+    ranked = valid.withColumn("_rn", F.row_number().over(w))
+    return ranked.where(F.col("_rn") == 1).drop("_rn")
 
 
 def silver_from_checked(checked: DataFrame) -> DataFrame:
     out = deduplicate(checked)
-    return out.drop("rejection_reason", "_raw", "_source_object_key") \
+    return out.drop("_raw") \
         .withColumn("silver_processed_time", iso_utc(F.current_timestamp()))
 
 
