@@ -4,11 +4,10 @@ from the customer's core-banking status.
 
 The look-back is a range join (logins of the same customer with
 ``card_ts - lookback <= login_ts <= card_ts``). It is computed without
-pairing rows: cards and logins are put in one stream, cut into
-(customer, time bucket of one look-back width) groups, each login copied
-into its own bucket and the next one, and counted with a range-frame window.
-A customer with a huge share of the activity is therefore still split by
-time, and no group holds more than two look-back widths of its events.
+pairing rows, as the difference of two running counts over one
+range-partitioned stream of cards and logins (``login_counts_before``), so
+neither a hot customer nor a burst of activity in a short time ends up in
+one task.
 
 The thresholds and weights are parameters of ours: the documented fraud
 scenarios name the signals but no numbers.
@@ -42,28 +41,66 @@ class SignalParams:
     levels: tuple = ((70, "high"), (50, "medium_high"), (30, "medium"))
 
 
-def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int) -> DataFrame:
+COUNTED_TYPES = {"failed_logins": "login_failed", "password_resets": "password_reset",
+                 "new_devices": "new_device_registered"}
+
+# Sort tags at one instant: a card's lower point (t - lookback) sorts before the
+# logins at that instant, its upper point (t) after them, so both ends count.
+_LOWER, _LOGIN, _UPPER = 0, 1, 2
+
+
+def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
+                        num_partitions: int | None = None) -> DataFrame:
     """Per card: failed logins, password resets and new devices of the same
-    customer within ``lookback_seconds`` before (and at) the card time."""
+    customer with ``card_ts - lookback <= login_ts <= card_ts``.
+
+    Exact distributed prefix counts, no pairs: each card becomes an upper and
+    a lower query point, and count(window) = running count at the upper point
+    - running count at the lower point. Points and logins are range-partitioned
+    on (date, customer, time, tag, id), a total order, so a customer holding
+    any share of the rows is spread over many tasks. Running counts are taken
+    within each range partition, and the logins of the same customer in
+    earlier partitions are added from a per-(partition, customer) totals table
+    (one row per partition the customer spans). Cards or logins without a
+    parseable time take part in no window.
+    """
+    spark = cards.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = lookback_seconds * 1_000_000
-    c = cards.select("process_date", "customer_id", "event_id",
-                     F.unix_micros(iso_to_ts(F.col("event_time"))).alias("_us"),
-                     F.lit(0).alias("_kind"), F.lit(None).cast("string").alias("_type"))
-    lg = logins.select("process_date", "customer_id", F.lit(None).cast("string").alias("event_id"),
-                       F.unix_micros(iso_to_ts(F.col("event_time"))).alias("_us"),
-                       F.lit(1).alias("_kind"), F.col("event_type").alias("_type"))
-    c = c.withColumn("_bucket", F.floor(F.col("_us") / width))
-    lg = lg.withColumn("_bucket", F.explode(F.array(F.floor(F.col("_us") / width),
-                                                    F.floor(F.col("_us") / width) + 1)))
-    w = (Window.partitionBy("process_date", "customer_id", "_bucket").orderBy("_us")
-         .rangeBetween(-width, 0))
-    is_type = lambda t: F.when((F.col("_kind") == 1) & (F.col("_type") == t), 1).otherwise(0)
-    s = c.unionByName(lg).select(
-        "process_date", "customer_id", "event_id", "_kind",
-        F.sum(is_type("login_failed")).over(w).alias("failed_logins"),
-        F.sum(is_type("password_reset")).over(w).alias("password_resets"),
-        F.sum(is_type("new_device_registered")).over(w).alias("new_devices"))
-    return s.where(F.col("_kind") == 0).drop("_kind")
+    micros = F.unix_micros(iso_to_ts(F.col("event_time")))
+    names = list(COUNTED_TYPES)
+    key = ["process_date", "customer_id"]
+
+    card_t = cards.select(*key, "event_id", micros.alias("_t")).where(F.col("_t").isNotNull())
+    bounds = F.array(F.struct(F.col("_t").alias("_us"), F.lit(_UPPER).alias("_tag")),
+                     F.struct((F.col("_t") - width).alias("_us"), F.lit(_LOWER).alias("_tag")))
+    points = card_t.select(*key, "event_id", F.inline(bounds)) \
+        .select(*key, "event_id", "_us", "_tag", *[F.lit(0).alias(c) for c in names])
+    is_type = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0)
+    # Ties between logins at one instant do not change any count; their id
+    # only helps the range split when a customer bursts at a single instant.
+    login_id = F.col("event_id") if "event_id" in logins.columns else F.lit(None).cast("string")
+    marks = logins.select(*key, login_id.alias("event_id"), micros.alias("_us"), F.lit(_LOGIN).alias("_tag"),
+                          *[is_type(t).alias(c) for c, t in COUNTED_TYPES.items()]) \
+        .where(F.col("_us").isNotNull())
+
+    order = ["_us", "_tag", "event_id"]
+    ranged = points.unionByName(marks).repartitionByRange(n, *key, *order) \
+        .withColumn("_pid", F.spark_partition_id())
+
+    local_w = Window.partitionBy("_pid", *key).orderBy(*order) \
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select("_pid", *key, "event_id", "_tag", *[F.sum(c).over(local_w).alias(c) for c in names]) \
+        .where(F.col("_tag") != _LOGIN)
+
+    earlier_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy("_pid", *key).agg(*[F.sum(c).alias(c) for c in names])
+    offsets = totals.select("_pid", *key, *[F.coalesce(F.sum(c).over(earlier_w), F.lit(0)).alias("_o_" + c)
+                                            for c in names])
+
+    sign = F.when(F.col("_tag") == _UPPER, 1).otherwise(-1)
+    return local.join(offsets, ["_pid", *key]).groupBy(*key, "event_id").agg(
+        *[F.sum(sign * (F.col(c) + F.col("_o_" + c))).alias(c) for c in names])
 
 
 def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
@@ -71,7 +108,11 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
     """Flags, score (capped at 100) and level for each card authorization
     scoring at least ``params.min_score``."""
     counts = login_counts_before(cards, logins, params.lookback_seconds)
-    status = customers.select("customer_id", F.col("customer_status"))
+    # One row per customer id even if the reference table repeats a key (a
+    # primary-key violation the constraint report flags), so the left join
+    # can never multiply card rows.
+    status = customers.groupBy("customer_id").agg(
+        F.bool_or(F.col("customer_status") == "restricted").alias("_restricted"))
     j = (cards.select("process_date", "event_id", "transaction_id", "customer_id", "amount", "card_present",
                       "entry_mode")
          .join(counts, ["process_date", "customer_id", "event_id"], "left")
@@ -83,7 +124,7 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
         ("multiple_failed_logins", F.col("failed_logins") >= params.min_failed_logins),
         ("password_reset", F.col("password_resets") >= 1),
         ("new_device_registered", F.col("new_devices") >= 1),
-        ("restricted_customer", F.col("customer_status") == "restricted"),
+        ("restricted_customer", F.col("_restricted")),
     ]
     hits = [F.coalesce(cond, F.lit(False)) for _, cond in flags]
     names = F.array_compact(F.array(*[F.when(h, F.lit(n)) for (n, _), h in zip(flags, hits)]))

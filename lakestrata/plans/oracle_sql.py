@@ -594,9 +594,10 @@ sig AS (
     CAST(coalesce(s.new_devices, 0) AS BIGINT) AS new_devices,
     c.amount >= 50000.00 AS f1, NOT c.card_present AS f2, c.entry_mode = 'manual_keyed' AS f3,
     coalesce(s.failed_logins, 0) >= 2 AS f4, coalesce(s.password_resets, 0) >= 1 AS f5,
-    coalesce(s.new_devices, 0) >= 1 AS f6, coalesce(cu.customer_status = 'restricted', false) AS f7
+    coalesce(s.new_devices, 0) >= 1 AS f6, coalesce(cu.restricted, false) AS f7
   FROM card_silver c LEFT JOIN sig_counts s ON s.event_id = c.event_id
-  LEFT JOIN customers cu ON cu.customer_id = c.customer_id
+  LEFT JOIN (SELECT customer_id, bool_or(customer_status = 'restricted') AS restricted
+             FROM customers GROUP BY customer_id) cu ON cu.customer_id = c.customer_id
 ),
 scored AS (
   SELECT *, CAST(least(CASE WHEN f1 THEN 20 ELSE 0 END + CASE WHEN f2 THEN 10 ELSE 0 END

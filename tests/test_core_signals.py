@@ -95,3 +95,32 @@ def test_bronze_validation_collects_all_errors(spark):
                        "event field is null or empty: customer_id"]
     sample = validation.sample_objects(envelope_rows(spark, bodies), 2)
     assert sample.count() == 2
+
+
+def test_signal_lookback_hot_customer_matches_brute_force(spark):
+    """One customer holds all activity, so it spans every range partition;
+    counts must equal a pairwise count, edges and same-instant ties included."""
+    import random
+    from datetime import datetime, timedelta, timezone
+
+    rnd = random.Random(7)
+    base = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    iso = lambda t: t.strftime("%Y-%m-%dT%H:%M:%S.%f+00:00")
+    secs = [rnd.randrange(0, 5 * 86400, 600) for _ in range(400)]  # coarse grid: many exact ties
+    types = ["login_failed", "password_reset", "new_device_registered", "login_success"]
+    logins = [("d", "cust_hot", f"l{i}", iso(base + timedelta(seconds=s)), rnd.choice(types))
+              for i, s in enumerate(secs)]
+    card_secs = [rnd.randrange(0, 6 * 86400, 600) for _ in range(150)] + [secs[0] + 86400, secs[1]]
+    cards = [("d", f"c{i}", f"t{i}", "cust_hot", iso(base + timedelta(seconds=s)), 10.0, True, "chip")
+             for i, s in enumerate(card_secs)]
+    cdf = spark.createDataFrame(cards, "process_date string, event_id string, transaction_id string, "
+                                "customer_id string, event_time string, amount double, card_present boolean, "
+                                "entry_mode string").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
+    ldf = spark.createDataFrame(logins, "process_date string, customer_id string, event_id string, "
+                                "event_time string, event_type string")
+    got = {r["event_id"]: (r["failed_logins"], r["password_resets"], r["new_devices"])
+           for r in signals.login_counts_before(cdf, ldf, 86400, num_partitions=16).collect()}
+    for i, cs in enumerate(card_secs):
+        inside = [t for (_, _, _, _, t), s in zip(logins, secs) if cs - 86400 <= s <= cs]
+        want = (inside.count("login_failed"), inside.count("password_reset"), inside.count("new_device_registered"))
+        assert got[f"c{i}"] == want, (i, got[f"c{i}"], want)
