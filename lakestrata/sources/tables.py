@@ -13,10 +13,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-spread a scan over the cluster when it has fewer partitions than
-    there are task slots (a table stored as one file or row group would
-    otherwise be parsed by a single task).
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cluster when it has fewer partitions than there
+    are task slots (a table stored as one file or row group would otherwise be
+    parsed by a single task).
+
+    Round-robin, not by a key: such an input can still be large on a big
+    cluster, and a key holding a third of the rows would put that third in one
+    task (a user repartition is not split by the adaptive skew handling). Spark
+    sorts each input partition before a round-robin repartition, so a retried
+    task sends every row to the same place.
 
     Only plain scans should be passed: the partition count then comes from the
     file listing, no job runs. Inputs already split finer than the cluster's
@@ -25,4 +31,4 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= slots:
         return df
-    return df.repartition(slots, *keys)
+    return df.repartition(slots)
