@@ -56,9 +56,16 @@ def _key_rule(df: DataFrame, table: str, name: str, kind: str, key: str) -> Data
 
 
 def _fk_rule(child: DataFrame, table: str, name: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Rows whose non-null foreign key has no parent row (left-anti join)."""
-    orphans = child.select(fk).where(F.col(fk).isNotNull()).join(parent.select(F.col(pk).alias(fk)), fk, "left_anti")
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("violation_count")).select(
+    """Rows whose non-null foreign key has no parent row.
+
+    Both sides are first reduced to one row per key (child keys with their row
+    counts, parent keys distinct; partial aggregation absorbs hot keys), so the
+    left-anti join moves one row per key and no key can skew it.
+    """
+    refs = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
+    keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
+    orphans = refs.join(keys, fk, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violation_count")).select(
         F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
         F.lit("FOREIGN KEY").alias("constraint_type"), "violation_count")
 
