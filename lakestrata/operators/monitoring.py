@@ -16,14 +16,18 @@ from lakestrata.functions import rules
 from lakestrata.functions.exprs import alert_id, iso_utc, percent, thousands
 
 CASE_KEY = ["risk_event_id", "customer_id", "source_transaction_id"]
+# Full order for equal score and time, so a retried task keeps the same case.
+CASE_TIEBREAK = ["account_id", "card_id", "risk_level", "recommended_action", "explanation"]
 
 
 def dedupe_cases(cases: DataFrame) -> DataFrame:
     """One case per (date, risk event, customer, transaction): highest score,
-    then newest processing time (E3)."""
+    then newest processing time (E3); remaining ties break on the case's
+    attributes so the winner does not depend on read order."""
     w = Window.partitionBy("process_date", *CASE_KEY).orderBy(
         F.coalesce(F.col("risk_score"), F.lit(0)).desc(),
-        F.coalesce(F.col("gold_processed_time"), F.lit("")).desc())
+        F.coalesce(F.col("gold_processed_time"), F.lit("")).desc(),
+        *[F.col(c).asc_nulls_first() for c in CASE_TIEBREAK])
     return cases.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -352,7 +352,9 @@ MON_CTE = f"""
 cases_u AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY risk_event_id, customer_id, source_transaction_id
-      ORDER BY coalesce(risk_score, 0) DESC) AS rn FROM cases) WHERE rn = 1
+      ORDER BY coalesce(risk_score, 0) DESC, account_id ASC NULLS FIRST, card_id ASC NULLS FIRST,
+        risk_level ASC NULLS FIRST, recommended_action ASC NULLS FIRST, explanation ASC NULLS FIRST) AS rn
+    FROM cases) WHERE rn = 1
 ),
 m_h AS (
   SELECT count(*) AS jobs, count(*) FILTER (WHERE status = 'success') AS success,
