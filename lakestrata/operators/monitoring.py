@@ -27,7 +27,7 @@ def dedupe_cases(cases: DataFrame) -> DataFrame:
     w = Window.partitionBy("process_date", *CASE_KEY).orderBy(
         F.coalesce(F.col("risk_score"), F.lit(0)).desc(),
         F.coalesce(F.col("gold_processed_time"), F.lit("")).desc(),
-        *[F.col(c).asc_nulls_first() for c in CASE_TIEBREAK])
+        *[F.col(c).asc_nulls_first() for c in CASE_TIEBREAK if c in cases.columns])
     return cases.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
