@@ -85,6 +85,9 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
         .where(F.col("_us").isNotNull())
 
     order = ["_us", "_tag", "event_id"]
+    # An explicit partition count keeps AQE from coalescing this shuffle: both
+    # readers below must see the same partition numbering. Size it like the
+    # job's shuffle partitions (about 128 MB of points per partition).
     ranged = points.unionByName(marks).repartitionByRange(n, *key, *order) \
         .withColumn("_pid", F.spark_partition_id())
 
