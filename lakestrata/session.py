@@ -58,13 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this must already be set to shared storage. Only when it is
     unset (local tests) is a private scratch folder created.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)  # named in the conf before the context started
         return current
+    # spark.checkpoint.dir cannot be changed at run time; the context's
+    # checkpoint folder is what later calls find.
     path = tempfile.mkdtemp(prefix="lakestrata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def materialize(df):
