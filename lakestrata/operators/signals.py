@@ -4,10 +4,9 @@ from the customer's core-banking status.
 
 The look-back is a range join (logins of the same customer with
 ``card_ts - lookback <= login_ts <= card_ts``). It is computed without
-pairing rows, as the difference of two running counts over one
-range-partitioned stream of cards and logins (``login_counts_before``), so
-neither a hot customer nor a burst of activity in a short time ends up in
-one task.
+pairing rows, as running sums of login enter/leave events at each card's
+time over one range-partitioned stream (``login_counts_before``), so neither
+a hot customer nor a burst of activity in a short time ends up in one task.
 
 The thresholds and weights are parameters of ours: the documented fraud
 scenarios name the signals but no numbers.
@@ -16,6 +15,7 @@ scenarios name the signals but no numbers.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,9 +44,10 @@ class SignalParams:
 COUNTED_TYPES = {"failed_logins": "login_failed", "password_resets": "password_reset",
                  "new_devices": "new_device_registered"}
 
-# Sort tags at one instant: a card's lower point (t - lookback) sorts before the
-# logins at that instant, its upper point (t) after them, so both ends count.
-_LOWER, _LOGIN, _UPPER = 0, 1, 2
+# Sort tags at one instant: a login enters its window (+1) before the cards at
+# that instant and leaves it (-1 at login_ts + lookback) after them, so both
+# ends of ``card_ts - lookback <= login_ts <= card_ts`` are inclusive.
+_ENTER, _CARD, _LEAVE = 0, 1, 2
 
 
 def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
@@ -54,15 +55,15 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     """Per card: failed logins, password resets and new devices of the same
     customer with ``card_ts - lookback <= login_ts <= card_ts``.
 
-    Exact distributed prefix counts, no pairs: each card becomes an upper and
-    a lower query point, and count(window) = running count at the upper point
-    - running count at the lower point. Points and logins are range-partitioned
-    on (date, customer, time, tag, id), a total order, so a customer holding
-    any share of the rows is spread over many tasks. Running counts are taken
-    within each range partition, and the logins of the same customer in
-    earlier partitions are added from a per-(partition, customer) totals table
-    (one row per partition the customer spans). Cards or logins without a
-    parseable time take part in no window.
+    Exact distributed running sums, no pairs: every login adds +1 when it
+    happens and -1 once the look-back has passed, so the count for a card is
+    the running sum of the customer's events at the card's time. Events and
+    cards are range-partitioned on (date, customer, time, tag, id), a total
+    order, so a customer holding any share of the rows is spread over many
+    tasks. Running sums are taken within each range partition, and the events
+    of the same customer in earlier partitions are added from a
+    per-(partition, customer) totals table (one row per partition the customer
+    spans). Cards or logins without a parseable time take part in no window.
     """
     spark = cards.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -71,39 +72,39 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     names = list(COUNTED_TYPES)
     key = ["process_date", "customer_id"]
 
-    card_t = cards.select(*key, "event_id", micros.alias("_t")).where(F.col("_t").isNotNull())
-    bounds = F.array(F.struct(F.col("_t").alias("_us"), F.lit(_UPPER).alias("_tag")),
-                     F.struct((F.col("_t") - width).alias("_us"), F.lit(_LOWER).alias("_tag")))
-    points = card_t.select(*key, "event_id", F.inline(bounds)) \
-        .select(*key, "event_id", "_us", "_tag", *[F.lit(0).alias(c) for c in names])
-    is_type = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0)
-    # Ties between logins at one instant do not change any count; their id
-    # only helps the range split when a customer bursts at a single instant.
+    queries = cards.select(*key, "event_id", micros.alias("_us"), F.lit(_CARD).alias("_tag"),
+                           *[F.lit(0).alias(c) for c in names]).where(F.col("_us").isNotNull())
+    # Ties between logins at one instant do not change any sum; their id only
+    # helps the range split when a customer bursts at a single instant.
     login_id = F.col("event_id") if "event_id" in logins.columns else F.lit(None).cast("string")
-    marks = logins.select(*key, login_id.alias("event_id"), micros.alias("_us"), F.lit(_LOGIN).alias("_tag"),
-                          *[is_type(t).alias(c) for c, t in COUNTED_TYPES.items()]) \
-        .where(F.col("_us").isNotNull())
+    is_type = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0)
+    edges = F.array(F.struct(F.col("_s").alias("_us"), F.lit(_ENTER).alias("_tag"), F.lit(1).alias("_d")),
+                    F.struct((F.col("_s") + width).alias("_us"), F.lit(_LEAVE).alias("_tag"), F.lit(-1).alias("_d")))
+    events = logins.select(*key, login_id.alias("event_id"), micros.alias("_s"),
+                           *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()]) \
+        .where(F.col("_s").isNotNull() & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
+        .select(*key, "event_id", *["_is_" + c for c in names], F.inline(edges)) \
+        .select(*key, "event_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).alias(c) for c in names])
 
     order = ["_us", "_tag", "event_id"]
     # An explicit partition count keeps AQE from coalescing this shuffle: both
     # readers below must see the same partition numbering. Size it like the
-    # job's shuffle partitions (about 128 MB of points per partition).
-    ranged = points.unionByName(marks).repartitionByRange(n, *key, *order) \
+    # job's shuffle partitions (about 128 MB of rows per partition).
+    ranged = queries.unionByName(events).repartitionByRange(n, *key, *order) \
         .withColumn("_pid", F.spark_partition_id())
 
     local_w = Window.partitionBy("_pid", *key).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select("_pid", *key, "event_id", "_tag", *[F.sum(c).over(local_w).alias(c) for c in names]) \
-        .where(F.col("_tag") != _LOGIN)
+        .where(F.col("_tag") == _CARD)
 
     earlier_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     totals = ranged.groupBy("_pid", *key).agg(*[F.sum(c).alias(c) for c in names])
     offsets = totals.select("_pid", *key, *[F.coalesce(F.sum(c).over(earlier_w), F.lit(0)).alias("_o_" + c)
                                             for c in names])
 
-    sign = F.when(F.col("_tag") == _UPPER, 1).otherwise(-1)
-    return local.join(offsets, ["_pid", *key]).groupBy(*key, "event_id").agg(
-        *[F.sum(sign * (F.col(c) + F.col("_o_" + c))).alias(c) for c in names])
+    return local.join(offsets, ["_pid", *key]).select(
+        *key, "event_id", *[(F.col(c) + F.col("_o_" + c)).cast("bigint").alias(c) for c in names])
 
 
 def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
