@@ -124,3 +124,14 @@ def test_signal_lookback_hot_customer_matches_brute_force(spark):
         inside = [t for (_, _, _, _, t), s in zip(logins, secs) if cs - 86400 <= s <= cs]
         want = (inside.count("login_failed"), inside.count("password_reset"), inside.count("new_device_registered"))
         assert got[f"c{i}"] == want, (i, got[f"c{i}"], want)
+
+
+def test_foreign_key_counts_rows_not_keys(spark):
+    """Orphans are counted per child row (a hot missing key counts every row);
+    a parent key that repeats does not change the result."""
+    child = spark.createDataFrame([(f"a{i}", "cust_missing") for i in range(50)]
+                                  + [("b1", "cust_1"), ("b2", "cust_1"), ("b3", None), ("b4", "cust_2")],
+                                  "account_id string, customer_id string")
+    parent = spark.createDataFrame([("cust_1",), ("cust_1",), ("cust_3",)], "customer_id string")
+    r = core._fk_rule(child, "accounts", "fk", "customer_id", parent, "customer_id").collect()[0]
+    assert r["violation_count"] == 51  # 50 rows of the hot missing key + cust_2; NULL passes
