@@ -64,14 +64,27 @@ def bronze_risks(spark, d) -> DataFrame:
     return materialize(envelope(m, fixtures.FIXTURE_DATE, F.col("timestamp")))
 
 
+# The checked rows (typed fields and the rejection reason) feed Silver, the
+# quarantine, the run counters and the quarantine listing; each body is
+# parsed once, as the partition runner does.
+@shared
+def checked_card_table(spark, d) -> DataFrame:
+    return materialize(silver.check_cards(bronze_cards(spark, d)))
+
+
+@shared
+def checked_login_table(spark, d) -> DataFrame:
+    return materialize(silver.check_logins(bronze_logins(spark, d)))
+
+
 @shared
 def silver_card_table(spark, d) -> DataFrame:
-    return materialize(silver.silver_cards(bronze_cards(spark, d)))
+    return materialize(silver.silver_from_checked(checked_card_table(spark, d)))
 
 
 @shared
 def silver_login_table(spark, d) -> DataFrame:
-    return materialize(silver.silver_logins(bronze_logins(spark, d)))
+    return materialize(silver.silver_from_checked(checked_login_table(spark, d)))
 
 
 @shared
@@ -117,12 +130,11 @@ def q_silver_card(spark, d):
 
 
 def q_silver_card_quarantine(spark, d):
-    checked = silver.check_cards(bronze_cards(spark, d))
-    return _drop_clock(silver.quarantine(checked, rules.JOB_SILVER_CARD))
+    return _drop_clock(silver.quarantine(checked_card_table(spark, d), rules.JOB_SILVER_CARD))
 
 
 def q_silver_card_counts(spark, d):
-    return silver.run_counts(silver.check_cards(bronze_cards(spark, d)))
+    return silver.run_counts(checked_card_table(spark, d))
 
 
 def q_silver_login(spark, d):
@@ -130,12 +142,11 @@ def q_silver_login(spark, d):
 
 
 def q_silver_login_quarantine(spark, d):
-    checked = silver.check_logins(bronze_logins(spark, d))
-    return _drop_clock(silver.quarantine(checked, rules.JOB_SILVER_LOGIN))
+    return _drop_clock(silver.quarantine(checked_login_table(spark, d), rules.JOB_SILVER_LOGIN))
 
 
 def q_silver_login_counts(spark, d):
-    return silver.run_counts(silver.check_logins(bronze_logins(spark, d)))
+    return silver.run_counts(checked_login_table(spark, d))
 
 
 # --- Gold -------------------------------------------------------------------------
@@ -325,9 +336,8 @@ def q_validate_gold_health(spark, d):
 
 def q_quarantine_listing(spark, d):
     parts = []
-    for bronze, check, job in ((bronze_cards, silver.check_cards, rules.JOB_SILVER_CARD),
-                               (bronze_logins, silver.check_logins, rules.JOB_SILVER_LOGIN)):
-        parts.append(_drop_clock(silver.quarantine(check(bronze(spark, d)), job)))
+    for checked, job in ((checked_card_table, rules.JOB_SILVER_CARD), (checked_login_table, rules.JOB_SILVER_LOGIN)):
+        parts.append(_drop_clock(silver.quarantine(checked(spark, d), job)))
     q = parts[0].unionByName(parts[1])
     return silver.quarantine_listing(q)
 
