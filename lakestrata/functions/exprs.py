@@ -66,21 +66,36 @@ def field_is_nonempty_array(v: Column, field: str) -> Column:
     return F.coalesce(F.size(arr) > 0, F.lit(False))
 
 
+def json_shaped(raw: Column) -> Column:
+    """Text that starts like a JSON object with a double-quoted key (or is
+    empty) and ends with a closing brace."""
+    return raw.rlike(r'^\s*\{\s*["}]') & F.rtrim(raw).endswith("}")
+
+
 def json_keys(raw: Column) -> Column:
     """Keys of a JSON object text (keys with null values included); NULL when
     the text is not a single JSON object. Single-quoted keys and trailing text,
     which Python's json.loads rejects, are rejected too."""
-    shaped = raw.rlike(r'^\s*\{\s*["}]') & F.rtrim(raw).endswith("}")
-    return F.when(shaped, F.json_object_keys(raw))
+    return F.when(json_shaped(raw), F.json_object_keys(raw))
 
 
-def json_fields(raw: Column, fields: Iterable[str], types: dict[str, str] | None = None) -> Column:
+def json_fields(raw: Column, fields: Iterable[str], types: dict[str, str] | None = None,
+                corrupt_column: str | None = None) -> Column:
     """All named fields of a JSON object text in one parse, as text unless a
     type is given (numbers, booleans and nested values keep their JSON text;
-    absent keys and JSON nulls both come out NULL; duplicate keys: last wins)."""
+    absent keys and JSON nulls both come out NULL; duplicate keys: last wins).
+
+    With ``corrupt_column`` the struct gets that extra field, set to the text
+    when it does not parse, and bare NaN/Infinity count as not JSON, as they
+    do for the key-list parser (``json_keys``) it stands in for."""
     types = types or {}
     ddl = ", ".join(f"`{f}` {types.get(f, 'string')}" for f in fields)
-    return F.from_json(raw, ddl, {"allowSingleQuotes": "false"})
+    opts = {"allowSingleQuotes": "false"}
+    if corrupt_column:
+        ddl += f", `{corrupt_column}` string"
+        opts["columnNameOfCorruptRecord"] = corrupt_column
+        opts["allowNonNumericNumbers"] = "false"
+    return F.from_json(raw, ddl, opts)
 
 
 def body_keys(v: Column) -> Column:
