@@ -98,6 +98,33 @@ def json_fields(raw: Column, fields: Iterable[str], types: dict[str, str] | None
     return F.from_json(raw, ddl, opts)
 
 
+CORRUPT = "_corrupt"
+
+
+def parse_object(df, raw: Column, raw_out: str, fields: Iterable[str], required: Iterable[str],
+                 keep: list[Column]):
+    """Parse a JSON object text column into ``_f`` (all ``fields`` as text, plus
+    a corrupt-record field) and ``_keys`` (its key list; NULL when the text is
+    not a JSON object), next to the ``keep`` columns, which must carry the raw
+    text as ``raw_out``.
+
+    The key list only tells a missing key from a null value and costs a second
+    parse, so it is taken only where a required field came out NULL or the
+    parse failed; every other body has all required keys and gets ``required``
+    as its key list. Each step sits behind a Generate (``computed_once``) so
+    that filters on derived columns do not copy the parse into predicates.
+    """
+    required = list(required)
+    parsed = computed_once(df, [json_fields(raw, fields, corrupt_column=CORRUPT).alias("_f"), *keep])
+    f = F.col("_f")
+    needs_keys = f.isNull() | f[CORRUPT].isNotNull()
+    for name in required:
+        needs_keys = needs_keys | f[name].isNull()
+    text = F.col(raw_out)
+    keys = F.when(needs_keys, json_keys(text)).when(json_shaped(text), F.array(*[F.lit(n) for n in required]))
+    return computed_once(parsed, [keys.alias("_keys"), *[F.col(c) for c in parsed.columns]])
+
+
 def body_keys(v: Column) -> Column:
     """Keys of a JSON object body (keys with null values included); NULL when
     the body is not an object."""

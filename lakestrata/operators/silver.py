@@ -10,18 +10,15 @@ winning.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
-from lakestrata.functions.exprs import (computed_once, first_failure, iso_utc, json_fields, json_keys, json_shaped,
-                                        missing_keys, null_or_empty, py_list)
+from lakestrata.functions.exprs import (computed_once, first_failure, iso_utc, missing_keys, null_or_empty,
+                                        parse_object, py_list)
 from lakestrata.sources.bronze import object_key
 
 NOT_OBJECT = "parsed_value must be a JSON object"
-CORRUPT = "_corrupt"
 
 # Tie on (partition, offset) means a redelivered message; the raw text breaks
 # it so reruns pick the same winner.
@@ -52,31 +49,14 @@ def _lineage() -> list[Column]:
 def parse_events(bronze: DataFrame, fields: list[str], prefix: str, required: list[str]) -> DataFrame:
     """Parse each body: all event fields as text (``_f``) and its key list
     (``_keys``, NULL when the body is not a JSON object), next to lineage and
-    raw text.
-
-    The key list is only needed to tell a missing key from a null value, so
-    it is extracted (a second parse) only for bodies where a required field
-    came out NULL or the parse failed; for all other bodies every required key
-    is present and ``_keys`` is the required list. Both steps sit behind a
-    Generate so that later filters on the derived reason do not copy the
-    parse into every predicate.
-    """
-    raw = F.col("raw_value")
-    parsed = computed_once(bronze, [
-        json_fields(raw, fields, corrupt_column=CORRUPT).alias("_f"),
+    raw text (``exprs.parse_object``: key lists only where they matter, each
+    step behind a plan barrier)."""
+    return parse_object(bronze, F.col("raw_value"), "_raw", fields, required, [
         *_lineage(),
         F.col("ingest_date").alias("process_date"),
         F.col("raw_value").alias("_raw"),
         object_key(prefix).alias("_source_object_key"),
     ])
-    f = F.col("_f")
-    needs_keys = reduce(lambda a, b: a | b, [f.isNull(), f[CORRUPT].isNotNull(),
-                                             *[f[name].isNull() for name in required]])
-    return computed_once(parsed, [
-        F.when(needs_keys, json_keys(F.col("_raw")))
-         .when(json_shaped(F.col("_raw")), F.array(*[F.lit(name) for name in required])).alias("_keys"),
-        *[F.col(c) for c in parsed.columns],
-    ])
 
 
 def _f(name: str) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import rules
-from lakestrata.functions.exprs import computed_once, json_fields, json_keys, missing_keys, null_or_empty, py_list
+from lakestrata.functions.exprs import missing_keys, null_or_empty, parse_object, py_list
 from lakestrata.sources.bronze import object_key
 
 
@@ -98,12 +98,10 @@ def check_bronze(bronze: DataFrame, prefix: str = "") -> DataFrame:
     """Envelope checks; a body that is not a JSON object stops the checks of
     that record (G1)."""
     raw = F.col("raw_value")
-    p = computed_once(bronze, [
+    p = parse_object(bronze, raw, "raw_value", BRONZE_EVENT_FIELDS, rules.BRONZE_REQUIRED_EVENT_FIELDS, [
         F.col("ingest_date").alias("process_date"),
         object_key(prefix).alias("source_object_key"),
-        json_keys(raw).alias("_keys"),
-        json_fields(raw, BRONZE_EVENT_FIELDS).alias("_f"),
-        "raw_value", "kafka_topic", "kafka_partition", "kafka_offset"])
+        raw, F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset")])
     f = lambda n: F.col("_f." + n)
     miss = missing_keys(F.col("_keys"), rules.BRONZE_REQUIRED_EVENT_FIELDS)
     no_id = ~reduce(lambda a, b: a | b, [~null_or_empty(f(n)) for n in rules.BRONZE_EVENT_ID_FIELDS])

@@ -275,19 +275,23 @@ def q_dash_ops_messages(spark, d):
 
 # --- validation -------------------------------------------------------------------
 
+@shared
+def checked_bronze(spark, d) -> list:
+    """(topic, G1 errors per Bronze object) for the three topics, stored once
+    for the summary and the failure report."""
+    return [(topic, materialize(validation.check_bronze(b(spark, d), prefix)))
+            for b, prefix, topic in ((bronze_cards, rules.BRONZE_CARD_PREFIX, rules.CARD_TOPIC),
+                                     (bronze_logins, rules.BRONZE_LOGIN_PREFIX, rules.LOGIN_TOPIC),
+                                     (bronze_risks, rules.BRONZE_RISK_PREFIX, rules.RISK_TOPIC))]
+
+
 def q_validate_bronze_failures(spark, d):
-    parts = [validation.failures(validation.check_bronze(b, prefix), ["source_object_key"])
-             for b, prefix in ((bronze_cards(spark, d), rules.BRONZE_CARD_PREFIX),
-                               (bronze_logins(spark, d), rules.BRONZE_LOGIN_PREFIX),
-                               (bronze_risks(spark, d), rules.BRONZE_RISK_PREFIX))]
+    parts = [validation.failures(c, ["source_object_key"]) for _, c in checked_bronze(spark, d)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_validate_bronze(spark, d):
-    parts = [validation.summary(validation.check_bronze(b, prefix), dataset=topic)
-             for b, prefix, topic in ((bronze_cards(spark, d), rules.BRONZE_CARD_PREFIX, rules.CARD_TOPIC),
-                                      (bronze_logins(spark, d), rules.BRONZE_LOGIN_PREFIX, rules.LOGIN_TOPIC),
-                                      (bronze_risks(spark, d), rules.BRONZE_RISK_PREFIX, rules.RISK_TOPIC))]
+    parts = [validation.summary(c, dataset=topic) for topic, c in checked_bronze(spark, d)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
