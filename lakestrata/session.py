@@ -27,6 +27,9 @@ TUNING_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoint files of released frames are deleted, so the shared
+    # checkpoint folder does not grow with every job of a long session.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
