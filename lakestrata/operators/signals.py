@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.exprs import iso_to_ts
+from lakestrata.session import materialize
 
 
 @dataclass(frozen=True)
@@ -51,7 +52,7 @@ _ENTER, _CARD, _LEAVE = 0, 1, 2
 
 
 def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
-                        num_partitions: int | None = None) -> DataFrame:
+                        num_partitions: int | None = None, carry: list[str] | tuple = ()) -> DataFrame:
     """Per card: failed logins, password resets and new devices of the same
     customer with ``card_ts - lookback <= login_ts <= card_ts``.
 
@@ -63,7 +64,12 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     tasks. Running sums are taken within each range partition, and the events
     of the same customer in earlier partitions are added from a
     per-(partition, customer) totals table (one row per partition the customer
-    spans). Cards or logins without a parseable time take part in no window.
+    spans).
+
+    Every card comes out once, with the ``carry`` columns it brought along (so
+    callers need no join back to the cards). A card without a parseable time
+    sorts first for its customer and counts nothing; logins without a time,
+    customer or date take part in no window.
     """
     spark = cards.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -72,8 +78,9 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     names = list(COUNTED_TYPES)
     key = ["process_date", "customer_id"]
 
+    carry = list(carry)
     queries = cards.select(*key, "event_id", micros.alias("_us"), F.lit(_CARD).alias("_tag"),
-                           *[F.lit(0).alias(c) for c in names]).where(F.col("_us").isNotNull())
+                           *[F.lit(0).alias(c) for c in names], *carry)
     # Ties between logins at one instant do not change any sum; their id only
     # helps the range split when a customer bursts at a single instant.
     login_id = F.col("event_id") if "event_id" in logins.columns else F.lit(None).cast("string")
@@ -82,20 +89,25 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
                     F.struct((F.col("_s") + width).alias("_us"), F.lit(_LEAVE).alias("_tag"), F.lit(-1).alias("_d")))
     events = logins.select(*key, login_id.alias("event_id"), micros.alias("_s"),
                            *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()]) \
-        .where(F.col("_s").isNotNull() & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
+        .where(F.col("_s").isNotNull() & F.col("customer_id").isNotNull() & F.col("process_date").isNotNull()
+               & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
         .select(*key, "event_id", *["_is_" + c for c in names], F.inline(edges)) \
         .select(*key, "event_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).alias(c) for c in names])
 
     order = ["_us", "_tag", "event_id"]
-    # An explicit partition count keeps AQE from coalescing this shuffle: both
-    # readers below must see the same partition numbering. Size it like the
-    # job's shuffle partitions (about 128 MB of rows per partition).
-    ranged = queries.unionByName(events).repartitionByRange(n, *key, *order) \
-        .withColumn("_pid", F.spark_partition_id())
+    # Both readers below (running sums and per-partition totals) must see the
+    # same partition numbers. Two plans of the same range shuffle may sample
+    # different bounds, so the numbered stream is stored once (reliable
+    # checkpoint) rather than trusting exchange reuse; task retries then read
+    # the stored numbers too. Size ``n`` like the job's shuffle partitions
+    # (about 128 MB of rows per partition).
+    ranged = materialize(queries.unionByName(events, allowMissingColumns=True)
+                         .repartitionByRange(n, *key, *order).withColumn("_pid", F.spark_partition_id()))
 
     local_w = Window.partitionBy("_pid", *key).orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("_pid", *key, "event_id", "_tag", *[F.sum(c).over(local_w).alias(c) for c in names]) \
+    local = ranged.select("_pid", *key, "event_id", "_tag", *carry,
+                          *[F.sum(c).over(local_w).alias(c) for c in names]) \
         .where(F.col("_tag") == _CARD)
 
     earlier_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -103,24 +115,23 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     offsets = totals.select("_pid", *key, *[F.coalesce(F.sum(c).over(earlier_w), F.lit(0)).alias("_o_" + c)
                                             for c in names])
 
-    return local.join(offsets, ["_pid", *key]).select(
-        *key, "event_id", *[(F.col(c) + F.col("_o_" + c)).cast("bigint").alias(c) for c in names])
+    return local.join(offsets, ["_pid", *key], "left").select(
+        *key, "event_id", *carry,
+        *[(F.col(c) + F.coalesce(F.col("_o_" + c), F.lit(0))).cast("bigint").alias(c) for c in names])
 
 
 def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
                   params: SignalParams = SignalParams()) -> DataFrame:
     """Flags, score (capped at 100) and level for each card authorization
     scoring at least ``params.min_score``."""
-    counts = login_counts_before(cards, logins, params.lookback_seconds)
+    counts = login_counts_before(cards, logins, params.lookback_seconds,
+                                 carry=["transaction_id", "amount", "card_present", "entry_mode"])
     # One row per customer id even if the reference table repeats a key (a
     # primary-key violation the constraint report flags), so the left join
     # can never multiply card rows.
     status = customers.groupBy("customer_id").agg(
         F.bool_or(F.col("customer_status") == "restricted").alias("_restricted"))
-    j = (cards.select("process_date", "event_id", "transaction_id", "customer_id", "amount", "card_present",
-                      "entry_mode")
-         .join(counts, ["process_date", "customer_id", "event_id"], "left")
-         .join(status, "customer_id", "left"))
+    j = counts.join(status, "customer_id", "left")
     flags: list[tuple[str, Column]] = [
         ("high_value_transaction", F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(18,2)")),
         ("card_not_present", F.col("card_present") == F.lit(False)),
