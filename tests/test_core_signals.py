@@ -135,3 +135,23 @@ def test_foreign_key_counts_rows_not_keys(spark):
     parent = spark.createDataFrame([("cust_1",), ("cust_1",), ("cust_3",)], "customer_id string")
     r = core._fk_rule(child, "accounts", "fk", "customer_id", parent, "customer_id").collect()[0]
     assert r["violation_count"] == 51  # 50 rows of the hot missing key + cust_2; NULL passes
+
+
+def test_signal_lookback_untimed_card_and_carry(spark):
+    """A card whose time does not parse still comes out once, counting
+    nothing, with its carried columns; logins without a customer count for
+    no card."""
+    cards = spark.createDataFrame(
+        [("d", "e1", "t1", "cust_1", "not a time", 5.0),
+         ("d", "e2", "t2", "cust_1", "2024-01-02T00:00:00.000000+00:00", 7.0)],
+        "process_date string, event_id string, transaction_id string, customer_id string, event_time string, "
+        "amount double")
+    logins = spark.createDataFrame(
+        [("d", "cust_1", "l1", "2024-01-01T12:00:00.000000+00:00", "login_failed"),
+         ("d", None, "l2", "2024-01-01T12:00:00.000000+00:00", "login_failed")],
+        "process_date string, customer_id string, event_id string, event_time string, event_type string")
+    out = {r["event_id"]: r for r in signals.login_counts_before(cards, logins, 86400, num_partitions=4,
+                                                                  carry=["transaction_id", "amount"]).collect()}
+    assert sorted(out) == ["e1", "e2"]
+    assert (out["e1"]["failed_logins"], out["e1"]["transaction_id"], out["e1"]["amount"]) == (0, "t1", 5.0)
+    assert (out["e2"]["failed_logins"], out["e2"]["transaction_id"]) == (1, "t2")
