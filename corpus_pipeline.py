@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakestrata.llm import quality, secrets
+from lakestrata.llm import quality, secret_scan as scan
 from lakestrata.llm.common import documents, stored
 
 
@@ -15,7 +15,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks every secret; all documents stay."""
-    return secrets.mask_secrets(docs)
+    return scan.mask_secrets(docs)
 
 
 STAGES = [("quality rules", quality_rules), ("secret scans", secret_scan)]

@@ -31,32 +31,13 @@ CACHE = 400_000
 NONE = np.int32(2**31 - 1)
 
 
-class Vocabulary:
-    """Ranks, the hashed table of pairs, and the tokens' bytes end to end."""
+class Merges:
+    """Pairs of ids that merge, by rank, where the rank is the merged token's id.
 
-    def __init__(self, path: str):
-        self.ranks: dict[bytes, int] = {}
-        with open(path, "rb") as lines:
-            for line in lines:
-                if line.strip():
-                    token, rank = line.split()
-                    self.ranks[base64.b64decode(token)] = int(rank)
-        size = max(self.ranks.values()) + 1
-        tokens = [b""] * size
-        for token, rank in self.ranks.items():
-            tokens[rank] = token
-        self.sizes = np.array([len(t) for t in tokens], np.int64)
-        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
-        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
-        self.known = np.zeros(size, bool)
-        self.known[list(self.ranks.values())] = True
-        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
-        pairs = {}
-        for token, rank in self.ranks.items():
-            for cut in range(1, len(token)):
-                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
-                if a is not None and b is not None:
-                    pairs[a << 32 | b] = rank
+    ``of_byte`` has the id of each byte, ``of_last`` that of a piece's last byte."""
+
+    def __init__(self, pairs: dict[int, int], of_byte: np.ndarray, of_last: np.ndarray, whole: dict[bytes, int]):
+        self.pairs, self.of_byte, self.of_last, self.whole = pairs, of_byte, of_last, whole
         self._hash_pairs(np.fromiter(pairs, np.uint64, len(pairs)), np.fromiter(pairs.values(), np.int32, len(pairs)))
 
     def _hash_pairs(self, keys: np.ndarray, ranks: np.ndarray) -> None:
@@ -101,9 +82,11 @@ class Vocabulary:
         out: list[bytes] = [b""] * len(pieces)
         by_length: dict[int, list[int]] = {}
         for i, piece in enumerate(pieces):
-            rank = self.ranks.get(piece)
+            rank = self.whole.get(piece)
             if rank is not None:
                 out[i] = np.int32(rank).tobytes()
+            elif len(piece) == 1:
+                out[i] = self.of_last[piece[0]].tobytes()
             elif len(piece) > WIDE:
                 out[i] = self._by_heap(piece)
             else:
@@ -119,6 +102,7 @@ class Vocabulary:
         text = b"".join(pieces[i].ljust(width, b"\0") for i in rows)
         ids = self.of_byte[np.frombuffer(text, np.uint8)].reshape(len(rows), width)
         used = np.array([len(pieces[i]) for i in rows])
+        ids[np.arange(len(rows)), used - 1] = self.of_last[[pieces[i][-1] for i in rows]]
         which = np.array(rows)
         cells = np.arange(width - 1)
         ranks = self.pair_ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), width - 1)
@@ -150,16 +134,16 @@ class Vocabulary:
 
     def _by_heap(self, piece: bytes) -> bytes:
         ids = self.of_byte[np.frombuffer(piece, np.uint8)]
+        ids[-1] = self.of_last[piece[-1]]
         first = self.pair_ranks(ids[:-1], ids[1:])
         ids, n = ids.tolist(), len(piece)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(int(first[i]), i, ids[i], ids[i + 1]) for i in np.flatnonzero(first != NONE).tolist()]
         heapq.heapify(heap)
-        tokens = self.token
 
         def push(i: int) -> None:
             j = after[i]
-            rank = self.ranks.get(tokens(ids[i]) + tokens(ids[j]))
+            rank = self.pairs.get(ids[i] << 32 | ids[j])
             if rank is not None:
                 heapq.heappush(heap, (rank, i, ids[i], ids[j]))
 
@@ -177,9 +161,33 @@ class Vocabulary:
                 push(before[i])
         return np.array([x for x in ids if x >= 0], np.int32).tobytes()
 
-    def token(self, rank: int) -> bytes:
-        at = int(self.starts[rank])
-        return self.flat[at : at + int(self.sizes[rank])].tobytes()
+class Vocabulary(Merges):
+    """A file of ranks: its merges, and the tokens' bytes end to end."""
+
+    def __init__(self, path: str):
+        self.ranks: dict[bytes, int] = {}
+        with open(path, "rb") as lines:
+            for line in lines:
+                if line.strip():
+                    token, rank = line.split()
+                    self.ranks[base64.b64decode(token)] = int(rank)
+        size = max(self.ranks.values()) + 1
+        tokens = [b""] * size
+        for token, rank in self.ranks.items():
+            tokens[rank] = token
+        self.sizes = np.array([len(t) for t in tokens], np.int64)
+        self.starts = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.known = np.zeros(size, bool)
+        self.known[list(self.ranks.values())] = True
+        of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int32)
+        pairs = {}
+        for token, rank in self.ranks.items():
+            for cut in range(1, len(token)):
+                a, b = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = rank
+        super().__init__(pairs, of_byte, of_byte, self.ranks)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' bytes end to end; an unknown id is an error."""

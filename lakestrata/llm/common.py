@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +19,30 @@ from lakestrata.session import checkpoint_dir
 BLANKS = r"[\x20\x09-\x0D]"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once an application: they need
+    not have it installed."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="lakestrata-code-"))
+    path = os.path.join(folder, "lakestrata-code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for base, _, names in os.walk(top):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(base, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
@@ -30,15 +57,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     what lies before."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with released_shuffles(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete a job's shuffle files when the job has ended, not only
-    when the driver collects its garbage; every stage here ends in a stored
-    table, so nothing reads them again."""
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+@contextmanager
+def released_shuffles(spark: SparkSession):
+    """Jobs run inside delete their shuffle files when they have ended, not only
+    when the driver collects its garbage. For jobs that end in a stored table,
+    so that nothing reads those files again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
 def rowwise(df: DataFrame, make: Callable[[], Callable[[str], tuple]], schema: str, id_col: str = "doc_id",

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, quality, secrets
+from lakestrata.llm import bpe, packing, quality, secret_scan
 from lakestrata.llm.common import base_spans, documents, sha_of, span_count, span_text
 
 try:
@@ -30,9 +30,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by sliding-window entropy."""
     spans = F.col("spans")
-    base = base_spans(spans, secrets.BASE_KINDS)
-    return secrets.find_secrets(documents(spark, sf_dir)).select(
-        "doc_id", *[span_count(spans, k).alias(f"n_{k}") for k in secrets.BASE_KINDS],
+    base = base_spans(spans, secret_scan.BASE_KINDS)
+    return secret_scan.find_secrets(documents(spark, sf_dir)).select(
+        "doc_id", *[span_count(spans, k).alias(f"n_{k}") for k in secret_scan.BASE_KINDS],
         sha_of(span_text(base)).alias("base_sha256"), span_text(spans).alias("spans"))
 
 
@@ -46,4 +46,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.bpe_decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_secret_scan, op6_bpe)}
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids packed into sequences of at most 4096."""
+    cut = packing.pieces(documents(spark, sf_dir), _vocabulary_path("word_bpe_49k.json"))
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_secret_scan, op6_bpe, op10_best_fit_packing)}
