@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, packing, quality, secret_scan
+from lakestrata.llm import bpe, fm_dedup, packing, quality, secret_scan, suffix_dedup
 from lakestrata.llm.common import base_spans, documents, sha_of, span_count, span_text
 
 try:
@@ -27,6 +27,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that an earlier document has, removed."""
+    return fm_dedup.dedup_words_digest(documents(spark, sf_dir))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by sliding-window entropy."""
     spans = F.col("spans")
@@ -46,10 +51,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.bpe_decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 50 bytes that an earlier document has, removed."""
+    return suffix_dedup.dedup_bytes_digest(documents(spark, sf_dir))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids packed into sequences of at most 4096."""
     cut = packing.pieces(documents(spark, sf_dir), _vocabulary_path("word_bpe_49k.json"))
     return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_secret_scan, op6_bpe, op10_best_fit_packing)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op3_substring_dedup, op5_secret_scan, op6_bpe, op9_suffix_dedup, op10_best_fit_packing)}
