@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakestrata.llm import quality, secret_scan as scan
-from lakestrata.llm.common import documents, stored
+from lakestrata.llm import fm_dedup, minhash, packing, quality, secret_scan
+from lakestrata.llm.common import documents, stored, vocabulary_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,14 +14,36 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document, that of the smallest id, of each group of near-duplicates."""
+    return minhash.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Removes passages of 50 words that an earlier document has; all documents stay."""
+    return fm_dedup.dedup_words(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks every secret; all documents stay."""
-    return scan.mask_secrets(docs)
+    return secret_scan.mask_secrets(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sequences of at most 4096 tokens: a row for each piece of a document."""
+    cut = packing.pieces(docs, vocabulary_path("word_bpe_49k.json"))
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-STAGES = [("quality rules", quality_rules), ("secret scans", secret_scan)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("substring dedup", substring_dedup),
+    ("secret scans", secret_scans),
+    ("best-fit packing", best_fit_packing),
+]
 
-#: Several stages cannot be expressed in SQL.
+#: Near-duplicate search and packing cannot be expressed in SQL; see tests/llm/test_pipeline.py.
 ORACLE_SQL = None
 
 
@@ -28,5 +51,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over ``documents``, each written as Parquet and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs = stored(stage(spark, docs, sf_dir), name.lower().replace(" ", "-"))
     return docs

@@ -46,6 +46,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def vocabulary_path(name: str) -> str:
+    """Where the installed vocabulary files have ``name``."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def piece_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once per row."""
     return F.element_at(F.transform(F.array(value), body), 1)

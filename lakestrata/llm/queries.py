@@ -6,20 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, packing, quality, secret_scan, suffix_dedup
-from lakestrata.llm.common import base_spans, documents, sha_of, span_count, span_text
-
-try:
-    import public_tokenizers
-except ImportError:  # the vocabulary files are not part of this repository
-    public_tokenizers = None
-
-
-def _vocabulary_path(name: str) -> str:
-    if public_tokenizers is None:
-        raise RuntimeError("the vocabulary files (public_tokenizers) are not installed")
-    return public_tokenizers.path(name)
-
+from lakestrata.llm import bpe, fm_dedup, minhash, packing, quality, secret_scan, suffix_dedup
+from lakestrata.llm.common import base_spans, documents, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, the base rule and the verdict of the table of thresholds."""
@@ -43,14 +31,19 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text encoded to ids and decoded back."""
-    path = _vocabulary_path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe.bpe_encode(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+    path = vocabulary_path("byte_bpe_multi_50k.tiktoken")
+    ids = bpe.bpe_encode(documents(spark, sf_dir), path, piece_pattern())
     return ids.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         sha_of(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         F.sha2(bpe.bpe_decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of near-duplicates, named by its smallest id."""
+    return minhash.classes(documents(spark, sf_dir))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of 50 bytes that an earlier document has, removed."""
     return suffix_dedup.dedup_bytes_digest(documents(spark, sf_dir))
@@ -58,9 +51,9 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's ids packed into sequences of at most 4096."""
-    cut = packing.pieces(documents(spark, sf_dir), _vocabulary_path("word_bpe_49k.json"))
+    cut = packing.pieces(documents(spark, sf_dir), vocabulary_path("word_bpe_49k.json"))
     return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op3_substring_dedup, op5_secret_scan, op6_bpe, op9_suffix_dedup, op10_best_fit_packing)}
+    op1_quality_rules, op3_substring_dedup, op5_secret_scan, op6_bpe, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}

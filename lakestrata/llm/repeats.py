@@ -183,17 +183,18 @@ def order_key(id_col: str) -> Column:
 
 
 def distinct_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pack, digests, ids, texts) of the distinct texts and their smallest ids."""
+    """(pack, digests, ids, texts, copies) of the distinct texts, their smallest ids
+    and the number of rows that have each."""
     rows = docs.select(digest(F.col(text_col)).alias("digest"), order_key(id_col).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
-    texts = rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("text").alias("text"))
+    texts = rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("text").alias("text"), F.count("*").alias("copies"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 33, [], 0
 
         def pack():
-            cols = [pa.array([list(c)], pa.list_(t)) for c, t in zip(zip(*held, strict=True), (pa.binary(), pa.int64(), pa.binary()), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *cols], ["pack", "digests", "ids", "texts"])
+            cols = [pa.array([list(c)], pa.list_(t)) for c, t in zip(zip(*held, strict=True), (pa.binary(), pa.int64(), pa.binary(), pa.int64()), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *cols], ["pack", "digests", "ids", "texts", "copies"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -206,7 +207,7 @@ def distinct_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if held:
             yield pack()
 
-    return texts.mapInArrow(run, "pack long, digests array<binary>, ids array<long>, texts array<binary>")
+    return texts.mapInArrow(run, "pack long, digests array<binary>, ids array<long>, texts array<binary>, copies array<long>")
 
 
 def each_pack(df: DataFrame, fn: Callable[[dict], Iterable[tuple]], schema: str) -> DataFrame:
@@ -393,7 +394,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     size = packs.select(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t)))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size * kind.density / 750_000) + 1)
 
-    asked = each_pack(packs, lambda p: ask(p, kind, buckets), "bucket long, pack long, entries binary")
+    asked = each_pack(packs.select("pack", "ids", "texts"), lambda p: ask(p, kind, buckets), "bucket long, pack long, entries binary")
     answers = stored(asked.groupBy("bucket").applyInPandas(answer, "pack long, bucket long, flags binary"), "repeats-answers")
     by_pack = answers.groupBy("pack").agg(F.array_sort(F.collect_list(F.struct("bucket", "flags"))).alias("answers"))
     contested = stored(each_pack(packs.select("pack", "ids", "texts").join(by_pack, "pack"), lambda p: contest(p, kind, buckets), "shard long, pack long, blob binary"), "repeats-contested")
@@ -404,7 +405,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     def finish(pack: dict) -> Iterator[tuple]:
         return keep(pack["digests"], pack["ids"], pack["texts"], pack["blobs"] or [])
 
-    result = each_pack(packs.join(spans, "pack", "left"), finish, "digest binary, id long, n_tokens long, n_removed long, n_spans long, kept binary")
+    result = each_pack(packs.drop("copies").join(spans, "pack", "left"), finish, "digest binary, id long, n_tokens long, n_removed long, n_spans long, kept binary")
     return result
 
 
