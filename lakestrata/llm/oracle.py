@@ -1,3 +1,20 @@
 """DuckDB SQL for the queries of this package that SQL can express."""
 
 SQL: dict[str, str] = {}
+
+SQL["op2_exact_top_k"] = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS uid,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, q.uid AS q_uid, d.vec_id AS vec_id, d.uid AS uid,
+         CAST(list_inner_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.uid <> d.uid
+  WHERE q.vec_id % 50 = 0),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY q_uid ORDER BY score DESC, vec_id, uid) AS rk FROM s)
+SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 5
+"""

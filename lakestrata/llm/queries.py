@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, minhash, packing, quality, secret_scan, suffix_dedup
-from lakestrata.llm.common import base_spans, documents, piece_pattern, sha_of, span_count, span_text, vocabulary_path
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, quality, secret_scan, suffix_dedup
+from lakestrata.llm.common import base_spans, documents, embeddings, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, the base rule and the verdict of the table of thresholds."""
@@ -15,6 +15,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector, by integer inner product."""
+    return knn.top_k(embeddings(spark, sf_dir), F.col("vec_id") % 50 == 0)
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has, removed."""
     return fm_dedup.dedup_words_digest(documents(spark, sf_dir))
@@ -56,4 +61,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op3_substring_dedup, op5_secret_scan, op6_bpe, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
+    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op5_secret_scan, op6_bpe, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
