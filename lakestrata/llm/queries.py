@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, quality, secret_scan, suffix_dedup
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, quality, secret_scan, suffix_dedup
 from lakestrata.llm.common import base_spans, documents, embeddings, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +44,15 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.bpe_decode(F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data by fixed patterns and by weakly supervised span classification."""
+    spans = F.col("spans")
+    base = base_spans(spans, pii.BASE_KINDS)
+    return pii.find_personal_data(documents(spark, sf_dir)).select(
+        "doc_id", *[span_count(spans, k).alias(f"n_{k}") for k in pii.BASE_KINDS],
+        sha_of(span_text(base)).alias("base_sha256"), span_text(spans).alias("spans"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of near-duplicates, named by its smallest id."""
     return minhash.classes(documents(spark, sf_dir))
@@ -61,4 +70,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op5_secret_scan, op6_bpe, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
+    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
