@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, quality, secret_scan, suffix_dedup
-from lakestrata.llm.common import base_spans, documents, embeddings, piece_pattern, sha_of, span_count, span_text, vocabulary_path
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, quality, secret_scan, suffix_dedup, toxicity
+from lakestrata.llm.common import base_spans, documents, embeddings, labels, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, the base rule and the verdict of the table of thresholds."""
@@ -25,6 +25,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fm_dedup.dedup_words_digest(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probabilities along the chain, and whether it is toxic."""
+    chain = {"junk": F.col("quality") == 0, "toxic": F.col("toxic") == 1, "toxic_junk": (F.col("toxic") == 1) & (F.col("quality") == 0)}
+    found = toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir), chain)
+    return found.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets by fixed patterns and by sliding-window entropy."""
     spans = F.col("spans")
@@ -70,4 +77,4 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
+    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op4_toxicity, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
