@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.exprs import iso_to_ts, iso_utc
 
-HEALTH_COLUMNS = ["run_id", "job_name", "status", "process_date", "records_read", "records_written",
-                  "records_rejected", "started_at", "finished_at", "duration_seconds", "input_prefix",
-                  "output_prefix", "error_message", "gold_processed_time"]
-
-
 def pipeline_health(audit: DataFrame) -> DataFrame:
     """One health row per audit run, with the run time in seconds (3 digits)."""
     micros = F.unix_micros(iso_to_ts(F.col("finished_at"))) - F.unix_micros(iso_to_ts(F.col("started_at")))
@@ -32,6 +27,20 @@ def latest_per_job(health: DataFrame) -> DataFrame:
     return health.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
-def failed_runs(audit: DataFrame) -> DataFrame:
-    """Audit runs whose status is not success (the listing's failure gate)."""
-    return audit.where(F.coalesce(F.col("status"), F.lit("unknown")) != "success")
+def run_listing(runs: DataFrame, process_date: str | None = None, job_name: str | None = None) -> DataFrame:
+    """Audit or health rows of a date and job as the listings show them (F7, F8):
+    sorted by finish time and run id, with ``is_failure`` as the listing's gate."""
+    picked = runs
+    if process_date is not None:
+        picked = picked.where(F.col("process_date") == process_date)
+    if job_name is not None:
+        picked = picked.where(F.col("job_name") == job_name)
+    failed = F.coalesce(F.col("status"), F.lit("unknown")) != "success"
+    return picked.select("process_date", "run_id", "job_name", "status", "records_read", "records_written",
+                         "records_rejected", "finished_at", failed.alias("is_failure")).orderBy(
+        iso_to_ts(F.col("finished_at")), "run_id")
+
+
+def has_failures(listing: DataFrame) -> bool:
+    """Whether a listing must end with an error: some listed run failed."""
+    return not listing.where("is_failure").isEmpty()

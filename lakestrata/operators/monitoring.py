@@ -35,9 +35,10 @@ def _zero(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c)
 
 
-def metrics(latest_health: DataFrame, tx: DataFrame, cases: DataFrame) -> DataFrame:
+def metrics(latest_health: DataFrame, tx: DataFrame, cases: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """One row per process date with health (D5), transaction (D6) and fraud
-    (D7) metrics. Each input is aggregated to one row per date first; the
+    (D7) metrics; dates of ``dates`` (``process_date``) without any rows are
+    counted as empty, so that their absence is found. Each input is aggregated to one row per date first; the
     three small results are combined with a union and a second aggregate,
     not a join."""
     st = F.coalesce(F.col("status"), F.lit("unknown"))
@@ -62,7 +63,7 @@ def metrics(latest_health: DataFrame, tx: DataFrame, cases: DataFrame) -> DataFr
         F.count_if(m.isNull() | (m == "")).alias("unmatched_merchants"),
         F.count_if(F.col("risk_level").isin(*rules.HIGH_RISK_LEVELS)).alias("high_risk"),
         F.sum(F.coalesce("failed_login_count", F.lit(0))).alias("failed_logins"))
-    parts = [h, t, raw, u]
+    parts = [h, t, raw, u] + ([dates.select("process_date")] if dates is not None else [])
     cols = [c for p in parts for c in p.columns if c != "process_date"]
     allc = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     g = allc.groupBy("process_date").agg(*[F.max(c).alias(c) for c in cols])
@@ -159,6 +160,13 @@ def alerts(finding_rows: DataFrame, status_rows: DataFrame, channel: str = rules
         "finding_order", "job_name")
 
 
+def first_alerts(summary_rows: DataFrame, lines: int = rules.DASHBOARD_ALERT_LINES) -> DataFrame:
+    """The first alerts of each date in rule order, a row each, as the dashboard
+    shows them (F6)."""
+    return summary_rows.select("process_date", F.posexplode(F.slice("alerts", 1, lines)).alias("position", "a")).select(
+        "process_date", (F.col("position") + 1).alias("position"), "a.alert_id", "a.severity", "a.rule_id", "a.message")
+
+
 def alert_summary(alert_rows: DataFrame, status_rows: DataFrame,
                   channel: str = rules.DEFAULT_ALERT_CHANNEL) -> DataFrame:
     """Per date: alert counts and the alert list in rule order.

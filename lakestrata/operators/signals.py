@@ -29,7 +29,6 @@ class SignalParams:
     lookback_seconds: int = 86400
     high_value_amount: str = "50000.00"
     min_failed_logins: int = 2
-    min_score: int = 30
     weights: dict = field(default_factory=lambda: {
         "high_value_transaction": 20,
         "card_not_present": 10,
@@ -59,7 +58,7 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     Exact distributed running sums, no pairs: every login adds +1 when it
     happens and -1 once the look-back has passed, so the count for a card is
     the running sum of the customer's events at the card's time. Events and
-    cards are range-partitioned on (date, customer, time, tag, id), a total
+    cards are range-partitioned on (customer, time, tag, id), a total
     order, so a customer holding any share of the rows is spread over many
     tasks. Running sums are taken within each range partition, and the events
     of the same customer in earlier partitions are added from a
@@ -68,17 +67,19 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
 
     Every card comes out once, with the ``carry`` columns it brought along (so
     callers need no join back to the cards). A card without a parseable time
-    sorts first for its customer and counts nothing; logins without a time,
-    customer or date take part in no window.
+    sorts first for its customer and counts nothing; logins without a time or
+    customer take part in no window. Pass the logins of the days before the
+    cards' as well.
     """
     spark = cards.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = lookback_seconds * 1_000_000
     micros = F.unix_micros(iso_to_ts(F.col("event_time")))
     names = list(COUNTED_TYPES)
-    key = ["process_date", "customer_id"]
+    # business dates do not part the stream: a look-back runs over midnight
+    key = ["customer_id"]
 
-    carry = list(carry)
+    carry = ["process_date", *carry]
     queries = cards.select(*key, "event_id", micros.alias("_us"), F.lit(_CARD).alias("_tag"),
                            *[F.lit(0).alias(c) for c in names], *carry)
     # Ties between logins at one instant do not change any sum; their id only
@@ -89,7 +90,7 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
                     F.struct((F.col("_s") + width).alias("_us"), F.lit(_LEAVE).alias("_tag"), F.lit(-1).alias("_d")))
     events = logins.select(*key, login_id.alias("event_id"), micros.alias("_s"),
                            *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()]) \
-        .where(F.col("_s").isNotNull() & F.col("customer_id").isNotNull() & F.col("process_date").isNotNull()
+        .where(F.col("_s").isNotNull() & F.col("customer_id").isNotNull()
                & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
         .select(*key, "event_id", *["_is_" + c for c in names], F.inline(edges)) \
         .select(*key, "event_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).alias(c) for c in names])
@@ -122,8 +123,7 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
 
 def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
                   params: SignalParams = SignalParams()) -> DataFrame:
-    """Flags, score (capped at 100) and level for each card authorization
-    scoring at least ``params.min_score``."""
+    """Flags, score (at most 100) and level for every card authorization."""
     counts = login_counts_before(cards, logins, params.lookback_seconds,
                                  carry=["transaction_id", "amount", "card_present", "entry_mode"])
     # One row per customer id even if the reference table repeats a key (a
@@ -133,7 +133,7 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
         F.bool_or(F.col("customer_status") == "restricted").alias("_restricted"))
     j = counts.join(status, "customer_id", "left")
     flags: list[tuple[str, Column]] = [
-        ("high_value_transaction", F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(18,2)")),
+        ("high_value_transaction", F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(28,2)")),
         ("card_not_present", F.col("card_present") == F.lit(False)),
         ("manual_keyed", F.col("entry_mode") == "manual_keyed"),
         ("multiple_failed_logins", F.col("failed_logins") >= params.min_failed_logins),
@@ -152,4 +152,4 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
                    *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x)
                      for x in ["failed_logins", "password_resets", "new_devices"]],
                    names.alias("rule_flags"), score.cast("int").alias("signal_score"))
-    return out.withColumn("risk_level", level).where(F.col("signal_score") >= params.min_score)
+    return out.withColumn("risk_level", level)

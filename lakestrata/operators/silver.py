@@ -27,10 +27,22 @@ def last_delivery() -> list[Column]:
 
 
 def parse_amount(text: Column) -> Column:
-    """Amount text -> decimal(18,2) rounded half-even; NULL when unparseable
-    (also NaN, infinity and values of 10^16 or more)."""
-    exact = F.trim(text).try_cast("decimal(38,18)")
-    return F.bround(exact, 2).try_cast("decimal(18,2)")
+    """Amount text -> decimal(28,2) rounded half-even; NULL when it is no
+    number, or one that does not fit.
+
+    The text is read with as many decimal places as its size leaves room for:
+    18 below 10^20, 10 below 10^28."""
+    t = F.trim(text)
+    fine, coarse = t.try_cast("decimal(38,18)"), t.try_cast("decimal(38,10)")
+    return F.coalesce(F.bround(fine, 2).try_cast("decimal(28,2)"), F.bround(coarse, 2).try_cast("decimal(28,2)"))
+
+
+def amount_reason(text: Column) -> Column:
+    """Why an amount is rejected; a number that does not fit is told apart from
+    text that is no number."""
+    number = F.trim(text).rlike(r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z")
+    return F.when(parse_amount(text).isNull(),
+                  F.concat(F.when(number, F.lit("amount out of range: ")).otherwise(F.lit("invalid amount: ")), text))
 
 
 CARD_FIELDS = rules.CARD_REQUIRED_FIELDS[:13] + ["merchant_city"] + rules.CARD_REQUIRED_FIELDS[13:]
@@ -46,14 +58,16 @@ def _lineage() -> list[Column]:
             F.col("bronze_ingest_time")]
 
 
-def parse_events(bronze: DataFrame, fields: list[str], prefix: str, required: list[str]) -> DataFrame:
+def parse_events(bronze: DataFrame, fields: list[str], prefix: str, required: list[str],
+                 process_date: str | None = None) -> DataFrame:
     """Parse each body: all event fields as text (``_f``) and its key list
     (``_keys``, NULL when the body is not a JSON object), next to lineage and
     raw text (``exprs.parse_object``: key lists only where they matter, each
-    step behind a plan barrier)."""
+    step behind a plan barrier). The business date is ``process_date``, or the
+    date the message landed under; the object key always has the latter."""
     return parse_object(bronze, F.col("raw_value"), "_raw", fields, required, [
         *_lineage(),
-        F.col("ingest_date").alias("process_date"),
+        (F.lit(process_date) if process_date else F.col("ingest_date")).alias("process_date"),
         F.col("raw_value").alias("_raw"),
         object_key(prefix).alias("_source_object_key"),
     ])
@@ -81,7 +95,8 @@ def card_reason() -> Column:
         F.when(currency != rules.CARD_ALLOWED_CURRENCY, F.concat(F.lit("unsupported currency: "), currency)),
         F.when(~status.isin(*rules.CARD_ALLOWED_STATUSES),
                F.concat(F.lit("unsupported authorization_status: "), status)),
-        F.when(parse_amount(amount).isNull(), F.concat(F.lit("invalid amount: "), amount)),
+        amount_reason(amount),
+        F.when(~_f("card_present").isin("true", "false"), F.concat(F.lit("invalid card_present: "), _f("card_present"))),
     )
 
 
@@ -100,9 +115,9 @@ TAIL = ["bronze_kafka_topic", "bronze_kafka_partition", "bronze_kafka_offset", "
         "process_date"]
 
 
-def check_cards(bronze: DataFrame) -> DataFrame:
+def check_cards(bronze: DataFrame, process_date: str | None = None) -> DataFrame:
     """Bronze card envelope -> typed candidate rows with ``rejection_reason``."""
-    p = parse_events(bronze, CARD_FIELDS, rules.BRONZE_CARD_PREFIX, rules.CARD_REQUIRED_FIELDS)
+    p = parse_events(bronze, CARD_FIELDS, rules.BRONZE_CARD_PREFIX, rules.CARD_REQUIRED_FIELDS, process_date)
     cols = []
     for f in CARD_FIELDS:
         if f == "amount":
@@ -114,9 +129,9 @@ def check_cards(bronze: DataFrame) -> DataFrame:
     return p.select(*cols, *TAIL, card_reason().alias("rejection_reason"), "_raw", "_source_object_key")
 
 
-def check_logins(bronze: DataFrame) -> DataFrame:
+def check_logins(bronze: DataFrame, process_date: str | None = None) -> DataFrame:
     """Bronze login envelope -> typed candidate rows with ``rejection_reason``."""
-    p = parse_events(bronze, LOGIN_FIELDS, rules.BRONZE_LOGIN_PREFIX, rules.LOGIN_REQUIRED_FIELDS)
+    p = parse_events(bronze, LOGIN_FIELDS, rules.BRONZE_LOGIN_PREFIX, rules.LOGIN_REQUIRED_FIELDS, process_date)
     return p.select(*[_f(f).alias(f) for f in LOGIN_FIELDS], *TAIL,
                     login_reason().alias("rejection_reason"), "_raw", "_source_object_key")
 
@@ -168,15 +183,26 @@ def quarantine(checked: DataFrame, job_name: str, source_bucket: str = rules.BRO
     )
 
 
+#: The quarantine prefix that each job writes under.
+QUARANTINE_PREFIXES = {rules.JOB_SILVER_CARD: rules.QUARANTINE_CARD_PREFIX,
+                       rules.JOB_SILVER_LOGIN: rules.QUARANTINE_LOGIN_PREFIX}
+
+
+def quarantine_prefix() -> Column:
+    """The quarantine prefix of a record's job; the job's own name if it has none."""
+    known = F.create_map(*[F.lit(x) for item in QUARANTINE_PREFIXES.items() for x in item])
+    return F.coalesce(known[F.col("job_name")], F.col("job_name"))
+
+
 def quarantine_listing(quarantine_rows: DataFrame, prefix: str | None = None,
                        process_date: str | None = None) -> DataFrame:
-    """Quarantine records of a job prefix and date: job, date, reason and the
-    full source path (F9)."""
+    """Quarantine records below a quarantine prefix (the job's) and date: job,
+    date, reason and the full source path (F9)."""
     q = quarantine_rows
     if process_date is not None:
         q = q.where(F.col("process_date") == process_date)
     if prefix is not None:
-        q = q.where(F.col("source_object_key").startswith(prefix))
+        q = q.where(quarantine_prefix().startswith(prefix))
     return q.select("job_name", "process_date", "rejection_reason",
                     F.concat(F.lit("s3://"), F.col("source_bucket"), F.lit("/"),
                              F.col("source_object_key")).alias("source_path"))

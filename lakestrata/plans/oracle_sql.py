@@ -160,10 +160,10 @@ login_silver AS (
 RISK_CTE = f"""
 risk_o AS (
   SELECT o_orderkey AS ok, o_custkey AS ck, o_orderstatus AS st, o_orderdate AS od, 1 AS copy
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000
+  FROM orders
   UNION ALL
   SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, 2
-  FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000 AND o_orderkey % 5 = 0
+  FROM orders WHERE o_orderkey % 5 = 0
 ),
 risk_f AS (
   SELECT *,
@@ -180,7 +180,7 @@ risk_g AS (
       WHEN risk_score >= 50 THEN 'medium' ELSE 'low' END AS risk_level,
     CASE WHEN ok % 13 = 0 THEN '' WHEN st = 'P' THEN 'high_value_transaction,pending_order'
       ELSE 'high_value_transaction' END AS rule_flags,
-    'Urgent order with a total above 300000.' AS explanation,
+    'Order reviewed by the risk engine.' AS explanation,
     'evt_card_auth_' || ok || '_1' AS source_events,
     ok % 29 = 0 AS not_object,
     CAST(ck % 6 AS INTEGER) AS kafka_partition,
@@ -615,7 +615,7 @@ SELECT '""" + FIXTURE_DATE + """' AS process_date, event_id, transaction_id, cus
   password_resets, new_devices, rule_flags, signal_score,
   CASE WHEN signal_score >= 70 THEN 'high' WHEN signal_score >= 50 THEN 'medium_high'
     WHEN signal_score >= 30 THEN 'medium' ELSE 'low' END AS risk_level
-FROM scored WHERE signal_score >= 30"""
+FROM scored"""
 
 HEALTH_BAD = "records_read < 0 OR records_written < 0 OR records_rejected < 0 OR duration_seconds < 0"
 

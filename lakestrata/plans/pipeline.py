@@ -4,16 +4,18 @@ orchestrated partition run).
 Storage layout under one root (shared storage on a cluster):
 
     bronze/<topic>/ingest_date=D/             parquet, append-only
-    silver/card|login/process_date=D/         parquet, dynamic partition overwrite
+    silver/card|login/process_date=D/         parquet, replaced by a run
     quarantine/process_date=D/                parquet, append
     gold/tx|fraud|health|health_latest/process_date=D/
     audit/process_date=D/                     one row per job run, append
     monitoring/metrics|findings|status|summary/process_date=D/
     monitoring/alert_history/process_date=D/  append (not de-duplicated across reruns)
 
-A job whose result is empty records a failed audit row and leaves the old
-partition in place; otherwise it overwrites only its own date partition, so a
-rerun of a date replaces that date and nothing else.
+A Silver or Gold job whose result is empty records a failed audit row, leaves
+the old partition in place and stops the run. Every other partition is replaced
+by name, so an empty result (no findings on a healthy day) clears what an
+earlier run left. A partition that was never written reads as an empty table
+with the schema of its operator.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import types as T
 from lakestrata.functions import rules
 from lakestrata.operators import gold, health, marts, monitoring, silver, validation
 from lakestrata.session import configure
+from lakestrata.sources.bronze import ENVELOPE_SCHEMA
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()), T.StructField("job_name", T.StringType()),
@@ -59,9 +62,10 @@ class Layout:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
-def write_partition(df: DataFrame, path: str) -> None:
-    """Overwrite only the date partitions present in ``df``."""
-    df.write.mode("overwrite").partitionBy("process_date").parquet(path)
+def write_partition(df: DataFrame, path: str, process_date: str) -> None:
+    """Replace one date's partition by name, also by no rows at all."""
+    df.where(F.col("process_date") == process_date).drop("process_date") \
+        .write.mode("overwrite").parquet(f"{path}/process_date={process_date}")
 
 
 def append_partition(df: DataFrame, path: str) -> None:
@@ -82,40 +86,83 @@ def write_audit(spark: SparkSession, layout: Layout, job_name: str, status: str,
     return rec
 
 
-def _read(spark: SparkSession, path: str, process_date: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("process_date") == process_date)
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_dated(spark: SparkSession, path: str, schema: T.StructType, column: str, date: str) -> DataFrame:
+    """One date's partition of a table, by an explicit schema; a partition that
+    does not exist is an empty table (A7)."""
+    data = T.StructType([f for f in schema.fields if f.name != column])
+    folder = f"{path}/{column}={date}"
+    df = spark.read.schema(data).parquet(folder) if _exists(spark, folder) else spark.createDataFrame([], data)
+    return df.withColumn(column, F.lit(date))
+
+
+def table_schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """The schema of every table, taken from its operator on empty inputs (no job runs)."""
+    bronze = spark.createDataFrame([], ENVELOPE_SCHEMA)
+    cards, logins = silver.silver_cards(bronze), silver.silver_logins(bronze)
+    tx = gold.transaction_monitoring(cards)
+    cases = gold.fraud_cases(cards, logins, gold.risk_events(bronze))
+    history = health.pipeline_health(spark.createDataFrame([], AUDIT_SCHEMA))
+    latest = health.latest_per_job(history)
+    m = monitoring.metrics(latest, tx, cases)
+    f = monitoring.findings(m, latest)
+    st = monitoring.status(m, f)
+    frames = {"silver/card": cards, "silver/login": logins, "gold/tx": tx, "gold/fraud": cases, "gold/health": history,
+              "gold/health_latest": latest, "monitoring/metrics": m, "monitoring/findings": f, "monitoring/status": st,
+              "monitoring/summary": monitoring.alert_summary(monitoring.alerts(f, st), st)}
+    return {name: df.schema for name, df in frames.items()} | {"audit": AUDIT_SCHEMA}
 
 
 class PartitionRun:
-    """Runs the jobs of one business date in the orchestrated order."""
+    """Runs the jobs of one business date in the orchestrated order.
+
+    Cards are read from the business date's own landing partition; logins and
+    risk events may have landed under other dates."""
 
     def __init__(self, spark: SparkSession, root: str, process_date: str, ingest_date: str | None = None,
-                 risk_ingest_date: str | None = None):
+                 risk_ingest_date: str | None = None, card_ingest_date: str | None = None):
         self.spark = configure(spark)
         self.layout = Layout(root)
         self.process_date = process_date
+        self.card_ingest_date = card_ingest_date or process_date
         self.ingest_date = ingest_date or process_date
         self.risk_ingest_date = risk_ingest_date or self.ingest_date
+        self.schemas = table_schemas(spark)
+
+    def table(self, name: str) -> DataFrame:
+        """This date's partition of ``layer/name``."""
+        return read_dated(self.spark, self.layout.p(*name.split("/")), self.schemas[name], "process_date", self.process_date)
+
+    def replace(self, df: DataFrame, name: str) -> None:
+        write_partition(df, self.layout.p(*name.split("/")), self.process_date)
+
+    def audit(self, job: str, status: str, source: str, target: str, read: int, written: int, rejected: int,
+              started: datetime, error: str | None = None) -> dict:
+        return write_audit(self.spark, self.layout, job, status, self.process_date, source, target, read, written,
+                           rejected, started, error)
 
     # -- Bronze -> Silver ------------------------------------------------------------
     def _bronze(self, topic_dir: str, date: str) -> DataFrame:
-        return self.spark.read.parquet(self.layout.p("bronze", topic_dir)).where(F.col("ingest_date") == date)
+        return read_dated(self.spark, self.layout.p("bronze", topic_dir), ENVELOPE_SCHEMA, "ingest_date", date)
 
     def silver(self, kind: str) -> dict:
         started = _now()
         if kind == "card":
-            job, check, topic_dir = rules.JOB_SILVER_CARD, silver.check_cards, "card"
+            job, check, date = rules.JOB_SILVER_CARD, silver.check_cards, self.card_ingest_date
         else:
-            job, check, topic_dir = rules.JOB_SILVER_LOGIN, silver.check_logins, "login"
-        bronze = self._bronze(topic_dir, self.ingest_date).withColumn("ingest_date", F.lit(self.process_date))
+            job, check, date = rules.JOB_SILVER_LOGIN, silver.check_logins, self.ingest_date
         # Counters, quarantine and Silver all read the checked rows: parse once.
-        checked = check(bronze).persist(StorageLevel.MEMORY_AND_DISK)
+        checked = check(self._bronze(kind, date), self.process_date).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return self._silver_outputs(job, kind, topic_dir, checked, started)
+            return self._silver_outputs(job, kind, checked, started)
         finally:
             checked.unpersist()
 
-    def _silver_outputs(self, job: str, kind: str, topic_dir: str, checked: DataFrame, started: datetime) -> dict:
+    def _silver_outputs(self, job: str, kind: str, checked: DataFrame, started: datetime) -> dict:
         counts = silver.run_counts(checked).collect()  # one row: the run counters
         read = counts[0]["records_read"] if counts else 0
         rejected = counts[0]["records_rejected"] if counts else 0
@@ -124,98 +171,109 @@ class PartitionRun:
         if rejected:
             append_partition(silver.quarantine(checked, job), self.layout.p("quarantine"))
         if not written:
-            return write_audit(self.spark, self.layout, job, "failed", self.process_date, topic_dir, out_path,
-                               read, 0, rejected, started, "No valid Silver records produced.")
-        write_partition(silver.silver_from_checked(checked), out_path)
-        return write_audit(self.spark, self.layout, job, "success", self.process_date, topic_dir, out_path,
-                           read, written, rejected, started)
+            return self.audit(job, "failed", kind, out_path, read, 0, rejected, started, "No valid Silver records produced.")
+        self.replace(silver.silver_from_checked(checked), f"silver/{kind}")
+        return self.audit(job, "success", kind, out_path, read, written, rejected, started)
 
     # -- Gold ----------------------------------------------------------------------------
     def gold_transactions(self) -> dict:
-        started = _now()
-        cards = _read(self.spark, self.layout.p("silver", "card"), self.process_date)
-        tx = gold.transaction_monitoring(cards)
-        path = self.layout.p("gold", "tx")
-        write_partition(tx, path)
-        n = _read(self.spark, path, self.process_date).count()
-        return write_audit(self.spark, self.layout, "gold_transaction_monitoring", "success" if n else "failed",
-                           self.process_date, "silver/card", path, cards.count(), n, 0, started)
+        started, job, path = _now(), "gold_transaction_monitoring", self.layout.p("gold", "tx")
+        cards = self.table("silver/card")
+        read = cards.count()
+        if not read:
+            return self.audit(job, "failed", "silver/card", path, 0, 0, 0, started,
+                              "No Gold transaction monitoring records produced.")
+        self.replace(gold.transaction_monitoring(cards), "gold/tx")
+        return self.audit(job, "success", "silver/card", path, read, self.table("gold/tx").count(), 0, started)
 
     def gold_fraud(self) -> dict:
-        started = _now()
-        cards = _read(self.spark, self.layout.p("silver", "card"), self.process_date)
-        logins = _read(self.spark, self.layout.p("silver", "login"), self.process_date)
+        started, job, path = _now(), "gold_fraud_investigation", self.layout.p("gold", "fraud")
+        cards, logins = self.table("silver/card"), self.table("silver/login")
         risks = gold.risk_events(self._bronze("risk", self.risk_ingest_date), self.process_date)
-        cases = gold.fraud_cases(cards, logins, risks)
-        path = self.layout.p("gold", "fraud")
-        n_risk = risks.count()
+        read, n_risk = cards.count() + logins.count(), risks.count()
         if not n_risk:
-            return write_audit(self.spark, self.layout, "gold_fraud_investigation", "failed", self.process_date,
-                               "bronze/risk", path, 0, 0, 0, started, "No fraud investigation records produced.")
-        write_partition(cases, path)
-        read = cards.count() + logins.count() + n_risk
-        return write_audit(self.spark, self.layout, "gold_fraud_investigation", "success", self.process_date,
-                           "silver;bronze/risk", path, read, n_risk, 0, started)
+            return self.audit(job, "failed", "silver;bronze/risk", path, read, 0, 0, started,
+                              "No fraud investigation records produced.")
+        self.replace(gold.fraud_cases(cards, logins, risks), "gold/fraud")
+        return self.audit(job, "success", "silver;bronze/risk", path, read + n_risk, n_risk, 0, started)
 
     def gold_health(self) -> dict:
         started = _now()
-        audit = _read(self.spark, self.layout.p("audit"), self.process_date)
-        hist = health.pipeline_health(audit)
-        latest = health.latest_per_job(hist)
-        write_partition(hist, self.layout.p("gold", "health"))
-        write_partition(latest, self.layout.p("gold", "health_latest"))
-        n_hist = _read(self.spark, self.layout.p("gold", "health"), self.process_date).count()
-        n_latest = _read(self.spark, self.layout.p("gold", "health_latest"), self.process_date).count()
-        return write_audit(self.spark, self.layout, "gold_pipeline_health", "success", self.process_date,
-                           "audit", "gold/health;gold/health_latest", n_hist, n_hist + n_latest, 0, started)
+        history = health.pipeline_health(self.table("audit"))
+        self.replace(history, "gold/health")
+        self.replace(health.latest_per_job(self.table("gold/health")), "gold/health_latest")
+        n, latest = self.table("gold/health").count(), self.table("gold/health_latest").count()
+        return self.audit("gold_pipeline_health", "success" if n else "failed", "audit", "gold/health;gold/health_latest",
+                          n, n + latest, 0, started, None if n else "No pipeline health records produced.")
 
     # -- monitoring, alerts, dashboard ---------------------------------------------------
     def monitor(self, channel: str = rules.DEFAULT_ALERT_CHANNEL) -> dict:
-        latest = _read(self.spark, self.layout.p("gold", "health_latest"), self.process_date)
-        tx = _read(self.spark, self.layout.p("gold", "tx"), self.process_date)
-        cases = _read(self.spark, self.layout.p("gold", "fraud"), self.process_date)
-        m = monitoring.metrics(latest, tx, cases)
-        f = monitoring.findings(m, latest)
-        st = monitoring.status(m, f)
-        write_partition(m, self.layout.p("monitoring", "metrics"))
-        write_partition(f, self.layout.p("monitoring", "findings"))
-        write_partition(st, self.layout.p("monitoring", "status"))
-        st = _read(self.spark, self.layout.p("monitoring", "status"), self.process_date)
-        f = _read(self.spark, self.layout.p("monitoring", "findings"), self.process_date)
-        a = monitoring.alerts(f, st, channel)
+        """Metrics, findings, status and alerts of the date; a date without any
+        rows has its absences as findings."""
+        date = self.spark.createDataFrame([(self.process_date,)], "process_date string")
+        latest = self.table("gold/health_latest")
+        self.replace(monitoring.metrics(latest, self.table("gold/tx"), self.table("gold/fraud"), date), "monitoring/metrics")
+        m = self.table("monitoring/metrics")
+        self.replace(monitoring.findings(m, latest), "monitoring/findings")
+        self.replace(monitoring.status(m, self.table("monitoring/findings")), "monitoring/status")
+        st = self.table("monitoring/status")
+        a = monitoring.alerts(self.table("monitoring/findings"), st, channel)
         append_partition(a, self.layout.p("monitoring", "alert_history"))
-        write_partition(monitoring.alert_summary(a, st, channel), self.layout.p("monitoring", "summary"))
+        self.replace(monitoring.alert_summary(a, st, channel), "monitoring/summary")
         row = st.collect()  # one row per date
         return row[0].asDict() if row else {}
 
     def dashboard(self) -> dict[str, DataFrame]:
-        m = _read(self.spark, self.layout.p("monitoring", "metrics"), self.process_date)
-        st = _read(self.spark, self.layout.p("monitoring", "status"), self.process_date)
-        su = _read(self.spark, self.layout.p("monitoring", "summary"), self.process_date)
-        tx = _read(self.spark, self.layout.p("gold", "tx"), self.process_date)
-        cases = _read(self.spark, self.layout.p("gold", "fraud"), self.process_date)
+        m, st, su = (self.table(f"monitoring/{n}") for n in ("metrics", "status", "summary"))
+        tx, cases = self.table("gold/tx"), self.table("gold/fraud")
         return {"kpis": marts.kpis(m, st, su), "ops": marts.operations_summary(m),
                 "approval_mix": marts.approval_mix(tx), "channel_amount": marts.channel_amount(tx),
                 "risk_levels": marts.risk_levels(cases), "top_tx": marts.top_transaction_groups(tx),
-                "top_fraud": marts.top_fraud_cases(cases)}
-
-    def validate_silver(self) -> list:
-        """The Silver gates: a failed summary stops the run."""
-        out = []
-        for kind, check in (("card", validation.check_silver_cards), ("login", validation.check_silver_logins)):
-            s = validation.silver_summary(check(_read(self.spark, self.layout.p("silver", kind), self.process_date)))
-            out.extend(r.asDict() for r in s.collect())
-        return out
-
-    def run(self, stop_on_failed_validation: bool = False) -> dict:
-        """Card and login Silver, Gold, health, monitoring and alerts, in order."""
-        result = {"silver_card": self.silver("card"), "silver_login": self.silver("login")}
-        result["silver_validation"] = self.validate_silver()
-        if stop_on_failed_validation and any(r["status"] != "passed" for r in result["silver_validation"]):
-            return result
-        result["gold_tx"] = self.gold_transactions()
-        result["gold_fraud"] = self.gold_fraud()
-        result["gold_health"] = self.gold_health()
+                "top_fraud": marts.top_fraud_cases(cases), "alerts": monitoring.first_alerts(su)}
+
+    # -- gates ----------------------------------------------------------------------------
+    def validate(self, name: str) -> list[dict]:
+        """The summary of a table's validator; a table without rows has none and fails."""
+        checks = {"silver/card": validation.check_silver_cards, "silver/login": validation.check_silver_logins,
+                  "gold/tx": validation.check_gold_tx, "gold/fraud": validation.check_gold_fraud,
+                  "gold/health": validation.check_gold_health, "gold/health_latest": validation.check_gold_health}
+        checked = checks[name](self.table(name))
+        rows = (validation.silver_summary(checked) if name.startswith("silver") else validation.summary(checked)).collect()
+        return [r.asDict() for r in rows] or [{"process_date": self.process_date, "records_checked": 0, "records_failed": 0,
+                                               "duplicate_keys": 0, "status": "failed"}]
+
+    def validate_silver(self) -> list[dict]:
+        return self.validate("silver/card") + self.validate("silver/login")
+
+    def run(self, stop_on_failed_validation: bool = True) -> dict:
+        """Silver, Gold, health, monitoring and alerts, in order.
+
+        A failed job stops the run, as does a failed validation (unless told
+        otherwise); ``stopped_at`` names where. Health and monitoring then still
+        report on the date."""
+        result: dict = {}
+
+        def passes(step: str, job, gates: tuple[str, ...]) -> bool:
+            result[step] = job()
+            if result[step]["status"] != "success":
+                result["stopped_at"] = step
+                return False
+            for name in gates:
+                result[f"validate {name}"] = rows = self.validate(name)
+                if stop_on_failed_validation and any(r["status"] != "passed" for r in rows):
+                    result["stopped_at"] = f"validate {name}"
+                    return False
+            return True
+
+        if passes("silver_card", lambda: self.silver("card"), ("silver/card",)) \
+                and passes("silver_login", lambda: self.silver("login"), ("silver/login",)) \
+                and passes("gold_tx", self.gold_transactions, ("gold/tx",)):
+            passes("gold_fraud", self.gold_fraud, ("gold/fraud",))
+        result["silver_validation"] = [r for n in ("card", "login") for r in result.get(f"validate silver/{n}", [])]
+        before = result.get("stopped_at")
+        passes("gold_health", self.gold_health, ("gold/health", "gold/health_latest"))
+        if before:
+            result["stopped_at"] = before
         result["monitoring"] = self.monitor()
         return result
 

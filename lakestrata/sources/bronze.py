@@ -101,7 +101,9 @@ def read_bronze_documents(spark: SparkSession, path: str, ingest_date: str | Non
           .option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", "_corrupt_record")
           .json(path))
-    if ingest_date is not None and "ingest_date" in df.columns:
+    if ingest_date is not None:
+        if "ingest_date" not in df.columns:
+            raise ValueError(f"{path} is not partitioned by ingest_date; a date cannot be selected")
         df = df.where(F.col("ingest_date") == ingest_date)
     body = F.coalesce(F.col("parsed_value"), F.col("raw_value"))
     return df.withColumn("parsed_value", F.when(F.col("_corrupt_record").isNull(), parse_body(body)))

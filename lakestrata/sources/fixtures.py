@@ -168,10 +168,9 @@ def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def risk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Risk events for urgent high-value orders; every fifth order lands twice
-    (the second copy with a lower score), as repeated landings do."""
+    """A risk event for every order; every fifth order lands twice (the second
+    copy with a lower score), as repeated landings do."""
     od = (table(spark, sf_dir, "orders")
-          .where((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 300000))
           .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
           .withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(F.col("o_orderkey") % 5 == 0, 2).otherwise(1)))))
     ok, ck = F.col("o_orderkey"), F.col("o_custkey")
@@ -194,7 +193,7 @@ def risk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("risk_level", level),
         ("recommended_action", action),
         ("rule_flags", flags),
-        ("explanation", F.lit("Urgent order with a total above 300000.")),
+        ("explanation", F.lit("Order reviewed by the risk engine.")),
         ("source_events", F.array(_s("evt_card_auth_", ok, "_1"))),
         ("source_system", F.lit("synthetic-fraud-risk-engine")),
         ("schema_version", F.lit("1.0.0")),

@@ -107,7 +107,8 @@ def test_golden_partition_and_rerun(spark, tmp_root):
     assert (res["silver_card"]["records_read"], res["silver_card"]["records_written"],
             res["silver_card"]["records_rejected"]) == (1500, 1500, 0)
     assert res["silver_login"]["records_written"] == 10
-    assert all(r["status"] == "passed" for r in res["silver_validation"])
+    assert "stopped_at" not in res
+    assert len(res["silver_validation"]) == 2 and all(r["status"] == "passed" for r in res["silver_validation"])
 
     tx = spark.read.parquet(f"{tmp_root}/gold/tx").collect()
     assert len(tx) == 10 and {r["transaction_count"] for r in tx} == {150}
@@ -151,3 +152,74 @@ def test_empty_partition_keeps_old_output(spark, tmp_root):
     res = PartitionRun(spark, tmp_root, DATE).silver("card")
     assert res["status"] == "failed" and res["records_rejected"] == 2
     assert spark.read.parquet(f"{tmp_root}/quarantine").count() == 2
+
+
+def land_on(spark, root, topic_dir, bodies, date):
+    rows = [(None, b, f"{topic_dir}-topic", 0, i, None) for i, b in enumerate(bodies)]
+    msgs = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long, "
+                                       "timestamp timestamp")
+    write_bronze(envelope(msgs, date, F.lit(TS).cast("timestamp")), f"{root}/bronze/{topic_dir}")
+
+
+def healthy_bodies():
+    """One risk event of a low score whose transaction has a card."""
+    cards = card_bodies(10)
+    approved = [c for c in cards if '"approved"' in c]
+    risk = json.loads(risk_bodies()[0]) | {"risk_score": 10, "risk_level": "low",
+                                           "source_transaction_id": json.loads(approved[0])["transaction_id"]}
+    return approved, login_bodies(), [json.dumps(risk)]
+
+
+def land_all(spark, root, bodies, date=DATE):
+    for topic, b in zip(("card", "login", "risk"), bodies):
+        land_on(spark, root, topic, b, date)
+
+
+def test_healthy_date_finishes_without_findings(spark, tmp_root):
+    land_all(spark, tmp_root, healthy_bodies())
+    res = PartitionRun(spark, tmp_root, DATE).run()
+    assert "stopped_at" not in res
+    assert (res["monitoring"]["status"], res["monitoring"]["finding_count"]) == ("healthy", 0)
+    assert spark.read.parquet(f"{tmp_root}/monitoring/summary").first()["alert_count"] == 0
+
+
+def test_bad_then_healthy_rerun_clears_findings(spark, tmp_root):
+    land_all(spark, tmp_root, (card_bodies(20), login_bodies(), risk_bodies()))
+    assert PartitionRun(spark, tmp_root, DATE).run()["monitoring"]["status"] == "warning"
+    # the same date again, now from other landing partitions
+    land_all(spark, tmp_root, healthy_bodies(), "2024-02-02")
+    run = PartitionRun(spark, tmp_root, DATE, ingest_date="2024-02-02", card_ingest_date="2024-02-02")
+    history = spark.read.parquet(f"{tmp_root}/monitoring/alert_history").count()
+    res = run.run()
+    assert res["monitoring"]["status"] == "healthy"
+    assert run.table("monitoring/findings").count() == 0
+    assert run.table("monitoring/summary").first()["alert_count"] == 0
+    assert spark.read.parquet(f"{tmp_root}/monitoring/alert_history").count() == history
+
+
+def test_all_bad_input_stops_the_run(spark, tmp_root):
+    land_all(spark, tmp_root, (["not json"], ["[]"], ["null"]))
+    res = PartitionRun(spark, tmp_root, DATE).run()
+    assert res["stopped_at"] == "silver_card" and "gold_tx" not in res
+    assert res["silver_card"]["error_message"] == "No valid Silver records produced."
+    assert res["monitoring"]["status"] == "critical"
+
+
+def test_date_without_data_is_critical(spark, tmp_root):
+    run = PartitionRun(spark, tmp_root, "2031-01-01")
+    assert run.monitor()["status"] == "critical"
+    assert {r["rule_id"] for r in run.table("monitoring/findings").collect()} == {
+        "missing_pipeline_health", "missing_transaction_monitoring", "missing_fraud_cases"}
+
+
+def test_failed_silver_does_not_report_old_gold_as_success(spark, tmp_root):
+    run = PartitionRun(spark, tmp_root, DATE)
+    assert run.gold_transactions()["status"] == "failed"
+    assert run.gold_fraud()["status"] == "failed"
+
+
+def test_quarantine_names_the_landing_object(spark, tmp_root):
+    land_on(spark, tmp_root, "card", ["not json"], "2024-01-31")
+    PartitionRun(spark, tmp_root, "2024-02-01", card_ingest_date="2024-01-31").silver("card")
+    row = spark.read.parquet(f"{tmp_root}/quarantine").first()
+    assert "ingest_date=2024-01-31/" in row["source_object_key"] and str(row["process_date"]) == "2024-02-01"
