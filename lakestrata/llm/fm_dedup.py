@@ -22,21 +22,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import repeats
 
 WINDOW = 50
+_HASHES = repeats.WordHashes()
 
 
 def word_codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the words; ``bytes.split`` splits at the six ASCII blanks."""
     words = [t.split() for t in texts]
-    known = {w: xxhash.xxh3_64_intdigest(w) for w in set().union(*words)} if words else {}
     sizes = np.array([len(w) for w in words], np.int64)
-    codes = np.fromiter((known[w] for own in words for w in own), np.uint64, int(sizes.sum()))
+    codes = _HASHES.of(words, int(sizes.sum()))
     return codes, sizes, codes
 
 

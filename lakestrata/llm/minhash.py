@@ -28,7 +28,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,20 +35,29 @@ from lakestrata.llm import repeats
 from lakestrata.llm.common import stored
 
 WORDS, SIMILARITY = 5, 0.8
-BANDS, ROWS = 25, 4
+#: At a similarity of 0.8, texts share none of the buckets with a probability of 6e-5.
+BANDS, ROWS = 32, 6
 WIDTH = 1 << 20
-#: Words whose hashes a task keeps.
-CACHE = 500_000
 _U = np.uint64
-#: Variates of the samples, looked up by a hash of shingle and sample.
-_BITS = 14
-
-
-def _variates() -> tuple[np.ndarray, ...]:
-    rng = np.random.default_rng(977)
-    n = 1 << _BITS
-    r, c, b = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.random(n)
-    return tuple(x.astype(np.float32) for x in (r, 1 / r, b, np.log(c)))
+#: A shingle's hash has 52 bits; a pack's text number fits above it.
+_HASH = 52
+#: Variates are looked up by this many bits of a hash of shingle and sample; logarithms
+#: of weights are rounded to steps for sampling (verification uses them as they are).
+_BITS, _STEPS, _LEVELS = 12, 8, 64
+
+
+def _draws() -> np.ndarray:
+    """For each rounded weight and each variate (r, c, beta of Ioffe's scheme): ln(a)
+    in sortable bits above a hash of the level t. The smallest a of a text is drawn."""
+    rng, n = np.random.default_rng(977), 1 << _BITS
+    r, c, beta = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.random(n)
+    ln_w = np.arange(_LEVELS)[:, None] / _STEPS
+    t = np.floor(ln_w / r + beta)
+    ln_a = (np.log(c) - r * (t - beta) - r).astype(np.float32)
+    bits = ln_a.view(np.int32)
+    order = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32).astype(np.uint64)
+    level = (t.astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)
+    return ((order << _U(32)) | level).ravel()
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -57,42 +65,36 @@ def _odd(n: int, seed: int) -> np.ndarray:
 
 
 class Shingler:
-    """Distinct shingles of texts, as 64-bit hashes, and how often each has them."""
+    """Distinct shingles of up to 4096 texts, as 52-bit hashes, and how often each has them."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
+        self.hashes = repeats.WordHashes()
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, hash, count) in the order of text and hash."""
         words = [t.split() for t in texts]
-        new = set().union(*words).difference(self.known) if words else set()
-        if len(self.known) + len(new) > CACHE:
-            self.known, new = {}, set().union(*words)
-        self.known.update((w, xxhash.xxh3_64_intdigest(w)) for w in new)
-        known = self.known
         sizes = np.array([len(w) for w in words], np.int64)
-        h = np.fromiter((known[w] for own in words for w in own), np.uint64, int(sizes.sum()))
-        total, ends = len(h), np.cumsum(sizes)
-        at = np.arange(total)
-        left = np.repeat(ends, sizes) - at  # words from here to the end of the text
-        begin = left == np.repeat(sizes, sizes)
+        total, ends = int(sizes.sum()), np.cumsum(sizes)
+        h = self.hashes.of(words, total)
+        left = np.repeat(ends, sizes) - np.arange(total)  # words from here to the end of the text
         grams = h.copy()
         for j in range(1, WORDS):
             shifted = np.zeros(total, np.uint64)
             shifted[: max(total - j, 0)] = h[j:]
             np.copyto(grams, repeats.mix(grams, shifted), where=left > j)
-        use = (left >= WORDS) | begin
-        text, grams = np.repeat(np.arange(len(texts)), sizes)[use], grams[use]
-        order = np.lexsort((grams, text))
-        text, grams = text[order], grams[order]
-        first = np.ones(len(text), bool)
-        first[1:] = (text[1:] != text[:-1]) | (grams[1:] != grams[:-1])
+        use = (left >= WORDS) | (left == np.repeat(sizes, sizes))
+        keys = (grams[use] >> _U(64 - _HASH)) | (np.repeat(np.arange(len(texts), dtype=np.uint64), sizes)[use] << _U(_HASH))
+        keys.sort()
+        first = np.ones(len(keys), bool)
+        first[1:] = keys[1:] != keys[:-1]
         first = np.flatnonzero(first)
-        return text[first], grams[first], np.diff(np.concatenate((first, [len(text)])))
+        count = np.diff(np.concatenate((first, [len(keys)])))
+        keys = keys[first]
+        return (keys >> _U(_HASH)).astype(np.int64), keys & _U((1 << _HASH) - 1), count
 
 
 def slot(grams: np.ndarray) -> np.ndarray:
-    return (grams >> _U(64 - WIDTH.bit_length() + 1)).astype(np.int64)
+    return (grams >> _U(_HASH - WIDTH.bit_length() + 1)).astype(np.int64)
 
 
 def document_frequencies(packs: DataFrame) -> tuple[int, np.ndarray]:
@@ -131,37 +133,34 @@ def idf_table(docs: int, counts: np.ndarray) -> np.ndarray:
     return (1 + np.maximum(np.log((1 + docs) / (1 + counts)), 0)).astype(np.float32)
 
 
-def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(texts that have shingles, their keys): a row of ``BANDS`` hashes for each."""
-    r, r_inverse, beta, log_c = _variates()
-    samples = BANDS * ROWS
-    odd, odd2 = _odd(samples, 11), _odd(samples, 12)
-    level = np.round(np.log(weights.astype(np.float64)) * 4096).astype(np.float32) / np.float32(4096)
+    samples, draws = BANDS * ROWS, _draws()
+    odd = _odd(samples, 11)
+    level = np.clip(np.round(np.log(weights.astype(np.float64)) * _STEPS), 0, _LEVELS - 1).astype(np.int64) << _BITS
     some, first = np.unique(text, return_index=True)
     drawn = np.empty((samples, len(some)), np.uint64)
     # texts are taken so many at a time that the arrays stay in the processor's cache
     cuts = [0]
     for i in range(1, len(some)):
-        if first[i] - first[cuts[-1]] > 30_000:
+        if first[i] - first[cuts[-1]] > 20_000:
             cuts.append(i)
     cuts.append(len(some))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        lo, hi = first[a] if a < len(some) else 0, first[b] if b < len(some) else len(text)
-        if hi <= lo:
+        lo, hi = (first[a], first[b] if b < len(some) else len(text)) if a < b else (0, 0)
+        if hi == lo:
             continue
-        g, x, own = grams[lo:hi], level[lo:hi], first[a:b] - lo
+        g, row, own = grams[lo:hi], level[lo:hi], first[a:b] - lo
+        z, at, got = np.empty_like(g), np.empty_like(row), np.empty_like(g)
         for k in range(samples):
-            z = g * odd[k]
-            z ^= z >> _U(31)
-            at = (z >> _U(64 - _BITS)).astype(np.int64)
-            rk, bk = r[at], beta[at]
-            t = np.floor(x * r_inverse[at] + bk)
-            a_ln = log_c[at] - rk * (t - bk + np.float32(1))
-            bits = a_ln.view(np.int32)
-            key = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32).astype(np.uint64)
-            z *= odd2[k]
-            z += t.astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)
-            drawn[k, a:b] = np.minimum.reduceat((key << _U(32)) | (z >> _U(32)), own)
+            np.multiply(g, odd[k], out=z)
+            np.right_shift(z, _U(64 - _BITS), out=got)
+            np.add(got.view(np.int64), row, out=at)
+            np.take(draws, at, out=got, mode="clip")
+            z >>= _U(20)
+            z &= _U(0xFFFFFFFF)
+            got ^= z  # which shingle it is
+            drawn[k, a:b] = np.minimum.reduceat(got, own)
     drawn &= _U(0xFFFFFFFF)
     keys = np.empty((BANDS, len(some)), np.uint64)
     for band in range(BANDS):
@@ -181,7 +180,7 @@ def buckets(packs: DataFrame, idf) -> DataFrame:
             for at in range(batch.num_rows):
                 pack = batch.slice(at, 1).to_pylist()[0]
                 text, grams, count = shingles(pack["texts"])
-                some, keys = band_keys(text, grams, idf.value[slot(grams)] * count, len(pack["texts"]))
+                some, keys = band_keys(text, grams, idf.value[slot(grams)] * count)
                 node = np.int64(pack["pack"]) * repeats.PACK_TEXTS + some
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64).ravel()), pa.array(np.tile(node, BANDS))], ["key", "node"])

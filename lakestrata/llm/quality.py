@@ -108,7 +108,7 @@ def measures(text: Column) -> Column:
             repeated_words(words).alias("n_repeat_words"),
             count(words, lambda w: w.rlike(r"\p{L}")).alias("n_letter_words"),
             count(words, lambda w: F.lower(F.translate(w, ".,;:!?", "")).isin(*STOP_WORDS)).alias("n_stop_words"),
-            count(words, lambda w: (w != F.lower(w)) & (w == F.upper(w)) & (F.length(w) > 1)).alias("n_shouted"),
+            count(words, lambda w: (F.length(w) > 1) & w.rlike(r"\p{Lu}") & ~w.rlike(r"\p{Ll}")).alias("n_shouted"),
         ]
 
     def of_lines(lines: Column) -> list[Column]:

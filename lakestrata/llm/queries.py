@@ -27,7 +27,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's probabilities along the chain, and whether it is toxic."""
-    chain = {"junk": F.col("quality") == 0, "toxic": F.col("toxic") == 1, "toxic_junk": (F.col("toxic") == 1) & (F.col("quality") == 0)}
+    chain = {"junk": "quality = 0", "toxic": "toxic = 1", "toxic_junk": "toxic = 1 and quality = 0"}
     found = toxicity.toxicity(documents(spark, sf_dir), labels(spark, sf_dir), chain)
     return found.withColumn("toxic", F.col("p_toxic") >= 0.5)
 

@@ -27,10 +27,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +63,22 @@ class Kind:
     window: int = 50
 
 
+class WordHashes(dict):
+    """64-bit hashes of words, computed when first asked for; emptied when full."""
+
+    MOST = 600_000
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+    def of(self, words: list[list[bytes]], total: int) -> np.ndarray:
+        """The hashes of all words, end to end."""
+        if len(self) > self.MOST:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(words)), np.uint64, total)
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One 64-bit hash of two."""
     x = a * U(0x9E3779B97F4A7C15)

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm.common import rowwise, stored
@@ -155,11 +155,11 @@ def _starts(sizes: np.ndarray) -> np.ndarray:
     return np.cumsum(sizes) - sizes
 
 
-def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str, text_col: str) -> tuple[list[str], list[Linear]]:
+def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str, text_col: str) -> tuple[list[str], list[Linear]]:
     """(features, models) from the documents that ``labels`` name; ``categories`` gives,
     in the order of the chain, a condition on the columns of ``labels``."""
     names = list(categories)
-    named = labels.select(F.col(id_col).alias("id"), *[F.coalesce(c, F.lit(False)).cast("int").alias(n) for n, c in categories.items()])
+    named = labels.select(F.col(id_col).alias("id"), *[F.coalesce(F.expr(c), F.lit(False)).cast("int").alias(n) for n, c in categories.items()])
     named = named.filter("id is not null").dropDuplicates(["id"])
     sample = named.orderBy(F.xxhash64("id"), "id").limit(TRAINING_ROWS)  # its bound makes it small enough to broadcast
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(F.broadcast(sample), "id")
@@ -210,7 +210,7 @@ def score(docs: DataFrame, chosen: list[str], models: list[Linear], names: list[
     return rowwise(docs, make, ", ".join(f"p_{n} double" for n in names), id_col, text_col)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, p_<category> ...) of every document, by a chain trained on ``labels``."""
     chosen, models = train(docs, labels, categories, id_col, text_col)
     return score(docs, chosen, models, list(categories), id_col, text_col)
