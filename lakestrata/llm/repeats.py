@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -200,9 +201,23 @@ def order_key(id_col: str) -> Column:
     return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
 
 
-def distinct_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(pack, digests, ids, texts, copies) of the distinct texts, their smallest ids
-    and the number of rows that have each."""
+def squeezed(texts: list[bytes]) -> bytes:
+    """Texts as one compressed value: their lengths, then their bytes."""
+    sizes = np.array([len(texts), *map(len, texts)], np.int64)
+    return zstandard.ZstdCompressor(level=3).compress(sizes.tobytes() + b"".join(texts))
+
+
+def unsqueezed(value: bytes) -> list[bytes]:
+    raw = zstandard.ZstdDecompressor().decompress(value)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    ends = (8 * (n + 1) + np.cumsum(np.frombuffer(raw, np.int64, n, 8))).tolist()
+    return [raw[a:b] for a, b in zip([8 * (n + 1), *ends[:-1]], ends, strict=True)]
+
+
+def distinct_packs(docs: DataFrame, id_col: str, text_col: str, squeeze: bool = False) -> DataFrame:
+    """(pack, digests, ids, texts, copies, size) of the distinct texts, their smallest
+    ids, the number of rows that have each, and the bytes of all; ``squeeze`` makes
+    the texts one compressed value, for packs that are only passed to Python."""
     rows = docs.select(digest(F.col(text_col)).alias("digest"), order_key(id_col).alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     texts = rows.groupBy("digest").agg(F.min("id").alias("id"), F.first("text").alias("text"), F.count("*").alias("copies"))
@@ -211,8 +226,11 @@ def distinct_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         number, held, size = TaskContext.get().partitionId() << 33, [], 0
 
         def pack():
-            cols = [pa.array([list(c)], pa.list_(t)) for c, t in zip(zip(*held, strict=True), (pa.binary(), pa.int64(), pa.binary(), pa.int64()), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *cols], ["pack", "digests", "ids", "texts", "copies"])
+            digests, ids, texts, copies = map(list, zip(*held, strict=True))
+            kept = pa.array([squeezed(texts)], pa.binary()) if squeeze else pa.array([texts], pa.list_(pa.binary()))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([digests], pa.list_(pa.binary())), pa.array([ids], pa.list_(pa.int64())),
+                 kept, pa.array([copies], pa.list_(pa.int64())), pa.array([size], pa.int64())], ["pack", "digests", "ids", "texts", "copies", "size"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -225,11 +243,12 @@ def distinct_packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         if held:
             yield pack()
 
-    return texts.mapInArrow(run, "pack long, digests array<binary>, ids array<long>, texts array<binary>, copies array<long>")
+    kind = "binary" if squeeze else "array<binary>"
+    return texts.mapInArrow(run, f"pack long, digests array<binary>, ids array<long>, texts {kind}, copies array<long>, size long")
 
 
 def each_pack(df: DataFrame, fn: Callable[[dict], Iterable[tuple]], schema: str) -> DataFrame:
-    """Rows that ``fn`` makes of each pack."""
+    """Rows that ``fn`` makes of each pack with squeezed texts."""
     from pyspark.sql.types import StructType
 
     full = StructType.fromDDL(schema)
@@ -240,7 +259,8 @@ def each_pack(df: DataFrame, fn: Callable[[dict], Iterable[tuple]], schema: str)
         arrow = to_arrow_schema(full)
         for batch in batches:
             for at in range(batch.num_rows):
-                rows = list(fn(batch.slice(at, 1).to_pylist()[0]))
+                row = batch.slice(at, 1).to_pylist()[0]
+                rows = list(fn(row | {"texts": unsqueezed(row["texts"])}))
                 if rows:
                     cols = list(zip(*rows, strict=True))
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
@@ -408,8 +428,8 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     """(digest, id, n_tokens, n_removed, n_spans, kept) of each distinct text, for its
     smallest id; ``keep(text, spans)`` is what remains of it."""
     spark = docs.sparkSession
-    packs = stored(distinct_packs(docs, id_col, text_col), "repeats-packs")
-    size = packs.select(F.sum(F.aggregate("texts", F.lit(0).cast("long"), lambda n, t: n + F.octet_length(t)))).first()[0] or 0
+    packs = stored(distinct_packs(docs, id_col, text_col, squeeze=True), "repeats-packs")
+    size = packs.agg(F.sum("size")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size * kind.density / 750_000) + 1)
 
     asked = each_pack(packs.select("pack", "ids", "texts"), lambda p: ask(p, kind, buckets), "bucket long, pack long, entries binary")
@@ -423,7 +443,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     def finish(pack: dict) -> Iterator[tuple]:
         return keep(pack["digests"], pack["ids"], pack["texts"], pack["blobs"] or [])
 
-    result = each_pack(packs.drop("copies").join(spans, "pack", "left"), finish, "digest binary, id long, n_tokens long, n_removed long, n_spans long, kept binary")
+    result = each_pack(packs.drop("copies", "size").join(spans, "pack", "left"), finish, "digest binary, id long, n_tokens long, n_removed long, n_spans long, kept binary")
     return result
 
 
