@@ -23,6 +23,7 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,8 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from lakestrata.llm.bpe import Merges
 from lakestrata.llm.common import stored
 
-#: Chunks and words whose ids a task keeps; a full cache starts anew.
-CHUNKS, WORDS = 1_000_000, 500_000
+#: Chunks whose ids a task keeps; a full cache starts anew.
+KNOWN = 1_200_000
 
 
 def word_merges(path: str) -> Merges | None:
@@ -65,13 +66,15 @@ def word_merges(path: str) -> Merges | None:
 class WordTokenizer:
     """Ids of whole texts, by white-space-delimited chunks that are encoded once.
 
-    The vocabulary drops white space and its words never cross it. A chunk of
-    plain Latin-1 letters, digits and punctuation is cut into words as the
-    vocabulary's own pattern cuts it, so each word is encoded once, many at a
-    time in matrices; any other chunk goes to the tokenizer whole, with its
-    normalisation."""
+    The vocabulary is lower-case and drops white space, and its words never cross
+    it, so texts are lower-cased (ASCII letters) and split first; a full stop or
+    comma between a letter and white space is a word of its own. A chunk of plain
+    Latin-1 letters, digits and punctuation is cut into words as the vocabulary's
+    own pattern cuts it, and words are encoded many at a time in matrices; any
+    other chunk goes to the tokenizer whole, with its normalisation."""
 
     PLAIN = re.compile(r"[\x21-\x7E\xA1-\xAC\xAE-\xFF]+\Z")
+    STOP = re.compile(rb"(?<=[a-z])[.,](?=[\x20\x09-\x0D])")
 
     def __init__(self, path: str):
         import regex
@@ -82,41 +85,65 @@ class WordTokenizer:
         self.tokenizer.encode_special_tokens = True
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+").findall
         self.merges = word_merges(path)
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+
+    #: Classes of bytes: P punctuation, X what may be a symbol (other than Latin-1
+    #: letters), blanks and line feeds as they are, L the others.
+    CLASSES = bytes(b if b in b" \n" else ord("X") if b in b"\t\v\f\r\xC2" or b > 0xC3 else ord("P") if 33 <= b < 127 and not chr(b).isalnum() else ord("L")
+                    for b in range(256))
+
+    def _spaced(self, text: str) -> bytes:
+        """The text's bytes with full stops and commas that end a word set apart."""
+        t = text.encode().lower()
+        kinds = t.translate(self.CLASSES)
+        if b"X" in kinds or b"PP " in kinds or b"PP\n" in kinds or b"\xC3\x97" in t or b"\xC3\xB7" in t:
+            return self.STOP.sub(rb" \g<0>", t)
+        return t.replace(b". ", b" . ").replace(b", ", b" , ").replace(b".\n", b" .\n").replace(b",\n", b" ,\n")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
         if self.merges is None:
-            return self._encode(words)
-        return self.merges.encode_pieces([w.encode() for w in words])
+            return self._encode([w.decode() for w in words])
+        return self.merges.encode_pieces(words)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
-        split = [t.encode().split() for t in texts]
-        need = set().union(*split)
-        new = need.difference(self.chunks)
-        if len(self.chunks) + len(new) > CHUNKS:
-            self.chunks, new = {}, need
-        plain, other = {}, []
-        for chunk in new:
+        split = [self._spaced(t).split() for t in texts]
+        every = list(chain.from_iterable(split))
+        got = list(map(self.known.get, every))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        if missing:
+            new = {every[i] for i in missing}
+            if len(self.known) + len(new) > KNOWN:
+                self.known = dict(zip(every, got, strict=True))  # those of these texts stay
+                for chunk in new:
+                    del self.known[chunk]
+            self._learn(new)
+            for i in missing:
+                got[i] = self.known[every[i]]
+        out, at = [], 0
+        for own in split:
+            out.append(b"".join(got[at : at + len(own)]))
+            at += len(own)
+        return out
+
+    def _learn(self, chunks: set[bytes]) -> None:
+        known, words, parts, other = self.known, set(), {}, []
+        for chunk in chunks:
             s = chunk.decode()
-            if self.PLAIN.match(s):
-                plain[chunk] = self.cut(s.lower())
+            if s.isascii() and s.isalpha():
+                words.add(chunk)
+            elif self.PLAIN.match(s):
+                parts[chunk] = own = [w.encode() for w in self.cut(s.lower())]
+                words.update(w for w in own if w not in known)
             else:
                 other.append(chunk)
-        words = set().union(*plain.values()).difference(self.words)
-        if len(self.words) + len(words) > WORDS:
-            self.words, words = {}, set().union(*plain.values())
-        words = list(words)
-        self.words.update(zip(words, self._encode_words(words), strict=True))
-        known = self.words
-        self.chunks.update((c, b"".join([known[w] for w in ws])) for c, ws in plain.items())
-        self.chunks.update(zip(other, self._encode([c.decode() for c in other]), strict=True))
-        known = self.chunks
-        return [b"".join([known[c] for c in own]) for own in split]
+        each = list(words)
+        known.update(zip(each, self._encode_words(each), strict=True))
+        known.update([(c, b"".join([known[w] for w in ws])) for c, ws in parts.items()])
+        known.update(zip(other, self._encode([c.decode() for c in other]), strict=True))
 
 
 _LOADED: dict[str, WordTokenizer] = {}
