@@ -35,11 +35,6 @@ def field_variant(v: Column, field: str) -> Column:
     return F.try_variant_get(v, _path(field), "variant")
 
 
-def field_missing(v: Column, field: str) -> Column:
-    """Key absent from the object (a JSON null value is present)."""
-    return field_variant(v, field).isNull()
-
-
 def field_str(v: Column, field: str) -> Column:
     return F.try_variant_get(v, _path(field), "string")
 
@@ -48,12 +43,6 @@ def field_typed(v: Column, field: str, type_name: str) -> Column:
     return F.try_variant_get(v, _path(field), type_name)
 
 
-def field_null_or_empty(v: Column, field: str) -> Column:
-    """Value is JSON null or the empty string; absent keys count too."""
-    val = field_variant(v, field)
-    return val.isNull() | F.is_variant_null(val) | (F.coalesce(field_str(v, field), F.lit("x")) == "")
-
-
 def field_is_integer(v: Column, field: str) -> Column:
     """JSON number without a fraction (booleans and strings are not integers)."""
     t = F.schema_of_variant(field_variant(v, field))
@@ -61,11 +50,6 @@ def field_is_integer(v: Column, field: str) -> Column:
                       | t.rlike(r"^DECIMAL\(\d+,0\)$"), F.lit(False))
 
 
-def field_is_nonempty_array(v: Column, field: str) -> Column:
-    arr = F.try_variant_get(v, _path(field), "array<variant>")
-    return F.coalesce(F.size(arr) > 0, F.lit(False))
-
-
 def json_shaped(raw: Column) -> Column:
     """Text that starts like a JSON object with a double-quoted key (or is
     empty) and ends with a closing brace."""
@@ -125,20 +109,6 @@ def parse_object(df, raw: Column, raw_out: str, fields: Iterable[str], required:
     return computed_once(parsed, [keys.alias("_keys"), *[F.col(c) for c in parsed.columns]])
 
 
-def body_keys(v: Column) -> Column:
-    """Keys of a JSON object body (keys with null values included); NULL when
-    the body is not an object."""
-    return F.map_keys(v.try_cast("map<string,variant>"))
-
-
-def body_struct(v: Column, fields: Iterable[str], types: dict[str, str] | None = None) -> Column:
-    """All named fields of the body in one extraction, as strings unless a
-    type is given (absent keys and JSON nulls both come out NULL)."""
-    types = types or {}
-    ddl = ",".join(f"`{f}`:{types.get(f, 'string')}" for f in fields)
-    return F.try_variant_get(v, "$", f"struct<{ddl}>")
-
-
 def missing_keys(keys: Column, fields: Iterable[str]) -> Column:
     """Sorted required keys absent from ``keys``."""
     return F.array_sort(F.array_except(F.array(*[F.lit(f) for f in fields]), F.coalesce(
@@ -157,31 +127,11 @@ def py_list(arr: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(quoted, ", "), F.lit("]"))
 
 
-def missing_fields(v: Column, fields: Iterable[str]) -> Column:
-    """Sorted array of required keys absent from the object."""
-    return F.array_sort(F.array_compact(F.array(*[
-        F.when(field_missing(v, f), F.lit(f)) for f in fields])))
-
-
-def first_null_or_empty(v: Column, fields: Iterable[str], prefix: str = "field is null or empty: ") -> Column:
-    """Message for the first null-or-empty field, in declared order."""
-    return F.coalesce(*[F.when(field_null_or_empty(v, f), F.lit(prefix + f)) for f in fields])
-
-
-def all_null_or_empty(v: Column, fields: Iterable[str], prefix: str) -> list[Column]:
-    return [F.when(field_null_or_empty(v, f), F.lit(prefix + f)) for f in fields]
-
-
 def first_failure(*reasons: Column) -> Column:
     """First non-NULL reason in check order; NULL means the record is valid."""
     return F.coalesce(*reasons)
 
 
-def all_failures(*reasons: Column) -> Column:
-    """Every non-NULL reason, in check order."""
-    return F.array_compact(F.array(*reasons))
-
-
 # --- exact decimal arithmetic ----------------------------------------------------
 
 def half_even_quotient(num: Column, den: Column) -> Column:

@@ -17,21 +17,12 @@ RISK_TOPIC = "banking.fraud-risk.risk-events.v1"
 BRONZE_CARD_PREFIX = "transaction/card-authorizations"
 BRONZE_LOGIN_PREFIX = "digital-activity/login-events"
 BRONZE_RISK_PREFIX = "fraud-risk/risk-events"
-AUDIT_PREFIX = "platform-audit/pipeline-runs"
-SILVER_CARD_PREFIX = "transaction/card-authorizations"
-SILVER_LOGIN_PREFIX = "digital-activity/login-events"
-GOLD_TX_PREFIX = "transaction-monitoring/dashboard"
-GOLD_FRAUD_PREFIX = "fraud-investigation/cases"
-GOLD_HEALTH_PREFIX = "platform-observability/pipeline-health"
-GOLD_HEALTH_LATEST_PREFIX = "platform-observability/pipeline-health-latest"
 QUARANTINE_CARD_PREFIX = "silver-card-authorizations"
 QUARANTINE_LOGIN_PREFIX = "silver-login-events"
 
 # Buckets.
 BRONZE_BUCKET = "banking-bronze"
-SILVER_BUCKET = "banking-silver"
 GOLD_BUCKET = "banking-gold"
-QUARANTINE_BUCKET = "banking-quarantine"
 
 # Job names.
 JOB_SILVER_CARD = "silver_card_authorizations"
@@ -44,7 +35,6 @@ CARD_REQUIRED_FIELDS = [
     "merchant_category_code", "merchant_country", "authorization_status", "channel",
     "card_present", "entry_mode", "source_system", "schema_version",
 ]
-CARD_OPTIONAL_FIELDS = ["merchant_city"]
 CARD_ALLOWED_CURRENCY = "USD"
 CARD_ALLOWED_STATUSES = ["approved", "declined"]
 
@@ -61,8 +51,6 @@ LOGIN_ALLOWED_STATUSES = ["success", "failed"]
 SILVER_LINEAGE_FIELDS = ["bronze_kafka_topic", "bronze_kafka_partition", "bronze_kafka_offset", "bronze_ingest_time"]
 
 # Bronze envelope validation.
-BRONZE_REQUIRED_FIELDS = ["bronze_ingest_time", "kafka_topic", "kafka_partition", "kafka_offset",
-                          "kafka_key", "raw_value", "parsed_value"]
 BRONZE_REQUIRED_EVENT_FIELDS = ["event_time", "customer_id", "source_system", "schema_version"]
 BRONZE_EVENT_ID_FIELDS = ["event_id", "risk_event_id"]
 
@@ -89,7 +77,6 @@ GOLD_HEALTH_STATUSES = ["success", "failed"]
 GOLD_HEALTH_COUNT_FIELDS = ["records_read", "records_written", "records_rejected"]
 
 # Monitoring rules: (rule_id, severity) and thresholds.
-SEVERITY_RANK = {"healthy": 0, "warning": 1, "critical": 2}
 DECLINE_RATE_THRESHOLD = "20.0"
 HIGH_RISK_SCORE_THRESHOLD = 90
 HIGH_RISK_LEVELS = ["medium_high", "high"]
@@ -107,5 +94,3 @@ KYC_STATUSES = ["pending", "verified", "failed", "expired"]
 KYC_RISK_RATINGS = ["low", "medium", "high"]
 SANCTIONS_STATUSES = ["clear", "potential_match", "confirmed_match"]
 
-# CDC operation codes.
-CDC_OPS = {"r": "snapshot read", "c": "create", "u": "update", "d": "delete"}

@@ -21,29 +21,45 @@ from lakestrata.sources.bronze import envelope, flatten_cards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Intermediate frames are built once per (session, input folder) and shared,
-# so a query that uses, say, the metrics twice has one subtree in its plan and
-# Spark reuses its exchanges instead of recomputing the pipeline. The layers
-# every later job reads (the landed Bronze messages, Silver cards and logins,
-# Gold transactions and fraud cases, the per-date monitoring rows) are
-# materialized once with a reliable checkpoint, as the pipeline writes them
-# once and reads them back.
+# Intermediate frames are built once per session and state of the input folder
+# (a query that uses, say, the metrics twice then has one subtree in its plan).
+# The layers that later jobs read (the landed Bronze messages, Silver cards and
+# logins, Gold transactions and fraud cases, the per-date monitoring rows) are
+# stored once as Parquet, as the pipeline writes them once and reads them back.
+# A folder whose files have changed is read anew, and what was kept is dropped.
 _FRAMES: dict = {}
 
 
+def input_state(spark: SparkSession, d: str) -> tuple:
+    """Path, size and time of every input file, by the listing alone."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(d)
+    files = p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    out = []
+    while files.hasNext():
+        f = files.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def shared(fn):
     def wrapper(spark, d):
-        key = (fn.__name__, id(spark), d)
-        hit = _FRAMES.get(key)
-        if hit is None or hit[0] is not spark:
-            hit = (spark, fn(spark, d))
-            _FRAMES[key] = hit
-        return hit[1]
+        app, state = spark.sparkContext.applicationId, input_state(spark, d)
+        held = _FRAMES.get(d)
+        if held is None or held[0] != (app, state):
+            held = _FRAMES[d] = ((app, state), {})
+        if fn.__name__ not in held[1]:
+            held[1][fn.__name__] = fn(spark, d)
+        return held[1][fn.__name__]
     wrapper.__name__ = fn.__name__
     wrapper.__doc__ = fn.__doc__
     return wrapper
 
 
+def forget_frames() -> None:
+    """Drop everything kept, so that the next query computes its own layers."""
+    _FRAMES.clear()
+
+
 # --- inputs -------------------------------------------------------------------
 
 @shared
@@ -184,10 +200,11 @@ def q_pipeline_health_latest(spark, d):
 
 
 def q_audit_runs(spark, d):
-    a = fixtures.audit_runs(spark, d)
-    return a.select("process_date", "run_id", "job_name", "status", "records_read", "records_written",
-                    "records_rejected", "finished_at",
-                    (F.col("status") != "success").alias("is_failure"))
+    return health.run_listing(fixtures.audit_runs(spark, d))
+
+
+def q_health_listing(spark, d):
+    return health.run_listing(latest_health_table(spark, d), fixtures.FIXTURE_DATE)
 
 
 # --- monitoring ------------------------------------------------------------------
@@ -234,6 +251,20 @@ def q_monitoring_status(spark, d):
     return status_table(spark, d)
 
 
+EMPTY_DATE = "2024-02-01"
+
+
+def q_monitoring_findings_empty_date(spark, d):
+    """The findings of two requested dates, one of them without any rows."""
+    dates = spark.createDataFrame([(fixtures.FIXTURE_DATE,), (EMPTY_DATE,)], "process_date string")
+    m = monitoring.metrics(latest_health_table(spark, d), tx_table(spark, d), fraud_case_table(spark, d), dates)
+    return monitoring.findings(m, latest_health_table(spark, d))
+
+
+def q_dash_alerts(spark, d):
+    return monitoring.first_alerts(summary_table(spark, d))
+
+
 def q_alerts(spark, d):
     return _drop_clock(alerts_table(spark, d))
 
@@ -338,12 +369,30 @@ def q_validate_gold_health(spark, d):
     return hist.unionByName(latest)
 
 
-def q_quarantine_listing(spark, d):
+def q_validate_gold_health_failures(spark, d):
+    return validation.failures(validation.check_gold_health(health_table(spark, d)), ["run_id"])
+
+
+def q_bronze_sample(spark, d):
+    """The first hundred card objects in key order."""
+    return validation.sample_objects(bronze_cards(spark, d), 100, rules.BRONZE_CARD_PREFIX).select(
+        "kafka_topic", "kafka_partition", "kafka_offset", "raw_value")
+
+
+def _quarantined(spark, d) -> DataFrame:
     parts = []
     for checked, job in ((checked_card_table, rules.JOB_SILVER_CARD), (checked_login_table, rules.JOB_SILVER_LOGIN)):
         parts.append(_drop_clock(silver.quarantine(checked(spark, d), job)))
-    q = parts[0].unionByName(parts[1])
-    return silver.quarantine_listing(q)
+    return parts[0].unionByName(parts[1])
+
+
+def q_quarantine_listing(spark, d):
+    return silver.quarantine_listing(_quarantined(spark, d))
+
+
+def q_quarantine_listing_login(spark, d):
+    """The listing below one job's quarantine prefix, for one date."""
+    return silver.quarantine_listing(_quarantined(spark, d), rules.QUARANTINE_LOGIN_PREFIX, fixtures.FIXTURE_DATE)
 
 
 def q_bronze_flatten(spark, d):
@@ -393,10 +442,13 @@ QUERIES: dict[str, Query] = {
     "pipeline_health": q_pipeline_health,
     "pipeline_health_latest": q_pipeline_health_latest,
     "audit_runs": q_audit_runs,
+    "health_listing": q_health_listing,
     "fraud_cases_dedup": q_fraud_cases_dedup,
     "monitoring_metrics": q_monitoring_metrics,
     "monitoring_findings": q_monitoring_findings,
     "monitoring_status": q_monitoring_status,
+    "monitoring_findings_empty_date": q_monitoring_findings_empty_date,
+    "dash_alerts": q_dash_alerts,
     "alerts": q_alerts,
     "alert_summary": q_alert_summary,
     "dash_channel_amount": q_dash_channel_amount,
@@ -416,7 +468,10 @@ QUERIES: dict[str, Query] = {
     "validate_gold_fraud": q_validate_gold_fraud,
     "validate_gold_fraud_failures": q_validate_gold_fraud_failures,
     "validate_gold_health": q_validate_gold_health,
+    "validate_gold_health_failures": q_validate_gold_health_failures,
+    "bronze_sample": q_bronze_sample,
     "quarantine_listing": q_quarantine_listing,
+    "quarantine_listing_login": q_quarantine_listing_login,
     "bronze_flatten": q_bronze_flatten,
     "core_table_counts": q_core_table_counts,
     "core_constraint_violations": q_core_constraint_violations,

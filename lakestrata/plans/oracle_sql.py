@@ -829,4 +829,34 @@ FROM last WHERE op <> 'd'""",
     "audit_runs": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
   status <> 'success' AS is_failure FROM audit"""),
+    "health_listing": with_ctes(AUDIT_CTE, body="""
+SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
+  status <> 'success' AS is_failure FROM latest_health"""),
+    "monitoring_findings_empty_date": with_ctes(
+        CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE, MON_CTE, body="""
+SELECT * FROM findings
+UNION ALL SELECT '2024-02-01', 1, '', 'critical', 'missing_pipeline_health',
+  'No latest pipeline health records were found.', NULL, NULL
+UNION ALL SELECT '2024-02-01', 2, '', 'critical', 'missing_transaction_monitoring',
+  'No Gold transaction monitoring records were found.', NULL, NULL
+UNION ALL SELECT '2024-02-01', 3, '', 'warning', 'missing_fraud_cases',
+  'No Gold fraud case records were found.', NULL, NULL"""),
+    "dash_alerts": with_ctes(
+        CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE, MON_CTE, body="""
+SELECT process_date, position, alert_id, severity, rule_id, message FROM (
+  SELECT *, CAST(row_number() OVER (PARTITION BY process_date ORDER BY finding_order, job_name, alert_id) AS INTEGER)
+    AS position FROM alerts) WHERE position <= 8"""),
+    "validate_gold_health_failures": with_ctes(AUDIT_CTE, body=f"""
+SELECT process_date, run_id, CAST(records_read < 0 AS INTEGER) + CAST(records_written < 0 AS INTEGER)
+    + CAST(records_rejected < 0 AS INTEGER) AS error_count,
+  concat_ws('; ', CASE WHEN records_read < 0 THEN 'invalid count field records_read: ' || records_read END,
+    CASE WHEN records_written < 0 THEN 'invalid count field records_written: ' || records_written END,
+    CASE WHEN records_rejected < 0 THEN 'invalid count field records_rejected: ' || records_rejected END) AS errors
+FROM audit WHERE {HEALTH_BAD}"""),
+    "bronze_sample": with_ctes(CARD_CTE, body=f"""
+SELECT 'banking.transaction.card-authorizations.v1' AS kafka_topic, kafka_partition, kafka_offset, raw_value
+FROM card_m ORDER BY {CARD_KEY} LIMIT 100"""),
+    "quarantine_listing_login": with_ctes(LOGIN_CTE, body=f"""
+SELECT 'silver_login_events' AS job_name, '{FIXTURE_DATE}' AS process_date, rejection_reason,
+  's3://banking-bronze/' || {LOGIN_KEY} AS source_path FROM login_m WHERE rejection_reason IS NOT NULL"""),
 }

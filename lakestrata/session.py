@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -58,15 +59,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must already be set to shared storage. Only when it is
-    unset (local tests) is a private scratch folder created.
-    """
+    On a cluster this must be set to shared storage; executors would write to
+    their own disks otherwise, so an unset folder is an error there. In local
+    mode (tests) a private scratch folder is created."""
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)  # named in the conf before the context started
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     # spark.checkpoint.dir cannot be changed at run time; the context's
     # checkpoint folder is what later calls find.
     path = tempfile.mkdtemp(prefix="lakestrata-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
@@ -75,9 +78,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
-    the shared checkpoint folder, so later jobs that reuse it (and task
-    retries after an executor loss) read the stored rows instead of
-    recomputing the whole upstream plan."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Compute ``df`` once and store it as Parquet in the shared checkpoint
+    folder. Later jobs (and task retries after an executor loss) read the
+    columns they need from there, with filters pushed down, instead of
+    recomputing the plan above."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/layer-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
