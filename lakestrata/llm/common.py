@@ -81,7 +81,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     with released_shuffles(spark):
         df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again: what was made of them
+    is stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
@@ -98,6 +109,16 @@ def released_shuffles(spark: SparkSession):
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
 
 
+def boxed(names: list[str]) -> Column:
+    """Columns as one struct ``row``, so that their names cannot clash with others."""
+    return F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
+
+
+def unboxed(names: list[str], **instead: Column) -> list[Column]:
+    """The columns of ``row`` under their names; ``instead`` replaces some."""
+    return [instead.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(names)]
+
+
 def rowwise(df: DataFrame, make: Callable[[], Callable[[str], tuple]], schema: str, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """``make()(text)`` for each row's text (null as an empty text), next to the row's id.

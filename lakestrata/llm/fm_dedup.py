@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import repeats
+from lakestrata.llm.common import unboxed
 
 WINDOW = 50
 _HASHES = repeats.WordHashes()
@@ -179,18 +180,19 @@ def kept_words(digests: list, ids: list, texts: list[bytes], blobs: list[bytes])
 
 def dedup_words_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of each row; kept words joined by one blank."""
-    results = repeats.remove_repeats(docs, WORDS, repeated_windows, kept_words, id_col, text_col)
-    rows = repeats.for_documents(docs.select(id_col, text_col), results, WINDOW, id_col, text_col, F.sha2("kept", 256)).drop(text_col)
-    n, copy = F.col("__r.n_tokens"), F.col("__copy")
-    return rows.select(id_col, n.alias("n_words"), F.when(copy, n).otherwise(F.col("__r.n_removed")).alias("n_removed"),
-                       F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("__r.kept")).alias("kept_sha256"))
+    found = repeats.remove_repeats(docs, WORDS, repeated_windows, kept_words, id_col, text_col)
+    rows = repeats.for_documents(docs, found, WINDOW, id_col, text_col, F.sha2("kept", 256), [id_col])
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return rows.select(*unboxed([id_col]), F.col("r.n_tokens").alias("n_words"), "n_removed",
+                       F.when(F.col("copy"), nothing).otherwise(F.col("r.kept")).alias("kept_sha256"))
 
 
 def dedup_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated passages removed from the text: the words that are
     kept, joined by one blank, where any are removed; other texts, nulls among
     them, stay as they are."""
-    results = repeats.remove_repeats(docs, WORDS, repeated_windows, kept_words, id_col, text_col)
-    rows = repeats.for_documents(docs, results, WINDOW, id_col, text_col, F.when(F.col("n_removed") > 0, F.col("kept")))
-    text = F.when(F.col("__copy"), F.lit("")).otherwise(F.coalesce(F.decode(F.col("__r.kept"), "UTF-8"), F.col(text_col)))
-    return rows.withColumn(text_col, text).select(*[f"`{c}`" for c in docs.columns])
+    found = repeats.remove_repeats(docs, WORDS, repeated_windows, kept_words, id_col, text_col)
+    rows = repeats.for_documents(docs, found, WINDOW, id_col, text_col, F.when(F.col("n_removed") > 0, F.col("kept")), docs.columns)
+    before = F.col(f"row.c{docs.columns.index(text_col)}")
+    text = F.when(F.col("copy"), F.lit("")).otherwise(F.coalesce(F.decode(F.col("r.kept"), "UTF-8"), before))
+    return rows.select(*unboxed(docs.columns, **{text_col: text}))

@@ -28,11 +28,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm import repeats
-from lakestrata.llm.common import stored
+from lakestrata.llm.common import boxed, discard, stored, unboxed
 
 WORDS, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8, texts share none of the buckets with a probability of 6e-5.
@@ -232,14 +232,17 @@ def components(links: DataFrame) -> DataFrame:
     by passing smaller labels along links and then to where a label points."""
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-links")
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")), "near-labels")
+    held = labels
     while True:
         seen = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("seen"))
         nearer = labels.join(seen, labels["node"] == seen["a"]).select("node", F.col("label").alias("before"), F.least("label", "seen").alias("label"))
         far = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
         new = stored(nearer.join(far, "label", "left").select("node", "before", F.least("label", F.coalesce("beyond", "label")).alias("label")), "near-labels")
         changed = new.filter("label < before").limit(1).count()
-        labels = new.select("node", "label")
+        discard(held)
+        held, labels = new, new.select("node", "label")
         if not changed:
+            discard(both)
             return labels
 
 
@@ -250,8 +253,9 @@ def links_and_labels(packs: DataFrame, least: float) -> tuple[DataFrame, DataFra
     keys = stored(buckets(packs, idf), "near-buckets")
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1")
     members = stored(keys.join(shared.select("key", "low"), "key"), "near-members")
-    links = stored(verified(members.filter("node <> low").groupBy(F.col("node").alias("b")).agg(F.min("low").alias("a")).select("a", "b"), packs, idf, least), "near-links")
+    discard(keys)
     tested = members.filter("node <> low").groupBy(F.col("node").alias("b")).agg(F.min("low").alias("a")).select("a", "b")
+    links = stored(verified(tested, packs, idf, least), "near-links")
 
     def labelled(labels: DataFrame) -> DataFrame:
         return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -271,10 +275,12 @@ def links_and_labels(packs: DataFrame, least: float) -> tuple[DataFrame, DataFra
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes")).filter("classes > 1")
     mixed = own.join(mixed.select("key", F.col("top.label").alias("main")), "key")
     mixed = stored(mixed, "near-mixed")
+    discard(own)
     few = mixed.filter("label <> main").select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
     cross = mixed.select("key", "node", "label").join(few, "key").filter("label <> x_label")
     cross = cross.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "near-pairs")
+    discard(mixed, star, members)
     links = links.unionByName(stored(verified(cross, packs, idf, least), "near-links"))
     return links, components(links)
 
@@ -301,10 +307,8 @@ def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The row of ``docs`` with the smallest id of each class; of equal rows, one."""
-    from pyspark.sql import Window
-
-    found = near_duplicates(docs, least, id_col, text_col).filter("digest = class_digest").select(F.col("digest").alias("__digest"))
-    rows = docs.withColumn("__digest", repeats.digest(F.col(text_col))).join(found, "__digest", "left_semi")
-    # every copy of a text is here; row numbers go by id within it
-    first = Window.partitionBy("__digest").orderBy(repeats.order_key(id_col))
-    return rows.withColumn("__row", F.row_number().over(first)).filter("__row = 1").select(*[f"`{c}`" for c in docs.columns])
+    found = near_duplicates(docs, least, id_col, text_col).filter("digest = class_digest").select("digest")
+    rows = docs.select(boxed(docs.columns), repeats.digest(F.col(text_col)).alias("digest"), repeats.order_key(id_col).alias("order"))
+    # every copy of a class's text is here; the first by id stays
+    first = Window.partitionBy("digest").orderBy("order")
+    return rows.join(found, "digest", "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1").select(*unboxed(docs.columns))

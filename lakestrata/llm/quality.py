@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import BLANKS, let
+from lakestrata.llm.common import BLANKS, boxed, let, unboxed
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 20
@@ -160,9 +160,7 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_i
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the base rule and the table keep, as they are."""
-    names = docs.columns
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
-    m = docs.select(F.inline(F.array(F.struct(row.alias("row"), measures(F.col(text_col)).alias("m")))))
+    m = docs.select(F.inline(F.array(F.struct(boxed(docs.columns), measures(F.col(text_col)).alias("m")))))
     flat = m.select("row", *[F.col(f"m.w.{c}").alias(c) for c in COUNTS], *[F.col(f"m.l.{c}").alias(c) for c in LINES], F.col("m.n_symbols").alias("n_symbols"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return flat.filter(~failed & verdict(rules)).select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
+    return flat.filter(~failed & verdict(rules)).select(*unboxed(docs.columns))

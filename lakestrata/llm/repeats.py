@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import stored
+from lakestrata.llm.common import boxed, discard, stored
 
 U = np.uint64
 LAST = 2**63 - 1
@@ -436,6 +436,7 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     answers = stored(asked.groupBy("bucket").applyInPandas(answer, "pack long, bucket long, flags binary"), "repeats-answers")
     by_pack = answers.groupBy("pack").agg(F.array_sort(F.collect_list(F.struct("bucket", "flags"))).alias("answers"))
     contested = stored(each_pack(packs.select("pack", "ids", "texts").join(by_pack, "pack"), lambda p: contest(p, kind, buckets), "shard long, pack long, blob binary"), "repeats-contested")
+    discard(answers)
     settled = contested.filter("shard >= 0").groupBy("shard").applyInPandas(settle(method, kind.wire, kind.window), "pack long, blob binary")
     spans = contested.filter("shard < 0").select("pack", "blob").unionByName(settled)
     spans = spans.groupBy("pack").agg(F.collect_list("blob").alias("blobs"))
@@ -447,11 +448,13 @@ def remove_repeats(docs: DataFrame, kind: Kind, method: Callable, keep: Callable
     return result
 
 
-def for_documents(docs: DataFrame, results: DataFrame, window: int, id_col: str, text_col: str, kept: Column) -> DataFrame:
-    """Each row of ``docs`` with n_tokens, n_removed, n_spans and ``kept`` (a column of
-    ``results``, as struct ``__r``): the owner of a text has its result, a later copy
-    of a text of at least a window loses all of it."""
-    r = results.select(F.col("digest").alias("__digest"), F.struct("id", "n_tokens", "n_removed", "n_spans", kept.alias("kept")).alias("__r"))
-    rows = docs.withColumn("__digest", digest(F.col(text_col)))
-    copy = (order_key(id_col) > F.col("__r.id")) & (F.col("__r.n_tokens") >= window)
-    return rows.join(r, "__digest").withColumn("__copy", copy).drop("__digest")
+def for_documents(docs: DataFrame, results: DataFrame, window: int, id_col: str, text_col: str, kept: Column, names: list[str]) -> DataFrame:
+    """Each row of ``docs`` (its columns ``names`` as struct ``row``) with the struct
+    ``r`` of n_tokens, n_removed, n_spans and ``kept`` (a column of ``results``): the
+    owner of a text has its result; of a later copy of a text of at least a window,
+    marked by ``copy``, all is removed."""
+    found = results.select("digest", F.struct("id", "n_tokens", "n_removed", "n_spans", kept.alias("kept")).alias("r"))
+    rows = docs.select(boxed(names), digest(F.col(text_col)).alias("digest"), order_key(id_col).alias("order")).join(found, "digest")
+    copy = (F.col("order") > F.col("r.id")) & (F.col("r.n_tokens") >= window)
+    n = F.when(copy, F.col("r.n_tokens")).otherwise(F.col("r.n_removed"))
+    return rows.select("row", "r", copy.alias("copy"), n.alias("n_removed"))

@@ -15,13 +15,14 @@ result; texts are used whole, in blocks if very long.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import repeats
+from lakestrata.llm.common import unboxed
 
 WINDOW = 50
 _CODES = np.random.default_rng(20240131).integers(0, 2**64, 256, np.uint64)
@@ -85,19 +86,17 @@ def kept_bytes(digests: list, ids: list, texts: list[bytes], blobs: list[bytes])
 
 def dedup_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept): what is left of each row's text, as bytes."""
-    results = repeats.remove_repeats(docs, BYTES, repeated_windows, kept_bytes, id_col, text_col)
-    rows = repeats.for_documents(docs.select(id_col, text_col), results, WINDOW, id_col, text_col, F.col("kept")).drop(text_col)
-    return _columns(rows, id_col, F.when(F.col("__copy"), F.lit("").cast("binary")).otherwise(F.col("__r.kept")).alias("kept"))
+    return _results(docs, id_col, text_col, "kept", lambda kept: kept)
 
 
 def dedup_bytes_digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """As ``dedup_bytes``, with the SHA-256 of what is left (only that travels)."""
-    results = repeats.remove_repeats(docs, BYTES, repeated_windows, kept_bytes, id_col, text_col)
-    rows = repeats.for_documents(docs.select(id_col, text_col), results, WINDOW, id_col, text_col, F.sha2("kept", 256)).drop(text_col)
-    return _columns(rows, id_col, F.when(F.col("__copy"), F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.col("__r.kept")).alias("kept_sha256"))
+    return _results(docs, id_col, text_col, "kept_sha256", lambda kept: F.sha2(kept, 256))
 
 
-def _columns(rows: DataFrame, id_col: str, kept) -> DataFrame:
-    n = F.col("__r.n_tokens")
-    return rows.select(id_col, n.alias("n_bytes"), F.when(F.col("__copy"), n).otherwise(F.col("__r.n_removed")).alias("n_removed"),
-                       F.when(F.col("__copy"), F.lit(1).cast("long")).otherwise(F.col("__r.n_spans")).alias("n_spans"), kept)
+def _results(docs: DataFrame, id_col: str, text_col: str, name: str, form: Callable[[Column], Column]) -> DataFrame:
+    found = repeats.remove_repeats(docs, BYTES, repeated_windows, kept_bytes, id_col, text_col)
+    rows = repeats.for_documents(docs, found, WINDOW, id_col, text_col, form(F.col("kept")), [id_col])
+    return rows.select(*unboxed([id_col]), F.col("r.n_tokens").alias("n_bytes"), "n_removed",
+                       F.when(F.col("copy"), F.lit(1).cast("long")).otherwise(F.col("r.n_spans")).alias("n_spans"),
+                       F.when(F.col("copy"), form(F.lit("").cast("binary"))).otherwise(F.col("r.kept")).alias(name))

@@ -30,4 +30,4 @@ def clashing(df):
     from pyspark.sql import functions as F
 
     return df.select("*", *[F.lit(i).alias(c) for i, c in enumerate(
-        ["id", "digest", "spans", "kept", "ids", "label", "node", "key", "pack", "n_words", "uid", "shard", "row", "m", "class_id", "length"])])
+        ["id", "spans", "kept", "ids", "label", "node", "key", "pack", "n_words", "uid", "shard", "row", "m", "class_id", "length", "digest", "r", "order", "copy", "n", "text_"])])
