@@ -93,7 +93,7 @@ def constraint_report(customers: DataFrame, accounts: DataFrame, balances: DataF
         _key_rule(customers, "customers", "customers_email_key", "UNIQUE", "email"),
         _row_rules(accounts, "accounts", [
             *_not_null("account_id", "customer_id", "account_number", "routing_number", "account_type",
-                       "account_status"),
+                       "account_status", "opened_at"),
             _check("accounts_type_chk", c("account_type").isin(*rules.ACCOUNT_TYPES)),
             _check("accounts_status_chk", c("account_status").isin(*rules.ACCOUNT_STATUSES))]),
         _key_rule(accounts, "accounts", "accounts_pkey", "PRIMARY KEY", "account_id"),

@@ -29,6 +29,9 @@ class SignalParams:
     lookback_seconds: int = 86400
     high_value_amount: str = "50000.00"
     min_failed_logins: int = 2
+    new_account_days: int = 30
+    home_countries: tuple = ("US",)
+    high_risk_categories: tuple = ("4829", "5944", "6051", "7995")
     weights: dict = field(default_factory=lambda: {
         "high_value_transaction": 20,
         "card_not_present": 10,
@@ -37,12 +40,20 @@ class SignalParams:
         "password_reset": 15,
         "new_device_registered": 15,
         "restricted_customer": 20,
+        "restricted_account": 15,
+        "high_kyc_risk": 10,
+        "fraud_watchlist": 20,
+        "cross_border": 10,
+        "high_risk_category": 10,
+        "new_account": 10,
+        "foreign_login": 10,
     })
     levels: tuple = ((70, "high"), (50, "medium_high"), (30, "medium"))
 
 
 COUNTED_TYPES = {"failed_logins": "login_failed", "password_resets": "password_reset",
                  "new_devices": "new_device_registered"}
+COUNTED = [*COUNTED_TYPES, "foreign_logins"]
 
 # Sort tags at one instant: a login enters its window (+1) before the cards at
 # that instant and leaves it (-1 at login_ts + lookback) after them, so both
@@ -51,9 +62,10 @@ _ENTER, _CARD, _LEAVE = 0, 1, 2
 
 
 def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
-                        num_partitions: int | None = None, carry: list[str] | tuple = ()) -> DataFrame:
-    """Per card: failed logins, password resets and new devices of the same
-    customer with ``card_ts - lookback <= login_ts <= card_ts``.
+                        num_partitions: int | None = None, carry: list[str] | tuple = (),
+                        home_countries: tuple = ("US",)) -> DataFrame:
+    """Per card: failed logins, password resets, new devices and logins from
+    other than the home countries, of the same customer with ``card_ts - lookback <= login_ts <= card_ts``.
 
     Exact distributed running sums, no pairs: every login adds +1 when it
     happens and -1 once the look-back has passed, so the count for a card is
@@ -75,7 +87,7 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     width = lookback_seconds * 1_000_000
     micros = F.unix_micros(iso_to_ts(F.col("event_time")))
-    names = list(COUNTED_TYPES)
+    names = COUNTED
     # business dates do not part the stream: a look-back runs over midnight
     key = ["customer_id"]
 
@@ -86,10 +98,12 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
     # helps the range split when a customer bursts at a single instant.
     login_id = F.col("event_id") if "event_id" in logins.columns else F.lit(None).cast("string")
     is_type = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0)
+    abroad = F.when(~F.col("country").isin(*home_countries), 1).otherwise(0) if "country" in logins.columns else F.lit(0)
     edges = F.array(F.struct(F.col("_s").alias("_us"), F.lit(_ENTER).alias("_tag"), F.lit(1).alias("_d")),
                     F.struct((F.col("_s") + width).alias("_us"), F.lit(_LEAVE).alias("_tag"), F.lit(-1).alias("_d")))
     events = logins.select(*key, login_id.alias("event_id"), micros.alias("_s"),
-                           *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()]) \
+                           *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()],
+                           abroad.alias("_is_foreign_logins")) \
         .where(F.col("_s").isNotNull() & F.col("customer_id").isNotNull()
                & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
         .select(*key, "event_id", *["_is_" + c for c in names], F.inline(edges)) \
@@ -121,17 +135,35 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
         *[(F.col(c) + F.coalesce(F.col("_o_" + c), F.lit(0))).cast("bigint").alias(c) for c in names])
 
 
-def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
-                  params: SignalParams = SignalParams()) -> DataFrame:
-    """Flags, score (at most 100) and level for every card authorization."""
-    counts = login_counts_before(cards, logins, params.lookback_seconds,
-                                 carry=["transaction_id", "amount", "card_present", "entry_mode"])
+def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame, accounts: DataFrame | None = None,
+                  profiles: DataFrame | None = None, params: SignalParams = SignalParams()) -> DataFrame:
+    """Flags, score (at most 100) and level for every card authorization.
+
+    Without ``accounts`` or ``profiles`` the flags that need them stay unset."""
+    counts = login_counts_before(cards, logins, params.lookback_seconds, home_countries=params.home_countries,
+                                 carry=["transaction_id", "amount", "card_present", "entry_mode", "account_id",
+                                        "event_time", "merchant_country", "merchant_category_code"])
     # One row per customer id even if the reference table repeats a key (a
     # primary-key violation the constraint report flags), so the left join
     # can never multiply card rows.
     status = customers.groupBy("customer_id").agg(
         F.bool_or(F.col("customer_status") == "restricted").alias("_restricted"))
     j = counts.join(status, "customer_id", "left")
+    if profiles is not None:
+        rated = profiles.groupBy("customer_id").agg(
+            F.bool_or(F.col("kyc_risk_rating") == "high").alias("_high_kyc"),
+            F.bool_or("fraud_watchlist_flag").alias("_watchlist"))
+        j = j.join(rated, "customer_id", "left")
+    else:
+        j = j.withColumns({"_high_kyc": F.lit(False), "_watchlist": F.lit(False)})
+    if accounts is not None:
+        held = accounts.groupBy("account_id").agg(
+            F.bool_or(F.col("account_status").isin("restricted", "frozen")).alias("_held"),
+            F.max("opened_at").alias("_opened"))
+        j = j.join(held, "account_id", "left")
+    else:
+        j = j.withColumns({"_held": F.lit(False), "_opened": F.lit(None).cast("date")})
+    age = F.datediff(iso_to_ts(F.col("event_time")).cast("date"), F.col("_opened"))
     flags: list[tuple[str, Column]] = [
         ("high_value_transaction", F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(28,2)")),
         ("card_not_present", F.col("card_present") == F.lit(False)),
@@ -140,6 +172,13 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
         ("password_reset", F.col("password_resets") >= 1),
         ("new_device_registered", F.col("new_devices") >= 1),
         ("restricted_customer", F.col("_restricted")),
+        ("restricted_account", F.col("_held")),
+        ("high_kyc_risk", F.col("_high_kyc")),
+        ("fraud_watchlist", F.col("_watchlist")),
+        ("cross_border", ~F.col("merchant_country").isin(*params.home_countries)),
+        ("high_risk_category", F.col("merchant_category_code").isin(*params.high_risk_categories)),
+        ("new_account", (age >= 0) & (age <= params.new_account_days)),
+        ("foreign_login", F.col("foreign_logins") >= 1),
     ]
     hits = [F.coalesce(cond, F.lit(False)) for _, cond in flags]
     names = F.array_compact(F.array(*[F.when(h, F.lit(n)) for (n, _), h in zip(flags, hits)]))
@@ -150,6 +189,6 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame,
         level = F.when(F.col("signal_score") >= threshold, name).otherwise(level)
     out = j.select("process_date", "event_id", "transaction_id", "customer_id",
                    *[F.coalesce(F.col(x), F.lit(0)).cast("bigint").alias(x)
-                     for x in ["failed_logins", "password_resets", "new_devices"]],
+                     for x in COUNTED],
                    names.alias("rule_flags"), score.cast("int").alias("signal_score"))
     return out.withColumn("risk_level", level)

@@ -422,8 +422,11 @@ def q_cdc_current_state(spark, d):
 
 
 def q_fraud_signals(spark, d):
-    s = signals.fraud_signals(silver_card_table(spark, d), silver_login_table(spark, d),
-                              core_tables(spark, d)["customers"])
+    t = core_tables(spark, d)
+    # the tables have country names and brands where the events have codes
+    params = signals.SignalParams(home_countries=("US", "UNITED STATES"), high_risk_categories=("Brand#11", "Brand#55"))
+    s = signals.fraud_signals(silver_card_table(spark, d), silver_login_table(spark, d), t["customers"], t["accounts"],
+                              t["customer_risk_profiles"], params)
     return s.withColumn("rule_flags", F.array_join("rule_flags", ","))
 
 

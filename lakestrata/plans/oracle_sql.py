@@ -498,7 +498,8 @@ accounts AS (
     lpad(CAST(o_orderkey AS VARCHAR), 12, '0') AS account_number, '021000021' AS routing_number,
     CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') THEN 'checking' WHEN o_orderpriority = '2-HIGH'
       THEN 'savings' WHEN o_orderpriority = '3-MEDIUM' THEN 'money_market' ELSE 'brokerage' END AS account_type,
-    CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed' ELSE 'frozen' END AS account_status
+    CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed' ELSE 'frozen' END AS account_status,
+    DATE '2023-01-01' + CAST(o_orderkey % 400 AS INTEGER) AS opened_at
   FROM orders
 ),
 account_balances AS (
@@ -554,7 +555,7 @@ CONSTRAINT_SQL = "\nUNION ALL ".join([
     _key("customers", "customers_pkey", "PRIMARY KEY", "customer_id"),
     _key("customers", "customers_email_key", "UNIQUE", "email"),
     *_not_null("accounts", "account_id", "customer_id", "account_number", "routing_number", "account_type",
-               "account_status"),
+               "account_status", "opened_at"),
     _chk("accounts", "accounts_type_chk", "account_type IN ('checking', 'savings', 'money_market')"),
     _chk("accounts", "accounts_status_chk", "account_status IN ('open', 'closed', 'frozen', 'restricted')"),
     _key("accounts", "accounts_pkey", "PRIMARY KEY", "account_id"),
@@ -584,7 +585,8 @@ SIGNAL_SQL = """
   SELECT c.event_id,
     count(*) FILTER (WHERE l.event_type = 'login_failed') AS failed_logins,
     count(*) FILTER (WHERE l.event_type = 'password_reset') AS password_resets,
-    count(*) FILTER (WHERE l.event_type = 'new_device_registered') AS new_devices
+    count(*) FILTER (WHERE l.event_type = 'new_device_registered') AS new_devices,
+    count(*) FILTER (WHERE l.country NOT IN ('US', 'UNITED STATES')) AS foreign_logins
   FROM card_silver c JOIN login_silver l ON l.customer_id = c.customer_id
     AND l.ts BETWEEN c.event_ts - INTERVAL 86400 SECOND AND c.event_ts
   GROUP BY c.event_id
@@ -594,25 +596,40 @@ sig AS (
     CAST(coalesce(s.failed_logins, 0) AS BIGINT) AS failed_logins,
     CAST(coalesce(s.password_resets, 0) AS BIGINT) AS password_resets,
     CAST(coalesce(s.new_devices, 0) AS BIGINT) AS new_devices,
+    CAST(coalesce(s.foreign_logins, 0) AS BIGINT) AS foreign_logins,
+    coalesce(ac.held, false) AS f8, coalesce(rp.high_kyc, false) AS f9, coalesce(rp.watch, false) AS f10,
+    c.merchant_country NOT IN ('US', 'UNITED STATES') AS f11,
+    c.merchant_category_code IN ('Brand#11', 'Brand#55') AS f12,
+    coalesce(CAST(c.event_ts AS DATE) - ac.opened BETWEEN 0 AND 30, false) AS f13,
+    coalesce(s.foreign_logins, 0) >= 1 AS f14,
     c.amount >= 50000.00 AS f1, NOT c.card_present AS f2, c.entry_mode = 'manual_keyed' AS f3,
     coalesce(s.failed_logins, 0) >= 2 AS f4, coalesce(s.password_resets, 0) >= 1 AS f5,
     coalesce(s.new_devices, 0) >= 1 AS f6, coalesce(cu.restricted, false) AS f7
   FROM card_silver c LEFT JOIN sig_counts s ON s.event_id = c.event_id
   LEFT JOIN (SELECT customer_id, bool_or(customer_status = 'restricted') AS restricted
              FROM customers GROUP BY customer_id) cu ON cu.customer_id = c.customer_id
+  LEFT JOIN (SELECT customer_id, bool_or(kyc_risk_rating = 'high') AS high_kyc, bool_or(fraud_watchlist_flag) AS watch
+             FROM customer_risk_profiles GROUP BY customer_id) rp ON rp.customer_id = c.customer_id
+  LEFT JOIN (SELECT account_id, bool_or(account_status IN ('restricted', 'frozen')) AS held, max(opened_at) AS opened
+             FROM accounts GROUP BY account_id) ac ON ac.account_id = c.account_id
 ),
 scored AS (
   SELECT *, CAST(least(CASE WHEN f1 THEN 20 ELSE 0 END + CASE WHEN f2 THEN 10 ELSE 0 END
       + CASE WHEN f3 THEN 15 ELSE 0 END + CASE WHEN f4 THEN 25 ELSE 0 END + CASE WHEN f5 THEN 15 ELSE 0 END
-      + CASE WHEN f6 THEN 15 ELSE 0 END + CASE WHEN f7 THEN 20 ELSE 0 END, 100) AS INTEGER) AS signal_score,
+      + CASE WHEN f6 THEN 15 ELSE 0 END + CASE WHEN f7 THEN 20 ELSE 0 END + CASE WHEN f8 THEN 15 ELSE 0 END
+      + CASE WHEN f9 THEN 10 ELSE 0 END + CASE WHEN f10 THEN 20 ELSE 0 END + CASE WHEN f11 THEN 10 ELSE 0 END
+      + CASE WHEN f12 THEN 10 ELSE 0 END + CASE WHEN f13 THEN 10 ELSE 0 END + CASE WHEN f14 THEN 10 ELSE 0 END, 100) AS INTEGER) AS signal_score,
     concat_ws(',', CASE WHEN f1 THEN 'high_value_transaction' END, CASE WHEN f2 THEN 'card_not_present' END,
       CASE WHEN f3 THEN 'manual_keyed' END, CASE WHEN f4 THEN 'multiple_failed_logins' END,
       CASE WHEN f5 THEN 'password_reset' END, CASE WHEN f6 THEN 'new_device_registered' END,
-      CASE WHEN f7 THEN 'restricted_customer' END) AS rule_flags
+      CASE WHEN f7 THEN 'restricted_customer' END, CASE WHEN f8 THEN 'restricted_account' END,
+      CASE WHEN f9 THEN 'high_kyc_risk' END, CASE WHEN f10 THEN 'fraud_watchlist' END,
+      CASE WHEN f11 THEN 'cross_border' END, CASE WHEN f12 THEN 'high_risk_category' END,
+      CASE WHEN f13 THEN 'new_account' END, CASE WHEN f14 THEN 'foreign_login' END) AS rule_flags
   FROM sig
 )
 SELECT '""" + FIXTURE_DATE + """' AS process_date, event_id, transaction_id, customer_id, failed_logins,
-  password_resets, new_devices, rule_flags, signal_score,
+  password_resets, new_devices, foreign_logins, rule_flags, signal_score,
   CASE WHEN signal_score >= 70 THEN 'high' WHEN signal_score >= 50 THEN 'medium_high'
     WHEN signal_score >= 30 THEN 'medium' ELSE 'low' END AS risk_level
 FROM scored"""

@@ -279,6 +279,7 @@ def core_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("021000021").alias("routing_number"),
         atype.alias("account_type"),
         astatus.alias("account_status"),
+        F.date_add(F.lit("2023-01-01").cast("date"), (ok % 400).cast("int")).alias("opened_at"),
     )
 
 

@@ -26,9 +26,11 @@ def test_constraint_report(spark):
          ("c2", None, "B", "b@x", "1990-01-01", "US", None)],
         "customer_id string, first_name string, last_name string, email string, date_of_birth string, "
         "country_code string, customer_status string")
-    accounts = spark.createDataFrame([("a1", "c1", "1", "r", "checking", "open"), ("a2", "c9", "2", "r", "x", "open")],
+    accounts = spark.createDataFrame([("a1", "c1", "1", "r", "checking", "open", "2020-01-01"),
+                                      ("a2", "c9", "2", "r", "x", "open", None)],
                                      "account_id string, customer_id string, account_number string, "
-                                     "routing_number string, account_type string, account_status string")
+                                     "routing_number string, account_type string, account_status string, "
+                                     "opened_at string")
     balances = spark.createDataFrame([("b1", "a1", 1.0, 1.0, "EUR")], "balance_id string, account_id string, "
                                      "available_balance double, current_balance double, currency string")
     profiles = spark.createDataFrame([("p1", "c1", "verified", "low", "clear", False, False, 101.0)],
@@ -40,6 +42,7 @@ def test_constraint_report(spark):
     assert rep["customers_pkey"] == 2 and rep["customers_email_key"] == 2
     assert rep["customers_status_chk"] == 1  # NULL passes a CHECK
     assert rep["first_name_not_null"] == 1 and rep["customer_status_not_null"] == 1
+    assert rep["opened_at_not_null"] == 1
     assert rep["accounts_customer_id_fkey"] == 1 and rep["accounts_type_chk"] == 1
     assert rep["account_balances_currency_chk"] == 1 and rep["risk_profiles_score_chk"] == 1
     assert rep["account_balances_account_id_fkey"] == 0
@@ -59,6 +62,8 @@ def test_signal_lookback_edges(spark):
          ("d", "cust_2", "2024-01-01T12:00:00.000000+00:00", "login_failed")],    # other customer
         "process_date string, customer_id string, event_time string, event_type string")
     customers = spark.createDataFrame([("cust_1", "restricted")], "customer_id string, customer_status string")
+    cards = cards.withColumns({"account_id": F.lit("acct_1"), "merchant_country": F.lit("US"),
+                               "merchant_category_code": F.lit("5411")})
     out = signals.fraud_signals(cards, logins, customers).collect()
     assert len(out) == 1
     r = out[0]
@@ -67,6 +72,30 @@ def test_signal_lookback_edges(spark):
     assert r["signal_score"] == 70 and r["risk_level"] == "high"
 
 
+def test_every_documented_signal_and_midnight(spark):
+    """A failed login at 23:50 of one business date counts for a card at 00:10 of the next; a quiet card scores 0."""
+    cards = spark.createDataFrame(
+        [("2024-01-02", "e1", "t1", "cust_1", "2024-01-02T00:10:00.000000+00:00", "60000.00", False, "manual_keyed", "acct_1", "AE", "5944"),
+         ("2024-01-02", "e2", "t2", "cust_2", "2024-01-02T00:10:00.000000+00:00", "5.00", True, "chip", "acct_2", "US", "5411")],
+        "process_date string, event_id string, transaction_id string, customer_id string, event_time string, "
+        "amount string, card_present boolean, entry_mode string, account_id string, merchant_country string, "
+        "merchant_category_code string").withColumn("amount", F.col("amount").cast("decimal(28,2)"))
+    logins = spark.createDataFrame(
+        [("2024-01-01", "cust_1", "2024-01-01T23:50:00.000000+00:00", t, "NL")
+         for t in ("login_failed", "login_failed", "password_reset", "new_device_registered")],
+        "process_date string, customer_id string, event_time string, event_type string, country string")
+    customers = spark.createDataFrame([("cust_1", "restricted"), ("cust_2", "active")], "customer_id string, customer_status string")
+    accounts = spark.createDataFrame([("acct_1", "restricted", "2023-12-20"), ("acct_2", "open", "2020-01-01")],
+                                     "account_id string, account_status string, opened_at string").withColumn(
+        "opened_at", F.col("opened_at").cast("date"))
+    profiles = spark.createDataFrame([("cust_1", "high", True), ("cust_2", "low", False)],
+                                     "customer_id string, kyc_risk_rating string, fraud_watchlist_flag boolean")
+    out = {r["event_id"]: r for r in signals.fraud_signals(cards, logins, customers, accounts, profiles).collect()}
+    assert out["e1"]["rule_flags"] == list(signals.SignalParams().weights)
+    assert (out["e1"]["failed_logins"], out["e1"]["foreign_logins"], out["e1"]["signal_score"]) == (2, 4, 100)
+    assert out["e2"]["rule_flags"] == [] and (out["e2"]["signal_score"], out["e2"]["risk_level"]) == (0, "low")
+
+
 def test_bronze_documents_reader_is_reject_tolerant(spark, tmp_root):
     d = os.path.join(tmp_root, "docs")
     os.makedirs(d)
