@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
 from lakestrata.functions.exprs import iso_utc
-from lakestrata.sources.tables import spread, table
+from lakestrata.sources.tables import input_partitions, spread, table
 
 # Business date every fixture message is landed under.
 FIXTURE_DATE = "2024-01-31"
@@ -61,7 +61,7 @@ def card_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = spread(table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_returnflag", "l_linestatus"))
+        "l_returnflag", "l_linestatus"), input_partitions(spark))
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand")
     # nation has 25 rows by definition of the schema: a fixed-size broadcast.
@@ -125,7 +125,7 @@ def card_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def login_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One login message per row of ``events``."""
-    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"), input_partitions(spark))
     eid, uid = F.col("event_id"), F.col("user_id")
     etype = (F.when(F.col("event_type") == "click", "login_success")
              .when(F.col("event_type") == "error", "login_failed")

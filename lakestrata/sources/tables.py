@@ -13,22 +13,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster when it has fewer partitions than there
-    are task slots (a table stored as one file or row group would otherwise be
-    parsed by a single task).
-
-    Round-robin, not by a key: such an input can still be large on a big
-    cluster, and a key holding a third of the rows would put that third in one
-    task (a user repartition is not split by the adaptive skew handling). Spark
-    sorts each input partition before a round-robin repartition, so a retried
-    task sends every row to the same place.
-
-    Only plain scans should be passed: the partition count then comes from the
-    file listing, no job runs. Inputs already split finer than the cluster's
-    parallelism are returned unchanged, so large tables pay no extra shuffle.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deal a scan's rows round-robin to ``partitions`` tasks, if a number is given.
+
+    For a table that is stored as one file or row group, which a single task
+    would parse; the caller knows and says so, nothing is inferred from the
+    cluster. Round-robin, not by a key, so a key that holds a third of the rows
+    cannot land in one task; Spark sorts each input partition before such a
+    repartition, so a retried task sends every row to the same place.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)
+    return df if partitions is None else df.repartition(partitions)
+
+
+def input_partitions(spark: SparkSession) -> int | None:
+    """The number that the job's ``spark.lakestrata.inputPartitions`` asks for, if set."""
+    asked = spark.conf.get("spark.lakestrata.inputPartitions", None)
+    return int(asked) if asked else None
