@@ -27,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,6 +38,8 @@ from lakestrata.llm.common import boxed, discard, stored, unboxed
 WORDS, SIMILARITY = 5, 0.8
 #: At a similarity of 0.8, texts share none of the buckets with a probability of 6e-5.
 BANDS, ROWS = 32, 6
+#: Buckets of more texts are compared in blocks of about ``BLOCK``, not by pairs of rows.
+LARGE, BLOCK = 48, 256
 WIDTH = 1 << 20
 _U = np.uint64
 #: A shingle's hash has 52 bits; a pack's text number fits above it.
@@ -115,9 +118,7 @@ def document_frequencies(packs: DataFrame) -> tuple[int, np.ndarray]:
                 [pa.array(range(parts), pa.int32()), pa.array([docs if k == 0 else 0 for k in range(parts)], pa.int64()),
                  pa.array([x.tobytes() for x in np.split(counts, parts)], pa.binary())], ["part", "docs", "counts"])
 
-    def add(pdf):
-        import pandas as pd
-
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.sum([np.frombuffer(x, np.int64) for x in pdf["counts"]], axis=0)
         return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "docs": [int(pdf["docs"].sum())], "counts": [total.tobytes()]})
 
@@ -227,6 +228,57 @@ def verified(pairs: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
+def linked_in_blocks(rows: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame:
+    """Links (a, b) between texts of different labels in one bucket.
+
+    ``rows`` are (key, m, node, label), m the bucket's size. Each bucket is parted
+    into blocks by a hash; every two blocks of it are compared in a task of their
+    own, by products of matrices of shingles and texts. Of the links between two
+    labels a task returns one."""
+    texts = packs.select("pack", F.posexplode("texts").alias("at", "text")).select(
+        (F.col("pack") * repeats.PACK_TEXTS + F.col("at")).alias("node"), "text")
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("node", ignore_index=True)
+        text, grams, count = Shingler()(pdf["text"].tolist())
+        weight = idf.value[slot(grams)].astype(np.float64)
+        total = np.bincount(text, weight * count, len(pdf))
+        # a shingle that a text has twice counts as two tokens, so shared weights are those of common tokens
+        token = np.repeat(grams, count)
+        nth = np.arange(len(token)) - np.repeat(np.cumsum(count) - count, count)
+        _, token = np.unique(repeats.mix(token, nth.astype(np.uint64)), return_inverse=True)
+        text, weight = np.repeat(text, count), np.repeat(weight, count)
+        often = np.bincount(token)[token] > 1
+        token, text, weight = token[often], text[often], weight[often]
+        order = np.argsort(token, kind="stable")
+        token, text, weight = token[order], text[order], weight[order]
+        _, token = np.unique(token, return_inverse=True)
+        shared = np.zeros((len(pdf), len(pdf)))
+        step = 4096
+        for low in range(0, int(token.max()) + 1 if len(token) else 0, step):
+            a, b = np.searchsorted(token, (low, low + step))
+            has, w = np.zeros((len(pdf), step)), np.zeros(step)
+            has[text[a:b], token[a:b] - low] = 1
+            w[token[a:b] - low] = weight[a:b]
+            shared += (has * w) @ has.T
+        label, block = pdf["label"].to_numpy(), pdf["block"].to_numpy()
+        near = (shared >= least * (total[:, None] + total[None, :] - shared) - 1e-9) & (shared > 0)
+        near &= label[:, None] != label[None, :]
+        if pdf["i"].iloc[0] != pdf["j"].iloc[0]:
+            near &= block[:, None] != block[None, :]
+        a, b = np.nonzero(np.triu(near))
+        ends = np.sort(np.stack((label[a], label[b]), axis=1), axis=1)
+        _, one = np.unique(ends, axis=0, return_index=True)
+        node = pdf["node"].to_numpy()
+        return pd.DataFrame({"a": node[a[one]], "b": node[b[one]]})
+
+    return dealt.join(texts, "node").groupBy("key", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of the nodes that have links: the smallest node of each component,
     by passing smaller labels along links and then to where a label points."""
@@ -246,7 +298,8 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def links_and_labels(packs: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+def labels_of(packs: DataFrame, least: float) -> DataFrame:
+    """(node, label) of the texts that have links."""
     spark = packs.sparkSession
     docs, counts = document_frequencies(packs)
     idf = spark.sparkContext.broadcast(idf_table(docs, counts))  # 4 MB
@@ -272,37 +325,36 @@ def links_and_labels(packs: DataFrame, least: float) -> tuple[DataFrame, DataFra
     labels = components(links)
     own = stored(labelled(labels), "near-members")
     sizes = own.groupBy("key", "label").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes")).filter("classes > 1")
-    mixed = own.join(mixed.select("key", F.col("top.label").alias("main")), "key")
+    mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes"), F.sum("n").alias("m"))
+    mixed = own.join(mixed.filter("classes > 1").select("key", F.col("top.label").alias("main"), "m"), "key")
     mixed = stored(mixed, "near-mixed")
     discard(own)
-    few = mixed.filter("label <> main").select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
+    few = mixed.filter((F.col("label") != F.col("main")) & (F.col("m") <= LARGE)).select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
     cross = mixed.select("key", "node", "label").join(few, "key").filter("label <> x_label")
     cross = cross.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    discard(mixed, star, members)
-    links = links.unionByName(stored(verified(cross, packs, idf, least), "near-links"))
-    return links, components(links)
+    pairwise = stored(verified(cross, packs, idf, least), "near-links")
+    blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "node", "label"), packs, idf, least), "near-links")
+    discard(mixed, star, members, cross)
+    return components(links.unionByName(pairwise).unionByName(blockwise))
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(digest, class_id, class_digest, n_links): the class of each distinct text, named by
-    the smallest id in it, the text that has that id, and the number of verified links."""
+    """(digest, class_id, class_digest): the class of each distinct text, named by the
+    smallest id in it, and the text that has that id."""
     packs = stored(repeats.distinct_packs(docs, id_col, text_col), "near-packs")
-    links, labels = links_and_labels(packs, least)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    own = nodes(packs).join(labels, "node", "left").join(degree, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    own = nodes(packs).join(labels_of(packs, least), "node", "left").withColumn("label", F.coalesce("label", "node"))
     own = stored(own, "near-nodes")
+    discard(packs)
     named = own.groupBy("label").agg(F.min(F.struct("id", "digest")).alias("least"))
-    return own.join(named, "label").select("digest", F.col("least.id").alias("class_id"), F.col("least.digest").alias("class_digest"),
-                                           F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return own.join(named, "label").select("digest", F.col("least.id").alias("class_id"), F.col("least.digest").alias("class_digest"))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, class_id, n_links) of each row."""
+    """(id, class_id) of each row."""
     found = near_duplicates(docs, least, id_col, text_col)
     rows = docs.select(F.col(id_col).alias(id_col), repeats.digest(F.col(text_col)).alias("digest"))
-    return rows.join(found, "digest").select(id_col, F.when(F.col("class_id") != repeats.LAST, F.col("class_id")).alias("class_id"), "n_links")
+    return rows.join(found, "digest").select(id_col, F.when(F.col("class_id") != repeats.LAST, F.col("class_id")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

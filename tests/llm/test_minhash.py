@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from lakestrata.llm import minhash
 from tests.llm.cases import awkward, clashing, frame, prose
@@ -44,13 +45,17 @@ def changed(text, n, seed):
     return " ".join(w)
 
 
-def test_classes_are_the_components(spark):
+@pytest.mark.parametrize("large", [(48, 512), (3, 7)])
+def test_classes_are_the_components(spark, monkeypatch, large):
+    monkeypatch.setattr(minhash, "LARGE", large[0])
+    monkeypatch.setattr(minhash, "BLOCK", large[1])
     rows = []
     for g in range(12):
         base = prose(100 + g, 150)
         rows += [(1000 * g + k, changed(base, k // 3, 17 * g + k)) for k in range(9)]
     hub = prose(500, 200)
     rows += [(50_000 + k, changed(hub, 2, k)) for k in range(60)]  # a large group of near copies
+    rows += [(60_000 + k, changed(hub, 5 + k % 6, 900 + k)) for k in range(60)]  # and some that are less alike
     rows += [(90_000 + k, prose(700 + k, 100)) for k in range(40)]
     texts = [t for _, t in rows]
     alike = weighted(texts)
