@@ -23,20 +23,25 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def fold_changes(changes: DataFrame, key: str, lsn: str = "lsn") -> DataFrame:
-    """Current state from a change feed (``op, before, after, lsn``): the
-    change with the greatest LSN per key wins; a winning delete removes the
-    row (R1). The key of a delete comes from ``before``. Changes with equal LSN
-    are ordered by operation and content, so that a rerun picks the same one.
+def latest_changes(changes: DataFrame, key: str, lsn: str = "lsn") -> DataFrame:
+    """The change with the greatest LSN of each key, deletes included. The key of
+    a delete comes from ``before``. Changes with equal LSN are ordered by
+    operation and content, so that a rerun picks the same one.
 
     ``row_number() = 1`` is pre-limited on the map side, so a key with a very
     long history still moves one row per task.
     """
     k = F.coalesce(F.col("after." + key), F.col("before." + key))
     w = Window.partitionBy("_key").orderBy(F.col(lsn).desc(), F.col("op").asc(), F.to_json("after").desc())
-    latest = changes.withColumn("_key", k).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1)
-    return latest.where(F.col("op") != "d").select("after.*", F.col(lsn).alias("source_lsn"),
-                                                   F.col("op").alias("last_op"))
+    return changes.withColumn("_key", k).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "_key")
+
+
+def fold_changes(changes: DataFrame, key: str, lsn: str = "lsn") -> DataFrame:
+    """Current state from a change feed (``op, before, after, lsn``): the
+    change with the greatest LSN per key wins; a winning delete removes the
+    row (R1)."""
+    return latest_changes(changes, key, lsn).where(F.col("op") != "d").select(
+        "after.*", F.col(lsn).alias("source_lsn"), F.col("op").alias("last_op"))
 
 
 def _row_rules(df: DataFrame, table: str, checks: list[tuple[str, str, Column]]) -> DataFrame:

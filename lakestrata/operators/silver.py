@@ -69,7 +69,7 @@ def parse_events(bronze: DataFrame, fields: list[str], prefix: str, required: li
         *_lineage(),
         (F.lit(process_date) if process_date else F.col("ingest_date")).alias("process_date"),
         F.col("raw_value").alias("_raw"),
-        object_key(prefix).alias("_source_object_key"),
+        (F.col("source_object_key") if "source_object_key" in bronze.columns else object_key(prefix)).alias("_source_object_key"),
     ])
 
 

@@ -9,6 +9,7 @@ rendered with ``array_join`` so they compare as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -421,6 +422,25 @@ def q_cdc_current_state(spark, d):
     return core.fold_changes(fixtures.order_changes(spark, d), "order_id")
 
 
+#: Of each core table: its key, and the column and value that its feed's updates set.
+CORE_FEEDS = {"customers": ("customer_id", "customer_status", "inactive"),
+              "accounts": ("account_id", "account_status", "closed"),
+              "account_balances": ("balance_id", "currency", "GBP"),
+              "customer_risk_profiles": ("risk_profile_id", "kyc_status", "expired")}
+
+
+def q_cdc_core_state(spark, d):
+    """The current state of the four core tables from their change feeds: each
+    row's key, the column that updates touch, and the change that won."""
+    parts = []
+    for name, (key, column, value) in CORE_FEEDS.items():
+        feed = fixtures.core_changes(core_tables(spark, d)[name], key, column, value)
+        parts.append(core.fold_changes(feed, key).select(
+            F.lit(name).alias("table_name"), F.col(key).alias("row_key"), F.col(column).alias("updated_value"),
+            "source_lsn", "last_op"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_fraud_signals(spark, d):
     t = core_tables(spark, d)
     # the tables have country names and brands where the events have codes
@@ -479,5 +499,6 @@ QUERIES: dict[str, Query] = {
     "core_table_counts": q_core_table_counts,
     "core_constraint_violations": q_core_constraint_violations,
     "cdc_current_state": q_cdc_current_state,
+    "cdc_core_state": q_cdc_core_state,
     "fraud_signals": q_fraud_signals,
 }

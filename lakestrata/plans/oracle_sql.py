@@ -876,4 +876,13 @@ FROM card_m ORDER BY {CARD_KEY} LIMIT 100"""),
     "quarantine_listing_login": with_ctes(LOGIN_CTE, body=f"""
 SELECT 'silver_login_events' AS job_name, '{FIXTURE_DATE}' AS process_date, rejection_reason,
   's3://banking-bronze/' || {LOGIN_KEY} AS source_path FROM login_m WHERE rejection_reason IS NOT NULL"""),
+    "cdc_core_state": with_ctes(CORE_CTE, body="\nUNION ALL\n".join(f"""
+SELECT '{table}' AS table_name, {key} AS row_key, CASE WHEN n % 3 = 0 THEN '{value}' ELSE {column} END AS updated_value,
+  n * 10 + CASE WHEN n % 3 = 0 THEN 1 ELSE 0 END AS source_lsn, CASE WHEN n % 3 = 0 THEN 'u' ELSE 'r' END AS last_op
+FROM (SELECT *, CAST(regexp_extract({key}, '([0-9]+)$', 1) AS BIGINT) AS n FROM {table}) WHERE n % 7 <> 0"""
+        for table, key, column, value in (
+            ("customers", "customer_id", "customer_status", "inactive"),
+            ("accounts", "account_id", "account_status", "closed"),
+            ("account_balances", "balance_id", "currency", "GBP"),
+            ("customer_risk_profiles", "risk_profile_id", "kyc_status", "expired")))),
 }

@@ -109,6 +109,24 @@ def read_bronze_documents(spark: SparkSession, path: str, ingest_date: str | Non
     return df.withColumn("parsed_value", F.when(F.col("_corrupt_record").isNull(), parse_body(body)))
 
 
+def bronze_from_documents(spark: SparkSession, path: str, ingest_date: str) -> DataFrame:
+    """Bronze documents as envelope rows for the Silver checks, with the file
+    that each came from as ``source_object_key`` (A4, A5).
+
+    The body is the document's parsed value, or its raw text; a file that is
+    not a JSON object has its own text as the body, so that it is rejected and
+    quarantined under its path."""
+    docs = (spark.read.schema(BRONZE_DOCUMENT_SCHEMA)
+            .option("multiLine", True)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "_corrupt_record")
+            .json(path).select("*", F.col("_metadata.file_path").alias("source_object_key")))
+    broken = F.col("_corrupt_record").isNotNull()
+    body = F.when(broken, F.col("_corrupt_record")).otherwise(F.coalesce("parsed_value", "raw_value"))
+    return docs.select("bronze_ingest_time", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key",
+                       body.alias("raw_value"), F.lit(ingest_date).alias("ingest_date"), "source_object_key")
+
+
 def write_bronze(bronze: DataFrame, path: str) -> None:
     """Append-only Bronze sink partitioned by ``ingest_date``."""
     bronze.write.mode("append").partitionBy("ingest_date").parquet(path)

@@ -339,5 +339,21 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.explode(changes).alias("c")).select("c.*")
 
 
+def core_changes(rows: DataFrame, key: str, column: str, value: str) -> DataFrame:
+    """A CDC feed of a core table: a snapshot read of every row, an update of
+    ``column`` for keys divisible by three and a delete for those by seven."""
+    n = F.regexp_extract(key, "([0-9]+)$", 1).cast("bigint")
+    row = F.struct(*rows.columns)
+    updated = row.withField(column, F.lit(value))
+    none = F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType)
+    changes = F.array_compact(F.array(
+        F.struct(F.lit("r").alias("op"), none.alias("before"), row.alias("after"), (n * 10).alias("lsn")),
+        F.when(n % 3 == 0, F.struct(F.lit("u").alias("op"), row.alias("before"), updated.alias("after"),
+                                    (n * 10 + 1).alias("lsn"))),
+        F.when(n % 7 == 0, F.struct(F.lit("d").alias("op"), row.alias("before"), none.alias("after"),
+                                    (n * 10 + 2).alias("lsn")))))
+    return rows.select(F.explode(changes).alias("c")).select("c.*")
+
+
 def row_type() -> str:
     return "struct<order_id:string,customer_id:string,status:string,total:string>"

@@ -3,8 +3,10 @@ import os
 
 from pyspark.sql import functions as F
 
-from lakestrata.operators import core, signals, validation
-from lakestrata.sources.bronze import read_bronze_documents
+from lakestrata.functions import rules
+from lakestrata.operators import core, signals, silver, validation
+from lakestrata.sources.bronze import bronze_from_documents, read_bronze_documents
+from lakestrata.streaming.cdc_stream import current_state, fold_stream
 from tests.conftest import envelope_rows
 
 ROW = "struct<order_id:string,customer_id:string,status:string,total:string>"
@@ -96,6 +98,39 @@ def test_every_documented_signal_and_midnight(spark):
     assert out["e2"]["rule_flags"] == [] and (out["e2"]["signal_score"], out["e2"]["risk_level"]) == (0, "low")
 
 
+def test_documents_reach_silver_with_their_path(spark, tmp_root):
+    d = os.path.join(tmp_root, "docs")
+    os.makedirs(d)
+    body = {f: "x" for f in rules.CARD_REQUIRED_FIELDS} | {"amount": "10.00", "currency": "USD", "card_present": True,
+                                                           "authorization_status": "approved"}
+    envelope = {"bronze_ingest_time": "t", "kafka_topic": "x", "kafka_partition": 1, "kafka_offset": 5, "kafka_key": None}
+    for name, text in (("good.json", json.dumps(envelope | {"raw_value": json.dumps(body), "parsed_value": body}, indent=1)),
+                       ("raw.json", json.dumps(envelope | {"raw_value": json.dumps(body | {"event_id": "y"})})),
+                       ("broken.json", '{"event_id": ')):
+        with open(os.path.join(d, name), "w") as f:
+            f.write(text)
+    bronze = bronze_from_documents(spark, d, "2024-01-31")
+    checked = silver.check_cards(bronze)
+    assert {r["event_id"] for r in silver.silver_from_checked(checked).collect()} == {"x", "y"}
+    rejects = silver.quarantine(checked, rules.JOB_SILVER_CARD).collect()
+    assert [r["source_object_key"].rsplit("/", 1)[1] for r in rejects] == ["broken.json"]
+    assert rejects[0]["rejection_reason"] == silver.NOT_OBJECT and rejects[0]["raw_record"].startswith('{"event_id"')
+
+
+def test_streamed_fold_equals_batch_fold(spark, tmp_root):
+    rows = [("r", None, ("o1", "c1", "O", "1.00"), 10), ("d", ("o1", "c1", "O", "1.00"), None, 13), ("r", None, ("o2", "c2", "O", "2.00"), 20),
+            ("u", ("o1", "c1", "O", "1.00"), ("o1", "c1", "F", "1.00"), 11),  # late: the delete stays
+            ("u", ("o2", "c2", "O", "2.00"), ("o2", "c2", "P", "2.00"), 25)]
+    schema = f"op string, before {ROW}, after {ROW}, lsn long"
+    for part in (rows[:2], rows[2:4], rows[4:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_root}/feed")
+        feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_root}/feed")
+        fold_stream(feed, f"{tmp_root}/state", f"{tmp_root}/checkpoint", "order_id").awaitTermination()
+    streamed = current_state(spark, f"{tmp_root}/state").collect()
+    assert streamed == core.fold_changes(spark.createDataFrame(rows, schema), "order_id").collect()
+    assert [(r["order_id"], r["status"]) for r in streamed] == [("o2", "P")]
+
+
 def test_bronze_documents_reader_is_reject_tolerant(spark, tmp_root):
     d = os.path.join(tmp_root, "docs")
     os.makedirs(d)
