@@ -2,12 +2,12 @@
 current state (R1) and the constraint report (R2).
 
 The constraint report re-states the tables' PRIMARY KEY, UNIQUE, NOT NULL,
-FOREIGN KEY and CHECK rules as Spark jobs: row rules in one aggregate pass
-per table, key rules as grouped counts, foreign keys as left-anti joins.
+FOREIGN KEY and CHECK rules as one grouped count over one scan of each table.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,36 +44,15 @@ def fold_changes(changes: DataFrame, key: str, lsn: str = "lsn") -> DataFrame:
         "after.*", F.col(lsn).alias("source_lsn"), F.col("op").alias("last_op"))
 
 
-def _row_rules(df: DataFrame, table: str, checks: list[tuple[str, str, Column]]) -> DataFrame:
-    """Row-level rules of one table in a single aggregate pass."""
-    agg = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, (_, _, cond) in enumerate(checks)])
-    arr = F.array(*[F.struct(F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
-                             F.lit(kind).alias("constraint_type"), F.col(f"c{i}").alias("violation_count"))
-                    for i, (name, kind, _) in enumerate(checks)])
-    return agg.select(F.explode(arr).alias("r")).select("r.*")
+@dataclass
+class TableRules:
+    """The rules of one table: row conditions that are violations, keys that must
+    not repeat, foreign keys (column, parent table), and the column they refer to."""
 
-
-def _key_rule(df: DataFrame, table: str, name: str, kind: str, key: str) -> DataFrame:
-    """Rows whose non-null key value appears more than once."""
-    g = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return g.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violation_count")).select(
-        F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"), F.lit(kind).alias("constraint_type"),
-        "violation_count")
-
-
-def _fk_rule(child: DataFrame, table: str, name: str, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Rows whose non-null foreign key has no parent row.
-
-    Both sides are first reduced to one row per key (child keys with their row
-    counts, parent keys distinct; partial aggregation absorbs hot keys), so the
-    left-anti join moves one row per key and no key can skew it.
-    """
-    refs = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("n"))
-    keys = parent.select(F.col(pk).alias(fk)).where(F.col(fk).isNotNull()).distinct()
-    orphans = refs.join(keys, fk, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violation_count")).select(
-        F.lit(table).alias("table_name"), F.lit(name).alias("constraint_name"),
-        F.lit("FOREIGN KEY").alias("constraint_type"), "violation_count")
+    rows: list[tuple[str, str, Column]]
+    keys: list[tuple[str, str, str]]
+    references: list[tuple[str, str, str]] = field(default_factory=list)
+    referred: str = ""
 
 
 def _not_null(*cols: str) -> list[tuple[str, str, Column]]:
@@ -85,45 +64,70 @@ def _check(name: str, cond: Column) -> tuple[str, str, Column]:
     return (name, "CHECK", ~F.coalesce(cond, F.lit(True)))
 
 
+def _table_rules() -> dict[str, TableRules]:
+    c = F.col
+    return {
+        "customers": TableRules(
+            [*_not_null("customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status"),
+             _check("customers_status_chk", c("customer_status").isin(*rules.CUSTOMER_STATUSES))],
+            [("customers_pkey", "PRIMARY KEY", "customer_id"), ("customers_email_key", "UNIQUE", "email")], referred="customer_id"),
+        "accounts": TableRules(
+            [*_not_null("account_id", "customer_id", "account_number", "routing_number", "account_type", "account_status", "opened_at"),
+             _check("accounts_type_chk", c("account_type").isin(*rules.ACCOUNT_TYPES)),
+             _check("accounts_status_chk", c("account_status").isin(*rules.ACCOUNT_STATUSES))],
+            [("accounts_pkey", "PRIMARY KEY", "account_id"), ("accounts_account_number_key", "UNIQUE", "account_number")],
+            [("accounts_customer_id_fkey", "customer_id", "customers")], referred="account_id"),
+        "account_balances": TableRules(
+            [*_not_null("balance_id", "account_id", "available_balance", "current_balance", "currency"),
+             _check("account_balances_currency_chk", c("currency") == rules.BALANCE_CURRENCY)],
+            [("account_balances_pkey", "PRIMARY KEY", "balance_id")],
+            [("account_balances_account_id_fkey", "account_id", "accounts")]),
+        "customer_risk_profiles": TableRules(
+            [*_not_null("risk_profile_id", "customer_id", "kyc_status", "kyc_risk_rating", "sanctions_screening_status",
+                        "pep_flag", "fraud_watchlist_flag", "risk_score"),
+             _check("risk_profiles_kyc_status_chk", c("kyc_status").isin(*rules.KYC_STATUSES)),
+             _check("risk_profiles_rating_chk", c("kyc_risk_rating").isin(*rules.KYC_RISK_RATINGS)),
+             _check("risk_profiles_sanctions_chk", c("sanctions_screening_status").isin(*rules.SANCTIONS_STATUSES)),
+             _check("risk_profiles_score_chk", (c("risk_score") >= 0) & (c("risk_score") <= 100))],
+            [("customer_risk_profiles_pkey", "PRIMARY KEY", "risk_profile_id"),
+             ("customer_risk_profiles_customer_id_key", "UNIQUE", "customer_id")],
+            [("customer_risk_profiles_customer_id_fkey", "customer_id", "customers")]),
+    }
+
+
 def constraint_report(customers: DataFrame, accounts: DataFrame, balances: DataFrame,
                       profiles: DataFrame) -> DataFrame:
-    """Violation count per constraint of the four tables (R2)."""
-    c = F.col
-    parts = [
-        _row_rules(customers, "customers", [
-            *_not_null("customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code",
-                       "customer_status"),
-            _check("customers_status_chk", c("customer_status").isin(*rules.CUSTOMER_STATUSES))]),
-        _key_rule(customers, "customers", "customers_pkey", "PRIMARY KEY", "customer_id"),
-        _key_rule(customers, "customers", "customers_email_key", "UNIQUE", "email"),
-        _row_rules(accounts, "accounts", [
-            *_not_null("account_id", "customer_id", "account_number", "routing_number", "account_type",
-                       "account_status", "opened_at"),
-            _check("accounts_type_chk", c("account_type").isin(*rules.ACCOUNT_TYPES)),
-            _check("accounts_status_chk", c("account_status").isin(*rules.ACCOUNT_STATUSES))]),
-        _key_rule(accounts, "accounts", "accounts_pkey", "PRIMARY KEY", "account_id"),
-        _key_rule(accounts, "accounts", "accounts_account_number_key", "UNIQUE", "account_number"),
-        _fk_rule(accounts, "accounts", "accounts_customer_id_fkey", "customer_id", customers, "customer_id"),
-        _row_rules(balances, "account_balances", [
-            *_not_null("balance_id", "account_id", "available_balance", "current_balance", "currency"),
-            _check("account_balances_currency_chk", c("currency") == rules.BALANCE_CURRENCY)]),
-        _key_rule(balances, "account_balances", "account_balances_pkey", "PRIMARY KEY", "balance_id"),
-        _fk_rule(balances, "account_balances", "account_balances_account_id_fkey", "account_id", accounts,
-                 "account_id"),
-        _row_rules(profiles, "customer_risk_profiles", [
-            *_not_null("risk_profile_id", "customer_id", "kyc_status", "kyc_risk_rating",
-                       "sanctions_screening_status", "pep_flag", "fraud_watchlist_flag", "risk_score"),
-            _check("risk_profiles_kyc_status_chk", c("kyc_status").isin(*rules.KYC_STATUSES)),
-            _check("risk_profiles_rating_chk", c("kyc_risk_rating").isin(*rules.KYC_RISK_RATINGS)),
-            _check("risk_profiles_sanctions_chk", c("sanctions_screening_status").isin(*rules.SANCTIONS_STATUSES)),
-            _check("risk_profiles_score_chk", (c("risk_score") >= 0) & (c("risk_score") <= 100))]),
-        _key_rule(profiles, "customer_risk_profiles", "customer_risk_profiles_pkey", "PRIMARY KEY",
-                  "risk_profile_id"),
-        _key_rule(profiles, "customer_risk_profiles", "customer_risk_profiles_customer_id_key", "UNIQUE",
-                  "customer_id"),
-        _fk_rule(profiles, "customer_risk_profiles", "customer_risk_profiles_customer_id_fkey", "customer_id",
-                 customers, "customer_id"),
-    ]
-    out = reduce(DataFrame.unionByName, parts)
-    return out.select("table_name", "constraint_name", "constraint_type",
-                      F.col("violation_count").cast("bigint").alias("violation_count"))
+    """Violation count per constraint of the four tables (R2).
+
+    Each table is scanned once: a row is expanded into what it has to say about
+    the rules (a violated row rule, a key, a foreign key, a key that others refer
+    to). One count per (rule, key), partial before the shuffle so that no key can
+    skew it, then decides every rule: repeated keys count their rows, foreign keys
+    without a referred key theirs."""
+    tables = {"customers": customers, "accounts": accounts, "account_balances": balances, "customer_risk_profiles": profiles}
+    of = _table_rules()
+
+    def said(rule: str, role: str, key: Column | None) -> Column:
+        text = F.lit(None).cast("string") if key is None else key.cast("string")
+        return F.struct(F.lit(rule).alias("rule"), F.lit(role).alias("role"), text.alias("key"))
+
+    parts = []
+    for name, df in tables.items():
+        r = of[name]
+        says = [F.when(bad, said(f"{name}.{rule}", "row", None)) for rule, _, bad in r.rows]
+        says += [F.when(F.col(k).isNotNull(), said(f"{name}.{rule}", "key", F.col(k))) for rule, _, k in r.keys]
+        says += [F.when(F.col(k).isNotNull(), said(f"{name}.{rule}", "child", F.col(k))) for rule, k, _ in r.references]
+        says += [F.when(F.col(r.referred).isNotNull(), said(f"{child}.{rule}", "parent", F.col(r.referred)))
+                 for child, own in of.items() for rule, _, parent in own.references if parent == name]
+        parts.append(df.select(F.explode(F.array_compact(F.array(*says))).alias("s")).select("s.*"))
+    role = lambda x: F.count_if(F.col("role") == x)
+    per_key = reduce(DataFrame.unionByName, parts).groupBy("rule", "key").agg(
+        role("row").alias("bad"), role("key").alias("n"), role("child").alias("children"), role("parent").alias("parents"))
+    found = F.col("bad") + F.when(F.col("n") > 1, F.col("n")).otherwise(0) \
+        + F.when(F.col("parents") == 0, F.col("children")).otherwise(0)
+    counted = per_key.groupBy("rule").agg(F.sum(found).alias("found"))
+    every = [(f"{t}.{rule}", t, rule, kind) for t, r in of.items() for rule, kind, _ in [*r.rows, *r.keys]]
+    every += [(f"{t}.{rule}", t, rule, "FOREIGN KEY") for t, r in of.items() for rule, *_ in r.references]
+    listed = customers.sparkSession.createDataFrame(every, "rule string, table_name string, constraint_name string, constraint_type string")
+    return listed.join(counted, "rule", "left").select(
+        "table_name", "constraint_name", "constraint_type", F.coalesce("found", F.lit(0)).cast("bigint").alias("violation_count"))

@@ -197,8 +197,17 @@ def test_foreign_key_counts_rows_not_keys(spark):
                                   + [("b1", "cust_1"), ("b2", "cust_1"), ("b3", None), ("b4", "cust_2")],
                                   "account_id string, customer_id string")
     parent = spark.createDataFrame([("cust_1",), ("cust_1",), ("cust_3",)], "customer_id string")
-    r = core._fk_rule(child, "accounts", "fk", "customer_id", parent, "customer_id").collect()[0]
-    assert r["violation_count"] == 51  # 50 rows of the hot missing key + cust_2; NULL passes
+    null = F.lit(None).cast("string")
+    accounts = child.withColumns({c: null for c in ("account_number", "routing_number", "account_type", "account_status", "opened_at")})
+    customers = parent.withColumns({c: null for c in ("first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status")})
+    balances = spark.createDataFrame([], "balance_id string, account_id string, available_balance double, "
+                                         "current_balance double, currency string")
+    profiles = spark.createDataFrame([], "risk_profile_id string, customer_id string, kyc_status string, "
+                                         "kyc_risk_rating string, sanctions_screening_status string, pep_flag boolean, "
+                                         "fraud_watchlist_flag boolean, risk_score double")
+    rep = {r["constraint_name"]: r["violation_count"] for r in core.constraint_report(customers, accounts, balances, profiles).collect()}
+    assert rep["accounts_customer_id_fkey"] == 51  # 50 rows of the hot missing key + cust_2; NULL passes
+    assert rep["customers_pkey"] == 2 and rep["accounts_pkey"] == 0
 
 
 def test_signal_lookback_untimed_card_and_carry(spark):
