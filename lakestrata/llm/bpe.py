@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 WIDE = 256
+#: Lengths are bucketed in steps of so many bytes.
+STEP = 4
 #: Pieces kept by a task; the cache starts anew when it is full.
 CACHE = 400_000
 NONE = np.int32(2**31 - 1)
@@ -90,8 +92,7 @@ class Merges:
             elif len(piece) > WIDE:
                 out[i] = self._by_heap(piece)
             else:
-                n = len(piece)
-                by_length.setdefault(n if n <= 16 else 16 + -(-(n - 16) // 8) * 8, []).append(i)
+                by_length.setdefault(-(-len(piece) // STEP) * STEP, []).append(i)
         for width, rows in by_length.items():
             most = max(1, 2_000_000 // width)
             for at in range(0, len(rows), most):

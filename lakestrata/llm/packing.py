@@ -92,9 +92,9 @@ class WordTokenizer:
     CLASSES = bytes(b if b in b" \n" else ord("X") if b in b"\t\v\f\r\xC2" or b > 0xC3 else ord("P") if 33 <= b < 127 and not chr(b).isalnum() else ord("L")
                     for b in range(256))
 
-    def _spaced(self, text: str) -> bytes:
-        """The text's bytes with full stops and commas that end a word set apart."""
-        t = text.encode().lower()
+    def _spaced(self, text: bytes) -> bytes:
+        """The text with full stops and commas that end a word set apart."""
+        t = text.lower()
         kinds = t.translate(self.CLASSES)
         if b"X" in kinds or b"PP " in kinds or b"PP\n" in kinds or b"\xC3\x97" in t or b"\xC3\xB7" in t:
             return self.STOP.sub(rb" \g<0>", t)
@@ -108,12 +108,18 @@ class WordTokenizer:
             return self._encode([w.decode() for w in words])
         return self.merges.encode_pieces(words)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit numbers."""
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each UTF-8 text as little-endian 32-bit numbers."""
         split = [self._spaced(t).split() for t in texts]
         every = list(chain.from_iterable(split))
         got = list(map(self.known.get, every))
-        missing = [i for i, ids in enumerate(got) if ids is None]
+        missing, at = [], -1
+        while True:
+            try:
+                at = got.index(None, at + 1)
+            except ValueError:
+                break
+            missing.append(at)
         if missing:
             new = {every[i] for i in missing}
             if len(self.known) + len(new) > KNOWN:
@@ -162,10 +168,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, most: int = 4096, end_id: int =
             _LOADED[tokenizer_path] = WordTokenizer(tokenizer_path)
         tokenizer, last, step = _LOADED[tokenizer_path], np.array([end_id], "<u4").tobytes(), 4 * most
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 row, piece, start, ids = [], [], [], []
-                for i, own in enumerate(tokenizer.encode(part.column(1).to_pylist())):
+                for i, own in enumerate(tokenizer.encode(part.column(1).cast(pa.binary()).to_pylist())):
                     own += last
                     for n, a in enumerate(range(0, len(own), step)):
                         row.append(i)

@@ -25,7 +25,7 @@ def test_ids_equal_the_library(library):
     chars = [chr(c) for c in range(0x250)] + ["İ", "\x1c", "\x85", " ", "́", "̧", "中", "😀", "Σ", "ﬁ", "K"]
     for _ in range(1500):
         text = "".join(r.choice(chars if r.random() < 0.4 else "abc the  \n'sdll12ΣÀé") for _ in range(r.randrange(50)))
-        assert own.encode([text])[0] == np.array(library(text), "<u4").tobytes(), text
+        assert own.encode([text.encode()])[0] == np.array(library(text), "<u4").tobytes(), text
 
 
 def check(spark_rows, room):
