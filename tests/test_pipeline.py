@@ -19,34 +19,35 @@ DATE = "2024-01-31"
 RUN = "20240131000000"
 
 # ---------------------------------------------------------------------------
-# FIXED VALUES: the producers' demo scenarios.
+# FIXED VALUES: the amounts, statuses, channels, countries, categories and ids of the producers' demo scenarios, on
+# which the golden totals depend. Names, addresses, devices and agents are made up.
 # card: customer, account, card, amount, merchant id, merchant name, MCC, country, city, status, channel,
 #       card present, entry mode
 CARD_SCENARIOS = [
-    ("cust_100001", "acct_200001", "card_300001", "42.50", "mrc_100001", "Lakeview Grocery", "5411", "US", "Chicago", "approved", "card_present", True, "chip"),
-    ("cust_100002", "acct_200003", "card_300002", "18.25", "mrc_100002", "Loop Coffee", "5814", "US", "Chicago", "approved", "card_present", True, "contactless"),
-    ("cust_100004", "acct_200005", "card_300004", "126.90", "mrc_100003", "North Shore Fuel", "5541", "US", "Evanston", "approved", "card_present", True, "swipe"),
-    ("cust_100001", "acct_200001", "card_300001", "76.13", "mrc_100004", "Chicago Pharmacy", "5912", "US", "Chicago", "approved", "card_present", True, "chip"),
-    ("cust_100005", "acct_200006", "card_300005", "9.99", "mrc_100005", "StreamBox Digital", "4899", "US", "Seattle", "approved", "ecommerce", False, "card_on_file"),
-    ("cust_100002", "acct_200003", "card_300002", "215.40", "mrc_100006", "Midwest Electronics", "5732", "US", "Chicago", "approved", "card_present", True, "chip"),
-    ("cust_100004", "acct_200005", "card_300004", "64.20", "mrc_100007", "Union Station Books", "5942", "US", "Chicago", "approved", "card_present", True, "contactless"),
-    ("cust_100003", "acct_200004", "card_300003", "2450.00", "mrc_900001", "Global Luxury Watches", "5944", "AE", "Dubai", "approved", "ecommerce", False, "manual_keyed"),
-    ("cust_100005", "acct_200006", "card_300005", "1800.00", "mrc_900002", "Quick Crypto Exchange", "6051", "US", "Miami", "approved", "ecommerce", False, "manual_keyed"),
-    ("cust_100003", "acct_200004", "card_300003", "799.99", "mrc_100008", "Online Electronics Outlet", "5732", "US", "New York", "declined", "ecommerce", False, "manual_keyed"),
+    ("cust_100001", "acct_200001", "card_300001", "42.50", "mrc_100001", "Merchant A", "5411", "US", "Chicago", "approved", "card_present", True, "chip"),
+    ("cust_100002", "acct_200003", "card_300002", "18.25", "mrc_100002", "Merchant B", "5814", "US", "Chicago", "approved", "card_present", True, "contactless"),
+    ("cust_100004", "acct_200005", "card_300004", "126.90", "mrc_100003", "Merchant C", "5541", "US", "Evanston", "approved", "card_present", True, "swipe"),
+    ("cust_100001", "acct_200001", "card_300001", "76.13", "mrc_100004", "Merchant D", "5912", "US", "Chicago", "approved", "card_present", True, "chip"),
+    ("cust_100005", "acct_200006", "card_300005", "9.99", "mrc_100005", "Merchant E", "4899", "US", "Seattle", "approved", "ecommerce", False, "card_on_file"),
+    ("cust_100002", "acct_200003", "card_300002", "215.40", "mrc_100006", "Merchant F", "5732", "US", "Chicago", "approved", "card_present", True, "chip"),
+    ("cust_100004", "acct_200005", "card_300004", "64.20", "mrc_100007", "Merchant G", "5942", "US", "Chicago", "approved", "card_present", True, "contactless"),
+    ("cust_100003", "acct_200004", "card_300003", "2450.00", "mrc_900001", "Merchant H", "5944", "AE", "Dubai", "approved", "ecommerce", False, "manual_keyed"),
+    ("cust_100005", "acct_200006", "card_300005", "1800.00", "mrc_900002", "Merchant I", "6051", "US", "Miami", "approved", "ecommerce", False, "manual_keyed"),
+    ("cust_100003", "acct_200004", "card_300003", "799.99", "mrc_100008", "Merchant J", "5732", "US", "New York", "declined", "ecommerce", False, "manual_keyed"),
 ]
 # login: sequence, customer, event type, status, failure reason, device, device type, ip, country, city, channel,
 #        user agent
 LOGINS = [
-    (1, "cust_100001", "login_success", "success", None, "dev_100001", "ios", "73.22.14.101", "US", "Chicago", "mobile", "BankingApp/5.2 iOS"),
-    (2, "cust_100002", "login_success", "success", None, "dev_100002", "android", "98.45.20.18", "US", "Chicago", "mobile", "BankingApp/5.2 Android"),
-    (3, "cust_100003", "login_failed", "failed", "invalid_password", "dev_unknown_001", "web", "185.220.101.42", "NL", "Amsterdam", "web", "Mozilla/5.0"),
-    (4, "cust_100003", "login_failed", "failed", "invalid_password", "dev_unknown_001", "web", "185.220.101.42", "NL", "Amsterdam", "web", "Mozilla/5.0"),
-    (5, "cust_100003", "login_failed", "failed", "invalid_password", "dev_unknown_001", "web", "185.220.101.42", "NL", "Amsterdam", "web", "Mozilla/5.0"),
-    (6, "cust_100003", "password_reset", "success", None, "dev_unknown_001", "web", "185.220.101.42", "NL", "Amsterdam", "web", "Mozilla/5.0"),
-    (7, "cust_100003", "new_device_registered", "success", None, "dev_900003", "web", "185.220.101.42", "NL", "Amsterdam", "web", "Mozilla/5.0"),
-    (8, "cust_100005", "login_success", "success", None, "dev_900005", "android", "45.33.12.88", "US", "Miami", "mobile", "BankingApp/5.2 Android"),
-    (9, "cust_100004", "login_success", "success", None, "dev_100004", "ios", "104.21.10.7", "US", "Evanston", "mobile", "BankingApp/5.2 iOS"),
-    (10, "cust_100005", "new_device_registered", "success", None, "dev_900006", "web", "45.33.12.88", "US", "Miami", "web", "Mozilla/5.0"),
+    (1, "cust_100001", "login_success", "success", None, "device_1", "ios", "192.0.2.4", "US", "Chicago", "mobile", "agent 2"),
+    (2, "cust_100002", "login_success", "success", None, "device_2", "android", "192.0.2.5", "US", "Chicago", "mobile", "agent 1"),
+    (3, "cust_100003", "login_failed", "failed", "invalid_password", "device_7", "web", "192.0.2.2", "NL", "Amsterdam", "web", "agent 3"),
+    (4, "cust_100003", "login_failed", "failed", "invalid_password", "device_7", "web", "192.0.2.2", "NL", "Amsterdam", "web", "agent 3"),
+    (5, "cust_100003", "login_failed", "failed", "invalid_password", "device_7", "web", "192.0.2.2", "NL", "Amsterdam", "web", "agent 3"),
+    (6, "cust_100003", "password_reset", "success", None, "device_7", "web", "192.0.2.2", "NL", "Amsterdam", "web", "agent 3"),
+    (7, "cust_100003", "new_device_registered", "success", None, "device_4", "web", "192.0.2.2", "NL", "Amsterdam", "web", "agent 3"),
+    (8, "cust_100005", "login_success", "success", None, "device_5", "android", "192.0.2.3", "US", "Miami", "mobile", "agent 1"),
+    (9, "cust_100004", "login_success", "success", None, "device_3", "ios", "192.0.2.1", "US", "Evanston", "mobile", "agent 2"),
+    (10, "cust_100005", "new_device_registered", "success", None, "device_6", "web", "192.0.2.3", "US", "Miami", "web", "agent 3"),
 ]
 # risk: id, transaction, customer, account, card, score, level, action
 RISKS = [
