@@ -361,6 +361,7 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id",
     """The row of ``docs`` with the smallest id of each class; of equal rows, one."""
     found = near_duplicates(docs, least, id_col, text_col).filter("digest = class_digest").select("digest")
     rows = docs.select(boxed(docs.columns), repeats.digest(F.col(text_col)).alias("digest"), repeats.order_key(id_col).alias("order"))
-    # every copy of a class's text is here; the first by id stays
+    # of equal texts the first by id stays; each task drops most copies before they are shuffled
     first = Window.partitionBy("digest").orderBy("order")
-    return rows.join(found, "digest", "left_semi").withColumn("n", F.row_number().over(first)).filter("n = 1").select(*unboxed(docs.columns))
+    one = rows.withColumn("n", F.row_number().over(first)).filter("n = 1")
+    return one.join(found, "digest", "left_semi").select(*unboxed(docs.columns))
