@@ -44,23 +44,30 @@ WIDTH = 1 << 20
 _U = np.uint64
 #: A shingle's hash has 52 bits; a pack's text number fits above it.
 _HASH = 52
-#: Variates are looked up by this many bits of a hash of shingle and sample; logarithms
-#: of weights are rounded to steps for sampling (verification uses them as they are).
-_BITS, _STEPS, _LEVELS = 12, 8, 64
+#: A draw is sought among the shingles that may have an a of at most this over the text's
+#: weight; where none has (once in e^4 texts), among all of them.
+LIMIT = 4.0
 
 
-def _draws() -> np.ndarray:
-    """For each rounded weight and each variate (r, c, beta of Ioffe's scheme): ln(a)
-    in sortable bits above a hash of the level t. The smallest a of a text is drawn."""
-    rng, n = np.random.default_rng(977), 1 << _BITS
-    r, c, beta = rng.gamma(2, 1, n), rng.gamma(2, 1, n), rng.random(n)
-    ln_w = np.arange(_LEVELS)[:, None] / _STEPS
+def _sortable(x: np.ndarray) -> np.ndarray:
+    """Numbers, as 32 bits, whose order is that of ``x``."""
+    bits = x.astype(np.float32).view(np.int32)
+    return (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32).astype(np.uint64)
+
+
+def _draws(z: np.ndarray, ln_w: np.ndarray) -> np.ndarray:
+    """For hashes of shingle and sample, and weights: ln(a) of Ioffe's scheme in
+    sortable bits above a hash of shingle and level t. The smallest a of a text is drawn.
+
+    Each variate follows from 32 bits of its own, of which ``z`` has the first 16:
+    r and c are gamma variates of two uniform ones each, beta is uniform."""
+    fine = repeats.mix(z, np.ones(1, np.uint64))
+    more = repeats.mix(fine, np.ones(1, np.uint64))
+    u = (z.view(np.uint16).reshape(-1, 4) + (fine.view(np.uint16).reshape(-1, 4) + 0.5) / 65536) / 65536
+    r, ln_c, beta = -np.log(u[:, 0] * u[:, 1]), np.log(-np.log(u[:, 2] * u[:, 3])), (more >> _U(32)) * 2.0**-32
     t = np.floor(ln_w / r + beta)
-    ln_a = (np.log(c) - r * (t - beta) - r).astype(np.float32)
-    bits = ln_a.view(np.int32)
-    order = (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32).astype(np.uint64)
     level = (t.astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)
-    return ((order << _U(32)) | level).ravel()
+    return (_sortable(ln_c - r * (t - beta) - r) << _U(32)) | ((more ^ level) & _U(0xFFFFFFFF))
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
@@ -135,33 +142,56 @@ def idf_table(docs: int, counts: np.ndarray) -> np.ndarray:
 
 
 def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(texts that have shingles, their keys): a row of ``BANDS`` hashes for each."""
-    samples, draws = BANDS * ROWS, _draws()
+    """(texts that have shingles, their keys): a row of ``BANDS`` hashes for each.
+
+    a is at least u1 u2 (1 - u3 u4) / w, as e^-r = u1 u2 and c = -ln(u3 u4), so most
+    shingles are passed over without a logarithm; the draws are those of all shingles."""
+    samples = BANDS * ROWS
     odd = _odd(samples, 11)
-    level = np.clip(np.round(np.log(weights.astype(np.float64)) * _STEPS), 0, _LEVELS - 1).astype(np.int64) << _BITS
     some, first = np.unique(text, return_index=True)
+    if not len(some):
+        return some, np.empty((BANDS, 0), np.uint64)
+    ends = np.append(first[1:], len(text))
+    weights = weights.astype(np.float64)
+    ln_w, most = np.log(weights), LIMIT / np.add.reduceat(weights, first)
+    within = (np.repeat(most, ends - first) * weights * (2.0**64 * (1 + 1e-5))).astype(np.float32)
+    enough = _sortable(np.log(most) - 1e-5)
     drawn = np.empty((samples, len(some)), np.uint64)
     # texts are taken so many at a time that the arrays stay in the processor's cache
     cuts = [0]
     for i in range(1, len(some)):
-        if first[i] - first[cuts[-1]] > 20_000:
+        if first[i] - first[cuts[-1]] > 40_000:
             cuts.append(i)
     cuts.append(len(some))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        lo, hi = (first[a], first[b] if b < len(some) else len(text)) if a < b else (0, 0)
-        if hi == lo:
-            continue
-        g, row, own = grams[lo:hi], level[lo:hi], first[a:b] - lo
-        z, at, got = np.empty_like(g), np.empty_like(row), np.empty_like(g)
+        lo, hi = first[a], ends[b - 1]
+        g, ln, near, own, stop = grams[lo:hi], ln_w[lo:hi], within[lo:hi], first[a:b] - lo, ends[a:b] - lo
+        z, x = np.empty_like(g), np.empty_like(g)
+        part, least, high = np.empty(4 * len(g), np.float32), np.empty(len(g), np.float32), np.empty(len(g), np.float32)
         for k in range(samples):
             np.multiply(g, odd[k], out=z)
-            np.right_shift(z, _U(64 - _BITS), out=got)
-            np.add(got.view(np.int64), row, out=at)
-            np.take(draws, at, out=got, mode="clip")
-            z >>= _U(20)
-            z &= _U(0xFFFFFFFF)
-            got ^= z  # which shingle it is
-            drawn[k, a:b] = np.minimum.reduceat(got, own)
+            np.right_shift(z, _U(32), out=x)
+            z ^= x
+            z *= _U(0xD6E8FEB86659FD93)
+            np.copyto(part, z.view(np.uint16))
+            np.multiply(part[0::4], part[1::4], out=least)
+            part += np.float32(1)
+            np.multiply(part[2::4], part[3::4], out=high)
+            np.subtract(np.float32(2.0**32 - 512), high, out=high)  # rounding never makes the bound too high
+            least *= high
+            at = np.flatnonzero(least <= near)
+            start = np.searchsorted(at, own)
+            has = np.diff(start, append=len(at)) > 0
+            got = np.full(b - a, 2**64 - 1, np.uint64)
+            if len(at):
+                got[has] = np.minimum.reduceat(_draws(z[at], ln[at]), start[has])
+            rest = np.flatnonzero((got >> _U(32)) > enough[a:b])
+            if len(rest):
+                size = stop[rest] - own[rest]
+                begin = np.cumsum(size) - size
+                every = np.repeat(own[rest] - begin, size) + np.arange(size.sum())
+                got[rest] = np.minimum.reduceat(_draws(z[every], ln[every]), begin)
+            drawn[k, a:b] = got
     drawn &= _U(0xFFFFFFFF)
     keys = np.empty((BANDS, len(some)), np.uint64)
     for band in range(BANDS):

@@ -38,6 +38,18 @@ def test_samples_agree_as_often_as_texts_are_alike():
     assert abs((keys[:, 0] == keys[:, 1]).mean() - alike) < 0.04
 
 
+@pytest.mark.parametrize("n, edits, weight", [(20_000, 1500, 8.0), (20_000, 1, 9000.0), (2000, 200, 8.0), (30, 4, 2.5)])
+def test_light_shingles_of_long_texts_are_drawn(monkeypatch, n, edits, weight):
+    r = np.random.default_rng(1)
+    shared, own = r.integers(0, 2**52, n, np.uint64), r.integers(0, 2**52, (2, edits), np.uint64)
+    grams = np.concatenate([shared, own[0], shared, own[1]])
+    weights = np.tile(np.repeat([2.0, weight], [n, edits]), 2)
+    monkeypatch.setattr(minhash, "ROWS", 1)
+    monkeypatch.setattr(minhash, "BANDS", 2000)
+    keys = minhash.band_keys(np.repeat([0, 1], n + edits), grams, weights)[1]
+    assert abs((keys[:, 0] == keys[:, 1]).mean() - 2 * n / (2 * n + 2 * edits * weight)) < 0.05
+
+
 def changed(text, n, seed):
     r, w = random.Random(seed), text.split()
     for _ in range(n):
