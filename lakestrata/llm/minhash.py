@@ -1,8 +1,9 @@
 """Near-duplicates by improved consistent weighted sampling of TF-IDF shingles.
 
 1. Equal texts become one (``repeats.distinct_packs``).
-2. Document frequencies of five-word shingles are counted over all documents in
-   a table of ``WIDTH`` hashed counters, so its size does not grow. A shingle
+2. Document frequencies of five-word shingles are counted over all documents, by
+   shingle: each pack sends its distinct shingles once to buckets of their hashes,
+   which answer with the counts; a text keeps those of its shingles. A shingle
    weighs its count in the text times the logarithm of the share of documents.
 3. Each of ``BANDS * ROWS`` samples draws one (shingle, level) of a text, the
    same for two texts with the probability of their weighted Jaccard similarity
@@ -29,6 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,6 @@ WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 32, 6
 #: Buckets of more texts are compared in blocks of about ``BLOCK``, not by pairs of rows.
 LARGE, BLOCK = 48, 256
-WIDTH = 1 << 20
 _U = np.uint64
 #: A shingle's hash has 52 bits; a pack's text number fits above it.
 _HASH = 52
@@ -103,42 +104,39 @@ class Shingler:
         return (keys >> _U(_HASH)).astype(np.int64), keys & _U((1 << _HASH) - 1), count
 
 
-def slot(grams: np.ndarray) -> np.ndarray:
-    return (grams >> _U(_HASH - WIDTH.bit_length() + 1)).astype(np.int64)
+def packed(x: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(x.astype(np.int64).tobytes())
 
 
-def document_frequencies(packs: DataFrame) -> tuple[int, np.ndarray]:
-    """(documents, hashed counters): in how many documents each counter's shingles are."""
-    parts = 16
+def unpacked(value: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.int64)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts, docs = Shingler(), np.zeros(WIDTH, np.int64), 0
-        for batch in batches:
-            for at in range(batch.num_rows):
-                pack = batch.slice(at, 1).to_pylist()[0]
-                copies = np.array(pack["copies"], np.int64)
-                docs += int(copies.sum())
-                text, grams, _ = shingles(pack["texts"])
-                counts += np.bincount(slot(grams), copies[text], WIDTH).astype(np.int64)
-        if docs:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(range(parts), pa.int32()), pa.array([docs if k == 0 else 0 for k in range(parts)], pa.int64()),
-                 pa.array([x.tobytes() for x in np.split(counts, parts)], pa.binary())], ["part", "docs", "counts"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.sum([np.frombuffer(x, np.int64) for x in pdf["counts"]], axis=0)
-        return pd.DataFrame({"part": [int(pdf["part"].iloc[0])], "docs": [int(pdf["docs"].sum())], "counts": [total.tobytes()]})
-
-    schema = "part int, docs long, counts binary"
-    # sixteen rows of 512 KB in all, whatever the input
-    rows = packs.select("texts", "copies").mapInArrow(run, schema).groupBy("part").applyInPandas(add, schema).collect()
-    counts = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(rows, key=lambda r: r["part"])]) if rows else np.zeros(WIDTH, np.int64)
-    return sum(r["docs"] for r in rows), counts
-
-
-def idf_table(docs: int, counts: np.ndarray) -> np.ndarray:
+
+def ask(pack: dict, buckets: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+    """(bucket, pack, hashes, documents): the distinct shingles of a pack in the
+    order of their hashes, and how many of its documents have each."""
+    text, grams, _ = Shingler()(pack["texts"])
+    distinct, which = np.unique(grams, return_inverse=True)
+    docs = np.bincount(which, np.array(pack["copies"], np.float64)[text], len(distinct)).astype(np.int64)
+    bucket = repeats.bucket_of(distinct << _U(64 - _HASH), buckets)
+    for part in np.split(np.arange(len(distinct)), np.flatnonzero(np.diff(bucket)) + 1):
+        if len(part):
+            yield int(bucket[part[0]]), pack["pack"], distinct[part].tobytes(), packed(docs[part])
+
+
+def answer(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For one bucket: in how many documents each shingle is, in the order sent."""
+    hashes = [np.frombuffer(x, np.uint64) for x in pdf["hashes"]]
+    docs = np.concatenate([unpacked(x) for x in pdf["documents"]])
+    distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
+    total = np.bincount(which, docs, len(distinct)).astype(np.int64)[which]
+    ends = np.cumsum([len(x) for x in hashes])
+    return pd.DataFrame({"pack": pdf["pack"], "bucket": pdf["bucket"], "documents": [packed(x) for x in np.split(total, ends[:-1])]})
+
+
+def idf(docs: int, frequency: np.ndarray) -> np.ndarray:
     """The usual smoothed form: 1 for a shingle that every document has."""
-    return (1 + np.maximum(np.log((1 + docs) / (1 + counts)), 0)).astype(np.float32)
+    return 1 + np.maximum(np.log((1 + docs) / (1 + frequency)), 0)
 
 
 def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -202,21 +200,61 @@ def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple
     return some, keys
 
 
-def buckets(packs: DataFrame, idf) -> DataFrame:
-    """(key, node): the buckets of each distinct text; a node is a pack's text."""
+def weighed(packs: DataFrame) -> tuple[int, DataFrame]:
+    """How many documents there are, and (pack, digests, ids, texts, frequencies, nodes,
+    keys): of each text the frequencies of its shingles, in the order of their hashes,
+    and the buckets of those that have any; a node is a pack's text. Text i of ``nodes``
+    has every ``len(nodes)``-th key from i on."""
+    size, docs = packs.agg(F.sum("size"), F.sum(F.aggregate("copies", F.lit(0).cast("long"), lambda a, x: a + x))).first()
+    shuffled = int(packs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets, docs = max(shuffled, int((size or 0) / 8_000_000) + 1), docs or 0
+
+    def asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                columns = list(zip(*ask(batch.slice(at, 1).to_pylist()[0], buckets), strict=True))
+                if columns:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                                                     ["bucket", "pack", "hashes", "documents"])
+
+    rows = packs.select("pack", "texts", "copies").mapInArrow(asked, "bucket long, pack long, hashes binary, documents binary")
+    answers = stored(rows.groupBy("bucket").applyInPandas(answer, "pack long, bucket long, documents binary"), "near-answers")
+    by_pack = answers.groupBy("pack").agg(F.array_sort(F.collect_list(F.struct("bucket", "documents"))).alias("answers"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
         for batch in batches:
             for at in range(batch.num_rows):
-                pack = batch.slice(at, 1).to_pylist()[0]
+                row = batch.slice(at, 1)
+                pack = row.to_pylist()[0]
                 text, grams, count = shingles(pack["texts"])
-                some, keys = band_keys(text, grams, idf.value[slot(grams)] * count)
-                node = np.int64(pack["pack"]) * repeats.PACK_TEXTS + some
+                total = np.concatenate([np.empty(0, np.int64), *(unpacked(a["documents"]) for a in pack["answers"] or [])])
+                frequency = total[np.unique(grams, return_inverse=True)[1]]
+                some, keys = band_keys(text, grams, idf(docs, frequency) * count)
+                each = np.split(frequency, np.searchsorted(text, np.arange(1, len(pack["texts"]))))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64).ravel()), pa.array(np.tile(node, BANDS))], ["key", "node"])
+                    [*row.select(names).columns, pa.array([[packed(x) for x in each]], pa.list_(pa.binary())),
+                     pa.array([np.int64(pack["pack"]) * repeats.PACK_TEXTS + some], pa.list_(pa.int64())),
+                     pa.array([keys.view(np.int64).ravel()], pa.list_(pa.int64()))], [*names, "frequencies", "nodes", "keys"])
+
+    names = ["pack", "digests", "ids", "texts"]
+    found = packs.select(*names).join(by_pack, "pack", "left").mapInArrow(
+        run, "pack long, digests array<binary>, ids array<long>, texts array<binary>, frequencies array<binary>, nodes array<long>, keys array<long>")
+    found = stored(found, "near-weighed")
+    discard(answers)
+    return docs, found
+
+
+def buckets(packs: DataFrame) -> DataFrame:
+    """(key, node): the buckets of each distinct text."""
+    keys = packs.filter("size(nodes) > 0").select("nodes", F.posexplode("keys").alias("at", "key"))
+    return keys.select("key", F.element_at("nodes", (F.col("at") % F.size("nodes") + 1).cast("int")).alias("node"))
+
 
-    return packs.select("pack", "texts").mapInArrow(run, "key long, node long")
+def texts_of(packs: DataFrame) -> DataFrame:
+    """(node, text): each text and the frequencies of its shingles."""
+    return packs.select("pack", F.posexplode(F.arrays_zip("texts", "frequencies")).alias("at", "t")).select(
+        (F.col("pack") * repeats.PACK_TEXTS + F.col("at")).alias("node"), F.struct(F.col("t.texts").alias("text"), F.col("t.frequencies").alias("frequencies")).alias("text"))
 
 
 def nodes(packs: DataFrame) -> DataFrame:
@@ -225,19 +263,18 @@ def nodes(packs: DataFrame) -> DataFrame:
         (F.col("pack") * repeats.PACK_TEXTS + F.col("at")).alias("node"), F.col("t.digests").alias("digest"), F.col("t.ids").alias("id"))
 
 
-def verified(pairs: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame:
+def verified(pairs: DataFrame, packs: DataFrame, docs: int, least: float) -> DataFrame:
     """The pairs (a, b) whose texts' weighted Jaccard similarity is ``least`` or more."""
-    texts = packs.select("pack", F.posexplode("texts").alias("at", "text")).select(
-        (F.col("pack") * repeats.PACK_TEXTS + F.col("at")).alias("node"), "text")
+    texts = texts_of(packs)
     both = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
 
-        def weighed(text: bytes):
-            _, grams, count = shingles([text])
-            w = idf.value[slot(grams)].astype(np.float64)
+        def weights(text: dict):
+            _, grams, count = shingles([text["text"]])
+            w = idf(docs, unpacked(text["frequencies"]))
             return grams, count, w, float((w * count).sum())
 
         last, one = None, None
@@ -247,8 +284,8 @@ def verified(pairs: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame
                 a, b, keep = part.column(0).to_pylist(), part.column(1).to_pylist(), []
                 for i in range(len(a)):
                     if a[i] != last:  # the join brings the pairs of one text together
-                        last, one = a[i], weighed(part.column(2)[i].as_py())
-                    grams, count, w, total = weighed(part.column(3)[i].as_py())
+                        last, one = a[i], weights(part.column(2)[i].as_py())
+                    grams, count, w, total = weights(part.column(3)[i].as_py())
                     where = np.minimum(np.searchsorted(one[0], grams), max(len(one[0]) - 1, 0))
                     hit = one[0][where] == grams if len(one[0]) else np.zeros(len(grams), bool)
                     shared = float((w[hit] * np.minimum(count[hit], one[1][where[hit]])).sum())
@@ -258,15 +295,14 @@ def verified(pairs: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame
     return both.mapInArrow(run, "a long, b long")
 
 
-def linked_in_blocks(rows: DataFrame, packs: DataFrame, idf, least: float) -> DataFrame:
+def linked_in_blocks(rows: DataFrame, packs: DataFrame, docs: int, least: float) -> DataFrame:
     """Links (a, b) between texts of different labels in one bucket.
 
     ``rows`` are (key, m, node, label), m the bucket's size. Each bucket is parted
     into blocks by a hash; every two blocks of it are compared in a task of their
     own, by products of matrices of shingles and texts. Of the links between two
     labels a task returns one."""
-    texts = packs.select("pack", F.posexplode("texts").alias("at", "text")).select(
-        (F.col("pack") * repeats.PACK_TEXTS + F.col("at")).alias("node"), "text")
+    texts = texts_of(packs).select("node", "text.*")
     parts = F.ceil(F.col("m") / BLOCK).cast("int")
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
@@ -275,7 +311,7 @@ def linked_in_blocks(rows: DataFrame, packs: DataFrame, idf, least: float) -> Da
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
         text, grams, count = Shingler()(pdf["text"].tolist())
-        weight = idf.value[slot(grams)].astype(np.float64)
+        weight = idf(docs, np.concatenate([unpacked(x) for x in pdf["frequencies"]]))
         total = np.bincount(text, weight * count, len(pdf))
         # a shingle that a text has twice counts as two tokens, so shared weights are those of common tokens
         token = np.repeat(grams, count)
@@ -328,17 +364,13 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def labels_of(packs: DataFrame, least: float) -> DataFrame:
+def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
     """(node, label) of the texts that have links."""
-    spark = packs.sparkSession
-    docs, counts = document_frequencies(packs)
-    idf = spark.sparkContext.broadcast(idf_table(docs, counts))  # 4 MB
-    keys = stored(buckets(packs, idf), "near-buckets")
+    keys = buckets(packs)
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1")
     members = stored(keys.join(shared.select("key", "low"), "key"), "near-members")
-    discard(keys)
     tested = members.filter("node <> low").groupBy(F.col("node").alias("b")).agg(F.min("low").alias("a")).select("a", "b")
-    links = stored(verified(tested, packs, idf, least), "near-links")
+    links = stored(verified(tested, packs, docs, least), "near-links")
 
     def labelled(labels: DataFrame) -> DataFrame:
         return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -348,7 +380,7 @@ def labels_of(packs: DataFrame, least: float) -> DataFrame:
     low = labels.select(F.col("node").alias("low"), F.col("label").alias("low_label"))
     star = labelled(labels).filter("node <> low").join(low, "low", "left").filter(F.coalesce("low_label", "low") != F.col("label"))
     star = stored(star.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    more = stored(verified(star, packs, idf, least), "near-links")
+    more = stored(verified(star, packs, docs, least), "near-links")
     links, tested = links.unionByName(more), tested.unionByName(star)
     # every other pair of a bucket whose texts are in different classes: one side at
     # least is outside of the bucket's largest class
@@ -363,8 +395,8 @@ def labels_of(packs: DataFrame, least: float) -> DataFrame:
     cross = mixed.select("key", "node", "label").join(few, "key").filter("label <> x_label")
     cross = cross.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "near-pairs")
-    pairwise = stored(verified(cross, packs, idf, least), "near-links")
-    blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "node", "label"), packs, idf, least), "near-links")
+    pairwise = stored(verified(cross, packs, docs, least), "near-links")
+    blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "node", "label"), packs, docs, least), "near-links")
     discard(mixed, star, members, cross)
     return components(links.unionByName(pairwise).unionByName(blockwise))
 
@@ -372,8 +404,10 @@ def labels_of(packs: DataFrame, least: float) -> DataFrame:
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(digest, class_id, class_digest): the class of each distinct text, named by the
     smallest id in it, and the text that has that id."""
-    packs = stored(repeats.distinct_packs(docs, id_col, text_col), "near-packs")
-    own = nodes(packs).join(labels_of(packs, least), "node", "left").withColumn("label", F.coalesce("label", "node"))
+    plain = stored(repeats.distinct_packs(docs, id_col, text_col), "near-packs")
+    n, packs = weighed(plain)
+    discard(plain)
+    own = nodes(packs).join(labels_of(packs, n, least), "node", "left").withColumn("label", F.coalesce("label", "node"))
     own = stored(own, "near-nodes")
     discard(packs)
     named = own.groupBy("label").agg(F.min(F.struct("id", "digest")).alias("least"))

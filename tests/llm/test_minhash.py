@@ -90,6 +90,36 @@ def test_classes_are_the_components(spark, monkeypatch, large):
     assert got == want
 
 
+def test_frequencies_are_counted_by_shingle(spark, monkeypatch):
+    from lakestrata.llm import repeats
+
+    monkeypatch.setattr(repeats, "PACK_BYTES", 3000)  # many packs
+    base = [prose(100 + k % 7, 60) for k in range(40)]
+    texts = [" ".join(b.split()[: 30 + k]) for k, b in enumerate(base)] + base + ["one", "one", "", None, prose(3, 5000)]
+    words = [(t or "").split() for t in texts]
+    frequency = Counter(s for w in words for s in {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1 if w else 0))})
+    docs, packs = minhash.weighed(minhash.stored(repeats.distinct_packs(frame(spark, list(enumerate(texts))), "doc_id", "text"), "t"))
+    assert docs == len(texts)
+    seen = set()
+    for r in minhash.texts_of(packs).select("text.*").collect():
+        w = bytes(r["text"]).decode().split()
+        own = {tuple(w[i:i + 5]) for i in range(max(len(w) - 4, 1 if w else 0))}
+        seen.add(" ".join(w))
+        assert sorted(minhash.unpacked(r["frequencies"]).tolist()) == sorted(frequency[s] for s in own)
+    assert seen == {" ".join(w) for w in words}
+
+
+def test_rare_shingles_keep_their_weight_in_a_large_corpus(spark):
+    # forty texts share a passage and end in unique shingles, beside 2.4 million of others
+    hub = prose(1, 120)
+    rows = [(k, hub + "".join(f" own{k}x{j}" for j in range(8))) for k in range(40)] + [(1000 + k, prose(5000 + k, 40_000)) for k in range(60)]
+    alike = weighted([t for _, t in rows])
+    assert all(0.73 < alike(a, b) < 0.74 for a in range(40) for b in range(a))
+    for least, want in ((0.75, 40), (0.72, 1)):
+        found = minhash.classes(frame(spark, rows), least).collect()
+        assert len({r["class_id"] for r in found if r["doc_id"] < 40}) == want
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     df = clashing(frame(spark, rows))
