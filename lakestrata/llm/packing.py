@@ -7,8 +7,8 @@ groupings of the pieces into sequences: crossover injects whole well-filled
 sequences of one parent into the other, drops those that then hold a piece
 twice, and best-fits the displaced pieces. Between epochs each island receives
 its neighbour's elite. A shard is done as soon as it needs no more sequences
-than its tokens fill. The emptiest sequences of a shard go, with those of other shards,
-into the next round, until one shard takes them all.
+than its tokens fill. The emptiest sequence of a shard and others of few pieces go, with
+those of other shards, into the next round, until one shard takes them all.
 
 Defined results: a null text is an empty text, of which the end id alone
 remains; repeated rows are packed as rows of their own; an empty table gives
@@ -194,7 +194,7 @@ class Evolution:
     islands: int = 2
     population: int = 6
     generations: int = 10
-    #: Shards whose unfilled sequences meet in one shard of the next round.
+    #: Beside its emptiest sequence, a shard sends a ``join``-th of its size on to the next round.
     join: int = 64
 
 
@@ -284,8 +284,8 @@ def _groups(members: pd.Series) -> list[list[int]]:
 
 def _evolve_shards(rows: DataFrame, room: int, how: Evolution, seed: int) -> DataFrame:
     """(uid, length, shard) to (shard, uid, length, bin, on): two epochs on several
-    islands. ``on`` marks the emptiest sequences, with so many pieces at most
-    that those of ``how.join`` shards make up one shard again."""
+    islands. ``on`` marks the emptiest sequence, unless it is full, and the next ones
+    as long as all have at most a ``how.join``-th of a shard's pieces."""
     first = rows.withColumn("island", F.explode(F.sequence(F.lit(0), F.lit(how.islands - 1))))
 
     def epoch_one(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -308,8 +308,9 @@ def _evolve_shards(rows: DataFrame, room: int, how: Evolution, seed: int) -> Dat
         for k in sorted(range(len(best.bins)), key=lambda k: -best.left[k]):
             members = best.bins[k]
             bins[members] = k
-            moving += len(members)
-            on[members] = best.left[k] > 0 and moving <= how.shard // how.join
+            if best.left[k] and (not moving or moving + len(members) <= how.shard // how.join):
+                on[members] = True
+                moving += len(members)
         n, fullness = best.fitness()
         return pd.DataFrame({"shard": own[0]["shard"], "island": pdf["to"].iloc[0], "uid": own[0]["uid"], "length": lengths, "bin": bins, "on": on, "n": n, "fullness": fullness})
 
@@ -335,9 +336,14 @@ def pack(items: DataFrame, room: int = 4096, length_col: str = "length", how: Ev
             placed.append(ended.select("uid", number.alias("sequence_id")))
             break
         placed.append(ended.filter("not on").select("uid", number.alias("sequence_id")))
-        shards = -(-shards // how.join)
-        rows = ended.filter("on").select("uid", "length", F.pmod(F.col("shard"), F.lit(shards)).alias("shard"))
-        level += 1
+        on = ended.filter("on")
+        # as many shards as the pieces fill, but half as many at most: a shard sends no more
+        # on than a sequence and a share of its size, so shards stay bounded and rounds end
+        arrived, level = on.count(), level + 1
+        if not arrived:
+            break
+        shards = min(-(-arrived // how.shard), -(-shards // 2))
+        rows = on.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(level)), F.lit(shards)).alias("shard"))
     all_ = placed[0]
     for p in placed[1:]:
         all_ = all_.unionByName(p)

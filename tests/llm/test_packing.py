@@ -67,6 +67,16 @@ def test_many_shards_lose_nothing(spark):
     assert check(got, 100) <= 1.02 * len(whole.bins)
 
 
+@pytest.mark.parametrize("most, shard, room", [(5, 1024, 512), (20, 1024, 512), (20, 256, 1000)])
+def test_short_documents_leave_one_sequence_unfilled(spark, most, shard, room):
+    r = random.Random(most)
+    lengths = [r.randrange(1, most + 1) for _ in range(12_000)]
+    df = spark.createDataFrame([(n,) for n in lengths], "length long")
+    got = packing.pack(df, room, how=packing.Evolution(shard=shard)).collect()
+    assert sorted(x["length"] for x in got) == sorted(lengths)
+    assert check(got, room) == -(-sum(lengths) // room)
+
+
 def test_crossover_keeps_each_piece_once():
     r = random.Random(3)
     lengths = [r.randrange(1, 60) for _ in range(200)]
