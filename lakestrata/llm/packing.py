@@ -71,7 +71,9 @@ class WordTokenizer:
     comma between a letter and white space is a word of its own. A chunk of plain
     Latin-1 letters, digits and punctuation is cut into words as the vocabulary's
     own pattern cuts it, and words are encoded many at a time in matrices; any
-    other chunk goes to the tokenizer whole, with its normalisation."""
+    other chunk goes to the tokenizer whole, with its normalisation. A special
+    token's literal stands for its id, as in the library; what lies between such
+    literals is encoded apart. Other added tokens leave all to the library."""
 
     PLAIN = re.compile(r"[\x21-\x7E\xA1-\xAC\xAE-\xFF]+\Z")
     STOP = re.compile(rb"(?<=[a-z])[.,](?=[\x20\x09-\x0D])")
@@ -82,7 +84,15 @@ class WordTokenizer:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder()
+        #: Ids by literal, where literals are found in the text as it is and take no neighbours with them.
+        self.special = {t.content.encode(): np.array([i], "<u4").tobytes() for i, t in added.items()}
+        self.whole = any(not t.special or t.normalized or t.lstrip or t.rstrip or t.single_word for t in added.values())
+        # of literals that begin at one place the library takes the longest
+        literals = sorted(self.special, key=lambda x: (-len(x), x))
+        self.literal = re.compile(b"(" + b"|".join(map(re.escape, literals)) + b")") if literals else None
+        # chunks are lower-cased and hold no literals of the text, so none may be found in them
+        self.tokenizer.encode_special_tokens = not self.whole
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+").findall
         self.merges = word_merges(path)
         self.known: dict[bytes, bytes] = {}
@@ -110,6 +120,22 @@ class WordTokenizer:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text as little-endian 32-bit numbers."""
+        if self.whole:
+            return self._encode([t.decode() for t in texts])
+        if self.literal is None:
+            return self._encode_plain(texts)
+        cut = [self.literal.split(t) if any(x in t for x in self.special) else [t] for t in texts]
+        own = self._encode_plain([x for parts in cut for x in parts[::2]])
+        out, at = [], 0
+        for parts in cut:
+            ids = [self.special[x] if i % 2 else b"" for i, x in enumerate(parts)]
+            n = (len(parts) + 1) // 2
+            ids[::2] = own[at : at + n]
+            at += n
+            out.append(b"".join(ids))
+        return out
+
+    def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
         split = [self._spaced(t).split() for t in texts]
         every = list(chain.from_iterable(split))
         got = list(map(self.known.get, every))

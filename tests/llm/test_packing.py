@@ -28,6 +28,15 @@ def test_ids_equal_the_library(library):
         assert own.encode([text.encode()])[0] == np.array(library(text), "<u4").tobytes(), text
 
 
+def test_special_tokens_are_those_of_the_unmodified_library():
+    plain, own, r = tokenizers.Tokenizer.from_file(PATH), packing.WordTokenizer(PATH), random.Random(5)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "<|", "The end", " ", ".", "\n", "don't", "é", "e\u0301", "\u0301", "中", "12", ", "]
+    texts = ["the end <|endoftext|> of it", "<|endoftext|>", "", *("".join(r.choice(parts) for _ in range(r.randrange(12))) for _ in range(3000))]
+    for text, got in zip(texts, own.encode([t.encode() for t in texts]), strict=True):
+        assert got == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    assert np.frombuffer(own.encode([texts[0].encode()])[0], "<u4").tolist() == [518, 806, 49407, 539, 585]
+
+
 def check(spark_rows, room):
     by = {}
     for r in spark_rows:
