@@ -141,11 +141,10 @@ def candidates(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[int, i
     """(base spans, candidates): of each candidate its place and its votes and shape."""
     base = base_spans(text)
     spans = [(a, b, "base", k) for k, a, b in base]
-    if DIGIT.search(text) or "at" in text or ". " in text:
-        for m in CANDIDATES.finditer(text):
-            a, b = m.span()
-            if not any(a < y and x < b for x, y, *_ in spans[: len(base)]):
-                spans.append((a, b, m.lastgroup, ""))
+    for m in CANDIDATES.finditer(text):
+        a, b = m.span()
+        if not any(a < y and x < b for x, y, *_ in spans[: len(base)]):
+            spans.append((a, b, m.lastgroup, ""))
     out = []
     for a, b, shape, kind in spans:
         t = text[a:b]

@@ -44,6 +44,12 @@ def test_reliabilities_are_recovered():
     assert (guess == truth).mean() > 0.93
 
 
+def test_names_need_no_digit_beside_them():
+    for text, name in (("Frau Anna Schmidt kommt morgen", "Frau Anna Schmidt"), ("Señora María López", "Señora María López"), ("Dr. Max Klein", "Dr. Max Klein")):
+        assert [text[a:b] for a, b, _ in pii.candidates(text)[1]] == [name]
+        assert pii.candidates(text)[1][0] == pii.candidates(text + " 1 at")[1][0]
+
+
 def test_operator(spark):
     text = "mail me: a.b@c.example or +1 (555) 123-4567, card 4111 1111 1111 1111, host 10.0.0.1"
     rows = awkward() + [(40 + i, text) for i in range(30)] + [(80, "call 555-123-4567 now"), (90, "see page 12345678")]
