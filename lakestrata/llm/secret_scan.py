@@ -1,11 +1,13 @@
-"""Secret scan: fixed patterns, and strings whose sliding-window entropy is high.
+r"""Secret scan: fixed patterns, and strings whose sliding-window entropy is high.
 
 A candidate string is a maximal run of at least ``window`` characters of
 ``[A-Za-z0-9+/_=-]`` that holds a digit and a letter. A window moves over it
 one character at a time; its Shannon entropy follows from the counts of its
 characters, of which each step changes two. The threshold depends on the
 candidate's character class. Windows at or over it are merged into ``entropy``
-spans, unless the candidate meets the allow list.
+spans. A pattern of the allow list that begins with ``\A`` and ends with ``\Z``
+judges the whole candidate; any other one excludes the windows that overlap its
+match or what stands with it between separators (a window's length at most).
 
 Defined results: a null text is an empty text and has no spans; rows are
 judged alone, so repeated rows get equal results; an empty table gives an empty
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -53,8 +56,38 @@ class EntropyRules:
     ))
 
 
-def entropy_spans(text: str, start: int, rules: EntropyRules, gains: list[float]) -> list[tuple[int, int]]:
-    """Merged windows of ``text`` at or over its class's threshold, shifted by ``start``.
+SEPARATORS = frozenset("/=_+-")
+
+
+def excluded(text: str, allow: list[re.Pattern], window: int) -> list[tuple[int, int]]:
+    """The matches of ``allow`` in ``text``, each with what stands with it between
+    separators, but at most ``window`` characters on either side; in order, merged."""
+    found = []
+    for p in allow:
+        for m in p.finditer(text):
+            a, b = m.span()
+            if a == b:
+                continue
+            low, high = max(0, a - window), min(len(text), b + window)
+            if text[a] not in SEPARATORS:
+                while a > low and text[a - 1] not in SEPARATORS:
+                    a -= 1
+            if text[b - 1] not in SEPARATORS:
+                while b < high and text[b] not in SEPARATORS:
+                    b += 1
+            found.append((a, b))
+    out = []
+    for a, b in sorted(found):
+        if out and out[-1][1] >= a:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def entropy_spans(text: str, start: int, rules: EntropyRules, gains: list[float], skip: Sequence[tuple[int, int]] = ()) -> list[tuple[int, int]]:
+    """Merged windows of ``text`` at or over its class's threshold, shifted by ``start``;
+    windows that overlap a range of ``skip`` (in order) are left out.
 
     ``gains[c]`` is ``c * log2(c)``; with the sum S of it over the window's
     counts, the entropy is ``log2(w) - S / w``."""
@@ -68,6 +101,8 @@ def entropy_spans(text: str, start: int, rules: EntropyRules, gains: list[float]
     most = w * (math.log2(w) - least) + 1e-9
     counts: dict[str, int] = {}
     total, out = 0.0, []
+    ranges = iter(skip)
+    low, high = next(ranges, (len(text), len(text)))
     for i, ch in enumerate(text):
         c = counts.get(ch, 0)
         counts[ch] = c + 1
@@ -77,7 +112,9 @@ def entropy_spans(text: str, start: int, rules: EntropyRules, gains: list[float]
             c = counts[old]
             counts[old] = c - 1
             total += gains[c - 1] - gains[c]
-        if i >= w - 1 and total <= most:
+        while i - w + 1 >= high and high < len(text):
+            low, high = next(ranges, (len(text), len(text)))
+        if i >= w - 1 and total <= most and i < low:
             a, b = start + i - w + 1, start + i + 1
             if out and out[-1][1] >= a:
                 out[-1] = (out[-1][0], b)
@@ -90,7 +127,8 @@ def scanner(rules: EntropyRules):
     """A function from a text to its spans, by start and then by kind."""
     candidate = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % rules.window)
     mixed = re.compile(r"[A-Za-z][^0-9]*[0-9]|[0-9][^A-Za-z]*[A-Za-z]")
-    allow = [re.compile(p) for p in rules.allow]
+    whole = [re.compile(p) for p in rules.allow if r"\A" in p and p.endswith(r"\Z")]
+    allow = [re.compile(p) for p in rules.allow if not (r"\A" in p and p.endswith(r"\Z"))]
     gains = [c * math.log2(c) if c else 0.0 for c in range(rules.window + 2)]
     rank = {k: i for i, k in enumerate(KINDS)}
 
@@ -102,8 +140,9 @@ def scanner(rules: EntropyRules):
             found += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
         found += [("hex", *m.span()) for m in HEX.finditer(text)]
         for m in candidate.finditer(text):
-            if mixed.search(m[0]) and not any(a.search(m[0]) for a in allow):
-                found += [("entropy", a, b) for a, b in entropy_spans(m[0], m.start(), rules, gains)]
+            if mixed.search(m[0]) and not any(a.search(m[0]) for a in whole):
+                skip = excluded(m[0], allow, rules.window)
+                found += [("entropy", a, b) for a, b in entropy_spans(m[0], m.start(), rules, gains, skip)]
         return sorted(found, key=lambda s: (s[1], rank[s[0]], s[2]))
 
     return scan

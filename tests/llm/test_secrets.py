@@ -49,6 +49,22 @@ def test_allow_list_and_prose_are_left_alone():
     assert [s[0] for s in scan("key 9aZ8bY7cX6dW5eV4fU3gT2hS here")] == ["entropy"]
 
 
+def test_a_secret_beside_an_allowed_word_is_found():
+    scan, r = S.scanner(S.EntropyRules()), random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWYZabcdefghijklmnopqrstuvwyz0123456789"
+    secret = "".join(r.sample(chars, 40))
+    for before, after in (("//host/samples/", ""), ("example_auth=", ""), ("", "/dummy"), ("a_", "-changeme_or_sample")):
+        spans = [(a, b) for k, a, b in scan(before + secret + after) if k == "entropy"]
+        at, covered = len(before), {i for a, b in spans for i in range(a, b)}
+        assert covered >= set(range(at, at + 40)), (before, after)
+    long = "".join(r.choice(chars) for _ in range(5000))
+    spans = scan(long[:2500] + "xxxx" + long[2500:])
+    assert [k for k, *_ in spans] == ["entropy"] * len(spans) and sum(b - a for _, a, b in spans) > 4900
+    assert not any(a < 2504 and b > 2500 for _, a, b in spans)
+    for text in ("placeholder9aZ8bY7cX6dW5eV4fU3gT2hS1", "9aZ8bY7cX6-example-1aB2cD3eF4", "a1------------------------b2"):
+        assert not scan(text), text
+
+
 def test_operator_and_mask(spark):
     secret = 'x token = "ab8ca1b325bc4f85aa6a79e73fc4cbfc2098878e" y'
     rows = awkward() + [(30, secret), (30, secret)]
