@@ -295,18 +295,31 @@ def verified(pairs: DataFrame, packs: DataFrame, docs: int, least: float) -> Dat
     return both.mapInArrow(run, "a long, b long")
 
 
+def dealt_in_blocks(rows: DataFrame) -> DataFrame:
+    """(key, i, j, block, node, label): the rows, for each two blocks of a bucket that
+    are compared and are or hold theirs.
+
+    The texts outside of the bucket's largest class have the first blocks, which are
+    compared with all blocks; those of the largest class have the others, which are
+    not compared with one another: their texts are joined already."""
+    apart = F.ceil((F.col("m") - F.col("held")) / BLOCK).cast("int")
+    parts = F.ceil(F.col("held") / BLOCK).cast("int")
+    within, hashed = F.col("label") == F.col("main"), F.xxhash64("node")
+    dealt = rows.withColumn("block", F.when(within, apart + F.pmod(hashed, parts)).otherwise(F.pmod(hashed, apart)).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(within, apart).otherwise(apart + parts) - 1)))
+    return dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+
+
 def linked_in_blocks(rows: DataFrame, packs: DataFrame, docs: int, least: float) -> DataFrame:
     """Links (a, b) between texts of different labels in one bucket.
 
-    ``rows`` are (key, m, node, label), m the bucket's size. Each bucket is parted
-    into blocks by a hash; every two blocks of it are compared in a task of their
-    own, by products of matrices of shingles and texts. Of the links between two
-    labels a task returns one."""
+    ``rows`` are (key, m, held, main, node, label): m the bucket's size, ``held`` and
+    ``main`` the size and label of its largest class. Each bucket is parted into
+    blocks by a hash; two blocks of it are compared in a task of their own, by
+    products of matrices of shingles and texts. Of the links between two labels a
+    task returns one."""
     texts = texts_of(packs).select("node", "text.*")
-    parts = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("node"), parts).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label")
+    dealt = dealt_in_blocks(rows)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node", ignore_index=True)
@@ -388,7 +401,7 @@ def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
     own = stored(labelled(labels), "near-members")
     sizes = own.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes"), F.sum("n").alias("m"))
-    mixed = own.join(mixed.filter("classes > 1").select("key", F.col("top.label").alias("main"), "m"), "key")
+    mixed = own.join(mixed.filter("classes > 1").select("key", F.col("top.label").alias("main"), F.col("top.n").alias("held"), "m"), "key")
     mixed = stored(mixed, "near-mixed")
     discard(own)
     few = mixed.filter((F.col("label") != F.col("main")) & (F.col("m") <= LARGE)).select("key", F.col("node").alias("x"), F.col("label").alias("x_label"))
@@ -396,7 +409,7 @@ def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
     cross = cross.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct()
     cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "near-pairs")
     pairwise = stored(verified(cross, packs, docs, least), "near-links")
-    blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "node", "label"), packs, docs, least), "near-links")
+    blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "held", "main", "node", "label"), packs, docs, least), "near-links")
     discard(mixed, star, members, cross)
     return components(links.unionByName(pairwise).unionByName(blockwise))
 

@@ -120,6 +120,24 @@ def test_rare_shingles_keep_their_weight_in_a_large_corpus(spark):
         assert len({r["class_id"] for r in found if r["doc_id"] < 40}) == want
 
 
+@pytest.mark.parametrize("apart", [1, 700])
+def test_blocks_of_the_main_class_are_not_compared(spark, apart):
+    label = [0] * 2000 + list(range(1, apart + 1))
+    rows = spark.createDataFrame([(7, len(label), 2000, 0, n, x) for n, x in enumerate(label)], "key long, m long, held long, main long, node long, label long")
+    groups, n = {}, 0
+    for r in minhash.dealt_in_blocks(rows).collect():
+        groups.setdefault((r["i"], r["j"]), []).append((r["block"], r["node"]))
+        n += 1
+    met = Counter()
+    for (i, j), own in groups.items():
+        sides = [[x for b, x in own if b == k] for k in (i, j)]
+        met.update({(min(x, y), max(x, y)) for x in sides[0] for y in sides[1] if x != y})
+    want = {(min(x, y), max(x, y)) for x in range(2000, len(label)) for y in range(len(label)) if x != y}
+    assert set(met.values()) == {1} and want <= set(met)
+    assert not any(b < 2000 for _, b in met)
+    assert n == 2000 * -(-apart // 256) + apart * (-(-apart // 256) + 8)
+
+
 def test_awkward_rows(spark):
     rows = awkward()
     df = clashing(frame(spark, rows))
