@@ -3,11 +3,14 @@ the columns of its contract from the operator's own results."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, prefix_trie, quality, secret_scan, suffix_dedup, toxicity
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, prefix_trie, quality, secret_scan, suffix_dedup, token_files, toxicity
 from lakestrata.llm.common import base_spans, conversations, documents, embeddings, labels, piece_pattern, sha_of, span_count, span_text, vocabulary_path
+from lakestrata.session import checkpoint_dir
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every text, the base rule and the verdict of the table of thresholds."""
@@ -81,6 +84,14 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(conversations(spark, sf_dir))
 
 
+def op12_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids written as token files and read back."""
+    docs = documents(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    token_files.write(docs, path, vocabulary_path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op4_toxicity, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing,
-    op11_prefix_trie)}
+    op11_prefix_trie, op12_token_output)}
