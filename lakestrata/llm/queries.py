@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, prefix_trie, quality, secret_scan, suffix_dedup, token_files, toxicity
+from lakestrata.llm import bpe, fm_dedup, knn, minhash, packing, pii, prefix_trie, quality, secret_scan, suffix_dedup, token_files, toxicity, whitening
 from lakestrata.llm.common import base_spans, conversations, documents, embeddings, labels, piece_pattern, sha_of, span_count, span_text, vocabulary_path
 from lakestrata.session import checkpoint_dir
 
@@ -92,6 +92,11 @@ def op12_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's first four whitened components."""
+    return whitening.whiten(embeddings(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_rules, op2_exact_top_k, op3_substring_dedup, op4_toxicity, op5_secret_scan, op6_bpe, op7_pii, op8_minhash_near_dedup, op9_suffix_dedup, op10_best_fit_packing,
-    op11_prefix_trie, op12_token_output)}
+    op11_prefix_trie, op12_token_output, op13_whitening)}
