@@ -12,7 +12,8 @@ order of a hash of the id; every document is scored, over its whole text.
 
 Defined results: a null text is an empty text and is scored by the constant
 terms; labels that are null or name no document are ignored; repeated rows get
-equal results; a category without positive labels has probability 0 (as have
+equal results; texts of any length count by their distinct words; only the id and text
+(and the columns that the conditions name) are read, so others cannot clash; a category without positive labels has probability 0 (as have
 all, if no label is usable); an empty table gives an empty result.
 """
 
@@ -28,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import rowwise, stored
+from lakestrata.llm.common import discard, rowwise, stored
 
 TRAINING_ROWS = 20_000
 #: Features kept for each category; a feature is seen in so many training rows at least.
 FEATURES, LEAST_ROWS = 1500, 4
 FOLDS = 3
+#: The norm of the loss' gradient at which a fit has ended.
+GRADIENT = 1e-6
 PREFIXES = (4, 5, 6)
 #: Words whose features a task keeps.
 CACHE = 300_000
@@ -83,6 +86,7 @@ def select_features(rows: DataFrame, categories: list[str]) -> list[str]:
         chi = off * off * all_ / (F.col("n") * (all_ - F.col("n") + 0.5) * yes * (all_ - yes))
         best = counted.select("feature", chi.alias("chi")).orderBy(F.desc("chi"), "feature").limit(FEATURES)
         chosen.update(dict.fromkeys(r["feature"] for r in best.collect()))
+    discard(counted)
     return list(chosen)
 
 
@@ -105,33 +109,78 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return ends[np.concatenate((first[1:], [len(values)]))] - ends[first]
 
 
-def fit(first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float = 1.0, rounds: int = 120) -> Linear:
-    """Logistic regression by accelerated gradient descent with a ridge."""
+class Logistic:
+    """Loss, gradient and curvature of a logistic regression with a ridge on all but the constant."""
+
+    def __init__(self, first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float):
+        self.first, self.which, self.before, self.y, self.n, self.ridge = first, which, before, y, n, ridge
+        self.m = before.shape[1]
+        self.row = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(which)]))))
+
+    def scores(self, w: np.ndarray) -> np.ndarray:
+        return row_sums(w[self.which], self.first) + self.before @ w[self.n : self.n + self.m] + w[-1]
+
+    def across(self, rows: np.ndarray) -> np.ndarray:
+        """The rows' values summed over the rows that have each feature."""
+        return np.concatenate((np.bincount(self.which, rows[self.row], self.n), self.before.T @ rows, [rows.sum()]))
+
+    def loss(self, w: np.ndarray) -> float:
+        z = self.scores(w)
+        return float((np.logaddexp(0, z) - self.y * z).sum() + 0.5 * self.ridge * (w[:-1] @ w[:-1]))
+
+    def gradient(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The gradient, and each row's p (1 - p)."""
+        p = 1 / (1 + np.exp(-np.clip(self.scores(w), -500, 500)))
+        g = self.across(p - self.y)
+        g[:-1] += self.ridge * w[:-1]
+        return g, p * (1 - p)
+
+    def curved(self, d: np.ndarray, bend: np.ndarray) -> np.ndarray:
+        h = self.across(bend * self.scores(d))
+        h[:-1] += self.ridge * d[:-1]
+        return h
+
+    def step(self, g: np.ndarray, bend: np.ndarray, close: float) -> np.ndarray:
+        """Newton's direction by conjugate gradients, scaled by the diagonal of the curvature."""
+        scale = np.concatenate((np.bincount(self.which, bend[self.row], self.n), (self.before * self.before).T @ bend, [bend.sum()]))
+        scale[:-1] += self.ridge
+        scale[-1] += 1e-12
+        d, r = np.zeros(len(g)), -g
+        z = r / scale
+        along, rz = z.copy(), float(r @ z)
+        for _ in range(len(g) + 10):
+            if np.linalg.norm(r) <= close:
+                break
+            h = self.curved(along, bend)
+            a = rz / float(along @ h)
+            d += a * along
+            r -= a * h
+            z = r / scale
+            rz, before = float(r @ z), rz
+            along = z + (rz / before) * along
+        return d
+
+
+def fit(first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float = 1.0) -> Linear:
+    """Logistic regression with a ridge by Newton's method, until the gradient's norm is
+    below ``GRADIENT``; each step is halved until the loss falls."""
     if not 0 < y.sum() < len(y):
         return Linear(np.zeros(n), np.zeros(before.shape[1]), -30.0 if not y.sum() else 30.0)
-    row = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(which)]))))
-    m = before.shape[1]
-    rate = float(np.clip(y.mean(), 1e-4, 1 - 1e-4))
-    w = np.zeros(n + m + 1)
-    w[-1] = np.log(rate / (1 - rate))
-    ahead, momentum = w.copy(), 1.0
-    # the step that a feature's curvature allows, so that rare features move as fast as frequent ones
-    seen = np.concatenate((np.bincount(which, minlength=n), (before * before).sum(axis=0), [len(y)]))
-    # rows share the step among their features
-    per_row = max(1.0, float(np.diff(np.concatenate((first, [len(which)]))).mean()))
-    step = 1 / (0.25 * seen * per_row / 4 + ridge)
-    for _ in range(rounds):
-        z = row_sums(ahead[which], first) + before @ ahead[n : n + m] + ahead[-1]
-        off = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - y
-        gradient = np.concatenate((np.bincount(which, off[row], n), before.T @ off, [off.sum()]))
-        gradient[:-1] += ridge * ahead[:-1]
-        new = ahead - step * gradient
-        faster = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        if ((ahead - new) * (new - w)).sum() > 0:  # it runs uphill: start the momentum anew
-            faster = 1.0
-        ahead = new + (momentum - 1) / faster * (new - w) if faster > 1 else new.copy()
-        w, momentum = new, faster
-    return Linear(w[:n], w[n : n + m], float(w[-1]))
+    model = Logistic(first, which, before, y, n, ridge)
+    w = np.zeros(n + model.m + 1)
+    w[-1] = np.log(y.mean() / (1 - y.mean()))
+    loss = model.loss(w)
+    for _ in range(200):
+        g, bend = model.gradient(w)
+        norm = float(np.linalg.norm(g))
+        if norm <= GRADIENT:
+            break
+        d = model.step(g, bend, min(0.1, norm / len(y)) * norm)
+        slope, size = float(g @ d), 1.0
+        while size > 1e-9 and (new := model.loss(w + size * d)) > loss + 1e-4 * size * slope + 1e-12 * abs(loss):
+            size /= 2
+        w, loss = w + size * d, new
+    return Linear(w[:n], w[n : n + model.m], float(w[-1]))
 
 
 def fit_chain(first: np.ndarray, which: np.ndarray, labels: np.ndarray, n: int, fold: np.ndarray) -> list[Linear]:
@@ -176,6 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
 
     kind = rows.schema["id"].dataType.simpleString()
     got = rows.mapInArrow(run, f"id {kind}, which binary, " + ", ".join(f"`{c}` int" for c in names)).dropDuplicates(["id"]).collect()
+    discard(rows)
     if not got:
         return chosen, [Linear(np.zeros(len(chosen)), np.zeros(j), -30.0) for j in range(len(names))]
     got.sort(key=lambda r: r["id"])
