@@ -59,15 +59,22 @@ def base_of(conv_id: Column) -> Column:
     return conv_id - conv_id % GROUP
 
 
-def rebuilt(conversations: DataFrame) -> DataFrame:
-    """(conv_id, at, digest, chars): the turns of each rebuilt conversation from 0 on,
-    and a row with ``at`` -1 for each conversation, turnless ones too."""
+def placed(conversations: DataFrame) -> DataFrame:
+    """(base, conv_id, pos, h, had, digest, chars): every turn with its place, how many turns
+    its conversation takes from its group's first one, and how many that one has (``SHARED`` at most)."""
     conv = F.col("conv_id")
     group = Window.partitionBy("base")
     order = Window.partitionBy("base", "conv_id").orderBy(F.col("turn").asc_nulls_first(), "digest")
     own = turns(conversations).withColumn("base", base_of(conv)).repartition("base")
     own = own.withColumn("pos", F.row_number().over(order) - 1).withColumn("h", (F.crc32(conv.cast("string").cast("binary")) % SHARED).cast("int"))
     own = own.withColumn("had", F.sum(F.when((conv == F.col("base")) & (F.col("pos") < SHARED), 1).otherwise(0)).over(group))
+    return own.drop("turn")
+
+
+def rebuilt(own: DataFrame) -> DataFrame:
+    """(conv_id, at, digest, chars): the turns of each rebuilt conversation from 0 on,
+    and a row with ``at`` -1 for each conversation, turnless ones too."""
+    conv = F.col("conv_id")
     kept = own.filter("pos >= h").select("conv_id", (F.least("h", "had") + F.col("pos") - F.col("h")).cast("long").alias("at"), "digest", "chars")
     heads = own.filter("pos = 0").select("conv_id", "base", "h")
     first = own.filter((conv == F.col("base")) & (F.col("pos") < SHARED - 1)).select("base", F.col("pos").cast("long").alias("at"), "digest", "chars")
@@ -190,8 +197,10 @@ def _map(df: DataFrame, work, schema: str, arrow: pa.Schema) -> DataFrame:
 
 def trie_nodes(conversations: DataFrame) -> DataFrame:
     """(key, parent, depth, conv_id, n_convs, chars, ends_sha256) of every node of the trie."""
-    shards = rebuilt(conversations).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "at")
+    own = stored(placed(conversations), "trie-turns")
+    shards = rebuilt(own).repartitionByRange("conv_id").sortWithinPartitions("conv_id", "at")
     local = stored(_map(shards, shard_nodes, NODE, _ARROW), "trie-shards")
+    discard(own)
     by_path = local.repartition("key").sortWithinPartitions("key", "conv_id")
     nodes = stored(_map(by_path, merged, NODE.replace("ends", "ends_sha256"), pa.schema([*list(_ARROW)[:-1], ("ends_sha256", pa.string())])), "trie-nodes")
     discard(local)

@@ -60,7 +60,7 @@ def test_equals_brute_force(spark, monkeypatch, limits):
         monkeypatch.setattr(prefix_trie, name, value)
     # the workers import the module anew, so the limits are also tried in this process
     assert run(spark, rows) == brute(rows)
-    flat = prefix_trie.rebuilt(spark.createDataFrame(rows, SCHEMA)).orderBy("conv_id", "at").collect()
+    flat = prefix_trie.rebuilt(prefix_trie.placed(spark.createDataFrame(rows, SCHEMA))).orderBy("conv_id", "at").collect()
     nodes = sorted(prefix_trie.shard_nodes(map(tuple, flat)), key=lambda x: (x[0], x[3]))
     got = {(x[3], x[2], x[4], x[6]) for x in prefix_trie.merged(nodes)}
     assert got == {(x[0], x[1], x[3], x[7]) for x in brute(rows)}
