@@ -45,9 +45,56 @@ LARGE, BLOCK = 48, 256
 _U = np.uint64
 #: A shingle's hash has 52 bits; a pack's text number fits above it.
 _HASH = 52
-#: A draw is sought among the shingles that may have an a of at most this over the text's
-#: weight; where none has (once in e^4 texts), among all of them.
-LIMIT = 4.0
+#: A draw is sought among the shingles that may have an a of at most this over the text's weight:
+#: first the first (all a are beyond it once in e^4 texts), then the second, then all.
+LIMITS = (4.0, 10.0)
+#: Samples that are drawn at a time.
+ABREAST = 16
+
+
+def _exponential_integral(x: np.ndarray) -> np.ndarray:
+    """The integral of e^-t / t from x on: its series up to 1, its continued fraction beyond."""
+    low, high = np.minimum(x, 1.0), np.maximum(x, 1.0)
+    total, term = -np.euler_gamma - np.log(low), np.ones_like(low)
+    for k in range(1, 25):
+        term = term * -low / k
+        total -= term / k
+    below = high + 241
+    for k in range(120, 0, -1):
+        below = high + 2 * k - 1 - k * k / below
+    return np.where(x <= 1, total, np.exp(-high) / below)
+
+
+class _Curve:
+    """A smooth function by straight lines between many points."""
+
+    def __init__(self, xs: np.ndarray, ys: np.ndarray, step: float):
+        at = np.arange(xs[0], xs[-1], step)
+        self.low, self.per, self.last, self.value = at[0], 1 / step, len(at) - 2, np.interp(at, xs, ys)
+        self.slope = np.diff(self.value)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        at = (x - self.low) * self.per
+        np.maximum(at, 0, out=at)
+        np.minimum(at, self.last, out=at)
+        i = at.astype(np.int64)
+        at -= i
+        at *= self.slope.take(i)
+        at += self.value.take(i)
+        return at
+
+
+def _curves() -> tuple[_Curve, _Curve, _Curve, _Curve]:
+    """Of x = c e^-r, whose density is E1(x) (the exponential integral): its logarithm by the
+    logit of its quantile and the other way round; ln E1 by ln x and the other way round."""
+    ln_x = np.arange(-45.0, 4.2, 1 / 1024)
+    x = np.exp(ln_x)
+    e1 = _exponential_integral(x)
+    logit = np.log(x * e1 - np.expm1(-x)) - np.log(np.exp(-x) - x * e1)
+    return _Curve(logit, ln_x, 1 / 256), _Curve(ln_x, logit, 1 / 256), _Curve(ln_x, np.log(e1), 1 / 512), _Curve(np.log(e1[::-1]), ln_x[::-1], 1 / 512)
+
+
+_X_OF_LOGIT, _LOGIT_OF_X, _E1_OF_X, _X_OF_E1 = _curves()
 
 
 def _sortable(x: np.ndarray) -> np.ndarray:
@@ -56,37 +103,119 @@ def _sortable(x: np.ndarray) -> np.ndarray:
     return (bits ^ ((bits >> 31) | np.int32(-(2**31)))).view(np.uint32).astype(np.uint64)
 
 
-def _draws(z: np.ndarray, ln_w: np.ndarray) -> np.ndarray:
-    """For hashes of shingle and sample, and weights: ln(a) of Ioffe's scheme in
-    sortable bits above a hash of shingle and level t. The smallest a of a text is drawn.
-
-    Each variate follows from 32 bits of its own, of which ``z`` has the first 16:
-    r and c are gamma variates of two uniform ones each, beta is uniform."""
-    fine = repeats.mix(z, np.ones(1, np.uint64))
-    more = repeats.mix(fine, np.ones(1, np.uint64))
-    u = (z.view(np.uint16).reshape(-1, 4) + (fine.view(np.uint16).reshape(-1, 4) + 0.5) / 65536) / 65536
-    r, ln_c, beta = -np.log(u[:, 0] * u[:, 1]), np.log(-np.log(u[:, 2] * u[:, 3])), (more >> _U(32)) * 2.0**-32
+def _draws(quantile: np.ndarray, z: np.ndarray, ln_w: np.ndarray) -> np.ndarray:
+    """For 32-bit quantiles of x = c e^-r, other hashes ``z`` of shingle and sample, and
+    weights: ln(a) of Ioffe's scheme in sortable bits above a hash of shingle and level t.
+    The smallest a of a text is drawn.
+
+    r and c are gamma variates of shape 2. Given x, c is the sum of v, of density e^-v / v
+    from x on, and of an exponential variate, and r = ln(c / x); so all variates have the
+    distribution of the scheme, but x, of which a is at least x / w, comes first and alone."""
+    fine = z * _U(0xA0761D6478BD642F)
+    fine ^= fine >> _U(32)
+    fine *= _U(0xE7037ED1A0B428DB)
+    u = (quantile + ((fine >> _U(48)) + 0.5) / 65536) / 2.0**32
+    ln_x = _X_OF_LOGIT(np.log(u / (1 - u)))
+    ln_v = _X_OF_E1(np.log(((z >> _U(32)) + 0.5) / 2.0**32) + _E1_OF_X(ln_x))
+    ln_c = np.log(np.exp(ln_v) - np.log(((z & _U(0xFFFFFFFF)) + 0.5) / 2.0**32))
+    r = np.maximum(ln_c - ln_x, 1e-9)
+    beta = (fine & _U(0xFFFFFFFF)) * 2.0**-32
     t = np.floor(ln_w / r + beta)
     level = (t.astype(np.int64).view(np.uint64) * _U(0x9E3779B97F4A7C15)) >> _U(32)
-    return (_sortable(ln_c - r * (t - beta) - r) << _U(32)) | ((more ^ level) & _U(0xFFFFFFFF))
+    name = (z * _U(0xD1B54A32D192ED03)) >> _U(32)
+    return (_sortable(ln_c - r * (t - beta) - r) << _U(32)) | (name ^ level)
+
+
+def _places(few: np.ndarray) -> np.ndarray:
+    """Where ``few`` is true, which is seldom; its length is a multiple of 8."""
+    eights = np.flatnonzero(few.view(np.uint64))
+    at = np.flatnonzero(few.reshape(-1, 8)[eights])
+    return (eights[at >> 3] << 3) + (at & 7)
+
+
+def _scattered(h: np.ndarray, odd, spare: np.ndarray | None) -> np.ndarray:
+    """32-bit hashes in place of ``h``."""
+    h *= odd
+    spare = np.right_shift(h, 15, out=spare)
+    h ^= spare
+    h *= np.uint32(0x2C1B3C6D)
+    return h
+
+
+def _spread(grams: np.ndarray, odd: np.ndarray) -> np.ndarray:
+    z = grams * odd
+    z ^= z >> _U(32)
+    z *= _U(0xD6E8FEB86659FD93)
+    z ^= z >> _U(29)
+    return z
 
 
 def _odd(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, np.uint64) * _U(2) + _U(1)
 
 
+class WordHashes:
+    """64-bit hashes of the words of texts, for all bytes at once: a word's is a
+    polynomial of its bytes' random numbers, from running sums over the bytes."""
+
+    CHUNK = 1 << 21
+
+    def __init__(self):
+        r = np.random.default_rng(17)
+        self.number = r.integers(0, 2**64, 256, np.uint64)
+        self.blank = np.zeros(256, bool)
+        self.blank[[9, 10, 11, 12, 13, 32]] = True
+        self.base = int(r.integers(0, 2**61)) * 8 + 5
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def _raise_to(self, n: int) -> None:
+        if len(self.powers) < n:
+            for name, base in (("powers", self.base), ("inverses", pow(self.base, -1, 2**64))):
+                out = np.full(n, base, np.uint64)
+                out[0] = 1
+                setattr(self, name, np.multiply.accumulate(out))
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(hashes of all words, end to end; how many words each text has)."""
+        flat = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        hashes, starts, at = [], [], 0
+        while at < len(flat):
+            to = min(at + self.CHUNK, len(flat))
+            while not self.blank[flat[to - 1]]:  # a chunk ends behind a blank, as all bytes do
+                step = flat[to : to + self.CHUNK]
+                to += int(self.blank[step].argmax()) + 1 if self.blank[step].any() else len(step)
+            part = flat[at:to]
+            self._raise_to(len(part))
+            blank = self.blank[part]
+            first = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+            if not blank[0]:
+                first = np.concatenate(([0], first))
+            last = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
+            running = self.number[part]
+            running *= self.powers[: len(part)]
+            np.cumsum(running, out=running)
+            value = running[last - 1]
+            value[first > 0] -= running[first[first > 0] - 1]
+            value *= self.inverses[first]
+            hashes.append(repeats.mix(value, (last - first).astype(np.uint64)))
+            starts.append(first + at)
+            at = to
+        start = np.concatenate([np.empty(0, np.int64), *starts])
+        sizes = np.diff(np.searchsorted(start, ends), prepend=0)
+        return np.concatenate([np.empty(0, np.uint64), *hashes]), sizes
+
+
 class Shingler:
     """Distinct shingles of up to 4096 texts, as 52-bit hashes, and how often each has them."""
 
     def __init__(self):
-        self.hashes = repeats.WordHashes()
+        self.hashes = WordHashes()
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, hash, count) in the order of text and hash."""
-        words = [t.split() for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        total, ends = int(sizes.sum()), np.cumsum(sizes)
-        h = self.hashes.of(words, total)
+        h, sizes = self.hashes.of(texts)
+        total, ends = len(h), np.cumsum(sizes)
         left = np.repeat(ends, sizes) - np.arange(total)  # words from here to the end of the text
         grams = h.copy()
         for j in range(1, WORDS):
@@ -142,54 +271,72 @@ def idf(docs: int, frequency: np.ndarray) -> np.ndarray:
 def band_keys(text: np.ndarray, grams: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(texts that have shingles, their keys): a row of ``BANDS`` hashes for each.
 
-    a is at least u1 u2 (1 - u3 u4) / w, as e^-r = u1 u2 and c = -ln(u3 u4), so most
-    shingles are passed over without a logarithm; the draws are those of all shingles."""
+    a is at least x / w, and x follows from a 32-bit hash as its quantile, so one comparison
+    passes over most shingles; the draws are those of all shingles."""
     samples = BANDS * ROWS
-    odd = _odd(samples, 11)
+    odd, odd_32 = _odd(samples, 11), _odd(2 * samples, 13).astype(np.uint32) | np.uint32(1)
     some, first = np.unique(text, return_index=True)
     if not len(some):
         return some, np.empty((BANDS, 0), np.uint64)
     ends = np.append(first[1:], len(text))
-    weights = weights.astype(np.float64)
-    ln_w, most = np.log(weights), LIMIT / np.add.reduceat(weights, first)
-    within = (np.repeat(most, ends - first) * weights * (2.0**64 * (1 + 1e-5))).astype(np.float32)
-    enough = _sortable(np.log(most) - 1e-5)
+    ln_w = np.log(weights.astype(np.float64))
+    ln_total = np.log(np.add.reduceat(weights.astype(np.float64), first))
+    # the quantiles up to which a shingle's a may be within a limit, a little more for rounding
+    within, enough = [], []
+    for limit in LIMITS:
+        near = _LOGIT_OF_X(ln_w + np.repeat(np.log(limit) - ln_total, ends - first) + 1e-3)
+        within.append((np.minimum(1 / (1 + np.exp(-near)) + 1e-9, 1) * (2.0**32 - 1)).astype(np.uint32))
+        enough.append(_sortable(np.log(limit) - ln_total - 1e-4))
+    within.append(np.full(len(text), 2**32 - 1, np.uint32))
+    enough.append(np.full(len(some), 2**32, np.uint64))
+    low = (grams ^ (grams >> _U(29))).astype(np.uint32)
     drawn = np.empty((samples, len(some)), np.uint64)
     # texts are taken so many at a time that the arrays stay in the processor's cache
     cuts = [0]
     for i in range(1, len(some)):
-        if first[i] - first[cuts[-1]] > 40_000:
+        if first[i] - first[cuts[-1]] > 50_000:
             cuts.append(i)
     cuts.append(len(some))
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         lo, hi = first[a], ends[b - 1]
-        g, ln, near, own, stop = grams[lo:hi], ln_w[lo:hi], within[lo:hi], first[a:b] - lo, ends[a:b] - lo
-        z, x = np.empty_like(g), np.empty_like(g)
-        part, least, high = np.empty(4 * len(g), np.float32), np.empty(len(g), np.float32), np.empty(len(g), np.float32)
-        for k in range(samples):
-            np.multiply(g, odd[k], out=z)
-            np.right_shift(z, _U(32), out=x)
-            z ^= x
-            z *= _U(0xD6E8FEB86659FD93)
-            np.copyto(part, z.view(np.uint16))
-            np.multiply(part[0::4], part[1::4], out=least)
-            part += np.float32(1)
-            np.multiply(part[2::4], part[3::4], out=high)
-            np.subtract(np.float32(2.0**32 - 512), high, out=high)  # rounding never makes the bound too high
-            least *= high
-            at = np.flatnonzero(least <= near)
-            start = np.searchsorted(at, own)
-            has = np.diff(start, append=len(at)) > 0
-            got = np.full(b - a, 2**64 - 1, np.uint64)
-            if len(at):
-                got[has] = np.minimum.reduceat(_draws(z[at], ln[at]), start[has])
-            rest = np.flatnonzero((got >> _U(32)) > enough[a:b])
-            if len(rest):
-                size = stop[rest] - own[rest]
-                begin = np.cumsum(size) - size
-                every = np.repeat(own[rest] - begin, size) + np.arange(size.sum())
-                got[rest] = np.minimum.reduceat(_draws(z[every], ln[every]), begin)
-            drawn[k, a:b] = got
+        g, g_32, ln, own, size = grams[lo:hi], low[lo:hi], ln_w[lo:hi], first[a:b] - lo, ends[a:b] - first[a:b]
+        mine, near = np.repeat(np.arange(b - a), size), within[0][lo:hi]
+        h, x = np.empty_like(g_32), np.empty_like(g_32)
+        few = np.zeros(-(-len(h) // 8) * 8, bool)
+        for k in range(0, samples, ABREAST):
+            n = min(ABREAST, samples - k)
+            got = np.full(n * (b - a), 2**64 - 1, np.uint64)
+
+            def least(at: np.ndarray, sample: np.ndarray, quantile: np.ndarray, k=k, got=got, g=g, ln=ln, mine=mine, texts=b - a) -> None:
+                """The smallest draws of the places ``at`` for ``sample``, in the order of samples and places."""
+                if not len(at):
+                    return
+                key = sample * texts + mine[at]
+                start = np.flatnonzero(np.diff(key, prepend=-1))
+                values = _draws(quantile, _spread(g[at], odd[k + sample]), ln[at])
+                got[key[start]] = np.minimum.reduceat(values, start)
+
+            places, quantiles = [], []
+            for j in range(k, k + n):
+                np.bitwise_xor(g_32, odd_32[2 * j], out=h)
+                _scattered(h, odd_32[2 * j + 1], x)
+                np.less_equal(h, near, out=few[: len(h)])
+                places.append(_places(few))
+                quantiles.append(h[places[-1]])
+            least(np.concatenate(places), np.repeat(np.arange(n), [len(p) for p in places]), np.concatenate(quantiles))
+            for tier in range(1, len(within)):
+                rest = np.flatnonzero((got >> _U(32)) > np.tile(enough[tier - 1][a:b], n))
+                if not len(rest):
+                    break
+                sample, which = rest // (b - a), rest % (b - a)
+                much = size[which]
+                begin = np.cumsum(much) - much
+                every = np.repeat(own[which] - begin, much) + np.arange(much.sum())
+                sample = np.repeat(sample, much)
+                again = _scattered(g_32[every] ^ odd_32[2 * (k + sample)], odd_32[2 * (k + sample) + 1], None)
+                use = np.flatnonzero(again <= within[tier][lo:hi][every])
+                least(every[use], sample[use], again[use])
+            drawn[k : k + n, a:b] = got.reshape(n, b - a)
     drawn &= _U(0xFFFFFFFF)
     keys = np.empty((BANDS, len(some)), np.uint64)
     for band in range(BANDS):

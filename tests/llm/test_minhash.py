@@ -50,6 +50,43 @@ def test_light_shingles_of_long_texts_are_drawn(monkeypatch, n, edits, weight):
     assert abs((keys[:, 0] == keys[:, 1]).mean() - 2 * n / (2 * n + 2 * edits * weight)) < 0.05
 
 
+def test_variates_have_the_distribution_of_the_scheme():
+    r = np.random.default_rng(2)
+    ln_x = minhash._X_OF_LOGIT(np.log(1 / (1 / r.random(200_000) - 1)))
+    v = np.exp(minhash._X_OF_E1(np.log(r.random(200_000)) + minhash._E1_OF_X(ln_x)))
+    c = v - np.log(r.random(200_000))
+    for variate in (c, np.log(c) - ln_x):  # both are gamma variates of shape 2
+        share = np.sort(1 - (1 + variate) * np.exp(-variate))
+        assert np.abs(share - (np.arange(200_000) + 0.5) / 200_000).max() < 0.005
+    assert abs(np.corrcoef(c, np.log(c) - ln_x)[0, 1]) < 0.01
+
+
+@pytest.mark.parametrize("limits", [(0.01, 0.5), (3.0, 9.0), (50.0, 60.0)])
+def test_limits_do_not_change_draws(monkeypatch, limits):
+    r = np.random.default_rng(3)
+    sizes = r.integers(1, 400, 60)
+    text, grams = np.repeat(np.arange(60), sizes), r.integers(0, 2**52, sizes.sum(), np.uint64)
+    weights = r.integers(1, 50, len(text)) * r.uniform(1, 13, len(text))
+    monkeypatch.setattr(minhash, "LIMITS", (1e9, 2e9))  # no shingle is passed over
+    want = minhash.band_keys(text, grams, weights)[1]
+    monkeypatch.setattr(minhash, "LIMITS", limits)
+    monkeypatch.setattr(minhash, "ABREAST", 5)
+    assert (minhash.band_keys(text, grams, weights)[1] == want).all()
+
+
+def test_word_hashes_are_those_of_words(monkeypatch):
+    r = random.Random(4)
+    texts = ["".join(r.choice("ab \t\n\x0b\x0c\r\x1cé") for _ in range(r.randrange(60))).encode() for _ in range(300)] + [b"", b"x" * 500, b" y"]
+    seen = {}
+    for chunk in (1 << 21, 64, 7):
+        monkeypatch.setattr(minhash.WordHashes, "CHUNK", chunk)
+        hashes, sizes = minhash.WordHashes().of(texts)
+        assert sizes.tolist() == [len(t.split()) for t in texts]
+        for word, h in zip([w for t in texts for w in t.split()], hashes.tolist(), strict=True):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
 def changed(text, n, seed):
     r, w = random.Random(seed), text.split()
     for _ in range(n):
