@@ -158,7 +158,7 @@ class WordHashes:
     """64-bit hashes of the words of texts, for all bytes at once: a word's is a
     polynomial of its bytes' random numbers, from running sums over the bytes."""
 
-    CHUNK = 1 << 21
+    CHUNK = 1 << 17
 
     def __init__(self):
         r = np.random.default_rng(17)
