@@ -15,7 +15,8 @@
    known to be in one class is compared in the end. A pair is left out only
    where links already join its two texts, so no link between classes is lost,
    and no bucket is expanded into all its pairs.
-5. Classes are the connected components of the links.
+5. Classes are the connected components of the links. The first links make a forest, whose
+   roots are found by doubling; later ones only join classes, and only those are searched again.
 
 Defined results: a text of fewer than five words is one shingle; a text without
 words (null among them) is a near-duplicate only of equal texts; repeated rows
@@ -521,9 +522,47 @@ def components(links: DataFrame) -> DataFrame:
         held, labels = new, new.select("node", "label")
         if not changed:
             discard(both)
+            labels.stored_at = new.stored_at
             return labels
 
 
+def roots(forest: DataFrame) -> DataFrame:
+    """(node, label) of all nodes of a forest: each has one link at most, from b to a smaller
+    a. The distance that a label looks up doubles each round."""
+    inner = forest.select(F.col("b").alias("node"), F.col("a").alias("label"))
+    tops = forest.select("a").distinct().join(forest.select("b"), F.col("a") == F.col("b"), "left_anti")
+    labels = stored(inner.unionByName(tops.select(F.col("a").alias("node"), F.col("a").alias("label"))), "near-labels")
+    while True:
+        up = labels.select(F.col("node").alias("label"), F.col("label").alias("beyond"))
+        new = stored(labels.join(up, "label").select("node", F.col("label").alias("before"), F.col("beyond").alias("label")), "near-labels")
+        changed = new.filter("label < before").limit(1).count()
+        discard(labels)
+        labels = new.select("node", "label")
+        labels.stored_at = new.stored_at
+        if not changed:
+            return labels
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels with more links: components of the classes that these join."""
+    def label(side: str) -> DataFrame:
+        return labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+
+    ends = links.join(label("a"), "a", "left").join(label("b"), "b", "left")
+    ends = ends.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).filter("a <> b").distinct()
+    ends = stored(ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "near-ends")
+    if not ends.limit(1).count():
+        discard(ends)
+        return labels
+    classes_ = components(ends)
+    moved = classes_.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    new = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+    alone = classes_.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    out = stored(new.unionByName(alone), "near-labels")
+    discard(labels, ends, classes_)
+    return out
+
+
 def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
     """(node, label) of the texts that have links."""
     keys = buckets(packs)
@@ -536,15 +575,15 @@ def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
         return members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
     # the smallest of every bucket, where it is not in the text's class yet
-    labels = components(links)
+    labels = roots(links)
     low = labels.select(F.col("node").alias("low"), F.col("label").alias("low_label"))
     star = labelled(labels).filter("node <> low").join(low, "low", "left").filter(F.coalesce("low_label", "low") != F.col("label"))
     star = stored(star.select(F.col("low").alias("a"), F.col("node").alias("b")).distinct().join(tested, ["a", "b"], "left_anti"), "near-pairs")
     more = stored(verified(star, packs, docs, least), "near-links")
-    links, tested = links.unionByName(more), tested.unionByName(star)
+    tested = tested.unionByName(star)
     # every other pair of a bucket whose texts are in different classes: one side at
     # least is outside of the bucket's largest class
-    labels = components(links)
+    labels = joined(labels, more)
     own = stored(labelled(labels), "near-members")
     sizes = own.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("classes"), F.sum("n").alias("m"))
@@ -557,8 +596,10 @@ def labels_of(packs: DataFrame, docs: int, least: float) -> DataFrame:
     cross = stored(cross.join(tested, ["a", "b"], "left_anti"), "near-pairs")
     pairwise = stored(verified(cross, packs, docs, least), "near-links")
     blockwise = stored(linked_in_blocks(mixed.filter(F.col("m") > LARGE).select("key", "m", "held", "main", "node", "label"), packs, docs, least), "near-links")
-    discard(mixed, star, members, cross)
-    return components(links.unionByName(pairwise).unionByName(blockwise))
+    discard(mixed, star, members, cross, links, more)
+    labels = joined(labels, pairwise.unionByName(blockwise))
+    discard(pairwise, blockwise)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -127,6 +127,26 @@ def test_classes_are_the_components(spark, monkeypatch, large):
     assert got == want
 
 
+def test_classes_of_links(spark):
+    r = random.Random(6)
+    forest = [(b - 1 if b < 40 else r.randrange(b), b) for b in range(1, 300) if b not in (50, 100, 200)]  # a chain, and trees
+    more = [(3, 60), (50, 51), (400, 401), (401, 7), (100, 200), (500, 501)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    labels = minhash.roots(spark.createDataFrame(forest, "a long, b long"))
+    for links, make in ((forest, lambda x: x), (more, lambda x: minhash.joined(x, spark.createDataFrame(more, "a long, b long"))), ([], lambda x: minhash.joined(x, spark.createDataFrame([], "a long, b long")))):
+        labels = make(labels)
+        for a, b in links:
+            a, b = sorted((find(a), find(b)))
+            parent[b] = a
+        assert {x["node"]: x["label"] for x in labels.collect()} == {x: find(x) for x in parent}
+
+
 def test_frequencies_are_counted_by_shingle(spark, monkeypatch):
     from lakestrata.llm import repeats
 
