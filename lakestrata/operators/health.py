@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lakestrata.functions.exprs import iso_to_ts, iso_utc
 
 def pipeline_health(audit: DataFrame) -> DataFrame:
-    """One health row per audit run, with the run time in seconds (3 digits)."""
+    """One health row per audit run, with the run time in seconds (3 digits), in the order of
+    the finish time and the job (F2)."""
     micros = F.unix_micros(iso_to_ts(F.col("finished_at"))) - F.unix_micros(iso_to_ts(F.col("started_at")))
     return audit.select(
         "run_id", "job_name", "status", "process_date", "records_read", "records_written",
@@ -16,7 +17,7 @@ def pipeline_health(audit: DataFrame) -> DataFrame:
         F.round(micros / 1e6, 3).alias("duration_seconds"),
         "input_prefix", "output_prefix", "error_message",
         iso_utc(F.current_timestamp()).alias("gold_processed_time"),
-    )
+    ).orderBy("finished_at", "job_name")
 
 
 def latest_per_job(health: DataFrame) -> DataFrame:
@@ -28,8 +29,7 @@ def latest_per_job(health: DataFrame) -> DataFrame:
 
 
 def run_listing(runs: DataFrame, process_date: str | None = None, job_name: str | None = None) -> DataFrame:
-    """Audit or health rows of a date and job as the listings show them (F7, F8):
-    sorted by finish time and run id, with ``is_failure`` as the listing's gate."""
+    """Audit rows of a date and job as the listing shows them (F7): sorted by finish time and run id, with ``is_failure`` as the listing's gate."""
     picked = runs
     if process_date is not None:
         picked = picked.where(F.col("process_date") == process_date)
@@ -41,6 +41,15 @@ def run_listing(runs: DataFrame, process_date: str | None = None, job_name: str
         iso_to_ts(F.col("finished_at")), "run_id")
 
 
+def latest_listing(latest: DataFrame, process_date: str | None = None) -> DataFrame:
+    """The latest run of each job of a date as the listing shows it (F8): by job, with its
+    run time; ``is_failure`` is the listing's gate."""
+    picked = latest if process_date is None else latest.where(F.col("process_date") == process_date)
+    failed = F.coalesce(F.col("status"), F.lit("unknown")) != "success"
+    return picked.select("job_name", "status", "records_read", "records_written", "records_rejected", "duration_seconds",
+                         "finished_at", failed.alias("is_failure")).orderBy("job_name")
+
+
 def has_failures(listing: DataFrame) -> bool:
     """Whether a listing must end with an error: some listed run failed."""
     return not listing.where("is_failure").isEmpty()

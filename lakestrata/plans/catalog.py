@@ -205,7 +205,7 @@ def q_audit_runs(spark, d):
 
 
 def q_health_listing(spark, d):
-    return health.run_listing(latest_health_table(spark, d), fixtures.FIXTURE_DATE)
+    return health.latest_listing(latest_health_table(spark, d), fixtures.FIXTURE_DATE)
 
 
 # --- monitoring ------------------------------------------------------------------

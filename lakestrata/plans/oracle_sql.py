@@ -847,7 +847,7 @@ FROM last WHERE op <> 'd'""",
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
   status <> 'success' AS is_failure FROM audit"""),
     "health_listing": with_ctes(AUDIT_CTE, body="""
-SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,
+SELECT job_name, status, records_read, records_written, records_rejected, duration_seconds, finished_at,
   status <> 'success' AS is_failure FROM latest_health"""),
     "monitoring_findings_empty_date": with_ctes(
         CARD_CTE, LOGIN_CTE, RISK_CTE, LOGIN_SUMMARY_CTE, CASES_CTE, AUDIT_CTE, TX_CTE, MON_CTE, body="""

@@ -12,10 +12,14 @@ Storage layout under one root (shared storage on a cluster):
     monitoring/alert_history/process_date=D/  append (not de-duplicated across reruns)
 
 A Silver or Gold job whose result is empty records a failed audit row, leaves
-the old partition in place and stops the run. Every other partition is replaced
-by name, so an empty result (no findings on a healthy day) clears what an
-earlier run left. A partition that was never written reads as an empty table
-with the schema of its operator.
+the old partition in place and stops the jobs that need it. Every other partition is
+replaced by name, so an empty result (no findings on a healthy day) clears what an
+earlier run left. Partitions are replaced atomically (``publish``): a job that is
+killed while it writes leaves the old one. A partition that was never written reads as an
+empty table with the schema of its operator.
+
+The counters of the audit rows are observed while a job writes its output, always in the
+last stage of a write, whose tasks count once however often they are tried.
 """
 
 from __future__ import annotations
@@ -24,13 +28,13 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import rules
 from lakestrata.operators import gold, health, marts, monitoring, silver, validation
+from lakestrata.plans import publish
 from lakestrata.session import configure
 from lakestrata.sources.bronze import ENVELOPE_SCHEMA
 
@@ -62,10 +66,16 @@ class Layout:
         return "/".join([self.root.rstrip("/"), *parts])
 
 
-def write_partition(df: DataFrame, path: str, process_date: str) -> None:
-    """Replace one date's partition by name, also by no rows at all."""
-    df.where(F.col("process_date") == process_date).drop("process_date") \
-        .write.mode("overwrite").parquet(f"{path}/process_date={process_date}")
+def write_partition(df: DataFrame, path: str, process_date: str, keep_if_empty: bool = False, **counters) -> publish.Staged:
+    """Replace one date's partition by name, also by no rows at all (A9), unless told to
+    keep the old one then. Returns what was written, with its observed counters."""
+    rows = df.where(F.col("process_date") == process_date).drop("process_date")
+    staged = publish.stage(rows, path, f"process_date={process_date}", **counters)
+    if keep_if_empty and not staged.rows:
+        publish.discard(df.sparkSession, staged)
+    else:
+        publish.commit(df.sparkSession, staged)
+    return staged
 
 
 def append_partition(df: DataFrame, path: str) -> None:
@@ -86,17 +96,12 @@ def write_audit(spark: SparkSession, layout: Layout, job_name: str, status: str,
     return rec
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def read_dated(spark: SparkSession, path: str, schema: T.StructType, column: str, date: str) -> DataFrame:
     """One date's partition of a table, by an explicit schema; a partition that
     does not exist is an empty table (A7)."""
     data = T.StructType([f for f in schema.fields if f.name != column])
-    folder = f"{path}/{column}={date}"
-    df = spark.read.schema(data).parquet(folder) if _exists(spark, folder) else spark.createDataFrame([], data)
+    folder = publish.current_folder(spark, path, f"{column}={date}")
+    df = spark.read.schema(data).parquet(folder) if folder else spark.createDataFrame([], data)
     return df.withColumn(column, F.lit(date))
 
 
@@ -137,8 +142,8 @@ class PartitionRun:
         """This date's partition of ``layer/name``."""
         return read_dated(self.spark, self.layout.p(*name.split("/")), self.schemas[name], "process_date", self.process_date)
 
-    def replace(self, df: DataFrame, name: str) -> None:
-        write_partition(df, self.layout.p(*name.split("/")), self.process_date)
+    def replace(self, df: DataFrame, name: str, keep_if_empty: bool = False, **counters) -> publish.Staged:
+        return write_partition(df, self.layout.p(*name.split("/")), self.process_date, keep_if_empty, **counters)
 
     def audit(self, job: str, status: str, source: str, target: str, read: int, written: int, rejected: int,
               started: datetime, error: str | None = None) -> dict:
@@ -155,54 +160,53 @@ class PartitionRun:
             job, check, date = rules.JOB_SILVER_CARD, silver.check_cards, self.card_ingest_date
         else:
             job, check, date = rules.JOB_SILVER_LOGIN, silver.check_logins, self.ingest_date
-        # Counters, quarantine and Silver all read the checked rows: parse once.
-        checked = check(self._bronze(kind, date), self.process_date).persist(StorageLevel.MEMORY_AND_DISK)
+        # Quarantine and Silver read the checked rows from a stored table: each body is parsed
+        # once, and a lost executor takes no part of it along.
+        bad = F.count_if(F.col("rejection_reason").isNotNull())
+        work = publish.stage(check(self._bronze(kind, date), self.process_date), self.layout.p("_work", job),
+                             f"process_date={self.process_date}", rejected=bad)
         try:
-            return self._silver_outputs(job, kind, checked, started)
+            return self._silver_outputs(job, kind, work, started)
         finally:
-            checked.unpersist()
+            publish.discard(self.spark, work)
 
-    def _silver_outputs(self, job: str, kind: str, checked: DataFrame, started: datetime) -> dict:
-        counts = silver.run_counts(checked).collect()  # one row: the run counters
-        read = counts[0]["records_read"] if counts else 0
-        rejected = counts[0]["records_rejected"] if counts else 0
-        written = counts[0]["records_deduplicated"] if counts else 0
+    def _silver_outputs(self, job: str, kind: str, work: publish.Staged, started: datetime) -> dict:
+        checked = self.spark.read.parquet(work.folder)
+        read, rejected = work.rows, int(work.observed.get("rejected") or 0)
         out_path = self.layout.p("silver", kind)
         if rejected:
             append_partition(silver.quarantine(checked, job), self.layout.p("quarantine"))
+        written = self.replace(silver.silver_from_checked(checked), f"silver/{kind}", keep_if_empty=True).rows
         if not written:
             return self.audit(job, "failed", kind, out_path, read, 0, rejected, started, "No valid Silver records produced.")
-        self.replace(silver.silver_from_checked(checked), f"silver/{kind}")
         return self.audit(job, "success", kind, out_path, read, written, rejected, started)
 
     # -- Gold ----------------------------------------------------------------------------
     def gold_transactions(self) -> dict:
         started, job, path = _now(), "gold_transaction_monitoring", self.layout.p("gold", "tx")
-        cards = self.table("silver/card")
-        read = cards.count()
-        if not read:
+        # every card is counted in one group, so the groups tell how many were read
+        done = self.replace(gold.transaction_monitoring(self.table("silver/card")), "gold/tx", keep_if_empty=True,
+                            read=F.sum("transaction_count"))
+        if not done.rows:
             return self.audit(job, "failed", "silver/card", path, 0, 0, 0, started,
                               "No Gold transaction monitoring records produced.")
-        self.replace(gold.transaction_monitoring(cards), "gold/tx")
-        return self.audit(job, "success", "silver/card", path, read, self.table("gold/tx").count(), 0, started)
+        return self.audit(job, "success", "silver/card", path, int(done.observed["read"]), done.rows, 0, started)
 
     def gold_fraud(self) -> dict:
         started, job, path = _now(), "gold_fraud_investigation", self.layout.p("gold", "fraud")
         cards, logins = self.table("silver/card"), self.table("silver/login")
         risks = gold.risk_events(self._bronze("risk", self.risk_ingest_date), self.process_date)
-        read, n_risk = cards.count() + logins.count(), risks.count()
+        read = cards.count() + logins.count()  # from the Parquet footers
+        n_risk = self.replace(gold.fraud_cases(cards, logins, risks), "gold/fraud", keep_if_empty=True).rows  # a case each
         if not n_risk:
             return self.audit(job, "failed", "silver;bronze/risk", path, read, 0, 0, started,
                               "No fraud investigation records produced.")
-        self.replace(gold.fraud_cases(cards, logins, risks), "gold/fraud")
         return self.audit(job, "success", "silver;bronze/risk", path, read + n_risk, n_risk, 0, started)
 
     def gold_health(self) -> dict:
         started = _now()
-        history = health.pipeline_health(self.table("audit"))
-        self.replace(history, "gold/health")
-        self.replace(health.latest_per_job(self.table("gold/health")), "gold/health_latest")
-        n, latest = self.table("gold/health").count(), self.table("gold/health_latest").count()
+        n = self.replace(health.pipeline_health(self.table("audit")), "gold/health").rows
+        latest = self.replace(health.latest_per_job(self.table("gold/health")), "gold/health_latest").rows
         return self.audit("gold_pipeline_health", "success" if n else "failed", "audit", "gold/health;gold/health_latest",
                           n, n + latest, 0, started, None if n else "No pipeline health records produced.")
 
@@ -245,35 +249,51 @@ class PartitionRun:
     def validate_silver(self) -> list[dict]:
         return self.validate("silver/card") + self.validate("silver/login")
 
-    def run(self, stop_on_failed_validation: bool = True) -> dict:
-        """Silver, Gold, health, monitoring and alerts, in order.
-
-        A failed job stops the run, as does a failed validation (unless told
-        otherwise); ``stopped_at`` names where. Health and monitoring then still
-        report on the date."""
-        result: dict = {}
-
-        def passes(step: str, job, gates: tuple[str, ...]) -> bool:
+    def latest_runs(self) -> DataFrame:
+        """The listing of the date's latest runs (F8)."""
+        return health.latest_listing(self.table("gold/health_latest"), self.process_date)
+
+    def run(self, stop_on_failed_validation: bool = True, report_failures: bool = True) -> dict:
+        """Silver, Gold, health, monitoring and alerts, each job after those that it needs.
+
+        Cards and logins do not need each other; transactions need the cards, fraud cases the cards
+        and logins, health both Gold tables. A failed job stops those that need it, as does a failed
+        validation (unless told otherwise); ``stopped_at`` names where first, ``stopped`` everywhere.
+        With ``report_failures`` health and monitoring report on the date nevertheless. Without,
+        they run only if all before them passed, and monitoring only if the listing of the
+        latest runs has no failure: the order of the orchestrated run."""
+        result: dict = {"stopped": []}
+        good: dict[str, bool] = {}
+
+        def stop(where: str) -> bool:
+            result["stopped"].append(where)
+            result.setdefault("stopped_at", where)
+            return False
+
+        def passes(step: str, job, gates: tuple[str, ...], needs: tuple[str, ...] = ()) -> None:
+            good[step] = all(good[n] for n in needs)
+            if not good[step]:
+                return
             result[step] = job()
             if result[step]["status"] != "success":
-                result["stopped_at"] = step
-                return False
+                good[step] = stop(step)
+                return
             for name in gates:
                 result[f"validate {name}"] = rows = self.validate(name)
                 if stop_on_failed_validation and any(r["status"] != "passed" for r in rows):
-                    result["stopped_at"] = f"validate {name}"
-                    return False
-            return True
-
-        if passes("silver_card", lambda: self.silver("card"), ("silver/card",)) \
-                and passes("silver_login", lambda: self.silver("login"), ("silver/login",)) \
-                and passes("gold_tx", self.gold_transactions, ("gold/tx",)):
-            passes("gold_fraud", self.gold_fraud, ("gold/fraud",))
+                    good[step] = stop(f"validate {name}")
+                    return
+
+        passes("silver_card", lambda: self.silver("card"), ("silver/card",))
+        passes("silver_login", lambda: self.silver("login"), ("silver/login",))
+        passes("gold_tx", self.gold_transactions, ("gold/tx",), ("silver_card",))
+        passes("gold_fraud", self.gold_fraud, ("gold/fraud",), ("silver_card", "silver_login"))
         result["silver_validation"] = [r for n in ("card", "login") for r in result.get(f"validate silver/{n}", [])]
-        before = result.get("stopped_at")
-        passes("gold_health", self.gold_health, ("gold/health", "gold/health_latest"))
-        if before:
-            result["stopped_at"] = before
+        passes("gold_health", self.gold_health, ("gold/health", "gold/health_latest"), () if report_failures else ("gold_tx", "gold_fraud"))
+        if not report_failures and (not good["gold_health"] or health.has_failures(self.latest_runs())):
+            if good["gold_health"]:
+                stop("latest runs")
+            return result
         result["monitoring"] = self.monitor()
         return result
 

@@ -8,11 +8,15 @@ high_fraud_risk_score (98) and unmatched_fraud_merchants (3); status warning.
 """
 
 import json
+from datetime import datetime, timezone
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from lakestrata.plans.pipeline import PartitionRun
+from lakestrata.functions import rules
+from lakestrata.plans import publish
+from lakestrata.plans.pipeline import PartitionRun, write_partition
 from lakestrata.sources.bronze import envelope, write_bronze
 
 DATE = "2024-01-31"
@@ -224,3 +228,107 @@ def test_quarantine_names_the_landing_object(spark, tmp_root):
     PartitionRun(spark, tmp_root, "2024-02-01", card_ingest_date="2024-01-31").silver("card")
     row = spark.read.parquet(f"{tmp_root}/quarantine").first()
     assert "ingest_date=2024-01-31/" in row["source_object_key"] and str(row["process_date"]) == "2024-02-01"
+
+
+def frame_of(spark, values):
+    return spark.createDataFrame([(v, DATE) for v in values], "v long, process_date string")
+
+
+def seen(spark, path):
+    folder = publish.current_folder(spark, path, f"process_date={DATE}")
+    return sorted(r["v"] for r in spark.read.parquet(folder).collect()) if folder else None
+
+
+class Killed(Exception):
+    pass
+
+
+def test_killed_write_keeps_the_old_partition(spark, tmp_root, monkeypatch):
+    path = f"{tmp_root}/t"
+    assert seen(spark, path) is None
+    write_partition(frame_of(spark, [1, 2]), path, DATE)
+
+    def killed(*_):
+        raise Killed
+
+    # while the rows are written, and before the commit file appears
+    bad = frame_of(spark, [7]).withColumn("v", F.when(F.col("v") == 7, F.raise_error(F.lit("killed"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="killed"):
+        write_partition(bad, path, DATE)
+    with monkeypatch.context() as m, pytest.raises(Killed):
+        m.setattr(publish.Files, "write_text", killed)
+        write_partition(frame_of(spark, [8]), path, DATE)
+    assert seen(spark, path) == [1, 2]
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 2]  # staged rows are passed over
+
+
+@pytest.mark.parametrize("at", ["delete", "rename"])
+def test_a_commit_is_finished_by_others(spark, tmp_root, monkeypatch, at):
+    path = f"{tmp_root}/t"
+    write_partition(frame_of(spark, [1, 2]), path, DATE)
+    whole = getattr(publish.Files, at)
+
+    def killed(self, name, *rest):
+        if name.endswith(f"t/process_date={DATE}") or rest and rest[0].endswith(f"t/process_date={DATE}"):
+            raise Killed
+        return whole(self, name, *rest)
+
+    with monkeypatch.context() as m, pytest.raises(Killed):
+        m.setattr(publish.Files, at, killed)
+        write_partition(frame_of(spark, [3]), path, DATE)
+    assert seen(spark, path) == [3]  # committed, though the folders are not swapped
+    publish.finish(spark, path, f"process_date={DATE}")
+    publish.finish(spark, path, f"process_date={DATE}")
+    assert [r["v"] for r in spark.read.parquet(path).collect()] == [3] == seen(spark, path)
+    write_partition(frame_of(spark, []), path, DATE)
+    assert seen(spark, path) == []
+    assert publish.Files(spark, path).names(f"{path}/_staged") == []
+
+
+def test_bad_logins_leave_transactions_running(spark, tmp_root):
+    cards, _, risks = healthy_bodies()
+    land_all(spark, tmp_root, (cards, ["not json"], risks))
+    res = PartitionRun(spark, tmp_root, DATE).run()
+    assert res["stopped"] == ["silver_login"] and res["gold_tx"]["status"] == "success" and "gold_fraud" not in res
+    assert "missing_transaction_monitoring" not in {r["rule_id"] for r in spark.read.parquet(f"{tmp_root}/monitoring/findings").collect()}
+
+
+def test_bad_cards_leave_logins_running(spark, tmp_root):
+    _, logins, risks = healthy_bodies()
+    land_all(spark, tmp_root, (["not json"], logins, risks))
+    res = PartitionRun(spark, tmp_root, DATE).run()
+    assert res["stopped"] == ["silver_card"] and res["silver_login"]["status"] == "success"
+    assert "gold_tx" not in res and "gold_fraud" not in res
+
+
+def test_a_failed_latest_run_stops_before_monitoring(spark, tmp_root):
+    land_all(spark, tmp_root, healthy_bodies())
+    run = PartitionRun(spark, tmp_root, DATE)
+    run.audit("nightly_extra", "failed", "a", "b", 0, 0, 0, datetime.now(timezone.utc), "broken")
+    res = run.run(report_failures=False)
+    assert res["stopped"] == ["latest runs"] and "monitoring" not in res
+    assert [r["job_name"] for r in run.latest_runs().collect() if r["is_failure"]] == ["nightly_extra"]
+    run.audit("nightly_extra", "success", "a", "b", 0, 0, 0, datetime.now(timezone.utc))
+    res = run.run(report_failures=False)
+    assert res["stopped"] == [] and res["monitoring"]["status"] == "healthy"
+
+
+def test_failed_jobs_end_a_run_without_reports(spark, tmp_root):
+    land_all(spark, tmp_root, (["not json"], ["[]"], ["null"]))
+    res = PartitionRun(spark, tmp_root, DATE).run(report_failures=False)
+    assert res["stopped"] == ["silver_card", "silver_login"] and not {"gold_health", "monitoring"} & set(res)
+
+
+def test_counters_are_those_of_the_rows(spark, tmp_root):
+    bodies = card_bodies(40)
+    land_on(spark, tmp_root, "card", bodies + bodies[:7] + ["not json", "[]"], DATE)
+    land_on(spark, tmp_root, "login", login_bodies(), DATE)
+    land_on(spark, tmp_root, "risk", risk_bodies(), DATE)
+    run = PartitionRun(spark, tmp_root, DATE)
+    for times in (1, 2):
+        res = run.run()
+        counts = {k: tuple(res[k][f"records_{c}"] for c in ("read", "written", "rejected")) for k in ("silver_card", "silver_login", "gold_tx", "gold_fraud")}
+        assert counts == {"silver_card": (49, 40, 2), "silver_login": (10, 10, 0), "gold_tx": (40, run.table("gold/tx").count(), 0), "gold_fraud": (53, 3, 0)}
+        assert spark.read.parquet(f"{tmp_root}/quarantine").count() == 2 * times
+        assert {r["job_name"]: r["records_read"] for r in run.latest_runs().collect()}[rules.JOB_SILVER_CARD] == 49
+    assert publish.Files(spark, tmp_root).names(f"{tmp_root}/_work/{rules.JOB_SILVER_CARD}/_staged/process_date={DATE}") == []
