@@ -26,15 +26,32 @@ def last_delivery() -> list[Column]:
     return [F.col("bronze_kafka_partition").desc(), F.col("bronze_kafka_offset").desc(), F.col("_raw").desc()]
 
 
+#: A number as text: sign, digits before and behind the point, exponent.
+NUMBER = r"\A([+-]?)(?=\.?[0-9])([0-9]*)\.?([0-9]*)(?:[eE]([+-]?[0-9]{1,6}))?\z"
+
+
 def parse_amount(text: Column) -> Column:
-    """Amount text -> decimal(28,2) rounded half-even; NULL when it is no
-    number, or one that does not fit.
+    """Amount text -> decimal(28,2) rounded half-even from all of its digits; NULL when it
+    is no number, or one that does not fit.
 
-    The text is read with as many decimal places as its size leaves room for:
-    18 below 10^20, 10 below 10^28."""
+    Texts of up to 20 characters without an exponent are read as they are. Of others the
+    digits are shifted by the exponent, and those behind the third place become a single
+    one that tells whether any of them is not zero, so the rounding is that of the whole text."""
     t = F.trim(text)
-    fine, coarse = t.try_cast("decimal(38,18)"), t.try_cast("decimal(38,10)")
-    return F.coalesce(F.bround(fine, 2).try_cast("decimal(28,2)"), F.bround(coarse, 2).try_cast("decimal(28,2)"))
+    part = lambda i: F.regexp_extract(t, NUMBER, i)
+    digits = F.concat(part(2), part(3))
+    point = F.length(part(2)) + F.coalesce(F.when(part(4) != "", part(4)).try_cast("int"), F.lit(0))
+    zeros = F.repeat(F.lit("0"), F.least(F.greatest(-point, F.lit(0)), F.lit(4)))
+    behind = F.when(point > 0, F.substring(digits, point + 1, F.length(digits))).otherwise(F.concat(zeros, digits))
+    # an amount of more than 60 digits before the point is none that fits, unless they are zeros
+    shown = F.ltrim(F.when(point > 0, F.substring(digits, F.lit(1), point)).otherwise(F.lit("")), F.lit("0"))
+    missing = F.greatest(point - F.length(digits), F.lit(0))
+    whole = F.when(shown == "", F.lit("0")).otherwise(F.concat(shown, F.repeat(F.lit("0"), F.least(missing, F.lit(60)))))
+    sticky = F.when(F.substring(behind, F.lit(4), F.length(behind)).rlike("[1-9]"), "1").otherwise("0")
+    short = F.concat(part(1), whole, F.lit("."), F.rpad(F.substring(behind, 1, 3), 3, "0"), sticky)
+    exact = F.when((F.length(t) <= 20) & ~F.contains(F.lower(t), F.lit("e")), t.try_cast("decimal(38,18)"))
+    long = F.when(exact.isNull() & t.rlike(NUMBER), short).try_cast("decimal(38,4)")
+    return F.coalesce(F.bround(exact, 2).try_cast("decimal(28,2)"), F.bround(long, 2).try_cast("decimal(28,2)"))
 
 
 def amount_reason(text: Column) -> Column:

@@ -13,9 +13,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions import rules
-from lakestrata.operators import core, gold, health, marts, monitoring, signals, silver, validation
+from lakestrata.operators import change_events, core, gold, health, marts, monitoring, signals, silver, validation
 from lakestrata.sources import fixtures
 from lakestrata.session import materialize
 from lakestrata.sources.bronze import envelope, flatten_cards
@@ -429,6 +430,16 @@ CORE_FEEDS = {"customers": ("customer_id", "customer_status", "inactive"),
               "customer_risk_profiles": ("risk_profile_id", "kyc_status", "expired")}
 
 
+def q_cdc_events_decoded(spark, d):
+    decoded = change_events.decode_events(fixtures.order_events(spark, d), T.StructType.fromDDL(fixtures.ORDER_ROW))
+    row = F.coalesce("after", "before")
+    good = F.col("problem").isNull()
+    return decoded.select("event_no", "problem", *[F.when(good, F.col(c)).alias(c) for c in ("op", "lsn", "snapshot", "event_ms")],
+                          *[F.when(good, row[c]).alias(c) for c in ("order_id", "customer_id", "status", "total", "order_date", "gift")],
+                          F.when(good, F.unix_micros(row["changed_at"])).alias("changed_micros"),
+                          F.when(good, F.col("before.status")).alias("status_before"))
+
+
 def q_cdc_core_state(spark, d):
     """The current state of the four core tables from their change feeds: each
     row's key, the column that updates touch, and the change that won."""
@@ -500,5 +511,6 @@ QUERIES: dict[str, Query] = {
     "core_constraint_violations": q_core_constraint_violations,
     "cdc_current_state": q_cdc_current_state,
     "cdc_core_state": q_cdc_core_state,
+    "cdc_events_decoded": q_cdc_events_decoded,
     "fraud_signals": q_fraud_signals,
 }

@@ -842,6 +842,22 @@ SELECT 'ord_' || ok AS order_id, 'cust_' || ck AS customer_id, status,
     AS total,
   lsn AS source_lsn, op AS last_op
 FROM last WHERE op <> 'd'""",
+    "cdc_events_decoded": """
+WITH o AS (
+  SELECT o_orderkey AS k, CASE WHEN k % 7 = 0 THEN 'd' WHEN k % 3 = 0 THEN 'u' ELSE 'c' END AS op,
+    CASE WHEN k % 101 = 0 THEN 'event must be a JSON object' WHEN k % 103 = 0 THEN 'unknown op: x'
+      WHEN k % 109 = 0 THEN 'missing source.lsn' WHEN k % 7 <> 0 AND k % 113 = 0 THEN 'missing after'
+      WHEN k % 107 = 0 THEN CASE WHEN k % 7 = 0 THEN 'bad value: before.total' ELSE 'bad value: after.total' END END AS problem, *
+  FROM orders)
+SELECT k AS event_no, problem, CASE WHEN problem IS NULL THEN op END AS op, CASE WHEN problem IS NULL THEN k * 10 END AS lsn,
+  CASE WHEN problem IS NULL THEN 'false' END AS snapshot, CASE WHEN problem IS NULL THEN k * 1000 END AS event_ms,
+  CASE WHEN problem IS NULL THEN 'ord_' || k END AS order_id, CASE WHEN problem IS NULL THEN 'cust_' || o_custkey END AS customer_id,
+  CASE WHEN problem IS NULL THEN CASE WHEN op = 'u' THEN 'U' ELSE o_orderstatus END END AS status,
+  CASE WHEN problem IS NULL THEN CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) END AS total,
+  CASE WHEN problem IS NULL THEN CAST(o_orderdate AS DATE) END AS order_date, CASE WHEN problem IS NULL THEN k % 2 = 0 END AS gift,
+  CASE WHEN problem IS NULL THEN epoch_us(CAST(o_orderdate AS TIMESTAMP)) + k END AS changed_micros,
+  CASE WHEN problem IS NULL AND op <> 'c' THEN o_orderstatus END AS status_before
+FROM o""",
     "fraud_signals": with_ctes(CARD_CTE, LOGIN_CTE, CORE_CTE, body=SIGNAL_SQL),
     "audit_runs": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,

@@ -339,6 +339,28 @@ def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.explode(changes).alias("c")).select("c.*")
 
 
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change events of the orders table as JSON text, one for each order, every second one wrapped with
+    a schema; some are cut off, of an unknown operation, without an LSN or a row, or hold a bad amount."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    ok, date = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    total = F.when(ok % 107 == 0, F.lit("abc")).otherwise(_money_text(F.round(F.col("o_totalprice") * 100).cast("bigint")))
+    row = F.struct(_s("ord_", ok).alias("order_id"), _s("cust_", F.col("o_custkey")).alias("customer_id"), F.col("o_orderstatus").alias("status"),
+                   total.alias("total"), F.datediff(date, F.lit("1970-01-01").cast("date")).alias("order_date"),
+                   (F.unix_micros(date.cast("timestamp")) + ok).alias("changed_at"), (ok % 2 == 0).alias("gift"))
+    op = F.when(ok % 103 == 0, "x").when(ok % 7 == 0, "d").when(ok % 3 == 0, "u").otherwise("c")
+    event = F.struct(F.when(ok % 7 == 0, row).when(ok % 3 == 0, row).alias("before"),
+                     F.when((ok % 7 != 0) & (ok % 113 != 0), row.withField("status", F.when(ok % 3 == 0, "U").otherwise(F.col("o_orderstatus")))).alias("after"),
+                     F.struct(F.when(ok % 109 != 0, ok * 10).alias("lsn"), F.lit("false").alias("snapshot"), F.lit("orders").alias("table")).alias("source"),
+                     op.alias("op"), (ok * 1000).alias("ts_ms"))
+    text = F.to_json(event)
+    text = F.when(ok % 2 == 0, F.concat(F.lit('{"schema":{"type":"struct"},"payload":'), text, F.lit("}"))).otherwise(text)
+    return o.select(ok.alias("event_no"), F.when(ok % 101 == 0, F.substring(text, 1, 60)).otherwise(text).alias("value"))
+
+
+ORDER_ROW = "order_id string, customer_id string, status string, total decimal(15,2), order_date date, changed_at timestamp, gift boolean"
+
+
 def core_changes(rows: DataFrame, key: str, column: str, value: str) -> DataFrame:
     """A CDC feed of a core table: a snapshot read of every row, an update of
     ``column`` for keys divisible by three and a delete for those by seven."""

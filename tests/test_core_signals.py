@@ -1,11 +1,15 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.functions import rules
 from lakestrata.operators import core, signals, silver, validation
 from lakestrata.sources.bronze import bronze_from_documents, read_bronze_documents
+from lakestrata.operators import change_events
+from lakestrata.streaming import cdc_stream
 from lakestrata.streaming.cdc_stream import current_state, fold_stream
 from tests.conftest import envelope_rows
 
@@ -228,3 +232,82 @@ def test_signal_lookback_untimed_card_and_carry(spark):
     assert sorted(out) == ["e1", "e2"]
     assert (out["e1"]["failed_logins"], out["e1"]["transaction_id"], out["e1"]["amount"]) == (0, "t1", 5.0)
     assert (out["e2"]["failed_logins"], out["e2"]["transaction_id"]) == (1, "t2")
+
+
+def test_change_events_are_decoded(spark):
+    row = T.StructType.fromDDL("id string, amount decimal(10,2), day date, at timestamp, n int, ok boolean")
+    one = {"id": "a", "amount": "12.30", "day": 19753, "at": 1706700000000001, "n": 4, "ok": True}
+
+    def event(op="u", before=None, after=one, lsn=7, **more):
+        return {"before": before, "after": after, "source": {"lsn": lsn, "snapshot": "false"}, "op": op, "ts_ms": 5} | more
+
+    texts = [json.dumps(event()), json.dumps({"schema": {"fields": []}, "payload": event("d", one, None, 8)}), json.dumps(event("c", after=one | {"amount": None, "n": None})),
+             json.dumps(event(extra={"x": [1]})), None, "", "[]", "7", '{"op": "u"', json.dumps(event("t")), json.dumps(event(lsn=None)), json.dumps(event(after=None)),
+             json.dumps(event("d")), json.dumps(event(after=one | {"amount": "1,5"})), json.dumps(event(after=one | {"n": "x"})), json.dumps(event(before=one | {"day": "soon"}))]
+    df = spark.createDataFrame(list(enumerate(texts)), "no int, value string")
+    got = {r["no"]: r for r in change_events.decode_events(df, row).collect()}
+    obj = "event must be a JSON object"
+    assert [got[i]["problem"] for i in range(len(texts))] == [
+        None, None, None, None, obj, obj, obj, obj, obj, "unknown op: t", "missing source.lsn", "missing after", "missing before",
+        "bad value: after.amount", "bad value: after.n", "bad value: before.day"]
+    a = got[0]["after"]
+    assert (a["id"], str(a["amount"]), str(a["day"]), a["n"], a["ok"]) == ("a", "12.30", "2024-01-31", 4, True) and got[0]["lsn"] == 7
+    assert a["at"].microsecond == 1
+    assert got[1]["after"] is None and got[1]["before"]["id"] == "a" and got[1]["op"] == "d"
+    assert got[2]["after"]["amount"] is None and got[2]["problem"] is None
+    decoded = change_events.decode_events(df, row)
+    assert change_events.quarantined_events(decoded, "t").count() == 12
+    assert core.fold_changes(change_events.changes_of(decoded), "id").count() == 0  # the delete has the greatest LSN
+
+
+def _feed(spark, rows):
+    return spark.createDataFrame(rows, f"op string, before {ROW}, after {ROW}, lsn long")
+
+
+def _size(path):
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_root):
+    state = f"{tmp_root}/state"
+    first = [("r", None, (f"o{i}", "c", "O", "1.00"), i) for i in range(3000)]
+    assert len(cdc_stream.merge_batch(_feed(spark, first), 0, state, "order_id", buckets=64)) == 64
+    change = [("u", None, ("o7", "c", "F", "1.00"), 9000), ("d", ("o8", "c", "O", "1.00"), None, 9001), ("r", None, ("new", "c", "O", "2.00"), 9002)]
+    touched = cdc_stream.merge_batch(_feed(spark, change), 1, state, "order_id")
+    assert len(touched) <= 3 and _size(f"{state}/batch=1") < 0.1 * _size(f"{state}/batch=0")
+    want = core.fold_changes(_feed(spark, first + change), "order_id").orderBy("order_id").collect()
+    assert cdc_stream.current_state(spark, state).orderBy("order_id").collect() == want
+    # the batch again, as after a failure, and a late change
+    assert cdc_stream.merge_batch(_feed(spark, change), 1, state, "order_id") == touched
+    assert cdc_stream.current_state(spark, state).orderBy("order_id").collect() == want
+    cdc_stream.merge_batch(_feed(spark, [("u", None, ("o8", "c", "P", "1.00"), 8999)]), 2, state, "order_id")
+    assert cdc_stream.current_state(spark, state).orderBy("order_id").collect() == want
+    for n in range(3, 7):
+        cdc_stream.merge_batch(_feed(spark, [("u", None, ("o9", "c", str(n), "1.00"), 9100 + n)]), n, state, "order_id")
+    rows = {r["order_id"]: r["status"] for r in cdc_stream.current_state(spark, state).collect()}
+    assert rows["o9"] == "6" and len(rows) == 3000 and "o8" not in rows
+    assert len(os.listdir(f"{state}/manifests")) <= 5 and _size(state) < 2 * _size(f"{state}/batch=0")
+
+
+def test_state_without_a_version_is_empty(spark, tmp_root):
+    assert cdc_stream.current_state(spark, f"{tmp_root}/none").collect() == []
+    schema = _feed(spark, []).schema
+    empty = cdc_stream.current_state(spark, f"{tmp_root}/none", schema=schema)
+    assert empty.columns == ["order_id", "customer_id", "status", "total", "source_lsn", "last_op"] and empty.count() == 0
+    cdc_stream.merge_batch(_feed(spark, []), 0, f"{tmp_root}/state", "order_id")
+    assert cdc_stream.current_state(spark, f"{tmp_root}/state").columns == empty.columns
+
+
+def test_a_killed_batch_leaves_the_state(spark, tmp_root, monkeypatch):
+    state = f"{tmp_root}/state"
+    cdc_stream.merge_batch(_feed(spark, [("r", None, ("o1", "c", "O", "1.00"), 1)]), 0, state, "order_id")
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as m, pytest.raises(RuntimeError):
+        m.setattr(cdc_stream.Files, "write_text", killed)
+        cdc_stream.merge_batch(_feed(spark, [("u", None, ("o1", "c", "F", "1.00"), 2)]), 1, state, "order_id")
+    assert [r["status"] for r in cdc_stream.current_state(spark, state).collect()] == ["O"]
+    cdc_stream.merge_batch(_feed(spark, [("u", None, ("o1", "c", "F", "1.00"), 2)]), 1, state, "order_id")
+    assert [r["status"] for r in cdc_stream.current_state(spark, state).collect()] == ["F"]

@@ -1,6 +1,8 @@
 import json
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from lakestrata.operators import silver
 from tests.conftest import envelope_rows
 
@@ -110,3 +112,21 @@ def test_login_rules(spark):
     assert [r["rejection_reason"] for r in checked] == [
         None, "missing fields: ['customer_id']", "unsupported event_type: page_view",
         "unsupported login_status: maybe"]
+
+
+def test_amounts_are_rounded_from_all_their_digits(spark):
+    import decimal
+    import random
+
+    r = random.Random(1)
+    texts = ["0.0050000000000000000001", "0.005", "0.015", "0.0149999999999999999999999", "-0.0050000000000000000001", "1e-3", "5.0000000000000000000001e-3",
+             "12345678901234567890123456.785", "12345678901234567890123456.7850000000000000001", "1.5E+3", ".5", "5.", "+7.125", "-7.135", "0e9", "0e999999", "1e-999999",
+             "00000000000000000000000000000000000000000000000000000000000000000001.005", "99999999999999999999999999.994", "2.5e25", "0.00e-5", "-0.001"]
+    texts += [f"{r.choice(['', '-'])}{r.randrange(10 ** r.randrange(1, 20))}.{''.join(r.choice('0005') for _ in range(r.randrange(1, 30)))}{r.choice(['', '', 'e-2', 'E3'])}" for _ in range(200)]
+    none = ["", ".", "abc", "1_000", "NaN", "1e", "e5", "--1", "1.2.3", "1e99", "1" * 27, "Infinity"]
+    got = {x["t"]: x["a"] for x in spark.createDataFrame([(t,) for t in texts + none], "t string").select("t", silver.parse_amount(F.col("t")).alias("a")).collect()}
+    with decimal.localcontext(prec=200):
+        for t in texts:
+            want = decimal.Decimal(t).quantize(decimal.Decimal("0.01"), decimal.ROUND_HALF_EVEN)
+            assert got[t] == want, t
+    assert all(got[t] is None for t in none)
