@@ -115,14 +115,30 @@ class Logistic:
     def __init__(self, first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float):
         self.first, self.which, self.before, self.y, self.n, self.ridge = first, which, before, y, n, ridge
         self.m = before.shape[1]
-        self.row = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(which)]))))
+        row = np.repeat(np.arange(len(first)), np.diff(np.concatenate((first, [len(which)]))))
+        # sums over rows and over features are sums over runs: of the pairs as they come, and by feature
+        self.filled = np.flatnonzero(np.diff(np.concatenate((first, [len(which)]))))
+        self.runs = first[self.filled]
+        order = np.argsort(which, kind="stable")
+        self.by_feature, sorted_ = row[order], which[order]
+        self.starts = np.flatnonzero(np.diff(sorted_, prepend=-1))
+        self.seen = sorted_[self.starts]
 
     def scores(self, w: np.ndarray) -> np.ndarray:
-        return row_sums(w[self.which], self.first) + self.before @ w[self.n : self.n + self.m] + w[-1]
+        z = self.before @ w[self.n : self.n + self.m] + w[-1]
+        if len(self.runs):
+            z[self.filled] += np.add.reduceat(w.take(self.which), self.runs)
+        return z
 
     def across(self, rows: np.ndarray) -> np.ndarray:
         """The rows' values summed over the rows that have each feature."""
-        return np.concatenate((np.bincount(self.which, rows[self.row], self.n), self.before.T @ rows, [rows.sum()]))
+        return np.concatenate((self.over_rows(rows), self.before.T @ rows, [rows.sum()]))
+
+    def over_rows(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        if len(self.starts):
+            out[self.seen] = np.add.reduceat(rows.take(self.by_feature), self.starts)
+        return out
 
     def loss(self, w: np.ndarray) -> float:
         z = self.scores(w)
@@ -142,7 +158,7 @@ class Logistic:
 
     def step(self, g: np.ndarray, bend: np.ndarray, close: float) -> np.ndarray:
         """Newton's direction by conjugate gradients, scaled by the diagonal of the curvature."""
-        scale = np.concatenate((np.bincount(self.which, bend[self.row], self.n), (self.before * self.before).T @ bend, [bend.sum()]))
+        scale = np.concatenate((self.over_rows(bend), (self.before * self.before).T @ bend, [bend.sum()]))
         scale[:-1] += self.ridge
         scale[-1] += 1e-12
         d, r = np.zeros(len(g)), -g
@@ -161,21 +177,23 @@ class Logistic:
         return d
 
 
-def fit(first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float = 1.0) -> Linear:
+def fit(first: np.ndarray, which: np.ndarray, before: np.ndarray, y: np.ndarray, n: int, ridge: float = 1.0, start: Linear | None = None) -> Linear:
     """Logistic regression with a ridge by Newton's method, until the gradient's norm is
-    below ``GRADIENT``; each step is halved until the loss falls."""
+    below ``GRADIENT``; each step is halved until the loss falls. Any ``start`` ends in the same model."""
     if not 0 < y.sum() < len(y):
         return Linear(np.zeros(n), np.zeros(before.shape[1]), -30.0 if not y.sum() else 30.0)
     model = Logistic(first, which, before, y, n, ridge)
     w = np.zeros(n + model.m + 1)
     w[-1] = np.log(y.mean() / (1 - y.mean()))
+    if start is not None:
+        w = np.concatenate((start.words, start.chain, [np.clip(start.constant, -20, 20)]))
     loss = model.loss(w)
     for _ in range(200):
         g, bend = model.gradient(w)
         norm = float(np.linalg.norm(g))
         if norm <= GRADIENT:
             break
-        d = model.step(g, bend, min(0.1, norm / len(y)) * norm)
+        d = model.step(g, bend, min(0.1, np.sqrt(norm / len(y))) * norm)
         slope, size = float(g @ d), 1.0
         while size > 1e-9 and (new := model.loss(w + size * d)) > loss + 1e-4 * size * slope + 1e-12 * abs(loss):
             size /= 2
@@ -189,13 +207,14 @@ def fit_chain(first: np.ndarray, which: np.ndarray, labels: np.ndarray, n: int,
     sizes = np.diff(np.concatenate((first, [len(which)])))
     for j in range(labels.shape[1]):
         y, out = labels[:, j].astype(float), np.zeros(len(first))
+        whole = fit(first, which, before, y, n)
         for f in range(FOLDS):
             held = fold == f
             inside, outside = ~held, held
             use = np.repeat(inside, sizes)
-            model = fit(_starts(sizes[inside]), which[use], before[inside], y[inside], n)
+            model = fit(_starts(sizes[inside]), which[use], before[inside], y[inside], n, start=whole)
             out[outside] = model.predict(_starts(sizes[outside]), which[~use], before[outside])
-        models.append(fit(first, which, before, y, n))
+        models.append(whole)
         before = np.column_stack((before, out))
     return models
 
