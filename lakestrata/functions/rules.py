@@ -51,6 +51,8 @@ LOGIN_ALLOWED_STATUSES = ["success", "failed"]
 SILVER_LINEAGE_FIELDS = ["bronze_kafka_topic", "bronze_kafka_partition", "bronze_kafka_offset", "bronze_ingest_time"]
 
 # Bronze envelope validation.
+BRONZE_DOCUMENT_FIELDS = ["bronze_ingest_time", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_key", "raw_value",
+                          "parsed_value"]
 BRONZE_REQUIRED_EVENT_FIELDS = ["event_time", "customer_id", "source_system", "schema_version"]
 BRONZE_EVENT_ID_FIELDS = ["event_id", "risk_event_id"]
 

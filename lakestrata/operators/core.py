@@ -68,23 +68,26 @@ def _table_rules() -> dict[str, TableRules]:
     c = F.col
     return {
         "customers": TableRules(
-            [*_not_null("customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status"),
+            [*_not_null("customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status",
+                        "created_at", "updated_at"),
              _check("customers_status_chk", c("customer_status").isin(*rules.CUSTOMER_STATUSES))],
             [("customers_pkey", "PRIMARY KEY", "customer_id"), ("customers_email_key", "UNIQUE", "email")], referred="customer_id"),
         "accounts": TableRules(
-            [*_not_null("account_id", "customer_id", "account_number", "routing_number", "account_type", "account_status", "opened_at"),
+            [*_not_null("account_id", "customer_id", "account_number", "routing_number", "account_type", "account_status", "opened_at",
+                        "created_at", "updated_at"),
              _check("accounts_type_chk", c("account_type").isin(*rules.ACCOUNT_TYPES)),
              _check("accounts_status_chk", c("account_status").isin(*rules.ACCOUNT_STATUSES))],
             [("accounts_pkey", "PRIMARY KEY", "account_id"), ("accounts_account_number_key", "UNIQUE", "account_number")],
             [("accounts_customer_id_fkey", "customer_id", "customers")], referred="account_id"),
         "account_balances": TableRules(
-            [*_not_null("balance_id", "account_id", "available_balance", "current_balance", "currency"),
+            [*_not_null("balance_id", "account_id", "available_balance", "current_balance", "currency",
+                        "balance_as_of", "created_at"),
              _check("account_balances_currency_chk", c("currency") == rules.BALANCE_CURRENCY)],
             [("account_balances_pkey", "PRIMARY KEY", "balance_id")],
             [("account_balances_account_id_fkey", "account_id", "accounts")]),
         "customer_risk_profiles": TableRules(
             [*_not_null("risk_profile_id", "customer_id", "kyc_status", "kyc_risk_rating", "sanctions_screening_status",
-                        "pep_flag", "fraud_watchlist_flag", "risk_score"),
+                        "pep_flag", "fraud_watchlist_flag", "risk_score", "updated_at"),
              _check("risk_profiles_kyc_status_chk", c("kyc_status").isin(*rules.KYC_STATUSES)),
              _check("risk_profiles_rating_chk", c("kyc_risk_rating").isin(*rules.KYC_RISK_RATINGS)),
              _check("risk_profiles_sanctions_chk", c("sanctions_screening_status").isin(*rules.SANCTIONS_STATUSES)),

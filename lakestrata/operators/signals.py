@@ -5,8 +5,8 @@ from the customer's core-banking status.
 The look-back is a range join (logins of the same customer with
 ``card_ts - lookback <= login_ts <= card_ts``). It is computed without
 pairing rows, as running sums of login enter/leave events at each card's
-time over one range-partitioned stream (``login_counts_before``), so neither
-a hot customer nor a burst of activity in a short time ends up in one task.
+time, in two levels over buckets of time (``login_counts_before``), so a hot
+customer does not end up in one task.
 
 The thresholds and weights are parameters of ours: the documented fraud
 scenarios name the signals but no numbers.
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.functions.exprs import iso_to_ts
-from lakestrata.session import materialize
 
 
 @dataclass(frozen=True)
@@ -55,112 +54,97 @@ COUNTED_TYPES = {"failed_logins": "login_failed", "password_resets": "password_r
                  "new_devices": "new_device_registered"}
 COUNTED = [*COUNTED_TYPES, "foreign_logins"]
 
-# Sort tags at one instant: a login enters its window (+1) before the cards at
-# that instant and leaves it (-1 at login_ts + lookback) after them, so both
-# ends of ``card_ts - lookback <= login_ts <= card_ts`` are inclusive.
-_ENTER, _CARD, _LEAVE = 0, 1, 2
+# Sort tags at one instant: a bucket's start row comes first; a login enters its
+# window (+1) before the cards at that instant and leaves it (-1 at login_ts +
+# lookback) after them, so both ends of ``card_ts - lookback <= login_ts <=
+# card_ts`` are inclusive.
+_START, _ENTER, _CARD, _LEAVE = -1, 0, 1, 2
 
 
 def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
-                        num_partitions: int | None = None, carry: list[str] | tuple = (),
-                        home_countries: tuple = ("US",)) -> DataFrame:
+                        bucket_seconds: int = 300, carry: list[str] | tuple = (),
+                        home_countries: tuple = ("US",), facts: DataFrame | None = None) -> DataFrame:
     """Per card: failed logins, password resets, new devices and logins from
     other than the home countries, of the same customer with ``card_ts - lookback <= login_ts <= card_ts``.
 
     Exact distributed running sums, no pairs: every login adds +1 when it
     happens and -1 once the look-back has passed, so the count for a card is
-    the running sum of the customer's events at the card's time. Events and
-    cards are range-partitioned on (customer, time, tag, id), a total
-    order, so a customer holding any share of the rows is spread over many
-    tasks. Running sums are taken within each range partition, and the events
-    of the same customer in earlier partitions are added from a
-    per-(partition, customer) totals table (one row per partition the customer
-    spans).
-
-    Every card comes out once, with the ``carry`` columns it brought along (so
-    callers need no join back to the cards). A card without a parseable time
-    sorts first for its customer and counts nothing; logins without a time or
-    customer take part in no window. Pass the logins of the days before the
-    cards' as well.
+    the running sum of the customer's events at the card's time. The sums have
+    two levels. Totals of (customer, time bucket), aggregated before the
+    shuffle, are summed over the customer's earlier buckets; a start row takes
+    that sum into each bucket, where the rows are summed in order. A customer
+    of any share of the rows is thus dealt over as many tasks as there are
+    buckets with activity of theirs, whatever the number of shuffle
+    partitions, and the cards are shuffled once.
+
+    ``facts`` (one row per customer) ride on the start rows and reach the cards
+    without a join of the cards. Every card comes out once, with the ``carry``
+    columns it brought along. A card without a parseable time counts nothing;
+    logins without a time or customer take part in no window. Pass the logins
+    of the days before the cards' as well.
     """
-    spark = cards.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    width = lookback_seconds * 1_000_000
+    width, span = lookback_seconds * 1_000_000, bucket_seconds * 1_000_000
     micros = F.unix_micros(iso_to_ts(F.col("event_time")))
     names = COUNTED
+    known = [] if facts is None else [c for c in facts.columns if c != "customer_id"]
+
     # business dates do not part the stream: a look-back runs over midnight
-    key = ["customer_id"]
-
-    carry = ["process_date", *carry]
-    queries = cards.select(*key, "event_id", micros.alias("_us"), F.lit(_CARD).alias("_tag"),
-                           *[F.lit(0).alias(c) for c in names], *carry)
-    # Ties between logins at one instant do not change any sum; their id only
-    # helps the range split when a customer bursts at a single instant.
-    login_id = F.col("event_id") if "event_id" in logins.columns else F.lit(None).cast("string")
+    carry = ["process_date", "event_id", *carry]
+    queries = cards.select("customer_id", micros.alias("_us"), F.lit(_CARD).alias("_tag"),
+                           *[F.lit(0).cast("bigint").alias(c) for c in names], *carry)
     is_type = lambda t: F.when(F.col("event_type") == t, 1).otherwise(0)
     abroad = F.when(~F.col("country").isin(*home_countries), 1).otherwise(0) if "country" in logins.columns else F.lit(0)
     edges = F.array(F.struct(F.col("_s").alias("_us"), F.lit(_ENTER).alias("_tag"), F.lit(1).alias("_d")),
                     F.struct((F.col("_s") + width).alias("_us"), F.lit(_LEAVE).alias("_tag"), F.lit(-1).alias("_d")))
-    events = logins.select(*key, login_id.alias("event_id"), micros.alias("_s"),
+    events = logins.select("customer_id", micros.alias("_s"),
                            *[is_type(t).alias("_is_" + c) for c, t in COUNTED_TYPES.items()],
                            abroad.alias("_is_foreign_logins")) \
         .where(F.col("_s").isNotNull() & F.col("customer_id").isNotNull()
                & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
-        .select(*key, "event_id", *["_is_" + c for c in names], F.inline(edges)) \
-        .select(*key, "event_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).alias(c) for c in names])
-
-    order = ["_us", "_tag", "event_id"]
-    # Both readers below (running sums and per-partition totals) must see the
-    # same partition numbers. Two plans of the same range shuffle may sample
-    # different bounds, so the numbered stream is stored once (reliable
-    # checkpoint) rather than trusting exchange reuse; task retries then read
-    # the stored numbers too. Size ``n`` like the job's shuffle partitions
-    # (about 128 MB of rows per partition).
-    ranged = materialize(queries.unionByName(events, allowMissingColumns=True)
-                         .repartitionByRange(n, *key, *order).withColumn("_pid", F.spark_partition_id()))
-
-    local_w = Window.partitionBy("_pid", *key).orderBy(*order) \
+        .select("customer_id", *["_is_" + c for c in names], F.inline(edges)) \
+        .select("customer_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).cast("bigint").alias(c) for c in names])
+    stream = queries.unionByName(events, allowMissingColumns=True) \
+        .withColumn("_bucket", F.floor(F.col("_us") / span).cast("bigint"))
+
+    earlier = Window.partitionBy("customer_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = stream.groupBy("customer_id", "_bucket").agg(*[F.sum(c).alias(c) for c in names]).select(
+        "customer_id", "_bucket", (F.col("_bucket") * span).alias("_us"), F.lit(_START).alias("_tag"),
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in names])
+    if facts is not None:
+        starts = starts.join(facts, "customer_id", "left")
+
+    so_far = Window.partitionBy("customer_id", "_bucket").orderBy("_us", "_tag") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select("_pid", *key, "event_id", "_tag", *carry,
-                          *[F.sum(c).over(local_w).alias(c) for c in names]) \
-        .where(F.col("_tag") == _CARD)
-
-    earlier_w = Window.partitionBy(*key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    totals = ranged.groupBy("_pid", *key).agg(*[F.sum(c).alias(c) for c in names])
-    offsets = totals.select("_pid", *key, *[F.coalesce(F.sum(c).over(earlier_w), F.lit(0)).alias("_o_" + c)
-                                            for c in names])
-
-    return local.join(offsets, ["_pid", *key], "left").select(
-        *key, "event_id", *carry,
-        *[(F.col(c) + F.coalesce(F.col("_o_" + c), F.lit(0))).cast("bigint").alias(c) for c in names])
+    return stream.unionByName(starts, allowMissingColumns=True).select(
+        "customer_id", "_tag", *carry, *[F.sum(c).over(so_far).alias(c) for c in names],
+        *[F.first(c).over(so_far).alias(c) for c in known]) \
+        .where(F.col("_tag") == _CARD).drop("_tag")
 
 
 def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame, accounts: DataFrame | None = None,
                   profiles: DataFrame | None = None, params: SignalParams = SignalParams()) -> DataFrame:
     """Flags, score (at most 100) and level for every card authorization.
 
-    Without ``accounts`` or ``profiles`` the flags that need them stay unset."""
-    counts = login_counts_before(cards, logins, params.lookback_seconds, home_countries=params.home_countries,
-                                 carry=["transaction_id", "amount", "card_present", "entry_mode", "account_id",
-                                        "event_time", "merchant_country", "merchant_category_code"])
-    # One row per customer id even if the reference table repeats a key (a
-    # primary-key violation the constraint report flags), so the left join
-    # can never multiply card rows.
-    status = customers.groupBy("customer_id").agg(
-        F.bool_or(F.col("customer_status") == "restricted").alias("_restricted"))
-    j = counts.join(status, "customer_id", "left")
+    Without ``accounts`` or ``profiles`` the flags that need them stay unset.
+    An account counts only for the customer that holds it."""
+    # One row per customer id even if the reference tables repeat a key (a
+    # primary-key violation the constraint report flags), so card rows are
+    # never multiplied.
+    said = customers.select("customer_id", (F.col("customer_status") == "restricted").alias("_restricted"))
     if profiles is not None:
-        rated = profiles.groupBy("customer_id").agg(
-            F.bool_or(F.col("kyc_risk_rating") == "high").alias("_high_kyc"),
-            F.bool_or("fraud_watchlist_flag").alias("_watchlist"))
-        j = j.join(rated, "customer_id", "left")
+        said = said.unionByName(profiles.select("customer_id", (F.col("kyc_risk_rating") == "high").alias("_high_kyc"),
+                                                F.col("fraud_watchlist_flag").alias("_watchlist")), allowMissingColumns=True)
     else:
-        j = j.withColumns({"_high_kyc": F.lit(False), "_watchlist": F.lit(False)})
+        said = said.withColumns({"_high_kyc": F.lit(False), "_watchlist": F.lit(False)})
+    facts = said.groupBy("customer_id").agg(*[F.bool_or(c).alias(c) for c in ("_restricted", "_high_kyc", "_watchlist")])
+    j = login_counts_before(cards, logins, params.lookback_seconds, home_countries=params.home_countries, facts=facts,
+                            carry=["transaction_id", "amount", "card_present", "entry_mode", "account_id",
+                                   "event_time", "merchant_country", "merchant_category_code"])
     if accounts is not None:
-        held = accounts.groupBy("account_id").agg(
+        held = accounts.groupBy("account_id", "customer_id").agg(
             F.bool_or(F.col("account_status").isin("restricted", "frozen")).alias("_held"),
             F.max("opened_at").alias("_opened"))
-        j = j.join(held, "account_id", "left")
+        j = j.join(held, ["account_id", "customer_id"], "left")
     else:
         j = j.withColumns({"_held": F.lit(False), "_opened": F.lit(None).cast("date")})
     age = F.datediff(iso_to_ts(F.col("event_time")).cast("date"), F.col("_opened"))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.functions import rules
-from lakestrata.functions.exprs import missing_keys, null_or_empty, parse_object, py_list
+from lakestrata.functions.exprs import (CORRUPT, computed_once, json_fields, json_keys, missing_keys, null_or_empty, parse_object,
+                                        py_list)
 from lakestrata.sources.bronze import object_key
 
 
@@ -94,31 +95,58 @@ def _dup_failures(dup: DataFrame, key: str) -> DataFrame:
 BRONZE_EVENT_FIELDS = rules.BRONZE_REQUIRED_EVENT_FIELDS + rules.BRONZE_EVENT_ID_FIELDS
 
 
+def _body_errors(keys: Column, field) -> list[Column]:
+    """The rules of an event body, of its key list and its fields as text."""
+    miss = missing_keys(keys, rules.BRONZE_REQUIRED_EVENT_FIELDS)
+    no_id = reduce(lambda a, b: a & b, [null_or_empty(field(n)) for n in rules.BRONZE_EVENT_ID_FIELDS])
+    return [F.when(F.size(miss) > 0, F.concat(F.lit("missing event fields: "), py_list(miss))),
+            *[F.when(null_or_empty(field(n)), F.lit("event field is null or empty: " + n))
+              for n in rules.BRONZE_REQUIRED_EVENT_FIELDS],
+            F.when(no_id, F.lit("missing event identifier: expected one of " + str(sorted(rules.BRONZE_EVENT_ID_FIELDS))))]
+
+
+def _envelope_errors(field) -> list[Column]:
+    return [F.when(null_or_empty(field("raw_value")), F.lit("raw_value is null or empty")),
+            F.when(null_or_empty(field("kafka_topic")), F.lit("kafka_topic is null or empty")),
+            F.when(field("kafka_partition").isNull(), F.lit("kafka_partition is null")),
+            F.when(field("kafka_offset").isNull(), F.lit("kafka_offset is null"))]
+
+
+NO_OBJECT = "parsed_value must be a JSON object"
+
+
 def check_bronze(bronze: DataFrame, prefix: str = "") -> DataFrame:
-    """Envelope checks; a body that is not a JSON object stops the checks of
-    that record (G1)."""
+    """Envelope checks of Bronze rows, whose body is their raw text; a body that
+    is not a JSON object stops the checks of that record (G1)."""
     raw = F.col("raw_value")
     p = parse_object(bronze, raw, "raw_value", BRONZE_EVENT_FIELDS, rules.BRONZE_REQUIRED_EVENT_FIELDS, [
         F.col("ingest_date").alias("process_date"),
         object_key(prefix).alias("source_object_key"),
         raw, F.col("kafka_topic"), F.col("kafka_partition"), F.col("kafka_offset")])
-    f = lambda n: F.col("_f." + n)
-    miss = missing_keys(F.col("_keys"), rules.BRONZE_REQUIRED_EVENT_FIELDS)
-    no_id = ~reduce(lambda a, b: a | b, [~null_or_empty(f(n)) for n in rules.BRONZE_EVENT_ID_FIELDS])
-    checks = F.array_compact(F.array(
-        F.when(F.size(miss) > 0, F.concat(F.lit("missing event fields: "), py_list(miss))),
-        *[F.when(null_or_empty(f(n)), F.lit("event field is null or empty: " + n))
-          for n in rules.BRONZE_REQUIRED_EVENT_FIELDS],
-        F.when(no_id, F.lit("missing event identifier: expected one of "
-                            + str(sorted(rules.BRONZE_EVENT_ID_FIELDS)))),
-        F.when(null_or_empty(raw), F.lit("raw_value is null or empty")),
-        F.when(null_or_empty(F.col("kafka_topic")), F.lit("kafka_topic is null or empty")),
-        F.when(F.col("kafka_partition").isNull(), F.lit("kafka_partition is null")),
-        F.when(F.col("kafka_offset").isNull(), F.lit("kafka_offset is null"))))
-    errors = F.when(F.col("_keys").isNull(), F.array(F.lit("parsed_value must be a JSON object"))).otherwise(checks)
+    checks = F.array_compact(F.array(*_body_errors(F.col("_keys"), lambda n: F.col("_f." + n)), *_envelope_errors(F.col)))
+    errors = F.when(F.col("_keys").isNull(), F.array(F.lit(NO_OBJECT))).otherwise(checks)
     return p.select("process_date", "source_object_key", errors.alias("_errors"))
 
 
+def check_bronze_documents(documents: DataFrame) -> DataFrame:
+    """The checks of Bronze stored as JSON documents (``process_date,
+    source_object_key, document``), which have the body beside its raw text
+    (G1): the envelope's fields, then those of the body. A body that is
+    not an object ends the checks; so does a document that is none."""
+    fields = rules.BRONZE_DOCUMENT_FIELDS
+    keep = [F.col(c) for c in ("process_date", "source_object_key", "document")]
+    parsed = computed_once(documents, [json_fields(F.col("document"), fields, {"parsed_value": "map<string,string>"}, CORRUPT).alias("_f"),
+                                       json_keys(F.col("document")).alias("_keys"), *keep])
+    f = lambda n: F.col("_f." + n)
+    body = f("parsed_value")
+    lacking = missing_keys(F.col("_keys"), fields)
+    missing = F.when(F.size(lacking) > 0, F.concat(F.lit("missing Bronze fields: "), py_list(lacking)))
+    checks = F.array(*_body_errors(F.map_keys(body), lambda n: F.element_at(body, n)), *_envelope_errors(f))
+    errors = F.when(F.col("_keys").isNull(), F.array(F.lit("document must be a JSON object"))).otherwise(F.array_compact(
+        F.concat(F.array(missing), F.when(body.isNull(), F.array(F.lit(NO_OBJECT))).otherwise(checks))))
+    return parsed.select("process_date", "source_object_key", errors.alias("_errors"))
+
+
 def sample_objects(bronze: DataFrame, max_objects: int | None, prefix: str = "") -> DataFrame:
     """The first ``max_objects`` Bronze objects in key order (F5); None keeps
     all. A bounded sample is this operator's purpose when a limit is given."""

@@ -328,6 +328,12 @@ def q_validate_bronze(spark, d):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def q_validate_bronze_documents(spark, d):
+    """Every failing login document with all its errors."""
+    docs = fixtures.login_documents(bronze_logins(spark, d))
+    return validation.failures(validation.check_bronze_documents(docs), ["source_object_key"])
+
+
 @shared
 def checked_silver_cards(spark, d):
     return validation.check_silver_cards(silver_card_table(spark, d))
@@ -494,6 +500,7 @@ QUERIES: dict[str, Query] = {
     "dash_ops_messages": q_dash_ops_messages,
     "validate_bronze": q_validate_bronze,
     "validate_bronze_failures": q_validate_bronze_failures,
+    "validate_bronze_documents": q_validate_bronze_documents,
     "validate_silver_card": q_validate_silver_card,
     "validate_silver_card_failures": q_validate_silver_card_failures,
     "validate_silver_login": q_validate_silver_login,

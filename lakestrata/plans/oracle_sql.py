@@ -30,7 +30,7 @@ card_f AS (
     'txn_' || ok AS transaction_id,
     'auth_' || ok || '_' || ln AS authorization_id,
     'cust_' || ck AS customer_id,
-    'acct_' || ck AS account_id,
+    'acct_' || ok AS account_id,
     CASE WHEN pk % 227 = 0 THEN NULL ELSE 'card_' || ck END AS card_id,
     strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ok * 7919 + ln * 104729) % 2592000), {ISO}) AS event_time,
     TIMESTAMP '2024-01-01 00:00:00' + to_seconds((ok * 7919 + ln * 104729) % 2592000) AS event_ts,
@@ -175,7 +175,7 @@ risk_g AS (
     'risk_' || ok AS risk_event_id,
     strftime(od, {ISO}) AS event_time,
     'txn_' || ok AS source_transaction_id,
-    'cust_' || ck AS customer_id, 'acct_' || ck AS account_id, 'card_' || ck AS card_id,
+    'cust_' || ck AS customer_id, 'acct_' || ok AS account_id, 'card_' || ck AS card_id,
     CASE WHEN risk_score >= 90 THEN 'high' WHEN risk_score >= 75 THEN 'medium_high'
       WHEN risk_score >= 50 THEN 'medium' ELSE 'low' END AS risk_level,
     CASE WHEN ok % 13 = 0 THEN '' WHEN st = 'P' THEN 'high_value_transaction,pending_order'
@@ -489,7 +489,9 @@ customers AS (
     'US' AS country_code,
     CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN 'active' WHEN c_mktsegment = 'FURNITURE' THEN 'inactive'
       WHEN c_mktsegment = 'MACHINERY' THEN 'restricted' WHEN c_custkey % 97 = 0 THEN 'suspended'
-      ELSE 'closed' END AS customer_status
+      ELSE 'closed' END AS customer_status,
+    CAST(DATE '2019-01-01' + CAST(c_custkey % 1000 AS INTEGER) AS TIMESTAMP) AS created_at,
+    CASE WHEN c_custkey % 151 <> 0 THEN CAST(DATE '2022-01-01' + CAST(c_custkey % 700 AS INTEGER) AS TIMESTAMP) END AS updated_at
   FROM customer
 ),
 accounts AS (
@@ -499,7 +501,9 @@ accounts AS (
     CASE WHEN o_orderpriority IN ('1-URGENT', '4-NOT SPECIFIED') THEN 'checking' WHEN o_orderpriority = '2-HIGH'
       THEN 'savings' WHEN o_orderpriority = '3-MEDIUM' THEN 'money_market' ELSE 'brokerage' END AS account_type,
     CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'closed' ELSE 'frozen' END AS account_status,
-    DATE '2023-01-01' + CAST(o_orderkey % 400 AS INTEGER) AS opened_at
+    DATE '2023-01-01' + CAST(o_orderkey % 400 AS INTEGER) AS opened_at,
+    CAST(DATE '2023-01-01' + CAST(o_orderkey % 400 AS INTEGER) AS TIMESTAMP) AS created_at,
+    CASE WHEN o_orderkey % 1009 <> 0 THEN CAST(DATE '2023-02-01' + CAST(o_orderkey % 400 AS INTEGER) AS TIMESTAMP) END AS updated_at
   FROM orders
 ),
 account_balances AS (
@@ -510,7 +514,9 @@ account_balances AS (
     CAST(CAST(round(o_totalprice * 100) AS BIGINT) // 100 || '.'
       || lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') AS DECIMAL(18,2))
       AS current_balance,
-    CASE WHEN o_orderkey % 499 = 0 THEN 'EUR' ELSE 'USD' END AS currency
+    CASE WHEN o_orderkey % 499 = 0 THEN 'EUR' ELSE 'USD' END AS currency,
+    CASE WHEN o_orderkey % 1013 <> 0 THEN CAST(o_orderdate AS TIMESTAMP) END AS balance_as_of,
+    CAST(o_orderdate AS TIMESTAMP) AS created_at
   FROM orders
 ),
 customer_risk_profiles AS (
@@ -520,7 +526,8 @@ customer_risk_profiles AS (
     'clear' AS sanctions_screening_status, false AS pep_flag, c_custkey % 50 = 0 AS fraud_watchlist_flag,
     CAST(((CAST(round(c_acctbal * 100) AS BIGINT) + 100000) // 90) // 100 || '.'
       || lpad(CAST(((CAST(round(c_acctbal * 100) AS BIGINT) + 100000) // 90) % 100 AS VARCHAR), 2, '0')
-      AS DECIMAL(5,2)) AS risk_score
+      AS DECIMAL(5,2)) AS risk_score,
+    CASE WHEN c_custkey % 149 <> 0 THEN CAST(DATE '2023-06-01' + CAST(c_custkey % 200 AS INTEGER) AS TIMESTAMP) END AS updated_at
   FROM customer
 )"""
 
@@ -550,24 +557,24 @@ def _fk(table: str, name: str, fk: str, parent: str, pk: str) -> str:
 
 CONSTRAINT_SQL = "\nUNION ALL ".join([
     *_not_null("customers", "customer_id", "first_name", "last_name", "email", "date_of_birth", "country_code",
-               "customer_status"),
+               "customer_status", "created_at", "updated_at"),
     _chk("customers", "customers_status_chk", "customer_status IN ('active', 'inactive', 'closed', 'restricted')"),
     _key("customers", "customers_pkey", "PRIMARY KEY", "customer_id"),
     _key("customers", "customers_email_key", "UNIQUE", "email"),
     *_not_null("accounts", "account_id", "customer_id", "account_number", "routing_number", "account_type",
-               "account_status", "opened_at"),
+               "account_status", "opened_at", "created_at", "updated_at"),
     _chk("accounts", "accounts_type_chk", "account_type IN ('checking', 'savings', 'money_market')"),
     _chk("accounts", "accounts_status_chk", "account_status IN ('open', 'closed', 'frozen', 'restricted')"),
     _key("accounts", "accounts_pkey", "PRIMARY KEY", "account_id"),
     _key("accounts", "accounts_account_number_key", "UNIQUE", "account_number"),
     _fk("accounts", "accounts_customer_id_fkey", "customer_id", "customers", "customer_id"),
     *_not_null("account_balances", "balance_id", "account_id", "available_balance", "current_balance",
-               "currency"),
+               "currency", "balance_as_of", "created_at"),
     _chk("account_balances", "account_balances_currency_chk", "currency = 'USD'"),
     _key("account_balances", "account_balances_pkey", "PRIMARY KEY", "balance_id"),
     _fk("account_balances", "account_balances_account_id_fkey", "account_id", "accounts", "account_id"),
     *_not_null("customer_risk_profiles", "risk_profile_id", "customer_id", "kyc_status", "kyc_risk_rating",
-               "sanctions_screening_status", "pep_flag", "fraud_watchlist_flag", "risk_score"),
+               "sanctions_screening_status", "pep_flag", "fraud_watchlist_flag", "risk_score", "updated_at"),
     _chk("customer_risk_profiles", "risk_profiles_kyc_status_chk",
          "kyc_status IN ('pending', 'verified', 'failed', 'expired')"),
     _chk("customer_risk_profiles", "risk_profiles_rating_chk", "kyc_risk_rating IN ('low', 'medium', 'high')"),
@@ -610,8 +617,8 @@ sig AS (
              FROM customers GROUP BY customer_id) cu ON cu.customer_id = c.customer_id
   LEFT JOIN (SELECT customer_id, bool_or(kyc_risk_rating = 'high') AS high_kyc, bool_or(fraud_watchlist_flag) AS watch
              FROM customer_risk_profiles GROUP BY customer_id) rp ON rp.customer_id = c.customer_id
-  LEFT JOIN (SELECT account_id, bool_or(account_status IN ('restricted', 'frozen')) AS held, max(opened_at) AS opened
-             FROM accounts GROUP BY account_id) ac ON ac.account_id = c.account_id
+  LEFT JOIN (SELECT account_id, customer_id, bool_or(account_status IN ('restricted', 'frozen')) AS held, max(opened_at) AS opened
+             FROM accounts GROUP BY account_id, customer_id) ac ON ac.account_id = c.account_id AND ac.customer_id = c.customer_id
 ),
 scored AS (
   SELECT *, CAST(least(CASE WHEN f1 THEN 20 ELSE 0 END + CASE WHEN f2 THEN 10 ELSE 0 END
@@ -634,6 +641,31 @@ SELECT '""" + FIXTURE_DATE + """' AS process_date, event_id, transaction_id, cus
     WHEN signal_score >= 30 THEN 'medium' ELSE 'low' END AS risk_level
 FROM scored"""
 
+BRONZE_DOCUMENTS_SQL = f"""
+, lacking AS (
+  SELECT *, CAST(kafka_offset AS BIGINT) AS n, {LOGIN_KEY} AS source_object_key FROM login_m
+),
+doc AS (
+  SELECT *, list_filter([CASE WHEN customer_id IS NULL THEN 'kafka_key' END, CASE WHEN n % 79 = 0 THEN 'kafka_offset' END,
+      CASE WHEN n % 83 = 0 THEN 'kafka_partition' END, CASE WHEN n % 89 = 0 THEN 'kafka_topic' END], lambda x: x IS NOT NULL) AS missing
+  FROM lacking
+),
+found AS (
+  SELECT source_object_key, CASE WHEN n % 307 = 0 THEN ['document must be a JSON object'] ELSE list_filter(list_concat(
+      [CASE WHEN len(missing) > 0 THEN 'missing Bronze fields: [''' || array_to_string(missing, ''', ''') || ''']' END],
+      CASE WHEN not_object OR n % 73 = 0 THEN ['parsed_value must be a JSON object'] ELSE [
+        CASE WHEN customer_id IS NULL THEN 'missing event fields: [''customer_id'']' END,
+        CASE WHEN customer_id IS NULL THEN 'event field is null or empty: customer_id' END,
+        CASE WHEN n % 97 = 0 THEN 'raw_value is null or empty' END,
+        CASE WHEN n % 89 = 0 THEN 'kafka_topic is null or empty' END,
+        CASE WHEN n % 83 = 0 THEN 'kafka_partition is null' END,
+        CASE WHEN n % 79 = 0 THEN 'kafka_offset is null' END] END), lambda x: x IS NOT NULL) END AS errs
+  FROM doc
+)
+SELECT '{FIXTURE_DATE}' AS process_date, source_object_key, CAST(len(errs) AS INTEGER) AS error_count,
+  array_to_string(errs, '; ') AS errors
+FROM found WHERE len(errs) > 0"""
+
 HEALTH_BAD = "records_read < 0 OR records_written < 0 OR records_rejected < 0 OR duration_seconds < 0"
 
 HEALTH_COLS = """run_id, job_name, status, process_date, records_read, records_written, records_rejected,
@@ -858,6 +890,7 @@ SELECT k AS event_no, problem, CASE WHEN problem IS NULL THEN op END AS op, CASE
   CASE WHEN problem IS NULL THEN epoch_us(CAST(o_orderdate AS TIMESTAMP)) + k END AS changed_micros,
   CASE WHEN problem IS NULL AND op <> 'c' THEN o_orderstatus END AS status_before
 FROM o""",
+    "validate_bronze_documents": with_ctes(LOGIN_CTE, body=BRONZE_DOCUMENTS_SQL),
     "fraud_signals": with_ctes(CARD_CTE, LOGIN_CTE, CORE_CTE, body=SIGNAL_SQL),
     "audit_runs": with_ctes(AUDIT_CTE, body="""
 SELECT process_date, run_id, job_name, status, records_read, records_written, records_rejected, finished_at,

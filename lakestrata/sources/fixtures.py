@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions import rules
 from lakestrata.functions.exprs import iso_utc
+from lakestrata.sources.bronze import object_key
 from lakestrata.sources.tables import input_partitions, spread, table
 
 # Business date every fixture message is landed under.
@@ -95,7 +96,7 @@ def card_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("transaction_id", _s("txn_", ok)),
         ("authorization_id", _s("auth_", ok, "_", ln)),
         ("customer_id", _s("cust_", ck)),
-        ("account_id", _s("acct_", ck)),
+        ("account_id", _s("acct_", ok)),
         ("card_id", card_id),
         ("event_time", iso_utc(card_event_ts())),
         ("amount", amount),
@@ -187,7 +188,7 @@ def risk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("event_time", iso_utc(F.col("o_orderdate"))),
         ("source_transaction_id", _s("txn_", ok)),
         ("customer_id", _s("cust_", ck)),
-        ("account_id", _s("acct_", ck)),
+        ("account_id", _s("acct_", ok)),
         ("card_id", _s("card_", ck)),
         ("risk_score", score.cast("bigint")),
         ("risk_level", level),
@@ -209,6 +210,21 @@ def risk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def login_documents(bronze: DataFrame) -> DataFrame:
+    """Bronze login rows as JSON documents (``process_date, source_object_key,
+    document``) that hold the envelope and the parsed body. Some lack envelope
+    fields, have an empty raw text, a body that is text or no JSON at all."""
+    off = F.col("kafka_offset")
+    kept = lambda n, c: F.when(off % n != 0, F.col(c)).alias(c)
+    envelope = F.to_json(F.struct("bronze_ingest_time", kept(89, "kafka_topic"), kept(83, "kafka_partition"), kept(79, "kafka_offset"),
+                                  "kafka_key", F.when(off % 97 == 0, "").otherwise(F.col("raw_value")).alias("raw_value")))
+    body = F.when(off % 401 == 0, "null").when(off % 73 == 0, '"{}"').otherwise(F.col("raw_value"))
+    document = F.concat(F.expr("left(envelope, length(envelope) - 1)"), F.lit(',"parsed_value":'), F.col("body"), F.lit("}"))
+    return bronze.withColumns({"envelope": envelope, "body": body}).select(
+        F.col("ingest_date").alias("process_date"), object_key(rules.BRONZE_LOGIN_PREFIX).alias("source_object_key"),
+        F.when(off % 307 == 0, "[1]").otherwise(document).alias("document"))
+
+
 def audit_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One pipeline audit record per order (five jobs, one per priority)."""
     od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
@@ -241,10 +257,14 @@ def _money_text(cents: Column) -> Column:
     return _s(F.floor(cents / 100).cast("bigint"), ".", F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
+def _day(origin: str, days: Column) -> Column:
+    return F.date_add(F.lit(origin).cast("date"), days.cast("int")).cast("timestamp")
+
+
 def core_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customers: one per ``customer`` row. Every 250th shares an e-mail and
-    every 97th household has an unknown status, so UNIQUE and CHECK rules
-    have something to find."""
+    """customers: one per ``customer`` row. Every 250th shares an e-mail,
+    every 97th household has an unknown status and every 151st no time of its
+    last update, so UNIQUE, CHECK and NOT NULL rules have something to find."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     ck = F.col("c_custkey")
     seg = F.col("c_mktsegment")
@@ -260,6 +280,8 @@ def core_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(F.lit("1960-01-01").cast("date"), (ck % 15000).cast("int")).alias("date_of_birth"),
         F.lit("US").alias("country_code"),
         status.alias("customer_status"),
+        _day("2019-01-01", ck % 1000).alias("created_at"),
+        F.when(ck % 151 != 0, _day("2022-01-01", ck % 700)).alias("updated_at"),
     )
 
 
@@ -280,12 +302,14 @@ def core_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         atype.alias("account_type"),
         astatus.alias("account_status"),
         F.date_add(F.lit("2023-01-01").cast("date"), (ok % 400).cast("int")).alias("opened_at"),
+        _day("2023-01-01", ok % 400).alias("created_at"),
+        F.when(ok % 1009 != 0, _day("2023-02-01", ok % 400)).alias("updated_at"),
     )
 
 
 def core_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """account_balances: one per order; every 499th is not in USD."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
     ok = F.col("o_orderkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     return o.select(
@@ -294,6 +318,8 @@ def core_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money_text(cents).cast("decimal(18,2)").alias("available_balance"),
         _money_text(cents).cast("decimal(18,2)").alias("current_balance"),
         F.when(ok % 499 == 0, "EUR").otherwise("USD").alias("currency"),
+        F.when(ok % 1013 != 0, F.col("o_orderdate").cast("timestamp")).alias("balance_as_of"),
+        F.col("o_orderdate").cast("timestamp").alias("created_at"),
     )
 
 
@@ -313,6 +339,7 @@ def core_risk_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(False).alias("pep_flag"),
         (ck % 50 == 0).alias("fraud_watchlist_flag"),
         _money_text(score_cents).cast("decimal(5,2)").alias("risk_score"),
+        F.when(ck % 149 != 0, _day("2023-06-01", ck % 200)).alias("updated_at"),
     )
 
 

@@ -43,8 +43,17 @@ def test_constraint_report(spark):
                                      "risk_profile_id string, customer_id string, kyc_status string, "
                                      "kyc_risk_rating string, sanctions_screening_status string, pep_flag boolean, "
                                      "fraud_watchlist_flag boolean, risk_score double")
-    rep = {r["constraint_name"]: r["violation_count"]
-           for r in core.constraint_report(customers, accounts, balances, profiles).collect()}
+    now = F.lit("2024-01-01").cast("timestamp")
+    missing = F.when(F.col("customer_id") != "c2", now)
+    customers, accounts = (t.withColumns({"created_at": now, "updated_at": missing}) for t in (customers, accounts))
+    balances = balances.withColumns({"balance_as_of": F.lit(None).cast("timestamp"), "created_at": now})
+    profiles = profiles.withColumn("updated_at", now)
+    report = core.constraint_report(customers, accounts, balances, profiles).collect()
+    times = {(r["table_name"], r["constraint_name"]): r["violation_count"] for r in report
+             if r["constraint_name"].split("_not_null")[0] in ("created_at", "updated_at", "balance_as_of")}
+    assert len(times) == 7 and {k for k, n in times.items() if n} == {("customers", "updated_at_not_null"),
+                                                                      ("account_balances", "balance_as_of_not_null")}
+    rep = {r["constraint_name"]: r["violation_count"] for r in report}
     assert rep["customers_pkey"] == 2 and rep["customers_email_key"] == 2
     assert rep["customers_status_chk"] == 1  # NULL passes a CHECK
     assert rep["first_name_not_null"] == 1 and rep["customer_status_not_null"] == 1
@@ -91,8 +100,9 @@ def test_every_documented_signal_and_midnight(spark):
          for t in ("login_failed", "login_failed", "password_reset", "new_device_registered")],
         "process_date string, customer_id string, event_time string, event_type string, country string")
     customers = spark.createDataFrame([("cust_1", "restricted"), ("cust_2", "active")], "customer_id string, customer_status string")
-    accounts = spark.createDataFrame([("acct_1", "restricted", "2023-12-20"), ("acct_2", "open", "2020-01-01")],
-                                     "account_id string, account_status string, opened_at string").withColumn(
+    accounts = spark.createDataFrame([("acct_1", "cust_1", "restricted", "2023-12-20"), ("acct_2", "cust_2", "open", "2020-01-01"),
+                                      ("acct_2", "cust_1", "frozen", "2024-01-01")],  # not held by the card's customer
+                                     "account_id string, customer_id string, account_status string, opened_at string").withColumn(
         "opened_at", F.col("opened_at").cast("date"))
     profiles = spark.createDataFrame([("cust_1", "high", True), ("cust_2", "low", False)],
                                      "customer_id string, kyc_risk_rating string, fraud_watchlist_flag boolean")
@@ -165,9 +175,40 @@ def test_bronze_validation_collects_all_errors(spark):
     assert sample.count() == 2
 
 
-def test_signal_lookback_hot_customer_matches_brute_force(spark):
-    """One customer holds all activity, so it spans every range partition;
-    counts must equal a pairwise count, edges and same-instant ties included."""
+def test_bronze_documents_validation(spark):
+    """Every rule of a document: absent envelope fields, a body of text, an empty raw text, null partition and offset."""
+    body = {"event_id": "e", "event_time": "t", "customer_id": "c", "source_system": "s", "schema_version": "1"}
+    good = {"bronze_ingest_time": "t", "kafka_topic": "x", "kafka_partition": 1, "kafka_offset": 2, "kafka_key": None,
+            "raw_value": "{}", "parsed_value": body}
+    docs = {"good": json.dumps(good), "null key text": json.dumps(good | {"kafka_key": "k"}, indent=2),
+            "empty": json.dumps(good | {"raw_value": "", "kafka_topic": "", "kafka_partition": None, "kafka_offset": None}),
+            "lacks": json.dumps({k: v for k, v in good.items() if k not in ("kafka_key", "raw_value")}),
+            "text body": json.dumps({k: v for k, v in good.items() if k != "kafka_topic"} | {"parsed_value": "{}"}),
+            "list body": json.dumps(good | {"parsed_value": [1]}), "no body": json.dumps(good | {"parsed_value": None}),
+            "null field": json.dumps(good | {"parsed_value": body | {"customer_id": None, "event_id": ""}}),
+            "absent field": json.dumps(good | {"parsed_value": {"risk_event_id": "r", "event_time": "t"}}),
+            "list": "[1]", "broken": '{"a": '}
+    df = spark.createDataFrame([("d", k, v) for k, v in docs.items()] + [("d", "nothing", None)],
+                               "process_date string, source_object_key string, document string")
+    got = {r["source_object_key"]: r["_errors"] for r in validation.check_bronze_documents(df).collect()}
+    no_object = "parsed_value must be a JSON object"
+    assert got.pop("good") == [] and got.pop("null key text") == []
+    assert got.pop("empty") == ["raw_value is null or empty", "kafka_topic is null or empty", "kafka_partition is null", "kafka_offset is null"]
+    assert got.pop("lacks") == ["missing Bronze fields: ['kafka_key', 'raw_value']", "raw_value is null or empty"]
+    assert got.pop("text body") == ["missing Bronze fields: ['kafka_topic']", no_object]
+    assert got.pop("list body") == [no_object] and got.pop("no body") == [no_object]
+    assert got.pop("null field") == ["event field is null or empty: customer_id",
+                                     "missing event identifier: expected one of ['event_id', 'risk_event_id']"]
+    assert got.pop("absent field") == ["missing event fields: ['customer_id', 'schema_version', 'source_system']",
+                                       *[f"event field is null or empty: {x}" for x in ("customer_id", "source_system", "schema_version")]]
+    assert set(got) == {"list", "broken", "nothing"} and all(e == ["document must be a JSON object"] for e in got.values())
+
+
+@pytest.mark.parametrize("partitions, bucket", [(1, 300), (200, 300), (8, 7), (8, 10 ** 9)])
+def test_signal_lookback_hot_customer_matches_brute_force(spark, partitions, bucket):
+    """One customer holds all activity; counts must equal a pairwise count,
+    edges and same-instant ties included, at any number of partitions and
+    any size of buckets."""
     import random
     from datetime import datetime, timedelta, timezone
 
@@ -186,8 +227,13 @@ def test_signal_lookback_hot_customer_matches_brute_force(spark):
                                 "entry_mode string").withColumn("amount", F.col("amount").cast("decimal(18,2)"))
     ldf = spark.createDataFrame(logins, "process_date string, customer_id string, event_id string, "
                                 "event_time string, event_type string")
-    got = {r["event_id"]: (r["failed_logins"], r["password_resets"], r["new_devices"])
-           for r in signals.login_counts_before(cdf, ldf, 86400, num_partitions=16).collect()}
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = {r["event_id"]: (r["failed_logins"], r["password_resets"], r["new_devices"])
+               for r in signals.login_counts_before(cdf, ldf, 86400, bucket_seconds=bucket).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     for i, cs in enumerate(card_secs):
         inside = [t for (_, _, _, _, t), s in zip(logins, secs) if cs - 86400 <= s <= cs]
         want = (inside.count("login_failed"), inside.count("password_reset"), inside.count("new_device_registered"))
@@ -202,13 +248,13 @@ def test_foreign_key_counts_rows_not_keys(spark):
                                   "account_id string, customer_id string")
     parent = spark.createDataFrame([("cust_1",), ("cust_1",), ("cust_3",)], "customer_id string")
     null = F.lit(None).cast("string")
-    accounts = child.withColumns({c: null for c in ("account_number", "routing_number", "account_type", "account_status", "opened_at")})
-    customers = parent.withColumns({c: null for c in ("first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status")})
+    accounts = child.withColumns({c: null for c in ("account_number", "routing_number", "account_type", "account_status", "opened_at", "created_at", "updated_at")})
+    customers = parent.withColumns({c: null for c in ("first_name", "last_name", "email", "date_of_birth", "country_code", "customer_status", "created_at", "updated_at")})
     balances = spark.createDataFrame([], "balance_id string, account_id string, available_balance double, "
-                                         "current_balance double, currency string")
+                                         "current_balance double, currency string, balance_as_of timestamp, created_at timestamp")
     profiles = spark.createDataFrame([], "risk_profile_id string, customer_id string, kyc_status string, "
                                          "kyc_risk_rating string, sanctions_screening_status string, pep_flag boolean, "
-                                         "fraud_watchlist_flag boolean, risk_score double")
+                                         "fraud_watchlist_flag boolean, risk_score double, updated_at timestamp")
     rep = {r["constraint_name"]: r["violation_count"] for r in core.constraint_report(customers, accounts, balances, profiles).collect()}
     assert rep["accounts_customer_id_fkey"] == 51  # 50 rows of the hot missing key + cust_2; NULL passes
     assert rep["customers_pkey"] == 2 and rep["accounts_pkey"] == 0
@@ -227,7 +273,7 @@ def test_signal_lookback_untimed_card_and_carry(spark):
         [("d", "cust_1", "l1", "2024-01-01T12:00:00.000000+00:00", "login_failed"),
          ("d", None, "l2", "2024-01-01T12:00:00.000000+00:00", "login_failed")],
         "process_date string, customer_id string, event_id string, event_time string, event_type string")
-    out = {r["event_id"]: r for r in signals.login_counts_before(cards, logins, 86400, num_partitions=4,
+    out = {r["event_id"]: r for r in signals.login_counts_before(cards, logins, 86400,
                                                                   carry=["transaction_id", "amount"]).collect()}
     assert sorted(out) == ["e1", "e2"]
     assert (out["e1"]["failed_logins"], out["e1"]["transaction_id"], out["e1"]["amount"]) == (0, "t1", 5.0)
