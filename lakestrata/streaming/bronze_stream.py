@@ -9,6 +9,8 @@ so tests drive it from a file stream.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,19 +32,8 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
     return reader.load()
 
 
-def bounded_kafka_batch(spark: SparkSession, bootstrap_servers: str, topic: str,
-                        ending_offsets: str = "latest") -> DataFrame:
-    """A hard-bounded batch read (stop at given offsets) for backfills."""
-    return (spark.read.format("kafka")
-            .option("kafka.bootstrap.servers", bootstrap_servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("endingOffsets", ending_offsets)
-            .load())
-
-
 def ingest(messages: DataFrame, bronze_path: str, checkpoint_path: str, ingest_date: str | None = None,
-           available_now: bool = True, query_name: str | None = None) -> StreamingQuery:
+           available_now: bool = True, query_name: str | None = None, interval: str = "10 seconds") -> StreamingQuery:
     """Land a message stream as Bronze. ``ingest_date`` is the business date
     the caller assigns; by default the message time's date is used (never
     the wall clock), so replays land in the same partition."""
@@ -55,5 +46,45 @@ def ingest(messages: DataFrame, bronze_path: str, checkpoint_path: str, ingest_d
               .outputMode("append"))
     if query_name:
         writer = writer.queryName(query_name)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
+
+
+def ingest_bounded(messages: DataFrame, bronze_path: str, checkpoint_path: str, max_messages: int,
+                   idle_seconds: float = 10.0, ingest_date: str | None = None) -> int:
+    """Land a message stream until ``max_messages`` are in, or until none has
+    come for ``idle_seconds``; returns how many were landed (A1).
+
+    The stop falls between two micro-batches: the batch that reaches the
+    limit lands whole, and so may one that has begun by then. Bound the batches by
+    the source (``maxOffsetsPerTrigger``), for Kafka to a divisor of the limit. The
+    sink commits each batch once and the checkpoint holds the offsets, so
+    the next run goes on where this one ended; a batch that the stop
+    interrupts is not committed and belongs to the next run.
+    """
+    if max_messages <= 0:
+        return 0
+    query = ingest(messages, bronze_path, checkpoint_path, ingest_date, available_now=False, interval="0 seconds")
+    landed: dict[int, int] = {}
+    last = time.monotonic()
+    try:
+        while query.isActive and sum(landed.values()) < max_messages:
+            query.awaitTermination(0.1)
+            known = len(landed)
+            landed.update(_rows_of_batches(query))
+            busy = query.status["isTriggerActive"] and query.status["isDataAvailable"]
+            if len(landed) > known or busy:
+                last = time.monotonic()
+            elif time.monotonic() - last >= idle_seconds:
+                break
+    finally:
+        query.stop()
+    landed.update(_rows_of_batches(query))
+    if query.exception() is not None:
+        raise query.exception()
+    return sum(landed.values())
+
+
+def _rows_of_batches(query: StreamingQuery) -> dict[int, int]:
+    """Rows by batch id of the finished batches that the query remembers (a hundred)."""
+    return {p["batchId"]: p["numInputRows"] for p in query.recentProgress if p["numInputRows"] > 0}

@@ -3,7 +3,7 @@ import time
 
 from pyspark.sql import types as T
 
-from lakestrata.streaming.bronze_stream import ingest
+from lakestrata.streaming.bronze_stream import ingest, ingest_bounded
 
 KAFKA_SCHEMA = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),
@@ -39,3 +39,23 @@ def test_available_now_restart_is_exactly_once(spark, tmp_root):
     df = spark.read.parquet(out)
     assert df.count() == 70 and df.select("kafka_offset").distinct().count() == 70
     assert [r[0] for r in df.select("ingest_date").distinct().collect()] == ["2024-01-31"]
+
+
+def test_bounded_ingest_stops_and_goes_on(spark, tmp_root):
+    """A limit in the middle of a batch: that batch lands whole, later ones wait for the next run, which ends when idle."""
+    src, out, ckpt = (os.path.join(tmp_root, x) for x in ("src", "bronze", "ckpt"))
+    for start in range(0, 80, 10):
+        _batch(spark, src, start, 10)
+    files = len([f for f in os.listdir(src) if f.endswith(".parquet")])
+    run = lambda limit: ingest_bounded(
+        spark.readStream.schema(KAFKA_SCHEMA).option("maxFilesPerTrigger", files // 8).parquet(src), out, ckpt, limit, idle_seconds=8)
+    assert run(0) == 0 and not os.path.exists(out)
+    first = run(25)
+    landed = spark.read.parquet(out)
+    assert 25 <= first < 80 and landed.count() >= first
+    n = landed.count()
+    assert run(10 ** 6) == 80 - n
+    landed = spark.read.parquet(out)
+    assert landed.count() == 80 and landed.select("kafka_offset").distinct().count() == 80
+    assert run(5) == 0  # nothing new: idle
+    assert spark.read.parquet(out).count() == 80
