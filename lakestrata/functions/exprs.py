@@ -9,10 +9,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _path(field: str) -> str:
-    return "$['" + field.replace("'", "\\'") + "']"
-
-
 # --- JSON bodies held as VARIANT ----------------------------------------------
 
 def parse_body(raw: Column) -> Column:
@@ -26,30 +22,6 @@ def parse_body(raw: Column) -> Column:
     return F.when(trimmed.rlike(r'[}\]"0-9el]$'), F.try_parse_json(raw))
 
 
-def is_object(v: Column) -> Column:
-    """True when the VARIANT holds a JSON object (never NULL)."""
-    return F.coalesce(v.try_cast("map<string,variant>").isNotNull(), F.lit(False))
-
-
-def field_variant(v: Column, field: str) -> Column:
-    return F.try_variant_get(v, _path(field), "variant")
-
-
-def field_str(v: Column, field: str) -> Column:
-    return F.try_variant_get(v, _path(field), "string")
-
-
-def field_typed(v: Column, field: str, type_name: str) -> Column:
-    return F.try_variant_get(v, _path(field), type_name)
-
-
-def field_is_integer(v: Column, field: str) -> Column:
-    """JSON number without a fraction (booleans and strings are not integers)."""
-    t = F.schema_of_variant(field_variant(v, field))
-    return F.coalesce(t.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DECIMAL(38,0)")
-                      | t.rlike(r"^DECIMAL\(\d+,0\)$"), F.lit(False))
-
-
 def json_shaped(raw: Column) -> Column:
     """Text that starts like a JSON object with a double-quoted key (or is
     empty) and ends with a closing brace."""
@@ -86,9 +58,9 @@ CORRUPT = "_corrupt"
 
 
 def parse_object(df, raw: Column, raw_out: str, fields: Iterable[str], required: Iterable[str],
-                 keep: list[Column]):
-    """Parse a JSON object text column into ``_f`` (all ``fields`` as text, plus
-    a corrupt-record field) and ``_keys`` (its key list; NULL when the text is
+                 keep: list[Column], types: dict[str, str] | None = None):
+    """Parse a JSON object text column into ``_f`` (all ``fields``, as text unless a type is
+    given, plus a corrupt-record field) and ``_keys`` (its key list; NULL when the text is
     not a JSON object), next to the ``keep`` columns, which must carry the raw
     text as ``raw_out``.
 
@@ -99,13 +71,13 @@ def parse_object(df, raw: Column, raw_out: str, fields: Iterable[str], required:
     that filters on derived columns do not copy the parse into predicates.
     """
     required = list(required)
-    parsed = computed_once(df, [json_fields(raw, fields, corrupt_column=CORRUPT).alias("_f"), *keep])
+    parsed = computed_once(df, [json_fields(raw, fields, types, CORRUPT).alias("_f"), *keep])
     f = F.col("_f")
     needs_keys = f.isNull() | f[CORRUPT].isNotNull()
     for name in required:
         needs_keys = needs_keys | f[name].isNull()
     text = F.col(raw_out)
-    keys = F.when(needs_keys, json_keys(text)).when(json_shaped(text), F.array(*[F.lit(n) for n in required]))
+    keys = F.when(needs_keys, json_keys(text)).when(json_shaped(text), F.array(*[F.lit(n) for n in required]).cast("array<string>"))
     return computed_once(parsed, [keys.alias("_keys"), *[F.col(c) for c in parsed.columns]])
 
 

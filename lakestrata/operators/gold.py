@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestrata.functions.exprs import (computed_once, field_is_integer, field_str, field_typed, half_even_average, is_object,
-                                        iso_utc)
-from lakestrata.sources.bronze import with_body
+from lakestrata.functions.exprs import half_even_average, iso_utc, parse_object
 
+RISK_FIELDS = ["risk_event_id", "event_time", "source_transaction_id", "customer_id", "account_id", "card_id", "risk_score",
+               "risk_level", "recommended_action", "rule_flags", "explanation", "source_events", "source_system", "schema_version"]
+RISK_TYPES = {"risk_score": "bigint", "rule_flags": "array<string>", "source_events": "array<string>"}
 TX_KEYS = ["authorization_status", "channel", "merchant_country", "merchant_category_code"]
 
 
@@ -42,27 +43,16 @@ def risk_events(bronze_risk: DataFrame, process_date: str | Column | None = None
     ``process_date`` maps the risk ingest date onto the business date; by
     default it is the ingest date itself.
     """
-    b = with_body(bronze_risk)
-    v = F.col("parsed_value")
-    s = lambda f: field_str(v, f)
     pd_col = F.col("ingest_date") if process_date is None else (
         process_date if isinstance(process_date, Column) else F.lit(process_date))
-    checked = computed_once(b, [
-        is_object(v).alias("_is_object"),
-        s("risk_event_id").alias("risk_event_id"), s("event_time").alias("event_time"),
-        s("source_transaction_id").alias("source_transaction_id"), s("customer_id").alias("customer_id"),
-        s("account_id").alias("account_id"), s("card_id").alias("card_id"),
-        # integral JSON numbers only; anything else is NULL and fails Gold validation
-        F.when(field_is_integer(v, "risk_score"), field_typed(v, "risk_score", "bigint")).alias("risk_score"),
-        s("risk_level").alias("risk_level"), s("recommended_action").alias("recommended_action"),
-        field_typed(v, "rule_flags", "array<string>").alias("rule_flags"),
-        s("explanation").alias("explanation"),
-        F.coalesce(field_typed(v, "source_events", "array<string>"),
-                   F.array().cast("array<string>")).alias("source_events"),
-        s("source_system").alias("source_system"), s("schema_version").alias("schema_version"),
-        pd_col.alias("process_date"),
-    ])
-    return checked.where(F.col("_is_object")).drop("_is_object")
+    # an integral JSON number is the only text that a bigint is read from; any
+    # other score is NULL and fails Gold validation
+    p = parse_object(bronze_risk, F.col("raw_value"), "raw_value", RISK_FIELDS, [],
+                     [F.col("raw_value"), pd_col.alias("process_date")], RISK_TYPES)
+    none = F.array().cast("array<string>")
+    return p.where(F.col("_keys").isNotNull()).select(
+        *[(F.coalesce(F.col("_f.source_events"), none) if f == "source_events" else F.col("_f." + f)).alias(f) for f in RISK_FIELDS],
+        "process_date")
 
 
 def login_summary(silver_logins: DataFrame) -> DataFrame:

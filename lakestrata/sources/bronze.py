@@ -65,13 +65,6 @@ def envelope(messages: DataFrame, ingest_date: str | Column | None = None,
     )
 
 
-def with_body(bronze: DataFrame, column: str = "parsed_value") -> DataFrame:
-    """Add the parsed body as VARIANT (NULL when the text is not JSON)."""
-    if column in bronze.columns:
-        return bronze
-    return bronze.withColumn(column, parse_body(F.col("raw_value")))
-
-
 def object_key(prefix: str) -> Column:
     """Deterministic Bronze object name of a message:
     ``{prefix}/ingest_date=D/{topic}-partition=P-offset=O.json``."""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.functions.exprs import alert_id, half_even_average, percent
 from lakestrata.operators import gold, health, monitoring
+from tests.conftest import envelope_rows
 
 
 def test_half_even_average_exact(spark):
@@ -120,3 +121,18 @@ def test_fraud_case_joins(spark):
     assert out["r1"]["merchant_name"] == "B" and out["r1"]["login_event_count"] == 2
     assert out["r1"]["failed_login_count"] == 1 and out["r1"]["password_reset_count"] == 1
     assert out["r2"]["merchant_name"] is None and out["r2"]["login_event_count"] == 0
+
+
+def test_risk_events_take_only_objects_and_integral_scores(spark):
+    scores = ["98", "98.0", '"98"', "true", "null", "1e2", "99999999999999999999"]
+    bodies = [f'{{"risk_event_id": "s{i}", "risk_score": {s}, "rule_flags": ["a", "b"]}}' for i, s in enumerate(scores)]
+    bodies += ['{"risk_event_id": "flags", "risk_score": 1, "rule_flags": "a", "source_events": ["e", "f"]}',
+               '{"risk_event_id": "nulls", "rule_flags": null, "source_events": null, "customer_id": null}',
+               '{"risk_event_id": "first", "risk_event_id": "last"}', "{}",
+               "null", "[1]", '"text"', "", None, '{"risk_event_id": "broken"', '{"risk_event_id": "more"} x', "{'risk_event_id': 'quotes'}"]
+    out = {r["risk_event_id"]: r for r in gold.risk_events(envelope_rows(spark, bodies), "2024-02-02").collect()}
+    assert set(out) == {f"s{i}" for i in range(len(scores))} | {"flags", "nulls", "last", None}
+    assert [out[f"s{i}"]["risk_score"] for i in range(len(scores))] == [98, None, None, None, None, None, None]
+    assert all(out[f"s{i}"]["rule_flags"] == ["a", "b"] and out[f"s{i}"]["source_events"] == [] for i in range(len(scores)))
+    assert (out["flags"]["risk_score"], out["flags"]["rule_flags"], out["flags"]["source_events"]) == (1, None, ["e", "f"])
+    assert out["nulls"]["source_events"] == [] and out["nulls"]["customer_id"] is None and out["nulls"]["process_date"] == "2024-02-02"
