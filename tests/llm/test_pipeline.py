@@ -1,4 +1,7 @@
+import zlib
+
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lakestrata.llm import queries
@@ -36,6 +39,29 @@ def test_run_on_the_smallest_tables(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     rows = out.collect()
     assert rows and all(0 < r["length"] <= 4096 for r in rows)
+    # the ids are there whole, in gapless sequences, each document from its start to its end id
+    assert all(len(r["ids"]) == 4 * r["length"] and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    places, documents = {}, {}
+    for r in rows:
+        places.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        documents.setdefault(r["doc_id"], []).append((r["piece"], r["start"], r["length"], bytes(r["ids"])))
+    for own in places.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))] and sum(n for _, n in own) <= 4096
+    for own in documents.values():
+        own.sort()
+        assert [(p, s) for p, s, *_ in own] == [(i, sum(x[2] for x in own[:i])) for i in range(len(own))]
+        assert own[-1][3][-4:] == (1).to_bytes(4, "little")
+
+
+def test_stages_on_an_empty_table_with_more_columns(spark):
+    """No rows, and columns that operators use inside, through all stages."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0).withColumns({c: F.lit("x") for c in ("id", "uid", "word", "length")})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF_SMALL)
+        assert out.count() == 0
+        assert name == "best-fit packing" or set(out.columns) == set(docs.columns)
+        docs = out
 
 
 @pytest.mark.parametrize("name", ["op4_toxicity", "op5_secret_scan", "op6_bpe", "op7_pii", "op8_minhash_near_dedup", "op10_best_fit_packing"])
