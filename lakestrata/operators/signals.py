@@ -54,6 +54,10 @@ COUNTED_TYPES = {"failed_logins": "login_failed", "password_resets": "password_r
                  "new_devices": "new_device_registered"}
 COUNTED = [*COUNTED_TYPES, "foreign_logins"]
 
+#: What ``fraud_signals`` reads of a card.
+CARD_COLUMNS = ["process_date", "event_id", "customer_id", "event_time", "transaction_id", "account_id", "amount", "card_present",
+                "entry_mode", "merchant_country", "merchant_category_code"]
+
 # Sort tags at one instant: a bucket's start row comes first; a login enters its
 # window (+1) before the cards at that instant and leaves it (-1 at login_ts +
 # lookback) after them, so both ends of ``card_ts - lookback <= login_ts <=
@@ -137,9 +141,15 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame, acc
     else:
         said = said.withColumns({"_high_kyc": F.lit(False), "_watchlist": F.lit(False)})
     facts = said.groupBy("customer_id").agg(*[F.bool_or(c).alias(c) for c in ("_restricted", "_high_kyc", "_watchlist")])
+    # what a card says by itself is decided before the shuffles, which carry the answers instead of the card's columns
+    own = {"high_value_transaction": F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(28,2)"),
+           "card_not_present": F.col("card_present") == F.lit(False),
+           "manual_keyed": F.col("entry_mode") == "manual_keyed",
+           "cross_border": ~F.col("merchant_country").isin(*params.home_countries),
+           "high_risk_category": F.col("merchant_category_code").isin(*params.high_risk_categories)}
+    cards = cards.withColumns({"_day": iso_to_ts(F.col("event_time")).cast("date"), **{"_" + n: c for n, c in own.items()}})
     j = login_counts_before(cards, logins, params.lookback_seconds, home_countries=params.home_countries, facts=facts,
-                            carry=["transaction_id", "amount", "card_present", "entry_mode", "account_id",
-                                   "event_time", "merchant_country", "merchant_category_code"])
+                            carry=["transaction_id", "account_id", "_day", *["_" + n for n in own]])
     if accounts is not None:
         held = accounts.groupBy("account_id", "customer_id").agg(
             F.bool_or(F.col("account_status").isin("restricted", "frozen")).alias("_held"),
@@ -147,11 +157,11 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame, acc
         j = j.join(held, ["account_id", "customer_id"], "left")
     else:
         j = j.withColumns({"_held": F.lit(False), "_opened": F.lit(None).cast("date")})
-    age = F.datediff(iso_to_ts(F.col("event_time")).cast("date"), F.col("_opened"))
+    age = F.datediff(F.col("_day"), F.col("_opened"))
     flags: list[tuple[str, Column]] = [
-        ("high_value_transaction", F.col("amount") >= F.lit(params.high_value_amount).cast("decimal(28,2)")),
-        ("card_not_present", F.col("card_present") == F.lit(False)),
-        ("manual_keyed", F.col("entry_mode") == "manual_keyed"),
+        ("high_value_transaction", F.col("_high_value_transaction")),
+        ("card_not_present", F.col("_card_not_present")),
+        ("manual_keyed", F.col("_manual_keyed")),
         ("multiple_failed_logins", F.col("failed_logins") >= params.min_failed_logins),
         ("password_reset", F.col("password_resets") >= 1),
         ("new_device_registered", F.col("new_devices") >= 1),
@@ -159,8 +169,8 @@ def fraud_signals(cards: DataFrame, logins: DataFrame, customers: DataFrame, acc
         ("restricted_account", F.col("_held")),
         ("high_kyc_risk", F.col("_high_kyc")),
         ("fraud_watchlist", F.col("_watchlist")),
-        ("cross_border", ~F.col("merchant_country").isin(*params.home_countries)),
-        ("high_risk_category", F.col("merchant_category_code").isin(*params.high_risk_categories)),
+        ("cross_border", F.col("_cross_border")),
+        ("high_risk_category", F.col("_high_risk_category")),
         ("new_account", (age >= 0) & (age <= params.new_account_days)),
         ("foreign_login", F.col("foreign_logins") >= 1),
     ]

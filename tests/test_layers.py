@@ -5,7 +5,7 @@ import glob
 import duckdb
 import pytest
 
-from lakestrata.operators import silver
+from lakestrata.operators import signals, silver
 from lakestrata.plans import catalog
 from lakestrata.session import checkpoint_dir
 from tests.conftest import SF_SMALL, envelope_rows
@@ -59,3 +59,16 @@ def test_shuffle_partitions_grow_with_the_tables(spark, tmp_root):
         assert (held is not None and int(held) > 8) if large else held is None
     catalog.fit_partitions(spark, SF_SMALL)
     assert spark.conf.get(name, None) is None
+
+
+def test_signal_shuffles_carry_answers_not_columns(spark):
+    types = {"amount": "decimal(28,2)", "card_present": "boolean"}
+    cards = spark.createDataFrame([], ", ".join(f"{c} {types.get(c, 'string')}" for c in signals.CARD_COLUMNS))
+    logins = spark.createDataFrame([], "customer_id string, event_time string, event_type string, country string")
+    customers = spark.createDataFrame([], "customer_id string, customer_status string")
+    plan = signals.fraud_signals(cards, logins, customers)._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "Window":
+        plan = plan.children().apply(0)
+    moved = {plan.output().apply(i).name() for i in range(plan.output().size())}
+    assert {"transaction_id", "account_id", "_day", "_cross_border"} <= moved
+    assert not moved & {"amount", "card_present", "entry_mode", "event_time", "merchant_country", "merchant_category_code"}
