@@ -1,13 +1,17 @@
 """What the registered queries store, move and deal out."""
 
 import glob
+import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from lakestrata.functions import exprs
 from lakestrata.operators import signals, silver
 from lakestrata.plans import catalog
 from lakestrata.session import checkpoint_dir
+from lakestrata.sources import fixtures
 from tests.conftest import SF_SMALL, envelope_rows
 from tests.test_silver import card
 
@@ -72,3 +76,49 @@ def test_signal_shuffles_carry_answers_not_columns(spark):
     moved = {plan.output().apply(i).name() for i in range(plan.output().size())}
     assert {"transaction_id", "account_id", "_day", "_cross_border"} <= moved
     assert not moved & {"amount", "card_present", "entry_mode", "event_time", "merchant_country", "merchant_category_code"}
+
+
+def test_card_lines_are_joined_narrow(spark, tmp_root):
+    """The two large joins move numbers of the lines and orders, no texts of theirs; other and missing values keep their meaning."""
+    d = f"{tmp_root}/cards"
+    line = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_extendedprice double, l_returnflag string, l_linestatus string"
+    lines = [(1, 1, 1, 1, 10.25, "R", "O"), (1, 2, 1, 2, 3.0, "N", "F"), (1, 2, 2, 3, 3.0, "N", "F"), (2, 1, 1, 1, None, None, None), (2, 1, 2, 2, 0.005, "A", "X")]
+    for name, rows, ddl in (("lineitem", lines, line), ("orders", [(1, 5, "1-URGENT"), (2, 6, None)], "o_orderkey bigint, o_custkey bigint, o_orderpriority string"),
+                            ("part", [(1, "ring", "B#1"), (2, "bolt", "B#2")], "p_partkey bigint, p_name string, p_brand string"),
+                            ("supplier", [(1, "S1", 0), (2, "S2", 0)], "s_suppkey bigint, s_name string, s_nationkey int"),
+                            ("nation", [(0, "PERU")], "n_nationkey int, n_name string")):
+        spark.createDataFrame(rows, ddl).write.parquet(f"{d}/{name}.parquet")
+    messages = fixtures.card_messages(spark, d)
+    fields = ["amount", "authorization_status", "channel", "card_present", "entry_mode"]
+    got = {tuple(r) for r in messages.select(F.get_json_object("value", "$.event_id"), *[F.get_json_object("value", f"$.{f}") for f in fields]).collect()}
+    assert got == {("evt_card_auth_1_1", "10.25", "declined", "ecommerce", "false", "manual_keyed"), ("evt_card_auth_1_2", "3.00", "pending", "card_present", "true", "manual_keyed"),
+                   ("evt_card_auth_1_3", "3.00", "approved", "card_present", "true", "manual_keyed"), ("evt_card_auth_2_1", None, "approved", "card_present", None, "card_on_file"),
+                   ("evt_card_auth_2_2", "0.01", "approved", "card_present", "false", "card_on_file")}
+    moved, plans = [], [messages._jdf.queryExecution().optimizedPlan()]
+    while plans:
+        plan = plans.pop()
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName() == "Join":
+            moved += [(c.output().apply(i).name(), c.output().apply(i).dataType().simpleString()) for c in children for i in range(c.output().size())]
+        plans += children
+    assert {n for n, t in moved if t == "string"} == {"p_name", "p_brand", "s_name", "n_name"}
+
+
+def test_silver_projection_is_small_enough_to_be_compiled(spark, capsys):
+    rows = envelope_rows(spark, [card(), card(event_id="evt_2", amount="1.005"), card(event_id="evt_3", amount="12e-1")])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = silver.silver_cards(rows)
+        assert sorted(str(r["amount"]) for r in df.collect() if r["event_id"] != "evt_1") == ["1.00", "1.20"]
+        capsys.readouterr()
+        df.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000  # the JVM interprets larger methods
+
+
+def test_key_lists_are_compared_only_for_missing_values(spark):
+    rows = spark.createDataFrame([("1", ["a"]), (None, ["a"]), (None, ["a", "b"])], "b string, keys array<string>")
+    reason = exprs.missing_reason(F.col("keys"), ["b"], F.col, "missing: ")
+    assert [r[0] for r in rows.select(reason).collect()] == [None, "missing: ['b']", None]
