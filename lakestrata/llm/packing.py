@@ -23,7 +23,6 @@ import random
 import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -124,7 +123,10 @@ class WordTokenizer:
             return self._encode([t.decode() for t in texts])
         if self.literal is None:
             return self._encode_plain(texts)
-        cut = [self.literal.split(t) if any(x in t for x in self.special) else [t] for t in texts]
+        found = [any(map(t.__contains__, self.special)) for t in texts]
+        if not any(found):
+            return self._encode_plain(texts)
+        cut = [self.literal.split(t) if f else [t] for t, f in zip(texts, found, strict=True)]
         own = self._encode_plain([x for parts in cut for x in parts[::2]])
         out, at = [], 0
         for parts in cut:
@@ -136,29 +138,29 @@ class WordTokenizer:
         return out
 
     def _encode_plain(self, texts: list[bytes]) -> list[bytes]:
-        split = [self._spaced(t).split() for t in texts]
-        every = list(chain.from_iterable(split))
-        got = list(map(self.known.get, every))
-        missing, at = [], -1
-        while True:
-            try:
-                at = got.index(None, at + 1)
-            except ValueError:
-                break
-            missing.append(at)
-        if missing:
-            new = {every[i] for i in missing}
+        # text by text, so that its chunks are looked up and joined while they are in the processor's cache
+        get, out, waiting, new = self.known.get, [], [], set()
+        for text in texts:
+            own = self._spaced(text).split()
+            got = list(map(get, own))
+            if None in got:
+                missing, at = [], -1
+                for _ in range(got.count(None)):
+                    missing.append(at := got.index(None, at + 1))
+                chunks = [own[i] for i in missing]
+                new.update(chunks)
+                waiting.append((len(out), got, missing, chunks))
+                out.append(b"")
+            else:
+                out.append(b"".join(got))
+        if new:
             if len(self.known) + len(new) > KNOWN:
-                self.known = dict(zip(every, got, strict=True))  # those of these texts stay
-                for chunk in new:
-                    del self.known[chunk]
+                self.known = {}
             self._learn(new)
-            for i in missing:
-                got[i] = self.known[every[i]]
-        out, at = [], 0
-        for own in split:
-            out.append(b"".join(got[at : at + len(own)]))
-            at += len(own)
+            for n, got, missing, chunks in waiting:
+                for i, chunk in zip(missing, chunks, strict=True):
+                    got[i] = self.known[chunk]
+                out[n] = b"".join(got)
         return out
 
     def _learn(self, chunks: set[bytes]) -> None:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -98,3 +99,18 @@ def test_crossover_keeps_each_piece_once():
     child = packing.crossover(*people, r)
     assert sorted(i for b in child.bins for i in b) == list(range(200))
     assert all(sum(lengths[i] for i in b) == 100 - left >= 0 for b, left in zip(child.bins, child.left, strict=True))
+
+
+def test_known_texts_are_joined_one_at_a_time(monkeypatch):
+    own, plain = packing.WordTokenizer(PATH), tokenizers.Tokenizer.from_file(PATH)
+    texts = [" ".join(f"w{random.Random(i).choice('abc')}{j % 50}." for j in range(2000)).encode() for i in range(40)]
+    want = own.encode(texts)
+    tracemalloc.start()
+    assert own.encode(texts) == want
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * sum(map(len, want))  # the words of all texts at once would take several times that
+    monkeypatch.setattr(packing, "KNOWN", 10)  # a cache that overflows at every turn gives the same
+    for some in (texts[:3], texts[2:5], [b"", b"one new<x> word", texts[0]]):
+        ids = [np.array(e.ids, "<u4").tobytes() for e in plain.encode_batch([t.decode() for t in some], add_special_tokens=False)]
+        assert own.encode(some) == ids
