@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.functions import exprs
-from lakestrata.operators import signals, silver
+from lakestrata.operators import gold, signals, silver
 from lakestrata.plans import catalog
 from lakestrata.session import checkpoint_dir
 from lakestrata.sources import fixtures
@@ -122,3 +122,26 @@ def test_key_lists_are_compared_only_for_missing_values(spark):
     rows = spark.createDataFrame([("1", ["a"]), (None, ["a"]), (None, ["a", "b"])], "b string, keys array<string>")
     reason = exprs.missing_reason(F.col("keys"), ["b"], F.col, "missing: ")
     assert [r[0] for r in rows.select(reason).collect()] == [None, "missing: ['b']", None]
+
+
+def test_cases_move_by_customer_without_the_cards_columns(spark):
+    text = lambda names: ", ".join(f"{n} string" for n in names)
+    risks = spark.createDataFrame([], text([*[f for f in gold.RISK_FIELDS if f != "risk_score"], "process_date"]) + ", risk_score bigint")
+    cards = spark.createDataFrame([], text([c for c in [*silver.CARD_FIELDS, "process_date"] if c != "amount"]) + ", amount decimal(28,2)")
+    logins = spark.createDataFrame([], text([*silver.LOGIN_FIELDS, "process_date"]))
+    plans, moved = [gold.fraud_cases(cards, logins, risks)._jdf.queryExecution().analyzed()], []
+    while plans:
+        plan = plans.pop()
+        children = [plan.children().apply(i) for i in range(plan.children().size())]
+        if plan.nodeName() == "Join" and "customer_id" in plan.condition().get().sql():
+            moved += [c.output().apply(i).name() for c in children for i in range(c.output().size())]
+        plans += children
+    assert "login_event_count" in moved and not {"merchant_name", "transaction_amount"} & set(moved)
+
+
+def test_a_task_sorts_few_messages(spark):
+    """The lines that adaptive execution joins into one task are sorted as messages, in a task's share of a small executor."""
+    catalog.fit_partitions(spark, SF_SMALL)
+    target = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
+    moved, sorted_ = 48, 1_000  # bytes a line, as measured
+    assert target / moved * sorted_ < 250e6
