@@ -49,12 +49,12 @@ _LEAST, _MOST = 512, 65_024
 
 def _mixed() -> np.ndarray:
     """Where the cells begin, in 65536ths. First, for two ids (0) or one (1) of both orders,
-    and 16 levels of the chances of order 2 and order 1: that the order-2 id comes. Then, for both
+    and 8 levels of the chances of order 2 and order 1: that the order-2 id comes. Then, for both
     chances: that the order-1 id comes after all. In decimals, so that all machines agree."""
-    logit = [((Decimal(q) + Decimal("0.5")) / (Decimal("15.5") - q)).ln() for q in range(16)]
-    votes = [logit[a] - max(logit[b], Decimal(0)) / 2 for a in range(16) for b in range(16)]
-    votes += [logit[a] + (logit[b] + 1) / 2 for a in range(16) for b in range(16)]
-    votes += [logit[b] - max(logit[a], Decimal(0)) / 2 for a in range(16) for b in range(16)]
+    logit = [((Decimal(q) + Decimal("0.5")) / (Decimal("7.5") - q)).ln() for q in range(8)]
+    votes = [logit[a] - max(logit[b], Decimal(0)) / 2 for a in range(8) for b in range(8)]
+    votes += [logit[a] + (logit[b] + 1) / 2 for a in range(8) for b in range(8)]
+    votes += [logit[b] - max(logit[a], Decimal(0)) / 2 for a in range(8) for b in range(8)]
     return np.array([min(max(int(65536 / (1 + (-v).exp())), _LEAST), _MOST) for v in votes], np.int32)
 
 
@@ -75,13 +75,15 @@ class _Model:
         self.at_0, self.at_slot = lane * self.width, lane << TOTAL_BITS
         self.at = np.stack((lane << BITS_2, (lanes << BITS_2) + (lane << BITS_1)))
         self.table = np.zeros(lanes * ((1 << BITS_2) + (1 << BITS_1)), np.uint32)
-        self.mix, self.at_mix = np.tile(MIXED, lanes), np.stack((lane * len(MIXED), lane * len(MIXED) + 512))
+        # a cell of all lanes lies side by side, as most lanes use the same few cells
+        self.mix, self.at_mix = np.repeat(MIXED, lanes), np.stack((lane, lane + 128 * lanes))
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # cells of the order-0 table that have been seen, and how often
-        self.cells, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.cells, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
         # column 0 is the escape: all of it at first
         self.zero = np.zeros(lanes * self.width, np.uint32)
         self.zero[self.at_0] = _TOTAL
+        self.escape = np.full(lanes, _TOTAL, np.uint32)
         self.slots = np.zeros(lanes << TOTAL_BITS, np.uint16) if decodes else None
 
     def predict(self, k: int) -> None:
@@ -98,9 +100,12 @@ class _Model:
         entry = self.table.take(where)
         ids, chance = entry >> 16, entry & 0xFFFF
         same = ids[0] == ids[1]
-        level = (chance >> 12).astype(np.int64)
-        cell = self.at_mix[:, :k] + ((level[0] << 4) + level[1])
-        cell[0] += same * 256
+        level = (chance >> 13).astype(np.int64)
+        level[0] <<= 3
+        level[0] += level[1]
+        level[0] *= self.lanes
+        cell = self.at_mix[:, :k] + level[0]
+        cell[0] += same * (64 * self.lanes)
         mixed = self.mix.take(cell)
         self.share_2 = mixed[0].astype(_U)
         one = (_U(65536) - self.share_2) * mixed[1].astype(_U)
@@ -118,28 +123,36 @@ class _Model:
         step >>= 5
         step[1] *= ~(hit[0] | self.same)
         step += mixed
-        self.mix[self.cell.ravel()] = step.ravel()
-        less = self.chance - (self.chance >> 2)
-        more = self.chance + ((65535 - self.chance) >> 3)
-        new = (ids << 16 | _NEW).astype(np.uint32)
-        np.copyto(less, more, where=hit)
-        kept = self.entry - self.chance
-        kept += less
-        np.copyto(kept, new, where=less < _GIVE_UP)
-        self.table[self.where.ravel()] = kept.ravel()
+        self.mix[self.cell] = step
+        # masks are multiplied with: copies under a mask take several times as long
+        chance = self.chance
+        change = (65535 - chance) >> 3
+        fall = chance >> 2
+        change += fall
+        change *= hit
+        change -= fall  # modulo 2 to 32
+        chance += change
+        kept = self.entry
+        kept += change
+        new = (ids << 16 | _NEW).astype(np.uint32) - kept
+        new *= chance < _GIVE_UP
+        kept += new
+        self.table[self.where] = kept
         self.before[:k] = self.last[:k]
         np.multiply(ids, _HASH, out=self.last[:k])
 
     def tabulate(self, ids: np.ndarray, lanes: np.ndarray) -> None:
         """Order 0 from all ids so far; ``ids`` are those since the last time, of ``lanes``."""
-        seen = self.at_0[lanes] + ids + 1
+        seen = lanes * np.int32(self.width)  # 32 bits hold the number of any cell
+        seen += ids
+        seen += 1
         seen.sort()
-        first = np.flatnonzero(np.diff(seen, prepend=-1))
+        first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])) if len(seen) else seen
         cells = np.concatenate((self.cells, seen[first]))
         count = np.concatenate((self.counts, np.diff(first, append=len(seen))))
         order = np.argsort(cells, kind="stable")
         cells, count = cells[order], count[order]
-        first = np.flatnonzero(np.diff(cells, prepend=-1))
+        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else cells
         self.cells, self.counts = cells, count = cells[first], np.add.reduceat(count, first) if len(first) else count
         lane = cells // self.width
         distinct = np.bincount(lane, minlength=self.lanes)
@@ -150,7 +163,7 @@ class _Model:
         run = np.cumsum(often) - often
         cum = run - np.append(run, 0)[first][lane] + escape[lane]
         self.zero[cells] = (cum << 16 | often).astype(np.uint32)
-        self.zero[self.at_0] = escape
+        self.zero[self.at_0] = self.escape = escape.astype(np.uint32)
         if self.decodes:
             size = np.empty(len(cells) + self.lanes, np.int64)
             what = np.zeros(len(size), np.uint16)
@@ -160,9 +173,9 @@ class _Model:
             self.slots = np.repeat(what, size)
 
     def retabulate(self, ids: np.ndarray, lengths: np.ndarray, done: int, step: int) -> None:
-        lane = np.broadcast_to(np.arange(self.lanes), (step - done, self.lanes))
+        lane = np.broadcast_to(np.arange(self.lanes, dtype=np.int32), (step - done, self.lanes))
         real = lengths[None, :] > np.arange(done, step)[:, None]
-        self.tabulate(ids[done:step][real].astype(np.int64), lane[real])
+        self.tabulate(ids[done:step][real], lane[real])
 
 
 def _steps(lengths: np.ndarray):
@@ -200,20 +213,22 @@ def encode(ids: np.ndarray, lengths: np.ndarray, size: int) -> list[bytes]:
         l += begin
         s *= part
         some = np.flatnonzero(neither)
-        at = model.at_0[some]
-        own = model.zero.take(at + x[some] + 1)
+        own = model.zero.take(model.at_0[some] + x[some] + 1)
         new = own == 0
         gone = some[new]
         if len(gone):
-            own[new] = model.zero.take(at[new])
+            own[new] = model.escape[gone]
         unit = span[some] >> _U(TOTAL_BITS)
         low[some] += unit * (own >> 16)
         span[some] = unit * (own & 0xFFFF)
         words[p] = l >> _U(_REST)
         small = s < _SMALL
         p += small * lanes
-        by = small.astype(_U) << _U(5)
-        np.copyto(l, l & _REST_BITS, where=small)
+        bit = small.astype(_U)
+        by = bit << _U(5)
+        bit -= _U(1)  # all ones where nothing is sent
+        bit |= _REST_BITS
+        l &= bit
         l <<= by
         s <<= by
         if len(gone):
@@ -267,8 +282,8 @@ def decode(payloads: list[bytes], lengths: np.ndarray, size: int) -> np.ndarray:
         first, below = c < edge_2, c < edge_1
         neither = ~below
         x = np.where(first, model.ids[0], model.ids[1]).astype(np.int64)
-        begin = edge_2 * ~first
-        np.copyto(begin, edge_1, where=neither)
+        begin = edge_2 * (first ^ below)
+        begin += edge_1 * neither
         end = np.where(first, edge_2, np.where(below, edge_1, s << _U(16)))
         c -= begin
         np.subtract(end, begin, out=s)
@@ -286,7 +301,10 @@ def decode(payloads: list[bytes], lengths: np.ndarray, size: int) -> np.ndarray:
         by = small.astype(_U) << _U(5)
         c <<= by
         c |= (rest << _U(30) | word >> _U(2)) * small
-        np.copyto(rest, word & _U(3), where=small)
+        word &= _U(3)
+        word -= rest  # modulo 2 to 64
+        word *= small
+        rest += word
         s <<= by
         p += small
         if len(gone):

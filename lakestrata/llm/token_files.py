@@ -29,9 +29,11 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,9 +41,11 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWrite
 
 from lakestrata.llm import context_coder
 
-MAGIC, MANIFEST = b"TOKMIX1\n", "_manifest.json"
+MAGIC, MANIFEST = b"TOKMIX2\n", "_manifest.json"
 #: Ids of a segment.
 SEGMENT = 2048 * context_coder.BLOCK
+#: Bytes of the texts that are encoded in one call.
+CALL = 16 << 20
 
 
 class ByteTokenizer:
@@ -50,10 +54,17 @@ class ByteTokenizer:
     Where a vocabulary's merges are in the order of their tokens' ids, ``tiktoken``
     gives the same ids from the tokens' ranks, several times faster. Texts of other
     letters than Latin ones (classes of letters differ by the Unicode version of a
-    library) or with a special token's literal, and other vocabularies, go to ``tokenizers``."""
+    library) or with a special token's literal, and other vocabularies, go to ``tokenizers``.
+
+    Where no white space stands before a blank, a token begins at every blank. Such Latin texts are
+    cut there, and each different word of a call is encoded once."""
 
     PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     LATIN = re.compile("[\0-\u024f\u2010-\u2027\u20ac]*").fullmatch
+    #: White space of these letters but the blank.
+    BREAKS = "\t\n\v\f\r\x85\xa0"
+    #: White space before a blank, at which then a token may not begin.
+    RUNS = tuple(f"{c}\x20" for c in f"\x20{BREAKS}")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -87,13 +98,54 @@ class ByteTokenizer:
                 return None
             last = vocab[a + b]
             ranks[bytes(of_letter[x] for x in a + b)] = last
+        #: The bytes of each id.
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.sizes[list(ranks.values())] = list(map(len, ranks))
         return tiktoken.Encoding(path, pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    def _ranked(self, text: str) -> np.ndarray:
+        return self.ranks.encode_to_numpy(text, disallowed_special=()).astype("<u4")
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts that are cut at blanks; equal words are encoded once."""
+        if not texts:
+            return []
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), "\x20")
+        ends = cut.offsets.to_numpy().astype(np.int64)
+        words = cut.flatten().dictionary_encode()
+        which, words = words.indices.to_numpy().astype(np.int64), words.dictionary
+        # a blank and a letter begin a token wherever they stand, so such words can be encoded at once
+        apart = pc.is_in(pc.utf8_slice_codeunits(words, 0, 1), value_set=pa.array(["", *self.BREAKS], pa.large_string()))
+        others, joined = words.filter(apart).to_pylist(), words.filter(pc.invert(apart))
+        joined = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), joined, pa.scalar("\x20", pa.large_string()))
+        last = np.cumsum(pc.binary_length(joined).to_numpy(), dtype=np.int64)
+        ids = self._ranked(joined.buffers()[2].to_pybytes()[: last[-1]].decode()) if len(joined) else np.empty(0, "<u4")
+        last = np.searchsorted(np.cumsum(self.sizes[ids]), last) + 1
+        # no blank is before the first word of a text
+        own = [self._ranked(x) for x in [*[f"\x20{word}" for word in others], *[text.partition("\x20")[0] for text in texts]]]
+        which[ends[:-1]] = len(words) + np.arange(len(texts))
+        apart = np.append(apart.to_numpy(zero_copy_only=False), np.ones(len(texts), bool))
+        count = np.empty(len(apart), np.int64)
+        count[~apart], count[apart] = np.diff(last, prepend=0), [len(x) for x in own]
+        begin = np.empty_like(count)
+        begin[~apart], begin[apart] = last - count[~apart], len(ids) + np.cumsum(count[apart]) - count[apart]
+        ids = np.concatenate((ids, *own))
+        out = []
+        for a, b in pairwise([*range(0, len(texts), 256), len(texts)]):
+            some = which[ends[a] : ends[b]]
+            n = count[some]
+            to = np.cumsum(n)
+            got = ids[np.repeat(begin[some] - to + n, n) + np.arange(to[-1])].tobytes()
+            out += [got[x:y] for x, y in pairwise((4 * np.append(0, to)[ends[a : b + 1] - ends[a]]).tolist())]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit numbers."""
         fast = [self.ranks is not None and self.LATIN(t) is not None and not any(x in t for x in self.literals) for t in texts]
         other = iter([np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast([t for t, f in zip(texts, fast, strict=True) if not f], add_special_tokens=False)])
-        return [self.ranks.encode_to_numpy(t, disallowed_special=()).astype("<u4").tobytes() if f else next(other) for t, f in zip(texts, fast, strict=True)]
+        cut = [f and not any(map(t.__contains__, self.RUNS)) for t, f in zip(texts, fast, strict=True)]
+        words = iter(self._by_word([t for t, c in zip(texts, cut, strict=True) if c]))
+        return [next(words) if c else self._ranked(t).tobytes() if f else next(other) for t, f, c in zip(texts, fast, cut, strict=True)]
 
 
 _LOADED: dict[str, ByteTokenizer] = {}
@@ -189,8 +241,9 @@ def segments(docs: DataFrame, tokenizer_path: str, end_id: int = 0, id_col: str
 
         def encoded() -> Iterator[tuple[int | None, np.ndarray]]:
             for batch in batches:
-                for at in range(0, batch.num_rows, 1024):
-                    part = batch.slice(at, 1024)
+                calls = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(), dtype=np.int64) // CALL
+                for at, to in pairwise([*np.flatnonzero(np.diff(calls, prepend=-1)).tolist(), batch.num_rows]):
+                    part = batch.slice(at, to - at)
                     for number, own in zip(part.column(0).to_pylist(), tokenizer.encode(part.column(1).to_pylist()), strict=True):
                         yield number, np.frombuffer(own + last, "<u4")
 
@@ -294,7 +347,7 @@ class TokenReader(DataSourceReader):
                 open_doc = (docs.pop(), parts.pop())  # the next segment may go on with it
                 for at in range(0, len(docs), 1024):
                     batch = _batch(docs[at : at + 1024], start, parts[at : at + 1024])
-                    start += pa.compute.sum(batch.column(2)).as_py()
+                    start += pc.sum(batch.column(2)).as_py()
                     yield batch
             if open_doc is not None:
                 yield _batch([open_doc[0]], start, [open_doc[1]])

@@ -127,3 +127,29 @@ def test_query_on_the_whole_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     got = sorted(map(tuple, queries.op12_token_output(spark, SF_SMALL).collect()))
     assert got == expected([tuple(r) for r in docs])
+
+
+def test_equal_words_are_encoded_once():
+    tokenizer, given = token_files.ByteTokenizer(PATH), []
+    plain = tokenizer.ranks
+
+    class Counting:
+        def encode_to_numpy(self, text, **options):
+            given.append(len(text))
+            return plain.encode_to_numpy(text, **options)
+
+    tokenizer.ranks = Counting()
+    texts = [prose(n % 3, 400) for n in range(60)]
+    got = tokenizer.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(given) < sum(map(len, texts)) / 4
+
+
+def test_white_space_between_words():
+    r = random.Random(7)
+    letters = "ab Z9 .,'\n\té \u0085 \r\v\f\x1c\xa0   's 'll \u201c\u20ac"
+    tokenizer = token_files.ByteTokenizer(PATH)
+    for _ in range(60):
+        texts = ["".join(r.choice(letters) for _ in range(r.randrange(14))) for _ in range(r.randrange(300))]
+        got = [np.frombuffer(x, "<u4").tolist() for x in tokenizer.encode(texts)]
+        assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
