@@ -5,8 +5,7 @@ predictions of the next id:
 
 * order 2: the id that followed the last two ids before, with its hit probability;
 * order 1: the same after the last id;
-* order 0: the frequencies of the block's ids so far, tabled anew at the places
-  ``EPOCHS``; an id that is new to the table is escaped and coded evenly.
+* order 0: given frequencies of all ids, which the blocks of a segment share.
 
 The probability that the order-2 id comes, and then that the order-1 id does, is
 mixed from what both orders give their ids: each pair of chances has a cell that
@@ -14,37 +13,54 @@ begins at their logistic mix and learns from what comes. What remains is coded b
 order 0. The resulting interval narrows
 a 62-bit range, which sends 32 bits as soon as it has become small.
 
-All arithmetic is on integers, so any machine decodes what another has coded. Many
-blocks go through the coder abreast: a step codes one id of each.
+All results are those of integers, so any machine decodes what another has coded. Many
+blocks go through the coder abreast: a step codes one id of each. A step's numbers are of
+one width where they can be, as numpy takes several times as long to convert and to choose.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cache
+from itertools import pairwise
 
 import numpy as np
 
-#: Ids of a block, and where the order-0 table is made anew.
+#: Ids of a block.
 BLOCK = 4096
-EPOCHS = (32, 128, 512, 1024, 2048)
+#: Blocks that are coded abreast.
+LANES = 2048
 #: Entries of the order-1 and order-2 tables, as powers of two.
 BITS_1, BITS_2 = 10, 12
-#: The frequencies of order 0 add up to 2 to this.
-TOTAL_BITS = 13
-#: Cells of the order-0 tables of blocks that are coded abreast.
-CELLS = 9_000_000
-_U = np.uint64
-_TOTAL = 1 << TOTAL_BITS
+#: The frequencies of order 0 add up to 2 to at most this.
+TOTAL_BITS = 18
+_U, _N, _I = np.uint64, np.uint32, np.int32
+
+
+@cache
+def _u(value: int) -> np.ndarray:
+    """A 64-bit constant; arrays take much less time to combine with than scalars."""
+    return np.array(value, _U)
+
+
+@cache
+def _n(value: int) -> np.ndarray:
+    """A 32-bit constant."""
+    return np.array(value, _N)
+
+
 #: Hit probabilities of 16 bits: of a new entry, and below which an entry is given up.
 _NEW, _GIVE_UP = 16_384, 6_000
 #: A range below this sends a word of 32 bits; the 30 bits below the word stay.
 _REST = 30
-_SMALL, _REST_BITS = _U(1 << _REST), _U((1 << _REST) - 1)
-_HASH = 0x9E3779B1
+_SMALL, _REST_BITS = _u(1 << _REST), _u((1 << _REST) - 1)
+_HASH, _HASH_2 = _n(0x9E3779B1), _n(0x2545F)
 
 
-#: Mixed chances stay within these.
+#: Mixed chances stay within these; order 1 and order 0 have at least 64 of 65536, so that the range has room for each frequency.
 _LEAST, _MOST = 512, 65_024
+_FOR_BOTH = _n(65536 - 64)
+_SPREAD, _FLOOR, _RATE = (np.array(x, _I) for x in (_MOST - _LEAST, _LEAST, 5))
 
 
 def _mixed() -> np.ndarray:
@@ -61,122 +77,105 @@ def _mixed() -> np.ndarray:
 MIXED = _mixed()
 
 
-def lanes_abreast(alphabet: int) -> int:
-    return max(1, min(2048, CELLS // (alphabet + 1)))
+def frequencies(counts: np.ndarray) -> np.ndarray:
+    """Order-0 frequencies of ids that occur ``counts`` times: at least 1 each, together a power of two."""
+    total = 1 << min(len(counts).bit_length() + 3, TOTAL_BITS)
+    counts = counts.astype(np.int64)
+    often = counts * (total - len(counts)) // max(int(counts.sum()), 1) + 1
+    often[counts.argmax()] += total - often.sum()
+    return often.astype("<u4")
 
 
 class _Model:
-    """The models of ``lanes`` blocks over ids 0 to ``size`` - 1. Arrays of two rows
-    have order 2 in the first and order 1 in the second."""
+    """The models of ``lanes`` blocks over ids of order-0 frequencies ``often``. Arrays of two
+    rows have order 2 in the first and order 1 in the second."""
 
-    def __init__(self, lanes: int, size: int, decodes: bool):
-        self.lanes, self.width, self.decodes = lanes, size + 1, decodes
+    def __init__(self, lanes: int, often: np.ndarray):
+        self.lanes = lanes
         lane = np.arange(lanes, dtype=np.int64)
-        self.at_0, self.at_slot = lane * self.width, lane << TOTAL_BITS
         self.at = np.stack((lane << BITS_2, (lanes << BITS_2) + (lane << BITS_1)))
-        self.table = np.zeros(lanes * ((1 << BITS_2) + (1 << BITS_1)), np.uint32)
+        self.table = np.zeros(lanes * ((1 << BITS_2) + (1 << BITS_1)), _N)
         # a cell of all lanes lies side by side, as most lanes use the same few cells
-        self.mix, self.at_mix = np.repeat(MIXED, lanes), np.stack((lane, lane + 128 * lanes))
-        self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        # cells of the order-0 table that have been seen, and how often
-        self.cells, self.counts = np.empty(0, np.int32), np.empty(0, np.int64)
-        # column 0 is the escape: all of it at first
-        self.zero = np.zeros(lanes * self.width, np.uint32)
-        self.zero[self.at_0] = _TOTAL
-        self.escape = np.full(lanes, _TOTAL, np.uint32)
-        self.slots = np.zeros(lanes << TOTAL_BITS, np.uint16) if decodes else None
+        self.mix, self.at_mix = np.repeat(MIXED, lanes), np.stack((lane, lane + 128 * lanes)).astype(_N)
+        self.last, self.before = np.zeros(lanes, _N), np.zeros(lanes, _N)
+        # order 0: where an id begins (upper half) and its frequency; 0 stands for all ids, where another order has coded
+        self.bits = _u(int(often.sum()).bit_length() - 1)
+        cum = np.cumsum(often, dtype=_U)
+        self.zero = np.append(_u(1) << self.bits, (cum - often) << _u(32) | often)
 
     def predict(self, k: int) -> None:
         """Of the first k lanes: the candidates ``ids`` and their shares of 65536."""
-        last = self.last[:k]
-        where = np.empty((2, k), np.int64)
-        np.multiply(self.before[:k], 0x2545F, out=where[0])
-        where[0] += last
-        where[1] = last
-        where &= 0xFFFFFFFF
-        where[0] >>= 32 - BITS_2
-        where[1] >>= 32 - BITS_1
+        context = np.empty((2, k), _N)
+        np.multiply(self.before[:k], _HASH_2, out=context[0])
+        context[0] += self.last[:k]
+        context[0] >>= _n(32 - BITS_2)
+        np.right_shift(self.last[:k], _n(32 - BITS_1), out=context[1])
+        where = context.astype(np.int64)
         where += self.at[:, :k]
         entry = self.table.take(where)
-        ids, chance = entry >> 16, entry & 0xFFFF
-        same = ids[0] == ids[1]
-        level = (chance >> 13).astype(np.int64)
-        level[0] <<= 3
-        level[0] += level[1]
-        level[0] *= self.lanes
-        cell = self.at_mix[:, :k] + level[0]
-        cell[0] += same * (64 * self.lanes)
+        ids, chance = entry >> _n(16), entry & _n(0xFFFF)
+        same = (ids[0] == ids[1]).astype(_N)
+        cell = chance >> _n(13)
+        cell[0] <<= _n(3)
+        cell[1] += cell[0]
+        np.left_shift(same, _n(6), out=cell[0])
+        cell[0] += cell[1]
+        cell *= _n(self.lanes)
+        cell += self.at_mix[:, :k]
+        cell = cell.astype(np.int64)
         mixed = self.mix.take(cell)
-        self.share_2 = mixed[0].astype(_U)
-        one = (_U(65536) - self.share_2) * mixed[1].astype(_U)
-        one >>= _U(16)
-        one *= ~same
+        same -= _n(1)  # all ones where the candidates differ
+        self.share_2, one = mixed.view(_N)
+        one = (_FOR_BOTH - self.share_2) * one
+        one >>= _n(16)
+        np.maximum(one, _n(64), out=one)
+        one &= same
         self.share_1 = one
-        self.ids, self.where, self.entry, self.chance, self.same, self.cell, self.mixed = ids, where, entry, chance, same, cell, mixed
+        self.ids, self.where, self.entry, self.chance, self.differ, self.cell, self.mixed = ids, where, entry, chance, same, cell, mixed
+
+    def interval(self, other: np.ndarray, neither: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where it begins, its share) in 65536ths; ``other`` is 1 where the order-2 id does not come."""
+        begin = other * self.share_2
+        rest = _n(65536) - self.share_2
+        rest -= self.share_1
+        part = self.share_2 - begin
+        begin += neither * self.share_1
+        rest *= neither
+        part += rest
+        part += (other - neither) * self.share_1
+        return begin.astype(_U), part.astype(_U)
 
     def learn(self, k: int, ids: np.ndarray, hit: np.ndarray) -> None:
-        """``hit``: which candidates came."""
+        """``hit``: 1 where a candidate came."""
         mixed = self.mixed
-        step = hit * np.int32(_MOST - _LEAST)
-        step += _LEAST
+        step = hit.view(_I) * _SPREAD
+        step += _FLOOR
         step -= mixed
-        step >>= 5
-        step[1] *= ~(hit[0] | self.same)
+        step >>= _RATE
+        step[1] *= ((hit[0] ^ _n(1)) & self.differ).view(_I)
         step += mixed
         self.mix[self.cell] = step
-        # masks are multiplied with: copies under a mask take several times as long
         chance = self.chance
-        change = (65535 - chance) >> 3
-        fall = chance >> 2
+        change = _n(65535) - chance
+        change >>= _n(3)
+        fall = chance >> _n(2)
         change += fall
         change *= hit
         change -= fall  # modulo 2 to 32
         chance += change
         kept = self.entry
         kept += change
-        new = (ids << 16 | _NEW).astype(np.uint32) - kept
-        new *= chance < _GIVE_UP
+        new = ids << _n(16)
+        new |= _n(_NEW)
+        new = new - kept
+        chance -= _n(_GIVE_UP)
+        chance >>= _n(31)  # 1 where it is given up
+        new *= chance
         kept += new
         self.table[self.where] = kept
         self.before[:k] = self.last[:k]
         np.multiply(ids, _HASH, out=self.last[:k])
 
-    def tabulate(self, ids: np.ndarray, lanes: np.ndarray) -> None:
-        """Order 0 from all ids so far; ``ids`` are those since the last time, of ``lanes``."""
-        seen = lanes * np.int32(self.width)  # 32 bits hold the number of any cell
-        seen += ids
-        seen += 1
-        seen.sort()
-        first = np.flatnonzero(np.append(True, seen[1:] != seen[:-1])) if len(seen) else seen
-        cells = np.concatenate((self.cells, seen[first]))
-        count = np.concatenate((self.counts, np.diff(first, append=len(seen))))
-        order = np.argsort(cells, kind="stable")
-        cells, count = cells[order], count[order]
-        first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])) if len(cells) else cells
-        self.cells, self.counts = cells, count = cells[first], np.add.reduceat(count, first) if len(first) else count
-        lane = cells // self.width
-        distinct = np.bincount(lane, minlength=self.lanes)
-        scale = np.bincount(lane, count, self.lanes).astype(np.int64) + (distinct + 1) // 2
-        often = count * (_TOTAL - 1 - distinct)[lane] // scale[lane] + 1
-        escape = _TOTAL - np.bincount(lane, often, self.lanes).astype(np.int64)
-        first = np.cumsum(distinct) - distinct
-        run = np.cumsum(often) - often
-        cum = run - np.append(run, 0)[first][lane] + escape[lane]
-        self.zero[cells] = (cum << 16 | often).astype(np.uint32)
-        self.zero[self.at_0] = self.escape = escape.astype(np.uint32)
-        if self.decodes:
-            size = np.empty(len(cells) + self.lanes, np.int64)
-            what = np.zeros(len(size), np.uint16)
-            place = np.arange(len(cells)) + lane + 1
-            size[place], what[place] = often, (cells - lane * self.width).astype(np.uint16)
-            size[first + np.arange(self.lanes)] = escape
-            self.slots = np.repeat(what, size)
-
-    def retabulate(self, ids: np.ndarray, lengths: np.ndarray, done: int, step: int) -> None:
-        lane = np.broadcast_to(np.arange(self.lanes, dtype=np.int32), (step - done, self.lanes))
-        real = lengths[None, :] > np.arange(done, step)[:, None]
-        self.tabulate(ids[done:step][real], lane[real])
-
 
 def _steps(lengths: np.ndarray):
     """(step, lanes that still have an id); lanes are in falling order of length."""
@@ -185,140 +184,117 @@ def _steps(lengths: np.ndarray):
     return zip(range(most), active.tolist(), strict=True)
 
 
-def encode(ids: np.ndarray, lengths: np.ndarray, size: int) -> list[bytes]:
+def encode(ids: np.ndarray, lengths: np.ndarray, size: int, often: np.ndarray | None = None) -> list[bytes]:
     """The payload of each block: ``ids`` is a row a step and a column a block, blocks
-    in falling order of length; all ids are below ``size``."""
+    in falling order of length; all ids are below ``size``. ``often`` are the
+    ``frequencies`` of order 0, of all ids alike unless given."""
     lanes = len(lengths)
-    model = _Model(lanes, size, False)
+    model = _Model(lanes, frequencies(np.ones(size)) if often is None else often)
     low, span = np.zeros(lanes, _U), np.full(lanes, 1 << 62, _U)
-    room = 2 * int(lengths[0]) + 4
-    words, lane = np.empty(lanes * room, _U), np.arange(lanes, dtype=np.int64)
-    pos = lane.copy()  # words of a lane are ``lanes`` apart
-    done = 0
+    words, of = [], []  # what is sent in a step, and the lanes
     for step, k in _steps(lengths):
-        if step in EPOCHS:
-            model.retabulate(ids, lengths, done, step)
-            done = step
-        x = ids[step, :k].astype(np.int64)
+        x = ids[step, :k].astype(_N)
         model.predict(k)
-        hit = model.ids == x
-        neither = ~(hit[0] | hit[1])
-        begin = model.share_2 * ~hit[0]
-        second = begin + model.share_1
-        begin += model.share_1 * neither
-        part = np.where(hit[0], model.share_2, np.where(neither, _U(65536) - second, model.share_1))
-        l, s, p = low[:k], span[:k], pos[:k]
-        s >>= _U(16)
+        hit = (model.ids == x).astype(_N)
+        other = hit[0] ^ _n(1)
+        neither = other - (other & hit[1])
+        begin, part = model.interval(other, neither)
+        l, s = low[:k], span[:k]
+        s >>= _u(16)
         begin *= s
         l += begin
         s *= part
-        some = np.flatnonzero(neither)
-        own = model.zero.take(model.at_0[some] + x[some] + 1)
-        new = own == 0
-        gone = some[new]
-        if len(gone):
-            own[new] = model.escape[gone]
-        unit = span[some] >> _U(TOTAL_BITS)
-        low[some] += unit * (own >> 16)
-        span[some] = unit * (own & 0xFFFF)
-        words[p] = l >> _U(_REST)
-        small = s < _SMALL
-        p += small * lanes
-        bit = small.astype(_U)
-        by = bit << _U(5)
-        bit -= _U(1)  # all ones where nothing is sent
-        bit |= _REST_BITS
-        l &= bit
-        l <<= by
-        s <<= by
-        if len(gone):
-            unit = span[gone] // _U(size)
-            low[gone] += unit * x[gone].astype(_U)
-            small = unit < _SMALL
-            out = gone[small]
-            words[pos[out]] = low[out] >> _U(_REST)
-            pos[out] += lanes
-            low[out] = (low[out] & _REST_BITS) << _U(32)
-            span[gone] = unit << (small.astype(_U) << _U(5))
+        s >>= model.bits
+        own = x + _n(1)
+        own *= neither
+        own = model.zero.take(own.astype(np.int64))
+        l += s * (own >> _u(32))
+        own &= _u(0xFFFFFFFF)
+        s *= own
+        small = np.flatnonzero(s < _SMALL)
+        sent = l.take(small)
+        words.append(sent >> _u(_REST))
+        of.append(small.astype(np.uint16))
+        sent &= _REST_BITS
+        l[small] = sent << _u(32)
+        s[small] = s.take(small) << _u(32)
         model.learn(k, x, hit)
     for _ in range(2):
-        words[pos] = low >> _U(_REST)
-        low = (low & _REST_BITS) << _U(32)
-        pos += lanes
-    sizes = (pos - lane) // lanes
-    ends = np.cumsum(sizes)
-    nth = np.arange(ends[-1] if lanes else 0) - np.repeat(ends - sizes, sizes)
-    sent = words.take(nth * lanes + np.repeat(lane, sizes))
+        words.append(low >> _u(_REST))
+        of.append(np.arange(lanes, dtype=np.uint16))
+        low = (low & _REST_BITS) << _u(32)
+    lane = np.concatenate(of)
+    ends = np.cumsum(np.bincount(lane, minlength=lanes))
+    sent = np.concatenate(words)[np.argsort(lane, kind="stable")]
     while True:  # what a range passed on to bits that had been sent
-        carry = np.flatnonzero(sent >> _U(32))
+        carry = np.flatnonzero(sent >> _u(32))
         if not len(carry):
             break
-        sent[carry] &= _U(0xFFFFFFFF)
-        sent[carry - 1] += _U(1)
-    return [sent[b - n : b].astype(">u4").tobytes() for b, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+        sent[carry] &= _u(0xFFFFFFFF)
+        sent[carry - 1] += _u(1)
+    sent = sent.astype(">u4").tobytes()
+    return [sent[4 * a : 4 * b] for a, b in pairwise([0, *ends.tolist()])]
+
 
+def _quotient(code: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """``code // unit`` of at most 2 to 20 or so; a quotient of doubles, put right by its remainder, is faster."""
+    got = (code.view(np.int64) / unit.view(np.int64)).astype(np.int64)
+    rest = code.view(np.int64) - got * unit.view(np.int64)
+    got += rest >> 63
+    got += rest >= unit.view(np.int64)
+    return got
 
-def decode(payloads: list[bytes], lengths: np.ndarray, size: int) -> np.ndarray:
+
+def decode(payloads: list[bytes], lengths: np.ndarray, size: int, often: np.ndarray | None = None) -> np.ndarray:
     """The ids of blocks in falling order of length, a row a step and a column a block."""
     lanes = len(lengths)
-    model = _Model(lanes, size, True)
-    words = np.frombuffer(b"".join(payloads) + bytes(8), ">u4").astype(_U)
+    often = frequencies(np.ones(size)) if often is None else often
+    model = _Model(lanes, often)
+    # the id after each place of order 0, counted from 1; the first is for lanes that another order has coded
+    slots = np.append(np.uint16(0), np.repeat(np.arange(1, len(often) + 1, dtype=np.uint16), often))
+    words = np.frombuffer(b"".join(payloads) + bytes(8), ">u4").astype(_N)
     pos = np.cumsum([0, *(len(p) // 4 for p in payloads)])[:-1]
-    code = words[pos] << _U(30) | words[pos + 1] >> _U(2)
-    left = words[pos + 1] & _U(3)  # 62 bits are in use, so two bits of each word come with the next
-    pos = pos + 2
+    code = words[pos].astype(_U) << _u(30) | words[pos + 1] >> _n(2)
+    pos += 2
+    # 62 bits are in use, so two bits of each word come with the next
+    words[1:] = words[:-1] << _n(30) | words[1:] >> _n(2)
     span = np.full(lanes, 1 << 62, _U)
     ids = np.zeros((int(lengths[0]) if lanes else 0, lanes), np.uint16)
-    done = 0
     for step, k in _steps(lengths):
-        if step in EPOCHS:
-            model.retabulate(ids, lengths, done, step)
-            done = step
         model.predict(k)
-        c, s, p, rest = code[:k], span[:k], pos[:k], left[:k]
-        s >>= _U(16)
-        edge_2 = s * model.share_2
-        edge_1 = edge_2 + s * model.share_1
-        first, below = c < edge_2, c < edge_1
-        neither = ~below
-        x = np.where(first, model.ids[0], model.ids[1]).astype(np.int64)
-        begin = edge_2 * (first ^ below)
-        begin += edge_1 * neither
-        end = np.where(first, edge_2, np.where(below, edge_1, s << _U(16)))
+        c, s = code[:k], span[:k]
+        s >>= _u(16)
+        edge = s * model.share_2
+        other = (c >= edge).astype(_N)
+        edge += s * model.share_1
+        neither = (c >= edge).astype(_N)
+        begin, part = model.interval(other, neither)
+        begin *= s
         c -= begin
-        np.subtract(end, begin, out=s)
-        some = np.flatnonzero(neither)
-        unit = span[some] >> _U(TOTAL_BITS)
-        slot = np.minimum(code[some] // unit, _U(_TOTAL - 1)).view(np.int64)
-        column = model.slots.take(model.at_slot[some] + slot).astype(np.int64)
-        own = model.zero.take(model.at_0[some] + column)
-        code[some] -= unit * (own >> 16)
-        span[some] = unit * (own & 0xFFFF)
-        x[some] = column - 1
-        gone = some[column == 0]
-        small = s < _SMALL
-        word = words.take(p, mode="clip")
-        by = small.astype(_U) << _U(5)
-        c <<= by
-        c |= (rest << _U(30) | word >> _U(2)) * small
-        word &= _U(3)
-        word -= rest  # modulo 2 to 64
-        word *= small
-        rest += word
-        s <<= by
-        p += small
-        if len(gone):
-            unit = span[gone] // _U(size)
-            raw = np.minimum(code[gone] // unit, _U(size - 1))
-            code[gone] -= unit * raw
-            x[gone] = raw.view(np.int64)
-            small = unit < _SMALL
-            more = gone[small]
-            word = words.take(pos[more], mode="clip")
-            code[more] = code[more] << _U(32) | left[more] << _U(30) | word >> _U(2)
-            left[more] = word & _U(3)
-            pos[more] += 1
-            span[gone] = unit << (small.astype(_U) << _U(5))
+        s *= part
+        s >>= model.bits
+        place = _quotient(c, s)
+        place += 1
+        place *= neither
+        own = slots.take(place, mode="clip")
+        x = own.astype(_N)
+        own = model.zero.take(x)
+        c -= s * (own >> _u(32))
+        own &= _u(0xFFFFFFFF)
+        s *= own
+        # one of the candidates, unless neither came
+        first, second = model.ids
+        x -= _n(1)
+        x -= second
+        x *= neither
+        x += first
+        x += other * (second - first)
+        small = np.flatnonzero(s < _SMALL)
+        at = pos.take(small)
+        c[small] = c.take(small) << _u(32) | words.take(at, mode="clip")
+        s[small] = s.take(small) << _u(32)
+        at += 1
+        pos[small] = at
         ids[step, :k] = x
-        model.learn(k, x, model.ids == x)
+        model.learn(k, x, (model.ids == x).astype(_N))
     return ids

@@ -153,3 +153,68 @@ def test_white_space_between_words():
         texts = ["".join(r.choice(letters) for _ in range(r.randrange(14))) for _ in range(r.randrange(300))]
         got = [np.frombuffer(x, "<u4").tolist() for x in tokenizer.encode(texts)]
         assert got == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 4000, 65_534])
+def test_frequencies_reach_every_id(size):
+    counts = np.maximum((1e7 / np.arange(1, size + 1) ** 1.5).astype(np.int64), 1)
+    for given in (counts, np.zeros(size, np.int64), counts[::-1]):
+        often = context_coder.frequencies(given)
+        total = int(often.sum())
+        assert often.min() >= 1 and total & (total - 1) == 0 and total <= 1 << context_coder.TOTAL_BITS
+
+
+def test_order_0_is_given_to_all_blocks():
+    """Ids without context cost what their frequencies say from the first id on, and rare ones come back."""
+    r = np.random.default_rng(4)
+    size = 65_534
+    ids = (size * r.random((300, 64)) ** 6).astype(np.uint16)
+    ids[::50] = size - 1 - np.arange(64)
+    counts = np.bincount(ids.ravel(), minlength=size)
+    lengths = np.full(64, 300)
+    often = context_coder.frequencies(counts)
+    payloads = context_coder.encode(ids, lengths, size, often)
+    assert (context_coder.decode(payloads, lengths, size, often) == ids).all()
+    assert sum(map(len, payloads)) < 0.85 * sum(map(len, context_coder.encode(ids, lengths, size)))
+
+
+def test_wide_alphabets_are_coded_as_many_blocks_abreast(monkeypatch):
+    given, plain = [], context_coder.encode
+    monkeypatch.setattr(context_coder, "encode", lambda ids, lengths, *rest: given.append(len(lengths)) or plain(ids[:1], np.minimum(lengths, 1), *rest))
+    token_files.packed(False, [(1, np.arange(300 * context_coder.BLOCK, dtype="<u4") % 60_000)])
+    assert given == [300]
+
+
+def test_shares_leave_room_for_every_frequency():
+    r = np.random.default_rng(6)
+    model = context_coder._Model(2000, context_coder.frequencies(np.ones(65_534)))
+    model.table[:] = r.integers(0, 2**32, len(model.table), np.uint32)
+    model.mix[:] = r.choice([context_coder._LEAST, context_coder._MOST], len(model.mix))
+    model.predict(2000)
+    differ = model.ids[0] != model.ids[1]
+    assert (model.share_1[~differ] == 0).all() and (model.share_1[differ] >= 64).all() and (model.share_2 >= 64).all()
+    assert (65536 - model.share_2.astype(int) - model.share_1 >= 64).all()
+
+
+def test_quotients():
+    r = np.random.default_rng(8)
+    unit = r.integers(4, 2 ** r.integers(3, 44, 50_000)).astype(np.uint64)
+    times = r.integers(0, 2**18, 50_000).astype(np.uint64)
+    for code in (unit * times, unit * times + unit - np.uint64(1), unit * times + r.integers(0, unit.view(np.int64)).astype(np.uint64)):
+        assert (context_coder._quotient(code, unit) == times.view(np.int64)).all()
+
+
+def test_only_wide_white_space_is_looked_ahead_for():
+    tokenizer, given = token_files.ByteTokenizer(PATH), []
+    plain = tokenizer.ranks
+
+    class Counting:
+        def encode_to_numpy(self, text, **options):
+            given.append(text)
+            return plain.encode_to_numpy(text, **options)
+
+    tokenizer.ranks = Counting()
+    texts = ["one two\nthree four\n\nfive six", "one\ttwo seven\n", "eight \u00e9t\u00e9\x85\xa0x nine."]
+    got = tokenizer.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(given) == sorted([" four\n\nfive seven\n \u00e9t\u00e9\x85\xa0x", "one", "one\ttwo", "eight"])
