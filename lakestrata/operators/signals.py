@@ -57,6 +57,8 @@ COUNTED = [*COUNTED_TYPES, "foreign_logins"]
 #: What ``fraud_signals`` reads of a card.
 CARD_COLUMNS = ["process_date", "event_id", "customer_id", "event_time", "transaction_id", "account_id", "amount", "card_present",
                 "entry_mode", "merchant_country", "merchant_category_code"]
+#: And of a login.
+LOGIN_COLUMNS = ["customer_id", "event_time", "event_type", "country"]
 
 # Sort tags at one instant: a bucket's start row comes first; a login enters its
 # window (+1) before the cards at that instant and leaves it (-1 at login_ts +

@@ -2,15 +2,16 @@
 
 import glob
 import re
+import time
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from lakestrata.functions import exprs
-from lakestrata.operators import gold, signals, silver
+from lakestrata.operators import gold, monitoring, signals, silver
 from lakestrata.plans import catalog
-from lakestrata.session import checkpoint_dir
+from lakestrata.session import checkpoint_dir, materialize
 from lakestrata.sources import fixtures
 from tests.conftest import SF_SMALL, envelope_rows
 from tests.test_silver import card
@@ -145,3 +146,56 @@ def test_a_task_sorts_few_messages(spark):
     target = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes"))
     moved, sorted_ = 48, 1_000  # bytes a line, as measured
     assert target / moved * sorted_ < 250e6
+
+
+def test_monitoring_stores_narrow_cards_and_no_cases(spark):
+    catalog.forget_frames()
+    before = layers(spark)
+    assert catalog.QUERIES["monitoring_findings_empty_date"](spark, SF_SMALL).count() > 0
+    stored = [set(spark.read.parquet(layer).columns) for layer in layers(spark) - before]
+    assert [s for s in stored if "event_id" in s] == [set(gold.CARD_COLUMNS)]
+    assert not [s for s in stored if "risk_event_id" in s]
+    catalog.forget_frames()
+
+
+def test_narrow_silver_has_the_rows_of_all_columns(spark):
+    rows = envelope_rows(spark, [card(), card(merchant_name="later"), card(event_id="evt_2", amount="1.005"), card(event_id="evt_3", amount="abc"), "[]", None])
+    wide = silver.silver_cards(rows)
+    for columns in (gold.CARD_COLUMNS, signals.CARD_COLUMNS, ["bronze_ingest_time", "event_id"]):
+        narrow = silver.silver_cards(rows, columns=columns)
+        assert narrow.columns == columns
+        assert sorted(map(str, narrow.collect())) == sorted(map(str, wide.select(*columns).collect()))
+
+
+def test_a_stored_layer_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = shuffled()
+    table = materialize(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):  # deleted in the background
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert table.count() == 7
+
+
+def test_metrics_read_the_cases_once(spark):
+    schema = ("process_date string, risk_event_id string, customer_id string, source_transaction_id string, risk_score bigint, risk_level string, "
+              "merchant_name string, failed_login_count bigint, gold_processed_time string")
+    cases = spark.createDataFrame([("d", "r1", "c", "t", 95, "high", None, 2, "x"), ("d", "r1", "c", "t", 40, "low", None, 5, "y"), ("d", "r1", "c", "t", 95, "high", None, 2, "w"),
+                                   ("d", "r2", None, None, None, None, "shop", None, None), ("e", "r2", None, None, 7, "high", "", 1, None)], schema)
+    health = spark.createDataFrame([], "process_date string, status string, records_read bigint, records_written bigint, records_rejected bigint")
+    tx = spark.createDataFrame([], "process_date string, transaction_count bigint, approved_count bigint, declined_count bigint, total_amount decimal(28,2)")
+    m = monitoring.metrics(health, tx, cases)
+    got = {r["process_date"]: [r[c] for c in ("raw_cases", "cases", "duplicates", "max_score", "unmatched_merchants", "high_risk", "failed_logins")] for r in m.collect()}
+    assert got == {"d": [4, 2, 2, 95, 1, 1, 2], "e": [1, 1, 0, 7, 1, 1, 1]}
+    assert m._jdf.queryExecution().optimizedPlan().toString().count("Window [row_number()") == 1
+    leaves, plans = 0, [monitoring.metrics(health, tx, spark.range(1).selectExpr(*[f"cast(null as {t}) as {c}" for c, t in (x.split(" ") for x in schema.split(", "))]))._jdf.queryExecution().analyzed()]
+    while plans:
+        plan = plans.pop()
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+        leaves += plan.nodeName() == "Range"
+    assert leaves == 1
