@@ -66,28 +66,34 @@ LOGIN_COLUMNS = ["customer_id", "event_time", "event_type", "country"]
 # card_ts`` are inclusive.
 _START, _ENTER, _CARD, _LEAVE = -1, 0, 1, 2
 
+#: Cards and logins of one customer that a task may sort in one group.
+HOT_ROWS = 50_000
+
 
 def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: int,
                         bucket_seconds: int = 300, carry: list[str] | tuple = (),
-                        home_countries: tuple = ("US",), facts: DataFrame | None = None) -> DataFrame:
+                        home_countries: tuple = ("US",), facts: DataFrame | None = None,
+                          hot_rows: int = HOT_ROWS) -> DataFrame:
     """Per card: failed logins, password resets, new devices and logins from
     other than the home countries, of the same customer with ``card_ts - lookback <= login_ts <= card_ts``.
 
     Exact distributed running sums, no pairs: every login adds +1 when it
     happens and -1 once the look-back has passed, so the count for a card is
-    the running sum of the customer's events at the card's time. The sums have
-    two levels. Totals of (customer, time bucket), aggregated before the
-    shuffle, are summed over the customer's earlier buckets; a start row takes
-    that sum into each bucket, where the rows are summed in order. A customer
-    of any share of the rows is thus dealt over as many tasks as there are
-    buckets with activity of theirs, whatever the number of shuffle
-    partitions, and the cards are shuffled once.
-
-    ``facts`` (one row per customer) ride on the start rows and reach the cards
-    without a join of the cards. Every card comes out once, with the ``carry``
-    columns it brought along. A card without a parseable time counts nothing;
-    logins without a time or customer take part in no window. Pass the logins
-    of the days before the cards' as well.
+    the running sum of the customer's events at the card's time. The rows of a
+    customer are summed in order in one group, unless there are more than
+    ``hot_rows``: then the sums have two levels. Totals of (customer, time
+    bucket), aggregated before the shuffle, are summed over the customer's
+    earlier buckets; a start row takes that sum into each bucket, where the
+    rows are summed in order. A customer of any share of the rows is thus
+    dealt over as many tasks as there are buckets with activity of theirs,
+    whatever the number of shuffle partitions, and the others, of whom most
+    buckets would hold a single row, move no start rows. The cards are shuffled once.
+
+    ``facts`` (one row per customer) ride on the start rows, or come as one row
+    before the customer's others, and reach the cards without a join of the cards.
+    Every card comes out once, with the ``carry`` columns it brought along. A card
+    without a parseable time counts nothing; logins without a time or customer
+    take part in no window. Pass the logins of the days before the cards' as well.
     """
     width, span = lookback_seconds * 1_000_000, bucket_seconds * 1_000_000
     micros = F.unix_micros(iso_to_ts(F.col("event_time")))
@@ -109,15 +115,24 @@ def login_counts_before(cards: DataFrame, logins: DataFrame, lookback_seconds: i
                & reduce(lambda a, b: a | b, [F.col("_is_" + c) == 1 for c in names])) \
         .select("customer_id", *["_is_" + c for c in names], F.inline(edges)) \
         .select("customer_id", "_us", "_tag", *[(F.col("_d") * F.col("_is_" + c)).cast("bigint").alias(c) for c in names])
-    stream = queries.unionByName(events, allowMissingColumns=True) \
-        .withColumn("_bucket", F.floor(F.col("_us") / span).cast("bigint"))
+    # at most a row for every ``hot_rows`` of the input
+    hot = F.broadcast(cards.select("customer_id").unionAll(logins.select("customer_id")).groupBy("customer_id").count()
+                      .where(F.col("count") > hot_rows).select(F.col("customer_id").alias("_customer"), F.lit(True).alias("_hot")))
+    is_hot = F.col("customer_id").eqNullSafe(F.col("_customer"))
+    bucket = F.when(F.col("_hot"), F.floor(F.col("_us") / span).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    stream = queries.unionByName(events, allowMissingColumns=True).join(hot, is_hot, "left").withColumn("_bucket", bucket)
 
     earlier = Window.partitionBy("customer_id").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = stream.groupBy("customer_id", "_bucket").agg(*[F.sum(c).alias(c) for c in names]).select(
+    starts = stream.where(F.col("_hot")).groupBy("customer_id", "_bucket").agg(*[F.sum(c).alias(c) for c in names]).select(
         "customer_id", "_bucket", (F.col("_bucket") * span).alias("_us"), F.lit(_START).alias("_tag"),
         *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(c) for c in names])
     if facts is not None:
         starts = starts.join(facts, "customer_id", "left")
+        # of the other customers, before all their rows as it has no time
+        alone = facts.join(hot, is_hot, "left_anti").withColumns(
+            {"_bucket": F.lit(0).cast("bigint"), "_tag": F.lit(_START), **{c: F.lit(0).cast("bigint") for c in names}})
+        starts = starts.unionByName(alone, allowMissingColumns=True)
+    stream = stream.drop("_customer", "_hot")
 
     so_far = Window.partitionBy("customer_id", "_bucket").orderBy("_us", "_tag") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)

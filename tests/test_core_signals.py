@@ -240,6 +240,39 @@ def test_signal_lookback_hot_customer_matches_brute_force(spark, partitions, buc
         assert got[f"c{i}"] == want, (i, got[f"c{i}"], want)
 
 
+@pytest.mark.parametrize("hot_rows", [0, 30, 10 ** 6])
+def test_hot_and_other_customers_match_brute_force(spark, hot_rows):
+    """Each customer's counts and facts, whether or not their rows are dealt over buckets; a customer may be missing, and a time."""
+    import random
+
+    rnd = random.Random(11)
+    iso = lambda s: f"2024-01-{1 + s // 86400:02d}T{s // 3600 % 24:02d}:{s // 60 % 60:02d}:00.000000+00:00"
+    share = ["hot"] * 12 + ["b", "c", "d", None]
+    logins = [(rnd.choice(share), rnd.randrange(0, 6 * 86400, 600)) for _ in range(150)]
+    cards = [(rnd.choice(share), rnd.randrange(0, 6 * 86400, 600)) for _ in range(120)] + [("hot", None), ("b", None), ("no login", 600)]
+    cdf = spark.createDataFrame([("d", f"c{i}", c, iso(s) if s is not None else "never") for i, (c, s) in enumerate(cards)],
+                                "process_date string, event_id string, customer_id string, event_time string")
+    ldf = spark.createDataFrame([(c, iso(s), "login_failed") for c, s in logins], "customer_id string, event_time string, event_type string")
+    facts = spark.createDataFrame([("hot", 1), ("b", 2), ("no login", 3), ("no card", 4)], "customer_id string, fact int")
+    df = signals.login_counts_before(cdf, ldf, 86400, facts=facts, hot_rows=hot_rows)
+    got = sorted((r["event_id"], r["failed_logins"], r["fact"]) for r in df.collect())
+    known = {r["customer_id"]: r["fact"] for r in facts.collect()}
+    assert got == sorted((f"c{i}", sum(1 for x, t in logins if x == c and c is not None and s is not None and s - 86400 <= t <= s), known.get(c))
+                         for i, (c, s) in enumerate(cards))
+
+
+def test_customers_of_few_rows_move_no_start_rows(spark):
+    cards = spark.createDataFrame([("d", f"e{i}", f"c{i % 5}", f"2024-01-02T{i % 24:02d}:00:00.000000+00:00") for i in range(200)],
+                                  "process_date string, event_id string, customer_id string, event_time string")
+    logins = spark.createDataFrame([("c1", "2024-01-01T12:00:00.000000+00:00", "login_failed")], "customer_id string, event_time string, event_type string")
+    df = signals.login_counts_before(cards, logins, 86400)
+    plan = df._jdf.queryExecution().analyzed()
+    while plan.nodeName() != "Union":
+        plan = plan.children().apply(0)
+    sums = spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan)
+    assert sums.count() == 200 + 2  # the cards and the edges of a login, which alone move by customer and bucket
+
+
 def test_foreign_key_counts_rows_not_keys(spark):
     """Orphans are counted per child row (a hot missing key counts every row);
     a parent key that repeats does not change the result."""
